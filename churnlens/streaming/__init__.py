@@ -1,0 +1,6 @@
+"""Streaming.
+
+The workload has no stream: every job is a monthly batch anchored on an
+explicit ``as_of`` month. Incremental runs re-run the batch for the new
+month; nothing here keeps streaming state.
+"""

@@ -117,3 +117,161 @@ def register(name: str, sql: str) -> None:
 register("monthly_rollup", monthly_rollup_sql("customer"))
 register("monthly_rollup_shipto", monthly_rollup_sql("shipto"))
 register("material_set", material_set_sql())
+
+
+# --------------------------------------------------------------------------
+# Panel and window features
+# --------------------------------------------------------------------------
+from churnlens.functions import holidays as _hol  # noqa: E402
+from churnlens.functions import series as _series  # noqa: E402
+from churnlens.operators import panel as _panel  # noqa: E402
+
+W_CUST = "(PARTITION BY CUSTOMER_SHIPTO ORDER BY POSTING_DATE)"
+
+
+def panel_ctes() -> str:
+    sums = _panel.PANEL_SUMS
+    facts_cols = ", ".join(f"sum(coalesce(CAST({c} AS DOUBLE), 0.0)) AS {c}" for c in sums)
+    fill_cols = ", ".join(f"coalesce(f.{c}, 0.0) AS {c}" for c in sums)
+    return (
+        f"{base_cte()},\nroll AS ({rollup_select('customer')}),\n"
+        "facts AS (SELECT CAST(CUSTOMER_NUMBER AS VARCHAR) AS CUSTOMER_SHIPTO,"
+        " CAST(strptime(POSTING_DATE, '%Y-%m') AS DATE) AS POSTING_DATE, "
+        f"{facts_cols} FROM roll GROUP BY 1, 2),\n"
+        "bounds AS (SELECT min(POSTING_DATE) AS lo, max(POSTING_DATE) AS hi FROM facts),\n"
+        "months AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS POSTING_DATE FROM bounds),\n"
+        "grid AS (SELECT c.CUSTOMER_SHIPTO, m.POSTING_DATE FROM (SELECT DISTINCT CUSTOMER_SHIPTO FROM facts) c CROSS JOIN months m),\n"
+        f"panel AS (SELECT g.CUSTOMER_SHIPTO, g.POSTING_DATE, {fill_cols} FROM grid g LEFT JOIN facts f"
+        " ON f.CUSTOMER_SHIPTO = g.CUSTOMER_SHIPTO AND f.POSTING_DATE = g.POSTING_DATE)"
+    )
+
+
+def easter_sql(y: str) -> str:
+    a = f"({y} % 19)"
+    b = f"({y} // 100)"
+    c = f"({y} % 100)"
+    dd = f"({b} // 4)"
+    e = f"({b} % 4)"
+    f = f"(({b} + 8) // 25)"
+    g = f"(({b} - {f} + 1) // 3)"
+    h = f"((19 * {a} + {b} - {dd} - {g} + 15) % 30)"
+    i = f"({c} // 4)"
+    k = f"({c} % 4)"
+    ll = f"((32 + 2 * {e} + 2 * {i} - {h} - {k}) % 7)"
+    m = f"(({a} + 11 * {h} + 22 * {ll}) // 451)"
+    month = f"(({h} + {ll} - 7 * {m} + 114) // 31)"
+    day = f"((({h} + {ll} - 7 * {m} + 114) % 31) + 1)"
+    return f"make_date({y}, {month}, {day})"
+
+
+def holiday_ctes() -> str:
+    fixed = " UNION ALL ".join(
+        f"SELECT make_date(y, {m}, {dd}) AS hdate FROM years" for m, dd, _ in _hol.FIXED_HOLIDAYS
+    )
+    return (
+        "years AS (SELECT DISTINCT CAST(year(POSTING_DATE) AS INTEGER) AS y FROM panel),\n"
+        f"cal AS ({fixed} UNION ALL SELECT CAST({easter_sql('y')} - INTERVAL 2 DAY AS DATE) FROM years"
+        f" UNION ALL SELECT CAST({easter_sql('y')} + INTERVAL 1 DAY AS DATE) FROM years),\n"
+        "hol AS (SELECT date_trunc('month', hdate)::DATE AS POSTING_DATE, count(DISTINCT hdate) AS Holidays FROM cal GROUP BY 1)"
+    )
+
+
+def kalman_ctes(q: float = 0.01, r: float = 1.0) -> str:
+    nxt = f"((1.0 - f.pm / (f.pm + {r})) * f.pm + {q})"
+    return (
+        "kin AS (SELECT CUSTOMER_SHIPTO AS c, POSTING_DATE AS m, CCH AS y,"
+        f" row_number() OVER {W_CUST} AS i, count(*) OVER (PARTITION BY CUSTOMER_SHIPTO) AS n FROM panel),\n"
+        "fwd AS (SELECT c, i, n, y, CAST(1.0 AS DOUBLE) AS pm, y AS m FROM kin WHERE i = 1"
+        f" UNION ALL SELECT k.c, k.i, k.n, k.y, {nxt} AS pm,"
+        f" f.m + ({nxt} / ({nxt} + {r})) * (k.y - f.m) AS m"
+        " FROM fwd f JOIN kin k ON k.c = f.c AND k.i = f.i + 1),\n"
+        "bwd AS (SELECT c, i, m AS s FROM fwd WHERE i = n"
+        f" UNION ALL SELECT f.c, f.i, f.m + (((1.0 - f.pm / (f.pm + {r})) * f.pm) / f2.pm) * (b.s - f.m)"
+        " FROM bwd b JOIN fwd f ON f.c = b.c AND f.i = b.i - 1 JOIN fwd f2 ON f2.c = b.c AND f2.i = b.i),\n"
+        "ks AS (SELECT kin.c AS CUSTOMER_SHIPTO, kin.m AS POSTING_DATE, bwd.s AS KS_filtered"
+        " FROM kin JOIN bwd ON bwd.c = kin.c AND bwd.i = kin.i)"
+    )
+
+
+def features_ctes() -> str:
+    taps = _series.gaussian_edge_taps()
+    period = " + ".join(f"lag(CCH, {11 - j}) OVER w * {taps[j]!r}" for j in range(len(taps)))
+    lags = ", ".join(
+        f"lag({c}, {i}) OVER w AS {c}_lag_{i}" for c in _panel.LAG_COLUMNS for i in range(1, 7)
+    )
+    leads = ", ".join(
+        f"lead({c}, {i}) OVER w AS {c}_shift_{i}" for c in ("CCH", "Smoothed_Holidays") for i in range(1, 7)
+    )
+    return (
+        f"WITH RECURSIVE {panel_ctes()},\n{holiday_ctes()},\n{kalman_ctes()},\n"
+        "ph AS (SELECT p.*, CAST(coalesce(hol.Holidays, 0) AS BIGINT) AS Holidays, ks.KS_filtered,"
+        f" row_number() OVER {W_CUST} AS _i"
+        " FROM panel p LEFT JOIN hol USING (POSTING_DATE) LEFT JOIN ks USING (CUSTOMER_SHIPTO, POSTING_DATE)),\n"
+        "f1 AS (SELECT *, KS_filtered - lag(KS_filtered, 1) OVER w AS KSD0,"
+        " CASE WHEN _i >= 12 THEN var_samp(CCH) OVER w12 END AS cv20,"
+        " CASE WHEN _i >= 12 THEN var_samp(SALE_QTY) OVER w12 END AS cv2_sales0,"
+        f" CASE WHEN _i >= 12 THEN {period} END AS period0,"
+        " avg(Holidays) OVER w12 AS Smoothed_Holidays"
+        " FROM ph WINDOW w AS " + W_CUST + ", w12 AS (PARTITION BY CUSTOMER_SHIPTO ORDER BY POSTING_DATE"
+        " ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)),\n"
+        "f2 AS (SELECT * EXCLUDE (KSD0, cv20, cv2_sales0, period0), coalesce(KSD0, 0.0) AS KSD,"
+        " coalesce(cv20, 0.0) AS cv2, coalesce(cv2_sales0, 0.0) AS cv2_sales, coalesce(period0, 0.0) AS period FROM f1),\n"
+        f"feat AS (SELECT * EXCLUDE (_i), {lags},"
+        " CASE WHEN _i >= 3 THEN avg(CCH) OVER (PARTITION BY CUSTOMER_SHIPTO ORDER BY POSTING_DATE ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) END AS ROLL_MEAN_3,"
+        " CASE WHEN _i >= 6 THEN avg(CCH) OVER (PARTITION BY CUSTOMER_SHIPTO ORDER BY POSTING_DATE ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) END AS ROLL_MEAN_6,"
+        f" {leads}, CAST(lag(POSTING_DATE, 12) OVER w IS NOT NULL AS INTEGER) AS less12_int"
+        " FROM f2 WINDOW w AS " + W_CUST + ")"
+    )
+
+
+def _r(c: str, digits: int = 6) -> str:
+    return f"round({c}, {digits}) AS {c}"
+
+
+register(
+    "dense_panel",
+    f"WITH {panel_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, "
+    + ", ".join(_r(c) for c in _panel.PANEL_SUMS)
+    + " FROM panel",
+)
+register(
+    "holiday_months",
+    f"{features_ctes()}\nSELECT DISTINCT POSTING_DATE, Holidays, round(Smoothed_Holidays, 6) AS Smoothed_Holidays FROM feat",
+)
+register(
+    "panel_lags",
+    f"{features_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, "
+    + ", ".join(_r(f"{c}_lag_{i}") for c in _panel.LAG_COLUMNS for i in range(1, 7))
+    + " FROM feat",
+)
+register(
+    "panel_leads",
+    f"{features_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, "
+    + ", ".join(_r(f"{c}_shift_{i}") for c in ("CCH", "Smoothed_Holidays") for i in range(1, 7))
+    + " FROM feat",
+)
+register(
+    "rolling_means",
+    f"{features_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, {_r('ROLL_MEAN_3')}, {_r('ROLL_MEAN_6')} FROM feat",
+)
+register(
+    "rolling_var",
+    f"{features_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, {_r('cv2', 4)}, {_r('cv2_sales', 4)} FROM feat",
+)
+register(
+    "gauss_period",
+    f"{features_ctes()},\npd AS (SELECT CUSTOMER_SHIPTO, POSTING_DATE, period,"
+    " coalesce(period - lag(period, 1) OVER w, 0.0) AS period_diff FROM feat WINDOW w AS " + W_CUST + ")\n"
+    "SELECT CUSTOMER_SHIPTO, POSTING_DATE, round(period, 6) AS period, round(period_diff, 6) AS period_diff,"
+    " CAST(CASE WHEN period_diff <= -3 THEN -3 WHEN period_diff <= -2 THEN -2 WHEN period_diff <= -1 THEN -1"
+    " WHEN period_diff <= 0.5 THEN 0 WHEN period_diff <= 1.5 THEN 1 WHEN period_diff <= 2.5 THEN 2"
+    " WHEN period_diff > 2.5 THEN 3 ELSE 0 END AS BIGINT) AS miss_period FROM pd",
+)
+register(
+    "less12",
+    f"{features_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, CAST(less12_int AS BIGINT) AS less12 FROM feat",
+)
+register(
+    "kalman_level",
+    f"{features_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, {_r('KS_filtered')}, {_r('KSD')} FROM feat",
+)

@@ -45,3 +45,67 @@ def monthly_rollup_shipto(spark, sf_dir):
 def material_set(spark, sf_dir):
     mats, prods = _codes()
     return finalize(rollup.material_set(fx.ledger(spark, sf_dir), HIST_START, None, mats, prods))
+
+
+# --------------------------------------------------------------------------
+# Panel and window features
+# --------------------------------------------------------------------------
+from churnlens.operators import panel as pnl  # noqa: E402
+
+K = [pnl.CUST, pnl.MONTH]
+
+
+def panel_frame(spark, sf_dir):
+    return pnl.dense_panel(rollup_frame(spark, sf_dir))
+
+
+def features_frame(spark, sf_dir):
+    return pnl.panel_features(panel_frame(spark, sf_dir))
+
+
+@query
+def dense_panel(spark, sf_dir):
+    return finalize(panel_frame(spark, sf_dir), 6)
+
+
+@query
+def holiday_months(spark, sf_dir):
+    return finalize(features_frame(spark, sf_dir).select(pnl.MONTH, "Holidays", "Smoothed_Holidays").distinct(), 6)
+
+
+@query
+def panel_lags(spark, sf_dir):
+    cols = [f"{c}_lag_{i}" for c in pnl.LAG_COLUMNS for i in range(1, 7)]
+    return finalize(features_frame(spark, sf_dir).select(*K, *cols), 6)
+
+
+@query
+def panel_leads(spark, sf_dir):
+    cols = [f"{c}_shift_{i}" for c in ("CCH", "Smoothed_Holidays") for i in range(1, 7)]
+    return finalize(features_frame(spark, sf_dir).select(*K, *cols), 6)
+
+
+@query
+def rolling_means(spark, sf_dir):
+    return finalize(features_frame(spark, sf_dir).select(*K, "ROLL_MEAN_3", "ROLL_MEAN_6"), 6)
+
+
+@query
+def rolling_var(spark, sf_dir):
+    return finalize(features_frame(spark, sf_dir).select(*K, "cv2", "cv2_sales"), 4)
+
+
+@query
+def gauss_period(spark, sf_dir):
+    df = pnl.period_diff_bucket(features_frame(spark, sf_dir))
+    return finalize(df.select(*K, "period", "period_diff", "miss_period"), 6)
+
+
+@query
+def less12(spark, sf_dir):
+    return finalize(features_frame(spark, sf_dir).select(*K, "less12"))
+
+
+@query
+def kalman_level(spark, sf_dir):
+    return finalize(features_frame(spark, sf_dir).select(*K, "KS_filtered", "KSD"), 6)

@@ -275,3 +275,160 @@ register(
     "kalman_level",
     f"{features_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, {_r('KS_filtered')}, {_r('KSD')} FROM feat",
 )
+
+
+# --------------------------------------------------------------------------
+# Forecast, trend fit, scaffold, backtest
+# --------------------------------------------------------------------------
+import math as _math  # noqa: E402
+
+
+def sample_ctes(src: str, keys: str, anchor: str, horizon: int = 6, min_nonzero: int = 3) -> str:
+    """Samples y_T + y_{t+h} - y_t of history rows (month <= anchor)."""
+    leads = ", ".join(f"lead(CCH, {h}) OVER w AS l{h}" for h in range(1, horizon + 1))
+    acts = ", ".join(
+        f"max(CASE WHEN POSTING_DATE = CAST({anchor} + INTERVAL {h} MONTH AS DATE) THEN CCH END) OVER p AS a{h}"
+        for h in range(1, horizon + 1)
+    )
+    smp = " UNION ALL ".join(
+        f"SELECT {keys}, _anchor, {h} AS h, CASE WHEN CAST(POSTING_DATE + INTERVAL {h} MONTH AS DATE) <= _anchor"
+        f" THEN yT + l{h} - CCH END AS sample, a{h} AS actual FROM s WHERE POSTING_DATE <= _anchor AND nz >= {min_nonzero}"
+        for h in range(1, horizon + 1)
+    )
+    return (
+        f"s AS (SELECT {keys}, POSTING_DATE, CCH, {anchor} AS _anchor,"
+        f" max(CASE WHEN POSTING_DATE = {anchor} THEN CCH END) OVER p AS yT,"
+        f" count(CASE WHEN POSTING_DATE <= {anchor} AND CCH <> 0 THEN 1 END) OVER p AS nz, {leads}, {acts}"
+        f" FROM {src} WINDOW p AS (PARTITION BY {keys}), w AS (PARTITION BY {keys} ORDER BY POSTING_DATE)),\n"
+        f"smp AS ({smp}),\n"
+        f"lng AS (SELECT {keys}, _anchor AS anchor, 'period_' || CAST(h AS VARCHAR) AS PERIOD, avg(sample) AS sample_mean,"
+        " quantile_cont(sample, 0.25) AS lower_bound, quantile_cont(sample, 0.75) AS upper_bound, max(actual) AS actual"
+        f" FROM smp GROUP BY {keys}, _anchor, h HAVING count(sample) > 0)"
+    )
+
+
+def forecast_ctes() -> str:
+    stats = ("sample_mean", "lower_bound", "upper_bound")
+    piv = ", ".join(
+        f"max(CASE WHEN PERIOD = 'period_{h}' THEN {s} END) AS period_{h}_{s}" for h in range(1, 7) for s in stats
+    )
+    unc = ", ".join(f"period_{h}_upper_bound - period_{h}_lower_bound AS period_{h}_uncertainty" for h in range(1, 7))
+    return (
+        f"{features_ctes()},\n"
+        f"hist AS (SELECT CUSTOMER_SHIPTO, POSTING_DATE, CCH FROM feat WHERE POSTING_DATE <= {d(FORECAST_AT)}),\n"
+        f"{sample_ctes('hist', 'CUSTOMER_SHIPTO', d(FORECAST_AT))},\n"
+        f"wide0 AS (SELECT CUSTOMER_SHIPTO, {piv} FROM lng GROUP BY CUSTOMER_SHIPTO),\n"
+        f"wide AS (SELECT *, {unc}, {d(FORECAST_AT)} AS PREDICTION_DATE FROM wide0)"
+    )
+
+
+def linregress_sql(points: list[str]) -> dict[str, str]:
+    n = len(points)
+    xbar = (n - 1) / 2.0
+    sxx = n * (n * n - 1) / 12.0
+    ybar = f"(({' + '.join(points)}) / {float(n)!r})"
+    sxy = " + ".join(f"{p} * {float(i - xbar)!r}" for i, p in enumerate(points))
+    syy = " + ".join(f"({p} - {ybar}) * ({p} - {ybar})" for p in points)
+    slope = f"(({sxy}) / {sxx!r})"
+    intercept = f"({ybar} - {slope} * {xbar!r})"
+    r0 = f"(CASE WHEN ({syy}) = 0 THEN 0.0 ELSE ({sxy}) / sqrt({sxx!r} * ({syy})) END)"
+    r = f"least(greatest({r0}, -1.0), 1.0)"
+    nu = n - 2
+    t = f"({r} * sqrt({float(nu)!r} / ((1.0 - {r}) * (1.0 + {r}))))"
+    theta = f"atan(abs({t}) / {_math.sqrt(nu)!r})"
+    terms, coef = [], 1.0
+    for k in range((nu - 1) // 2):
+        if k > 0:
+            coef *= (2 * k) / (2 * k + 1)
+        terms.append(f"{coef!r} * pow(cos({theta}), {2 * k + 1})")
+    inner = f"({theta} + sin({theta}) * ({' + '.join(terms)}))" if terms else theta
+    p = f"(CASE WHEN abs({r}) >= 1.0 THEN 0.0 ELSE 1.0 - {2.0 / _math.pi!r} * {inner} END)"
+    return {"slope": slope, "intercept": intercept, "p": p}
+
+
+def fit_ctes() -> str:
+    preds = ", ".join(f"period_{h}_sample_mean AS pred{h}" for h in range(1, 7))
+    lr = linregress_sql(["CCH_lag_1", "CCH", "pred1", "pred2", "pred3"])
+    return (
+        f"{forecast_ctes()},\n"
+        f"sf AS (SELECT f.*, {preds} FROM wide w JOIN feat f ON f.CUSTOMER_SHIPTO = w.CUSTOMER_SHIPTO"
+        " WHERE f.POSTING_DATE = (SELECT max(POSTING_DATE) FROM feat)),\n"
+        "fit AS (SELECT CUSTOMER_SHIPTO, POSTING_DATE, CCH, CCH_lag_1, CCH_lag_2,"
+        f" {lr['slope']} AS slope,"
+        f" CASE WHEN greatest(CCH_lag_1, CCH) <> 0 THEN {lr['slope']} / greatest(CCH_lag_1, CCH) ELSE 0.0 END AS percent_decline,"
+        f" greatest(CCH_lag_1, CCH) AS max_cch, {lr['p']} AS p_value,"
+        f" CASE WHEN {lr['slope']} < 0 THEN abs({lr['intercept']} / {lr['slope']}) END AS cross_zero,"
+        " CCH_lag_1 - CCH AS drop, pred1, pred2, pred3, pred4, pred5, pred6 FROM sf),\n"
+        "scaffold AS (SELECT CUSTOMER_SHIPTO, POSTING_DATE, a.CCH, m.value, coalesce(m.value, a.CCH) AS predicted"
+        " FROM (SELECT CUSTOMER_SHIPTO, POSTING_DATE, CCH FROM feat) a FULL OUTER JOIN ("
+        + " UNION ALL ".join(
+            f"SELECT CUSTOMER_SHIPTO, CAST(POSTING_DATE + INTERVAL {h} MONTH AS DATE) AS POSTING_DATE, pred{h} AS value FROM fit"
+            for h in range(1, 7)
+        )
+        + ") m USING (CUSTOMER_SHIPTO, POSTING_DATE))"
+    )
+
+
+def _round_all(cols: list[str], digits: int = 6) -> str:
+    return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+
+
+_STATS = [f"period_{h}_{s}" for h in range(1, 7) for s in ("sample_mean", "lower_bound", "upper_bound")]
+register(
+    "forecast_quantiles",
+    f"{forecast_ctes()}\nSELECT CUSTOMER_SHIPTO, PERIOD, {_round_all(['sample_mean', 'lower_bound', 'upper_bound'])} FROM lng",
+)
+register(
+    "forecast_wide",
+    f"{forecast_ctes()}\nSELECT CUSTOMER_SHIPTO, "
+    + _round_all(_STATS + [f"period_{h}_uncertainty" for h in range(1, 7)])
+    + ", PREDICTION_DATE FROM wide",
+)
+register(
+    "trend_fit",
+    f"{fit_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, "
+    + _round_all(["CCH", "CCH_lag_1", "CCH_lag_2", "slope", "percent_decline", "max_cch", "p_value", "cross_zero", "drop"]
+                 + [f"pred{h}" for h in range(1, 7)])
+    + " FROM fit",
+)
+_lr9 = linregress_sql(["CCH_lag_2", "CCH_lag_1", "CCH"] + [f"pred{h}" for h in range(1, 7)])
+register(
+    "trend_fit9",
+    f"{fit_ctes()},\nf9 AS (SELECT CUSTOMER_SHIPTO, {_lr9['slope']} AS slope9,"
+    f" CASE WHEN greatest(CCH_lag_2, CCH_lag_1, CCH) <> 0 THEN {_lr9['slope']} / greatest(CCH_lag_2, CCH_lag_1, CCH) END AS percent_decline9,"
+    f" greatest(CCH_lag_2, CCH_lag_1, CCH) AS max_cch9, {_lr9['p']} AS p_value9,"
+    f" CASE WHEN {_lr9['slope']} < 0 THEN abs({_lr9['intercept']} / {_lr9['slope']}) END AS cross_zero9,"
+    " CCH_lag_1 - CCH AS drop9 FROM fit)\n"
+    "SELECT CUSTOMER_SHIPTO, " + _round_all(["slope9", "percent_decline9", "max_cch9", "p_value9", "cross_zero9", "drop9"]) + " FROM f9",
+)
+register(
+    "score_scaffold",
+    f"{fit_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, " + _round_all(["CCH", "value", "predicted"]) + " FROM scaffold",
+)
+register(
+    "mean_shift",
+    f"{fit_ctes()},\n"
+    "ser AS (SELECT CUSTOMER_SHIPTO, predicted AS v, row_number() OVER (PARTITION BY CUSTOMER_SHIPTO ORDER BY POSTING_DATE) AS i,"
+    " count(*) OVER (PARTITION BY CUSTOMER_SHIPTO) AS n FROM scaffold WHERE predicted IS NOT NULL),\n"
+    "mb AS (SELECT CUSTOMER_SHIPTO,"
+    " avg(CASE WHEN (n > 24 AND i > n - 24 AND i <= n - 12) OR (n <= 24 AND i <= n // 2) THEN v END) AS mean_before,"
+    " avg(CASE WHEN (n > 24 AND i > n - 12) OR (n <= 24 AND i > n // 2) THEN v END) AS mean_after FROM ser GROUP BY 1),\n"
+    "ms AS (SELECT fit.CUSTOMER_SHIPTO, mb.mean_before, mb.mean_after FROM fit LEFT JOIN mb USING (CUSTOMER_SHIPTO))\n"
+    "SELECT CUSTOMER_SHIPTO, round(coalesce(mean_before, 0), 6) AS mean_before, round(coalesce(mean_after, 0), 6) AS mean_after,"
+    " round(CASE WHEN mean_before IS NULL OR mean_after IS NULL THEN 0.0"
+    " WHEN mean_before = 0 AND mean_after <> mean_before THEN -100.0 WHEN mean_before = 0 THEN 0.0"
+    " ELSE (mean_after - mean_before) / mean_before END, 6) AS magnitute_drop FROM ms",
+)
+register(
+    "backtest_error",
+    f"{features_ctes()},\n"
+    "anchors AS (SELECT CAST(unnest(generate_series(min(POSTING_DATE) + INTERVAL 6 MONTH,"
+    " max(POSTING_DATE) - INTERVAL 4 MONTH, INTERVAL 1 MONTH)) AS DATE) AS anchor FROM feat),\n"
+    "rows AS (SELECT f.CUSTOMER_SHIPTO, a.anchor AS _a, f.POSTING_DATE, f.CCH FROM feat f JOIN anchors a"
+    " ON f.POSTING_DATE <= CAST(a.anchor + INTERVAL 6 MONTH AS DATE)),\n"
+    f"{sample_ctes('rows', 'CUSTOMER_SHIPTO, _a', '_a')}\n"
+    "SELECT anchor, PERIOD, count(*) AS n, round(avg(abs(actual - sample_mean)), 6) AS mae,"
+    " round(sqrt(avg((actual - sample_mean) * (actual - sample_mean))), 6) AS rmse,"
+    " round(avg(CASE WHEN actual >= lower_bound AND actual <= upper_bound THEN 1.0 ELSE 0.0 END), 6) AS coverage"
+    " FROM lng WHERE actual IS NOT NULL GROUP BY anchor, PERIOD",
+)

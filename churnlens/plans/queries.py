@@ -109,3 +109,77 @@ def less12(spark, sf_dir):
 @query
 def kalman_level(spark, sf_dir):
     return finalize(features_frame(spark, sf_dir).select(*K, "KS_filtered", "KSD"), 6)
+
+
+# --------------------------------------------------------------------------
+# Forecast, trend fit, seasonal comparison, risk score
+# --------------------------------------------------------------------------
+from churnlens.operators import forecast as fc  # noqa: E402
+from churnlens.operators import score as sc  # noqa: E402
+from churnlens.plans.risk_run import risk_run  # noqa: E402
+
+FIT_COLS = sc.FIT_COLS
+
+
+def run_frame(spark, sf_dir):
+    mats, prods = _codes()
+    return risk_run(fx.ledger(spark, sf_dir), AS_OF, 24, True, mats, prods)
+
+
+@query
+def forecast_quantiles(spark, sf_dir):
+    return finalize(run_frame(spark, sf_dir).forecast_long, 6)
+
+
+@query
+def forecast_wide(spark, sf_dir):
+    return finalize(run_frame(spark, sf_dir).forecast_wide, 6)
+
+
+@query
+def backtest_error(spark, sf_dir):
+    feats = features_frame(spark, sf_dir)
+    bt = fc.backtest(feats, fc.month_anchors(feats))
+    return finalize(fc.backtest_error(bt), 6)
+
+
+@query
+def trend_fit(spark, sf_dir):
+    return finalize(run_frame(spark, sf_dir).fit.select(*FIT_COLS), 6)
+
+
+@query
+def trend_fit9(spark, sf_dir):
+    fit = sc.trend_fit9(run_frame(spark, sf_dir).fit)
+    return finalize(fit.select(pnl.CUST, "slope9", "percent_decline9", "max_cch9", "p_value9", "cross_zero9", "drop9"), 6)
+
+
+@query
+def score_scaffold(spark, sf_dir):
+    return finalize(run_frame(spark, sf_dir).scaffold, 6)
+
+
+@query
+def seasonal_compare(spark, sf_dir):
+    return finalize(run_frame(spark, sf_dir).seasonal, 6)
+
+
+@query
+def mean_shift(spark, sf_dir):
+    r = run_frame(spark, sf_dir)
+    return finalize(r.inputs.select(pnl.CUST, "mean_before", "mean_after", "magnitute_drop"), 6)
+
+
+@query
+def risk_score(spark, sf_dir):
+    return finalize(run_frame(spark, sf_dir).scores)
+
+
+@query
+def risk_list(spark, sf_dir):
+    return finalize(sc.risk_list(run_frame(spark, sf_dir).scores))
+
+
+@query
+def opportunity_list(spark, sf_dir):
+    return finalize(sc.opportunity_list(run_frame(spark, sf_dir).scores))

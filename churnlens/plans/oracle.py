@@ -432,3 +432,145 @@ register(
     " round(avg(CASE WHEN actual >= lower_bound AND actual <= upper_bound THEN 1.0 ELSE 0.0 END), 6) AS coverage"
     " FROM lng WHERE actual IS NOT NULL GROUP BY anchor, PERIOD",
 )
+
+
+# --------------------------------------------------------------------------
+# Next-best-action snapshots
+# --------------------------------------------------------------------------
+_NBA_ANCHORS = [dt.date(2001, 8, 1), dt.date(2001, 7, 1), dt.date(2001, 6, 1), dt.date(2001, 5, 1)]
+_C = fx.FIXTURE_DELIVERY_CODES
+
+
+def T_(i: int, a: str = "a.SNAPSHOT") -> str:
+    return f"CAST({a} - INTERVAL {i} MONTH AS DATE)"
+
+
+def _in(col: str, vals) -> str:
+    return f"{col} IN (" + ", ".join(f"'{v}'" for v in vals) + ")"
+
+
+def nba_ctes() -> str:
+    anchors = ", ".join(f"({d(x)})" for x in _NBA_ANCHORS)
+    offs = list(range(7, 13))
+    cust = ", ".join(
+        [f"sum(CASE WHEN VVQ01_ME = 'CDA' THEN coalesce(VVQ13, 0) ELSE 0 END) AS CCH"]
+        + [f"sum(CASE WHEN VVQ01_ME = 'CDA' AND date_trunc('month', BUDAT) = {T_(k)} THEN coalesce(VVQ13, 0) ELSE 0 END) AS T_{i}_CCH"
+           for i, k in enumerate(offs, 1)]
+        + [f"sum(CASE WHEN VVQ01_ME <> 'CMO' AND VVQ01_ME <> 'CDA' THEN {SALES_SQL} END) AS PRODUCT_SALES"]
+        + [f"sum(CASE WHEN VVQ01_ME <> 'CMO' AND VVQ01_ME <> 'CDA' AND date_trunc('month', BUDAT) = {T_(k)} THEN {SALES_SQL} END) AS T_{i}_PRODUCT_SALES"
+           for i, k in enumerate(offs, 1)]
+    )
+    prof = ", ".join(
+        ["CAST(trunc(avg(gap)) AS BIGINT) AS AVG_TIME_DELIVERY"]
+        + [f"CAST(trunc(avg(DISTINCT CASE WHEN date_trunc('month', LDDAT) = {T_(k, 'SNAPSHOT')} THEN gap END)) AS BIGINT) AS T_{i}_TIME_DELIVERY"
+           for i, k in enumerate(offs, 1)]
+        + ["count(DISTINCT ROUTE) AS CNTD_ROUTE"]
+        + [f"count(DISTINCT CASE WHEN {_in(col, _C[key])} THEN VBELN END) AS {name}" for col, key, name in [
+            ("TRAGR", "dangerous", "CNTD_DANGEROUS"), ("TRAGR", "general", "CNTD_GENERAL"), ("TRAGR", "air", "CNTD_AIR"),
+            ("TRAGR", "sea", "CNTD_SEA"), ("TRAGR", "waterway", "CNTD_WATERWAY"), ("LFART", "debit", "CNTD_DEBIT_ITEMS"),
+            ("LFART", "consignment", "CNTD_CONSIGNMENT"), ("LFART", "standard", "CNTD_STANDARD"),
+            ("LFART", "thirdparty", "CNTD_THIRDPARTY")]]
+        + [f"count(DISTINCT CASE WHEN KDGRP = '{_C['kdgrp_d0']}' THEN VBELN END) AS CNTD_D0_KDGRP",
+           "count(DISTINCT CASE WHEN KDGRP IS NULL THEN VBELN END) AS CNTD_NULL_KDGRP",
+           f"count(DISTINCT CASE WHEN KDGRP = '{_C['kdgrp_gf']}' THEN VBELN END) AS CNTD_GF_KDGRP"]
+    )
+    return (
+        f"tx AS ({fx.LEDGER_SQL}),\ndl AS ({fx.DELIVERY_SQL}),\nit AS ({fx.ITEM_SQL}),\n"
+        f"anchors AS (SELECT * FROM (VALUES {anchors}) t(SNAPSHOT)),\n"
+        "mapping AS (SELECT a.SNAPSHOT, t.KNDNR, t.KNDNR AS KUNWE, d.VBELN, d.KUNNR FROM tx t"
+        f" JOIN anchors a ON t.BUDAT >= {T_(6)} AND t.BUDAT < {T_(0)}"
+        f" JOIN dl d ON d.KUNNR = t.KNDNR AND d.LDDAT >= {T_(6)} AND d.LDDAT < {T_(0)}"
+        " WHERE t.LAND1 = 'AU' GROUP BY ALL),\n"
+        f"cust AS (SELECT a.SNAPSHOT, t.KNDNR, {cust} FROM tx t JOIN anchors a ON t.BUDAT >= {T_(18)} AND t.BUDAT < {T_(12)}"
+        " WHERE t.LAND1 = 'AU' AND EXISTS (SELECT 1 FROM mapping m WHERE m.SNAPSHOT = a.SNAPSHOT AND m.KNDNR = t.KNDNR)"
+        " GROUP BY a.SNAPSHOT, t.KNDNR),\n"
+        "dlw AS (SELECT a.SNAPSHOT, d.*, coalesce(CAST(d.LDDAT - lag(d.LDDAT) OVER (PARTITION BY a.SNAPSHOT, d.KUNNR"
+        f" ORDER BY d.LDDAT, d.VBELN) AS BIGINT), 0) AS gap FROM dl d JOIN anchors a ON d.LDDAT >= {T_(18)} AND d.LDDAT < {T_(6)}),\n"
+        f"prof AS (SELECT SNAPSHOT, KUNNR, {prof} FROM dlw GROUP BY SNAPSHOT, KUNNR),\n"
+        "itm AS (SELECT a.SNAPSHOT, CAST(date_trunc('month', i.ERDAT) AS DATE) AS mth, i.* FROM it i JOIN anchors a"
+        f" ON i.ERDAT >= {T_(18)} AND i.ERDAT < {T_(6)}),\n"
+        "im AS (SELECT SNAPSHOT, VBELN, mth, sum(LGMNG) AS mth_stock_diff, max(LGMNG) AS mth_max_stock_diff,"
+        " min(LGMNG) AS mth_min_stock_diff,"
+        " count(DISTINCT CASE WHEN MVGR1 IS NULL THEN VGBEL END) AS CNTD_NULL_DIFOT,"
+        " count(DISTINCT CASE WHEN MVGR1 IS NOT NULL THEN VGBEL END) AS CNTD_DIFOT,"
+        " count(DISTINCT CASE WHEN MVGR1 = 'Z08' THEN VGBEL END) AS CNTD_Z08DIFOT,"
+        " count(DISTINCT CASE WHEN MVGR1 = 'Z01' THEN VGBEL END) AS CNTD_Z01DIFOT,"
+        " count(DISTINCT CASE WHEN MVGR1 = 'P07' THEN VGBEL END) AS CNTD_P07DIFOT,"
+        " count(DISTINCT ERDAT) AS CNTD_MTH_DATES, count(DISTINCT VGBEL) AS CNTD_MTH_ENTRIES,"
+        " sum(CASE WHEN GEWEI = 'KG' THEN BRGEW END) AS SUM_MTH_VOL_KG,"
+        " sum(CASE WHEN MEINS = 'CYL' THEN LFIMG END) AS SUM_MTH_LFIMG_CYL,"
+        " sum(CASE WHEN VOLEH = 'M3' THEN VOLUM END) AS SUM_MTH_VOLUM_M3,"
+        " count(DISTINCT MATNR) AS CNTD_MATNR, count(DISTINCT MATKL) AS CNTD_MATKL, count(DISTINCT VBELN) AS CNTD_SHIPTO"
+        " FROM itm GROUP BY SNAPSHOT, VBELN, mth),\n"
+        "items AS (SELECT SNAPSHOT, VBELN, avg(mth_stock_diff) AS AVG_STOCK_DIFF, max(mth_max_stock_diff) AS MAX_STOCK_DIFF,"
+        " min(mth_min_stock_diff) AS MIN_STOCK_DIFF, sum(CNTD_NULL_DIFOT) AS SUM_NULL_DIFOT, sum(CNTD_DIFOT) AS SUM_DIFOT,"
+        " sum(CNTD_Z08DIFOT) AS SUM_Z08DIFOT, CAST(trunc(avg(CNTD_NULL_DIFOT)) AS BIGINT) AS AVG_NULL_DIFOT,"
+        " CAST(trunc(avg(CNTD_DIFOT)) AS BIGINT) AS AVG_DIFOT, CAST(trunc(avg(CNTD_Z08DIFOT)) AS BIGINT) AS AVG_Z08DIFOT,"
+        " CAST(trunc(avg(CNTD_Z01DIFOT)) AS BIGINT) AS AVG_Z01DIFOT, CAST(trunc(avg(CNTD_P07DIFOT)) AS BIGINT) AS AVG_P07DIFOT,"
+        " CAST(trunc(avg(CNTD_MTH_DATES)) AS BIGINT) AS AVG_MTH_DATES, CAST(trunc(avg(CNTD_MTH_ENTRIES)) AS BIGINT) AS AVG_MTH_ENTRIES,"
+        " sum(coalesce(SUM_MTH_VOL_KG, 0)) AS SUM_MTH_VOL_KG, sum(coalesce(SUM_MTH_LFIMG_CYL, 0)) AS SUM_MTH_LFIMG_CYL,"
+        " sum(coalesce(SUM_MTH_VOLUM_M3, 0)) AS SUM_MTH_VOLUM_M3, sum(coalesce(CNTD_MATNR, 0)) AS CNTD_MATNR,"
+        " sum(coalesce(CNTD_MATKL, 0)) AS CNTD_MATKL, CAST(trunc(avg(coalesce(CNTD_MATNR, 0))) AS BIGINT) AS AVG_MATNR,"
+        " CAST(trunc(avg(coalesce(CNTD_MATKL, 0))) AS BIGINT) AS AVG_MATKL, sum(coalesce(CNTD_SHIPTO, 0)) AS CNTD_SHIPTO, "
+        + ", ".join(f"sum(CASE WHEN mth = {T_(k, 'SNAPSHOT')} THEN CNTD_MTH_ENTRIES ELSE 0 END) AS T_{i}_ENTRIES" for i, k in enumerate(offs, 1))
+        + " FROM im GROUP BY SNAPSHOT, VBELN),\n"
+        "newi AS (SELECT a.SNAPSHOT, p.VBELN, count(DISTINCT p.MATNR) AS NEW_MATNR, count(DISTINCT p.MATKL) AS NEW_MATKL,"
+        f" count(DISTINCT p.VGBEL) AS NEW_ENTRIES FROM it p JOIN anchors a ON p.ERDAT >= {T_(6)} AND p.ERDAT < {T_(0)}"
+        f" WHERE NOT EXISTS (SELECT 1 FROM it o WHERE o.ERDAT >= {T_(18)} AND o.ERDAT < {T_(6)}"
+        " AND o.VBELN = p.VBELN AND o.MATNR = p.MATNR AND o.MATKL = p.MATKL AND o.VGBEL = p.VGBEL)"
+        " GROUP BY a.SNAPSHOT, p.VBELN)"
+    )
+
+
+def _cast_cols(cols: list[str], bigints: set[str]) -> str:
+    return ", ".join(
+        f"CAST({c} AS BIGINT) AS {c}" if c in bigints else f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in cols
+    )
+
+
+_OFF = range(1, 7)
+_CUST_COLS = ["CCH"] + [f"T_{i}_CCH" for i in _OFF] + ["PRODUCT_SALES"] + [f"T_{i}_PRODUCT_SALES" for i in _OFF]
+register("nba_mapping", f"WITH {nba_ctes()}\nSELECT SNAPSHOT, KNDNR, KUNWE, VBELN, KUNNR FROM mapping")
+register("nba_customer", f"WITH {nba_ctes()}\nSELECT SNAPSHOT, KNDNR, {_cast_cols(_CUST_COLS, set())} FROM cust")
+_PROF_COLS = (["AVG_TIME_DELIVERY"] + [f"T_{i}_TIME_DELIVERY" for i in _OFF] + ["CNTD_ROUTE", "CNTD_DANGEROUS", "CNTD_GENERAL",
+              "CNTD_AIR", "CNTD_SEA", "CNTD_WATERWAY", "CNTD_DEBIT_ITEMS", "CNTD_CONSIGNMENT", "CNTD_STANDARD",
+              "CNTD_THIRDPARTY", "CNTD_D0_KDGRP", "CNTD_NULL_KDGRP", "CNTD_GF_KDGRP"])
+register("nba_delivery_profile", f"WITH {nba_ctes()}\nSELECT SNAPSHOT, KUNNR, {_cast_cols(_PROF_COLS, set(_PROF_COLS))} FROM prof")
+_ITEM_DOUBLE = ["AVG_STOCK_DIFF", "MAX_STOCK_DIFF", "MIN_STOCK_DIFF", "SUM_MTH_VOL_KG", "SUM_MTH_LFIMG_CYL", "SUM_MTH_VOLUM_M3"]
+_ITEM_INT = (["SUM_NULL_DIFOT", "SUM_DIFOT", "SUM_Z08DIFOT", "AVG_NULL_DIFOT", "AVG_DIFOT", "AVG_Z08DIFOT", "AVG_Z01DIFOT",
+              "AVG_P07DIFOT", "AVG_MTH_DATES", "AVG_MTH_ENTRIES", "CNTD_MATNR", "CNTD_MATKL", "AVG_MATNR", "AVG_MATKL",
+              "CNTD_SHIPTO"] + [f"T_{i}_ENTRIES" for i in _OFF])
+register("nba_items", f"WITH {nba_ctes()}\nSELECT SNAPSHOT, VBELN, {_cast_cols(_ITEM_DOUBLE + _ITEM_INT, set(_ITEM_INT))} FROM items")
+register("nba_new_items", f"WITH {nba_ctes()}\nSELECT SNAPSHOT, VBELN, NEW_MATNR, NEW_MATKL, NEW_ENTRIES FROM newi")
+
+_SNAP_SUM = (["CCH"] + [f"T_{i}_CCH" for i in _OFF] + ["PRODUCT_SALES"] + [f"T_{i}_PRODUCT_SALES" for i in _OFF])
+_SNAP_AVG = ["CCH"] + [f"T_{i}_CCH" for i in _OFF] + [f"T_{i}_PRODUCT_SALES" for i in _OFF]
+_SNAP_CNT = ["NEW_MATNR", "NEW_MATKL", "NEW_ENTRIES", "CNTD_DANGEROUS", "CNTD_GENERAL", "CNTD_AIR", "CNTD_SEA",
+             "CNTD_WATERWAY", "CNTD_DEBIT_ITEMS", "CNTD_CONSIGNMENT", "CNTD_STANDARD", "CNTD_THIRDPARTY",
+             "CNTD_D0_KDGRP", "CNTD_NULL_KDGRP", "CNTD_GF_KDGRP"]
+
+
+def nba_snapshot_sql() -> str:
+    cols = [f"round(CAST(sum(c.{x}) AS DOUBLE), 6) AS {x}" for x in _SNAP_SUM]
+    cols += [f"round(CAST(avg(c.{x}) AS DOUBLE), 6) AS AVG_{x}" for x in _SNAP_AVG]
+    cols += [f"CAST(sum({x}) AS BIGINT) AS {x}" for x in _SNAP_CNT]
+    cols += [
+        "CAST(trunc(avg(p.AVG_TIME_DELIVERY)) AS BIGINT) AS TIME_DELIVERY",
+        "CAST(sum(coalesce(i.CNTD_MATNR, 0)) AS BIGINT) AS CNTD_MATNR",
+        "CAST(sum(coalesce(i.CNTD_MATKL, 0)) AS BIGINT) AS CNTD_MATKL",
+        "CAST(trunc(avg(coalesce(i.CNTD_MATNR, 0))) AS BIGINT) AS AVG_MATNR",
+        "CAST(trunc(avg(coalesce(i.CNTD_MATKL, 0))) AS BIGINT) AS AVG_MATKL",
+        "CAST(sum(coalesce(i.CNTD_SHIPTO, 0)) AS BIGINT) AS CNTD_SHIPTO",
+    ]
+    cols += [f"CAST(sum(coalesce(i.T_{k}_ENTRIES, 0)) AS BIGINT) AS T_{k}_ENTRIES" for k in _OFF]
+    return (
+        f"WITH {nba_ctes()}\nSELECT m.SNAPSHOT, m.KNDNR AS CUSTOMER_NUMBER, " + ", ".join(cols)
+        + " FROM mapping m LEFT JOIN newi n ON n.SNAPSHOT = m.SNAPSHOT AND n.VBELN = m.VBELN"
+        " JOIN prof p ON p.SNAPSHOT = m.SNAPSHOT AND p.KUNNR = m.KUNNR"
+        " JOIN cust c ON c.SNAPSHOT = m.SNAPSHOT AND c.KNDNR = m.KNDNR"
+        " JOIN items i ON i.SNAPSHOT = m.SNAPSHOT AND i.VBELN = m.VBELN"
+        " GROUP BY m.SNAPSHOT, m.KNDNR"
+    )
+
+
+register("nba_snapshot", nba_snapshot_sql())

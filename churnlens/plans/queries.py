@@ -183,3 +183,63 @@ def risk_list(spark, sf_dir):
 @query
 def opportunity_list(spark, sf_dir):
     return finalize(sc.opportunity_list(run_frame(spark, sf_dir).scores))
+
+
+# --------------------------------------------------------------------------
+# Next-best-action snapshots
+# --------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from churnlens.operators import nba  # noqa: E402
+
+NBA_ANCHORS = [_dt.date(2001, 8, 1), _dt.date(2001, 7, 1), _dt.date(2001, 6, 1), _dt.date(2001, 5, 1)]
+NBA_CODES = nba.DeliveryCodes(**fx.FIXTURE_DELIVERY_CODES)
+
+
+def nba_inputs(spark, sf_dir):
+    return (
+        fx.ledger(spark, sf_dir),
+        fx.deliveries(spark, sf_dir),
+        fx.delivery_items(spark, sf_dir),
+        nba.anchors_frame(spark, NBA_ANCHORS),
+    )
+
+
+@query
+def nba_mapping(spark, sf_dir):
+    tx, dl, _, a = nba_inputs(spark, sf_dir)
+    return finalize(nba.mapping(tx, dl, a, shipto_col="KNDNR"))
+
+
+@query
+def nba_customer(spark, sf_dir):
+    tx, dl, _, a = nba_inputs(spark, sf_dir)
+    return finalize(nba.customer_table(tx, nba.mapping(tx, dl, a, shipto_col="KNDNR"), a), 6)
+
+
+@query
+def nba_delivery_profile(spark, sf_dir):
+    _, dl, _, a = nba_inputs(spark, sf_dir)
+    return finalize(nba.delivery_profile(dl, a, codes=NBA_CODES), 6)
+
+
+@query
+def nba_items(spark, sf_dir):
+    _, _, it, a = nba_inputs(spark, sf_dir)
+    return finalize(nba.items_profile(it, a), 6)
+
+
+@query
+def nba_new_items(spark, sf_dir):
+    _, _, it, a = nba_inputs(spark, sf_dir)
+    return finalize(nba.new_items(it, a), 6)
+
+
+def snapshot_frame(spark, sf_dir):
+    tx, dl, it, a = nba_inputs(spark, sf_dir)
+    return nba.nba_snapshot(tx, dl, it, a, codes=NBA_CODES, shipto_col="KNDNR")
+
+
+@query
+def nba_snapshot(spark, sf_dir):
+    return finalize(snapshot_frame(spark, sf_dir), 6)

@@ -574,3 +574,60 @@ def nba_snapshot_sql() -> str:
 
 
 register("nba_snapshot", nba_snapshot_sql())
+
+
+# --------------------------------------------------------------------------
+# CRM feed
+# --------------------------------------------------------------------------
+def crm_ctes() -> str:
+    views = ",\n".join(f"{k} AS ({v})" for k, v in fx.CRM_SQL_VIEWS.items())
+    return (
+        f"{views},\n"
+        "fb AS (SELECT NEW_COMPLAINT, string_agg('-' || coalesce(NEW_BRIEFDESCRIPTION, ''), chr(10)"
+        " ORDER BY NEW_BRIEFDESCRIPTION NULLS LAST) AS Feedback FROM feedback GROUP BY NEW_COMPLAINT),\n"
+        "cs AS (SELECT NEW_COMPLAINT, string_agg('-' || coalesce(NEW_BRIEFDESCRIPTION, ''), chr(10)"
+        " ORDER BY NEW_BRIEFDESCRIPTION NULLS LAST) AS CorrectiveActionPlan FROM solution GROUP BY NEW_COMPLAINT),\n"
+        "latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY PARENTACCOUNTID"
+        " ORDER BY NEW_EFFTECTTIME DESC NULLS FIRST, ACCOUNTID) AS rn FROM account"
+        " WHERE ACCOUNTID IS NOT NULL AND NEW_JDECODE IS NOT NULL) WHERE rn = 1)"
+    )
+
+
+_VOC = ("voc.NEW_CONTRACTOR AS CustomerContactPerson, voc.NEW_CONTRACTPHONE AS CustomerContactPhone,"
+        " CAST(voc.NEW_FEEDBACKSCORE AS VARCHAR) AS Feedback, CAST(voc.NEW_HANDLERECORD AS VARCHAR) AS CorrectiveActionPlan,"
+        " CAST(NULL AS VARCHAR) AS Judge, 'VOC' AS Type")
+_VOC_WHERE = "voc.NEW_VISITRESULT = 20 AND voc.NEW_CUSTOMER IS NOT NULL"
+register(
+    "crm_feed",
+    f"WITH {crm_ctes()}\n"
+    "SELECT c.NEW_COMPLAINTID AS Id, CAST(c.CREATEDON AS TIMESTAMP) AS CreatedOn, c.NEW_PAYER AS PayerAccountId,"
+    " co.NEW_CODE AS SalesOrg, a.NEW_JDECODE AS PayerId, a.NAME AS Payer, su.SYSTEMUSERID AS SalesUserSystemId,"
+    " c.NEW_CONTACT AS CustomerContactPerson, c.NEW_CONTACT_PHONE AS CustomerContactPhone, fb.Feedback,"
+    " cs.CorrectiveActionPlan, j.VALUE AS Judge, '投诉' AS Type"
+    " FROM complaint c JOIN account a ON c.NEW_PAYER = a.ACCOUNTID JOIN systemuser su ON su.SYSTEMUSERID = a.OWNERID"
+    " JOIN company co ON a.NEW_COMPANYID = co.NEW_COMPANYID"
+    " JOIN (SELECT * FROM datadict WHERE upper(TABLENAME) = 'NEW_COMPLAINT' AND FIELDNAME = 'new_judge') j ON j.CODE = c.NEW_JUDGE"
+    " JOIN fb ON c.NEW_COMPLAINTID = fb.NEW_COMPLAINT JOIN cs ON c.NEW_COMPLAINTID = cs.NEW_COMPLAINT\n"
+    "UNION ALL\n"
+    "SELECT voc.NEW_CUSTOMERVISITID, CAST(voc.CREATEDON AS TIMESTAMP), voc.NEW_CUSTOMER, co.NEW_CODE, a.NEW_JDECODE, a.NAME,"
+    f" su.SYSTEMUSERID, {_VOC} FROM visit voc JOIN account a ON voc.NEW_CUSTOMER = a.ACCOUNTID"
+    " JOIN company co ON a.NEW_COMPANYID = co.NEW_COMPANYID JOIN systemuser su ON su.SYSTEMUSERID = a.OWNERID"
+    f" WHERE {_VOC_WHERE} AND a.NEW_LEVELTYPE = 20\n"
+    "UNION ALL\n"
+    "SELECT voc.NEW_CUSTOMERVISITID, CAST(voc.CREATEDON AS TIMESTAMP), pa.ACCOUNTID, co.NEW_CODE, pa.NEW_JDECODE, pa.NAME,"
+    f" su.SYSTEMUSERID, {_VOC} FROM visit voc JOIN account sh ON voc.NEW_CUSTOMER = sh.ACCOUNTID"
+    " JOIN account pa ON sh.PARENTACCOUNTID = pa.ACCOUNTID"
+    " JOIN company co ON pa.NEW_COMPANYID = co.NEW_COMPANYID JOIN systemuser su ON su.SYSTEMUSERID = pa.OWNERID"
+    f" WHERE {_VOC_WHERE} AND sh.NEW_LEVELTYPE = 30\n"
+    "UNION ALL\n"
+    "SELECT voc.NEW_CUSTOMERVISITID, CAST(voc.CREATEDON AS TIMESTAMP), pa.ACCOUNTID, co.NEW_CODE, pa.NEW_JDECODE, pa.NAME,"
+    f" su.SYSTEMUSERID, {_VOC} FROM visit voc JOIN account cu ON voc.NEW_CUSTOMER = cu.ACCOUNTID"
+    " JOIN latest pa ON pa.PARENTACCOUNTID = cu.ACCOUNTID"
+    " JOIN company co ON pa.NEW_COMPANYID = co.NEW_COMPANYID JOIN systemuser su ON su.SYSTEMUSERID = pa.OWNERID"
+    f" WHERE {_VOC_WHERE} AND cu.NEW_LEVELTYPE = 10",
+)
+register("crm_feedback_text", f"WITH {crm_ctes()}\nSELECT NEW_COMPLAINT, Feedback FROM fb")
+register(
+    "latest_child",
+    f"WITH {crm_ctes()}\nSELECT PARENTACCOUNTID, ACCOUNTID, NEW_JDECODE, NEW_EFFTECTTIME FROM latest",
+)

@@ -243,3 +243,26 @@ def snapshot_frame(spark, sf_dir):
 @query
 def nba_snapshot(spark, sf_dir):
     return finalize(snapshot_frame(spark, sf_dir), 6)
+
+
+# --------------------------------------------------------------------------
+# CRM feed
+# --------------------------------------------------------------------------
+from churnlens.operators import crm  # noqa: E402
+
+
+@query
+def crm_feed(spark, sf_dir):
+    return finalize(crm.crm_feed(fx.crm_tables(spark, sf_dir)))
+
+
+@query
+def crm_feedback_text(spark, sf_dir):
+    t = fx.crm_tables(spark, sf_dir)
+    return crm.listagg_sorted(t["feedback"], "NEW_COMPLAINT", "NEW_BRIEFDESCRIPTION", "Feedback")
+
+
+@query
+def latest_child(spark, sf_dir):
+    t = fx.crm_tables(spark, sf_dir)
+    return finalize(crm.latest_child(t["account"]).select("PARENTACCOUNTID", "ACCOUNTID", "NEW_JDECODE", "NEW_EFFTECTTIME"))

@@ -631,3 +631,127 @@ register(
     "latest_child",
     f"WITH {crm_ctes()}\nSELECT PARENTACCOUNTID, ACCOUNTID, NEW_JDECODE, NEW_EFFTECTTIME FROM latest",
 )
+
+
+# --------------------------------------------------------------------------
+# Dashboards, labels, present value, profiles
+# --------------------------------------------------------------------------
+def status_ctes() -> str:
+    return (
+        f"{fit_ctes()},\n"
+        f"yes AS ({fx.ACTION_YES_SQL}),\nno AS ({fx.ACTION_NO_SQL}),\n"
+        "act AS (SELECT DISTINCT c.CUSTOMER_SHIPTO, CASE WHEN c.CUSTOMER_SHIPTO IN (SELECT SAPCustomerNumber__c FROM no) THEN 0"
+        " WHEN c.CUSTOMER_SHIPTO IN (SELECT SAPCustomerNumber__c FROM yes) THEN 1 END AS action"
+        " FROM (SELECT DISTINCT CUSTOMER_SHIPTO FROM feat) c),\n"
+        f"sc AS (SELECT fit.CUSTOMER_SHIPTO, {fx.STATUS_SCORE_EXPR} AS s, act.action FROM fit LEFT JOIN act USING (CUSTOMER_SHIPTO)),\n"
+        "st AS (SELECT CUSTOMER_SHIPTO, CASE WHEN s > 65 AND action = 1 THEN 'risk_check' WHEN s > 65 THEN 'risk_uncheck'"
+        " WHEN s < 45 THEN 'growth' END AS RISK_STATUS FROM sc),\n"
+        "tbl AS (SELECT feat.*, st.RISK_STATUS FROM feat LEFT JOIN st USING (CUSTOMER_SHIPTO)),\n"
+        f"last12 AS (SELECT * FROM tbl WHERE POSTING_DATE IS NOT NULL AND POSTING_DATE >= CAST({d(AS_OF)} - INTERVAL 11 MONTH AS DATE))"
+    )
+
+
+register(
+    "status_countd",
+    f"{status_ctes()}\nSELECT RISK_STATUS, count(DISTINCT CUSTOMER_SHIPTO) AS customers FROM tbl"
+    " WHERE RISK_STATUS IS DISTINCT FROM 'growth' GROUP BY RISK_STATUS",
+)
+register(
+    "status_avg",
+    f"{status_ctes()}\nSELECT CAST(date_trunc('month', POSTING_DATE) AS DATE) AS POSTING_DATE, RISK_STATUS,"
+    " round(avg(RENTAL_SALES), 6) AS avg_rental_sales, round(avg(PRODUCT_SALES), 6) AS avg_product_sales,"
+    " round(avg(CCH), 6) AS avg_cch, round(avg(DELIVERY), 6) AS avg_delivery, round(avg(Holidays), 6) AS avg_holidays"
+    " FROM last12 GROUP BY 1, 2",
+)
+register(
+    "status_median_pct",
+    f"{status_ctes()},\nmed AS (SELECT POSTING_DATE, RISK_STATUS, median(CCH) AS median_cch FROM last12"
+    " WHERE RISK_STATUS IS DISTINCT FROM 'growth' GROUP BY 1, 2)\n"
+    "SELECT POSTING_DATE, RISK_STATUS, round(median_cch, 6) AS median_cch,"
+    " round(CASE WHEN first_value(median_cch) OVER w = 0 THEN NULL ELSE (median_cch - first_value(median_cch) OVER w)"
+    " / abs(first_value(median_cch) OVER w) END, 6) AS pct_diff FROM med"
+    " WINDOW w AS (PARTITION BY RISK_STATUS ORDER BY POSTING_DATE ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)",
+)
+register(
+    "status_growth",
+    f"{status_ctes()},\ng AS (SELECT CAST(date_trunc('month', POSTING_DATE) AS DATE) AS POSTING_DATE, RISK_STATUS,"
+    " avg(CCH) AS avg_cch FROM tbl WHERE RISK_STATUS IS DISTINCT FROM 'growth' GROUP BY 1, 2),\n"
+    "g2 AS (SELECT *, CASE WHEN first_value(avg_cch) OVER wf = 0 THEN NULL ELSE avg_cch / first_value(avg_cch) OVER wf END AS ratio,"
+    " row_number() OVER w AS k FROM g WINDOW w AS (PARTITION BY RISK_STATUS ORDER BY POSTING_DATE),"
+    " wf AS (PARTITION BY RISK_STATUS ORDER BY POSTING_DATE ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))\n"
+    "SELECT POSTING_DATE, RISK_STATUS, round(avg_cch, 6) AS avg_cch,"
+    " round(CASE WHEN k > 1 AND ratio > 0 THEN pow(ratio, 1.0 / (k - 1)) - 1 END, 6) AS compound_growth FROM g2",
+)
+register(
+    "rental_type",
+    f"WITH {panel_ctes()}\nSELECT CASE WHEN DAILY_RENT > 0 THEN 'Daily' WHEN MONTHLY_RENT > 0 THEN 'Monthly' ELSE 'Others' END"
+    " AS rental_type, count(*) AS rows FROM panel GROUP BY 1",
+)
+register(
+    "miss_period_bucket",
+    ORACLE["gauss_period"].replace(
+        "SELECT CUSTOMER_SHIPTO, POSTING_DATE, round(period, 6) AS period, round(period_diff, 6) AS period_diff,",
+        "SELECT",
+    ).replace("AS miss_period FROM pd", "AS miss_period, count(*) AS rows FROM pd GROUP BY 1"),
+)
+register(
+    "action_labels",
+    f"WITH {panel_ctes()},\nyes AS ({fx.ACTION_YES_SQL}),\nno AS ({fx.ACTION_NO_SQL}),\n"
+    "lab AS (SELECT CUSTOMER_SHIPTO, POSTING_DATE, CCH, CASE WHEN CUSTOMER_SHIPTO IN (SELECT SAPCustomerNumber__c FROM no) THEN 0"
+    " WHEN CUSTOMER_SHIPTO IN (SELECT SAPCustomerNumber__c FROM yes) THEN 1 END AS action FROM panel)\n"
+    "SELECT CUSTOMER_SHIPTO, POSTING_DATE, round(CCH, 6) AS CCH, CAST(action AS BIGINT) AS action FROM lab WHERE action IS NOT NULL",
+)
+register(
+    "customer_pv",
+    f"WITH {panel_ctes()},\n"
+    "r AS (SELECT CUSTOMER_SHIPTO,"
+    f" sum(CASE WHEN POSTING_DATE >= CAST({d(AS_OF)} - INTERVAL 12 MONTH AS DATE) AND POSTING_DATE < {d(AS_OF)}"
+    " THEN PRODUCT_SALES + RENTAL_SALES ELSE 0.0 END) AS revenue_0,"
+    f" sum(CASE WHEN POSTING_DATE >= CAST({d(AS_OF)} - INTERVAL 24 MONTH AS DATE)"
+    f" AND POSTING_DATE < CAST({d(AS_OF)} - INTERVAL 12 MONTH AS DATE)"
+    " THEN PRODUCT_SALES + RENTAL_SALES ELSE 0.0 END) AS revenue_prev FROM panel GROUP BY 1),\n"
+    "g AS (SELECT *, coalesce(CASE WHEN revenue_prev = 0 THEN NULL ELSE (revenue_0 - revenue_prev) / revenue_prev END, 0.0)"
+    " AS growth_rate FROM r),\n"
+    "q AS (SELECT *, greatest(least(growth_rate, 1.5), -0.7) AS gc FROM g),\n"
+    "q2 AS (SELECT *, CASE WHEN gc >= 0 THEN 1.0 + gc ELSE (1.0 + gc) * 0.9 END AS qq FROM q)\n"
+    "SELECT CUSTOMER_SHIPTO, round(revenue_0, 2) AS revenue_0, round(revenue_prev, 2) AS revenue_prev,"
+    " round(growth_rate, 2) AS growth_rate,"
+    " round(list_reduce(list_transform(range(1, 13), lambda t: revenue_0 * pow(qq, t) / pow(1.1, t)),"
+    " lambda a, b: a + b, 0.0), 2) AS pv FROM q2",
+)
+register(
+    "histogram",
+    f"{fit_ctes()},\nb AS (SELECT min(percent_decline) AS lo0, max(percent_decline) AS hi0 FROM fit),\n"
+    "b2 AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM b),\n"
+    "h AS (SELECT CAST(least(floor((percent_decline - lo) / ((hi - lo) / 10)), 9) AS BIGINT) AS bin, count(*) AS count"
+    " FROM fit, b2 WHERE percent_decline IS NOT NULL GROUP BY 1)\n"
+    "SELECT bin, round(lo + bin * ((hi - lo) / 10), 6) AS bin_lo, round(lo + (bin + 1) * ((hi - lo) / 10), 6) AS bin_hi, count FROM h, b2",
+)
+
+
+def _snap_cte() -> str:
+    return nba_snapshot_sql().replace(f"WITH {nba_ctes()}\n", f"WITH {nba_ctes()},\nsnap AS (", 1) + ")"
+
+
+_VIOLIN = ["NEW_MATNR", "CCH", "PRODUCT_SALES", "CNTD_DANGEROUS", "T_1_ENTRIES"]
+register(
+    "class_quantiles",
+    f"{_snap_cte()},\nlab AS (SELECT *, CASE WHEN NEW_MATNR > 0 THEN 1 ELSE 0 END AS purchase FROM snap),\n"
+    "lng AS (" + " UNION ALL ".join(f"SELECT purchase, '{c}' AS variable, CAST({c} AS DOUBLE) AS v FROM lab" for c in _VIOLIN) + ")\n"
+    "SELECT CAST(purchase AS BIGINT) AS purchase, variable, count(v) AS n, round(avg(v), 6) AS mean,"
+    + ", ".join(f"round(quantile_cont(v, {q}), 6) AS {n}" for q, n in [(0.0, "p0"), (0.25, "p25"), (0.5, "p50"), (0.75, "p75"), (1.0, "p100")])
+    + " FROM lng GROUP BY purchase, variable",
+)
+_PROFILE = ["CCH", "AVG_CCH", "PRODUCT_SALES", "CNTD_DANGEROUS", "CNTD_SEA", "CNTD_WATERWAY", "CNTD_DEBIT_ITEMS",
+            "CNTD_MATNR", "CNTD_MATKL", "CNTD_STANDARD", "T_1_ENTRIES", "T_2_ENTRIES", "T_3_ENTRIES", "NEW_MATNR"]
+register(
+    "profile_summary",
+    f"{_snap_cte()}\n"
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS variable, count(CAST({c} AS DOUBLE)) AS count, count(*) - count({c}) AS nulls,"
+        f" round(avg(CAST({c} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev,"
+        f" round(min(CAST({c} AS DOUBLE)), 6) AS min, round(median(CAST({c} AS DOUBLE)), 6) AS median,"
+        f" round(max(CAST({c} AS DOUBLE)), 6) AS max FROM snap"
+        for c in _PROFILE
+    ),
+)

@@ -266,3 +266,87 @@ def crm_feedback_text(spark, sf_dir):
 def latest_child(spark, sf_dir):
     t = fx.crm_tables(spark, sf_dir)
     return finalize(crm.latest_child(t["account"]).select("PARENTACCOUNTID", "ACCOUNTID", "NEW_JDECODE", "NEW_EFFTECTTIME"))
+
+
+# --------------------------------------------------------------------------
+# Dashboards, labels, present value, profiles
+# --------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from churnlens.operators import boards, profile  # noqa: E402
+
+PROFILE_COLS = ["CCH", "AVG_CCH", "PRODUCT_SALES", "CNTD_DANGEROUS", "CNTD_SEA", "CNTD_WATERWAY", "CNTD_DEBIT_ITEMS",
+                "CNTD_MATNR", "CNTD_MATKL", "CNTD_STANDARD", "T_1_ENTRIES", "T_2_ENTRIES", "T_3_ENTRIES", "NEW_MATNR"]
+VIOLIN_COLS = ["NEW_MATNR", "CCH", "PRODUCT_SALES", "CNTD_DANGEROUS", "T_1_ENTRIES"]
+
+
+def status_frame(spark, sf_dir):
+    r = run_frame(spark, sf_dir)
+    yes, no = fx.action_lists(spark, sf_dir)
+    labelled = boards.action_labels(r.features.select(pnl.CUST).distinct(), yes, no)
+    score = r.fit.select(pnl.CUST, F.expr(fx.STATUS_SCORE_EXPR).alias("status_score"))
+    status = boards.status_of(score, labelled, score_col="status_score")
+    return boards.status_table(r.features, status)
+
+
+@query
+def status_countd(spark, sf_dir):
+    return finalize(boards.status_countd(status_frame(spark, sf_dir)))
+
+
+@query
+def status_avg(spark, sf_dir):
+    return finalize(boards.status_avg(status_frame(spark, sf_dir), AS_OF), 6)
+
+
+@query
+def status_median_pct(spark, sf_dir):
+    return finalize(boards.status_median_pct(status_frame(spark, sf_dir), AS_OF), 6)
+
+
+@query
+def status_growth(spark, sf_dir):
+    return finalize(boards.status_growth(status_frame(spark, sf_dir)), 6)
+
+
+@query
+def score_bins(spark, sf_dir):
+    return finalize(boards.score_bins(run_frame(spark, sf_dir).scores))
+
+
+@query
+def rental_type(spark, sf_dir):
+    return finalize(boards.rental_type(panel_frame(spark, sf_dir)))
+
+
+@query
+def miss_period_bucket(spark, sf_dir):
+    df = pnl.period_diff_bucket(features_frame(spark, sf_dir))
+    return finalize(df.groupBy("miss_period").agg(F.count(F.lit(1)).alias("rows")))
+
+
+@query
+def action_labels(spark, sf_dir):
+    yes, no = fx.action_lists(spark, sf_dir)
+    return finalize(boards.action_labels(panel_frame(spark, sf_dir).select(*K, "CCH"), yes, no))
+
+
+@query
+def customer_pv(spark, sf_dir):
+    return finalize(boards.pv_table(panel_frame(spark, sf_dir), AS_OF), 2)
+
+
+@query
+def histogram(spark, sf_dir):
+    return finalize(profile.histogram(run_frame(spark, sf_dir).fit, "percent_decline"), 6)
+
+
+@query
+def class_quantiles(spark, sf_dir):
+    snap = nba.purchase_label(snapshot_frame(spark, sf_dir))
+    return finalize(profile.class_quantiles(snap, "purchase", VIOLIN_COLS), 6)
+
+
+@query
+def profile_summary(spark, sf_dir):
+    return finalize(profile.profile(snapshot_frame(spark, sf_dir), PROFILE_COLS), 6)

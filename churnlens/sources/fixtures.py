@@ -297,3 +297,24 @@ CRM_SQL_VIEWS = {
     "solution": SOLUTION_SQL,
     "visit": VISIT_SQL,
 }
+
+
+# --------------------------------------------------------------------------
+# Action lists and the dashboards' status stand-in
+# --------------------------------------------------------------------------
+CUSTOMER_ID_EXPR = "concat('PEA300.AU', CAST(c_nationkey AS STRING), '.', CAST(c_custkey AS STRING))"
+ACTION_YES_SQL = (
+    f"SELECT {CUSTOMER_ID_EXPR} AS SAPCustomerNumber__c FROM customer"
+    " WHERE c_mktsegment IN ('AUTOMOBILE', 'MACHINERY')"
+)
+ACTION_NO_SQL = f"SELECT {CUSTOMER_ID_EXPR} AS SAPCustomerNumber__c FROM customer WHERE c_mktsegment = 'MACHINERY'"
+# Status stand-in score: the dashboards read a status table produced outside
+# the reference; the fixture scores customers by their fitted trend.
+STATUS_SCORE_EXPR = "50 - 100 * percent_decline"
+
+
+def action_lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    c = read_table(spark, sf_dir, "customer")
+    yes = c.filter(F.col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY")).selectExpr(f"{CUSTOMER_ID_EXPR} AS SAPCustomerNumber__c")
+    no = c.filter(F.col("c_mktsegment") == "MACHINERY").selectExpr(f"{CUSTOMER_ID_EXPR} AS SAPCustomerNumber__c")
+    return yes, no

@@ -219,7 +219,7 @@ def features_ctes() -> str:
         f"feat AS (SELECT * EXCLUDE (_i), {lags},"
         " CASE WHEN _i >= 3 THEN avg(CCH) OVER (PARTITION BY CUSTOMER_SHIPTO ORDER BY POSTING_DATE ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) END AS ROLL_MEAN_3,"
         " CASE WHEN _i >= 6 THEN avg(CCH) OVER (PARTITION BY CUSTOMER_SHIPTO ORDER BY POSTING_DATE ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) END AS ROLL_MEAN_6,"
-        f" {leads}, CAST(lag(POSTING_DATE, 12) OVER w IS NOT NULL AS INTEGER) AS less12_int"
+        f" {leads}, CAST(lag(POSTING_DATE, 12) OVER w IS NOT NULL AS INTEGER) AS less12"
         " FROM f2 WINDOW w AS " + W_CUST + ")"
     )
 
@@ -269,7 +269,7 @@ register(
 )
 register(
     "less12",
-    f"{features_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, CAST(less12_int AS BIGINT) AS less12 FROM feat",
+    f"{features_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, CAST(less12 AS BIGINT) AS less12 FROM feat",
 )
 register(
     "kalman_level",
@@ -351,7 +351,7 @@ def fit_ctes() -> str:
     lr = linregress_sql(["CCH_lag_1", "CCH", "pred1", "pred2", "pred3"])
     return (
         f"{forecast_ctes()},\n"
-        f"sf AS (SELECT f.*, {preds} FROM wide w JOIN feat f ON f.CUSTOMER_SHIPTO = w.CUSTOMER_SHIPTO"
+        f"sf AS (SELECT f.*, w.* EXCLUDE (CUSTOMER_SHIPTO), {preds} FROM wide w JOIN feat f ON f.CUSTOMER_SHIPTO = w.CUSTOMER_SHIPTO"
         " WHERE f.POSTING_DATE = (SELECT max(POSTING_DATE) FROM feat)),\n"
         "fit AS (SELECT CUSTOMER_SHIPTO, POSTING_DATE, CCH, CCH_lag_1, CCH_lag_2,"
         f" {lr['slope']} AS slope,"
@@ -714,8 +714,8 @@ register(
     " AS growth_rate FROM r),\n"
     "q AS (SELECT *, greatest(least(growth_rate, 1.5), -0.7) AS gc FROM g),\n"
     "q2 AS (SELECT *, CASE WHEN gc >= 0 THEN 1.0 + gc ELSE (1.0 + gc) * 0.9 END AS qq FROM q)\n"
-    "SELECT CUSTOMER_SHIPTO, round(revenue_0, 2) AS revenue_0, round(revenue_prev, 2) AS revenue_prev,"
-    " round(growth_rate, 2) AS growth_rate,"
+    "SELECT CUSTOMER_SHIPTO, round(revenue_0, 6) AS revenue_0, round(revenue_prev, 6) AS revenue_prev,"
+    " round(growth_rate, 6) AS growth_rate,"
     " round(list_reduce(list_transform(range(1, 13), lambda t: revenue_0 * pow(qq, t) / pow(1.1, t)),"
     " lambda a, b: a + b, 0.0), 2) AS pv FROM q2",
 )
@@ -755,3 +755,25 @@ register(
         for c in _PROFILE
     ),
 )
+
+
+# --------------------------------------------------------------------------
+# Driver names (attribution vocabulary) with the scoring frame's means
+# --------------------------------------------------------------------------
+from churnlens.operators.explain import DRIVER_RULES  # noqa: E402
+from churnlens.operators.ml import VARIABLES  # noqa: E402
+
+
+def driver_sql(expr: str, passes: int = 2) -> str:
+    for _ in range(passes):
+        for pat, rep in DRIVER_RULES:
+            expr = f"regexp_replace({expr}, '{pat}', '{rep}', 'g')"
+    return expr
+
+
+register(
+    "driver_names",
+    f"{fit_ctes()},\n"
+    "dn AS (" + " UNION ALL ".join(f"SELECT '{v}' AS variable, avg(CAST({v} AS DOUBLE)) AS mean_value FROM sf" for v in VARIABLES) + ")\n"
+    f"SELECT variable, round(mean_value, 6) AS mean_value, {driver_sql('variable')} AS driver FROM dn",
+)

@@ -333,7 +333,8 @@ def action_labels(spark, sf_dir):
 
 @query
 def customer_pv(spark, sf_dir):
-    return finalize(boards.pv_table(panel_frame(spark, sf_dir), AS_OF), 2)
+    df = finalize(boards.pv_table(panel_frame(spark, sf_dir), AS_OF), 6)
+    return df.withColumn("pv", F.round("pv", 2))
 
 
 @query
@@ -350,3 +351,112 @@ def class_quantiles(spark, sf_dir):
 @query
 def profile_summary(spark, sf_dir):
     return finalize(profile.profile(snapshot_frame(spark, sf_dir), PROFILE_COLS), 6)
+
+
+# --------------------------------------------------------------------------
+# Spark ML and attribution (rows-only checks: fitted models)
+# --------------------------------------------------------------------------
+from churnlens.operators import explain as ex  # noqa: E402
+from churnlens.operators import ml  # noqa: E402
+from churnlens.sources.stage import stage  # noqa: E402
+
+
+def training_frame(spark, sf_dir):
+    r = run_frame(spark, sf_dir)
+    bt = fc.backtest(r.features, fc.month_anchors(r.features))
+    train = stage(ml.training_set(r.features, fc.backtest_wide(bt)), "training_set")
+    return r, train
+
+
+def models_frame(spark, sf_dir):
+    r, train = training_frame(spark, sf_dir)
+    tr, te = ml.hash_split(train, [pnl.CUST, pnl.MONTH], 25)
+    models = ml.horizon_models(tr, max_iter=10)
+    return r, train, te, models
+
+
+@query
+def horizon_models(spark, sf_dir):
+    r, _, _, models = models_frame(spark, sf_dir)
+    scoring = sc.scoring_frame(r.features, r.forecast_wide, FORECAST_AT).drop(*sc.PREDS)
+    out = ml.predict_horizons(models, scoring)
+    return finalize(out.select(pnl.CUST, *sc.PREDS), 6)
+
+
+@query
+def horizon_mse(spark, sf_dir):
+    _, _, te, models = models_frame(spark, sf_dir)
+    return finalize(ml.horizon_mse(models, te), 6)
+
+
+def purchase_snapshot(spark, sf_dir):
+    return ml.purchase_frame(snapshot_frame(spark, sf_dir))
+
+
+@query
+def purchase_logit(spark, sf_dir):
+    _, report = ml.purchase_logit(purchase_snapshot(spark, sf_dir))
+    return finalize(report, 6)
+
+
+@query
+def ols_pvalues(spark, sf_dir):
+    table, _ = ml.ols_pvalues(purchase_snapshot(spark, sf_dir))
+    return finalize(table, 6)
+
+
+@query
+def residual_quantiles(spark, sf_dir):
+    _, fitted = ml.ols_pvalues(purchase_snapshot(spark, sf_dir))
+    return finalize(ml.residual_quantiles(fitted), 6)
+
+
+@query
+def forest_importance(spark, sf_dir):
+    _, table = ml.forest_importance(purchase_snapshot(spark, sf_dir))
+    return finalize(table.orderBy(F.col("importance").desc()), 6)
+
+
+@query
+def permutation_importance(spark, sf_dir):
+    snap = purchase_snapshot(spark, sf_dir)
+    model, _ = ml.forest_importance(snap)
+    return finalize(ml.permutation_importance(model, snap), 6)
+
+
+@query
+def lasso_select(spark, sf_dir):
+    _, train = training_frame(spark, sf_dir)
+    return finalize(ml.lasso_select(train), 6)
+
+
+@query
+def driver_names(spark, sf_dir):
+    r = run_frame(spark, sf_dir)
+    scoring = sc.scoring_frame(r.features, r.forecast_wide, FORECAST_AT)
+    means = scoring.agg(*[F.avg(F.col(v).cast("double")).alias(v) for v in ml.VARIABLES])
+    long = means.select(F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).alias("mean_value"))
+                                             for v in ml.VARIABLES])).alias("e")).select("e.*")
+    return finalize(long.join(F.broadcast(ex.driver_table(spark)), "variable"), 6)
+
+
+def explain_frame(spark, sf_dir):
+    r, train, _, models = models_frame(spark, sf_dir)
+    means = ex.background_means(train)
+    drivers = ex.driver_table(spark)
+    risk = sc.risk_list(r.scores)
+    rows = r.fit.join(risk.select(pnl.CUST), pnl.CUST, "left_semi").filter(F.col("max_cch") >= 0)
+    contrib = ex.occlusion(models[2], rows, means)
+    return r, risk, models, means, drivers, contrib
+
+
+@query
+def explain_top3(spark, sf_dir):
+    r, risk, models, means, drivers, _ = explain_frame(spark, sf_dir)
+    return finalize(ex.explain_risk(models[2], r.fit, risk, means, drivers))
+
+
+@query
+def driver_global(spark, sf_dir):
+    _, _, _, _, drivers, contrib = explain_frame(spark, sf_dir)
+    return finalize(ex.driver_global(contrib, drivers), 6)

@@ -45,11 +45,20 @@ def by_customer() -> Window:
     return Window.partitionBy(CUST).orderBy(MONTH)
 
 
+# Identifier / attribute columns kept as text when present.
+TEXT_COLUMNS = ["CUSTOMER_NUMBER", "SHIP_TO", "INDUSTRY", "INDUSTRY_SUBLEVEL", "PLANT", "CUSTOMER_SHIPTO"]
+
+
+def cast_present(df: DataFrame, columns: list[str] = TEXT_COLUMNS, to: str = "string") -> DataFrame:
+    """P5: cast the listed columns that exist in ``df``."""
+    return df.select(*[F.col(c).cast(to).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
 def dense_panel(monthly: DataFrame) -> DataFrame:
     """X11: rollup rows -> one row per (customer, month) over the global
     month range, numeric measures summed (A24) and zero-filled (P7)."""
     facts = (
-        monthly.select(
+        cast_present(monthly).select(
             F.col("CUSTOMER_NUMBER").cast("string").alias(CUST),
             F.to_date(F.col(MONTH), "yyyy-MM").alias(MONTH),
             *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in PANEL_SUMS],
@@ -101,6 +110,9 @@ def panel_features(panel: DataFrame) -> DataFrame:
     rolling variance, Gaussian period, smoothed holidays, zero fill of the
     warm-up nulls, lags, rolling means, leads and the 12-month flag."""
     w = by_customer()
+    # one hash exchange on the customer key, shared by the windows, the
+    # Kalman aggregate and the join between them
+    panel = panel.repartition(CUST)
     df = add_holidays(panel).withColumn("_i", F.row_number().over(w))
     ks = kalman_levels(df)
     df = df.join(ks.select(CUST, "ks"), CUST, "left").withColumn(

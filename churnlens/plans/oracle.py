@@ -745,7 +745,7 @@ register(
 _PROFILE = ["CCH", "AVG_CCH", "PRODUCT_SALES", "CNTD_DANGEROUS", "CNTD_SEA", "CNTD_WATERWAY", "CNTD_DEBIT_ITEMS",
             "CNTD_MATNR", "CNTD_MATKL", "CNTD_STANDARD", "T_1_ENTRIES", "T_2_ENTRIES", "T_3_ENTRIES", "NEW_MATNR"]
 register(
-    "profile_summary",
+    "profile",
     f"{_snap_cte()}\n"
     + " UNION ALL ".join(
         f"SELECT '{c}' AS variable, count(CAST({c} AS DOUBLE)) AS count, count(*) - count({c}) AS nulls,"
@@ -777,3 +777,88 @@ register(
     "dn AS (" + " UNION ALL ".join(f"SELECT '{v}' AS variable, avg(CAST({v} AS DOUBLE)) AS mean_value FROM sf" for v in VARIABLES) + ")\n"
     f"SELECT variable, round(mean_value, 6) AS mean_value, {driver_sql('variable')} AS driver FROM dn",
 )
+
+
+# --------------------------------------------------------------------------
+# Risk score: seasonal comparison in relational SQL (positions, self joins)
+# --------------------------------------------------------------------------
+from churnlens.functions import ladders as _L  # noqa: E402
+
+
+def _ladder_sql(x: str, steps, default, strict: bool = False, pick: int = 1) -> str:
+    op = ">" if strict else ">="
+    parts = []
+    for st in steps:
+        v = st[pick]
+        lit = f"'{v}'" if isinstance(v, str) else repr(v)
+        parts.append(f"WHEN {x} {op} {st[0]!r} THEN {lit}")
+    dflt = f"'{default}'" if isinstance(default, str) else repr(default)
+    return "(CASE " + " ".join(parts) + f" ELSE {dflt} END)"
+
+
+def _int_text(x: str) -> str:
+    return f"CAST(CAST(trunc({x}) AS DECIMAL(38,0)) AS VARCHAR)"
+
+
+def risk_ctes() -> str:
+    return (
+        f"{fit_ctes()},\n"
+        "ser AS (SELECT CUSTOMER_SHIPTO AS c, predicted AS v, row_number() OVER (PARTITION BY CUSTOMER_SHIPTO ORDER BY POSTING_DATE) AS i,"
+        " count(*) OVER (PARTITION BY CUSTOMER_SHIPTO) AS n FROM scaffold WHERE predicted IS NOT NULL),\n"
+        "mb AS (SELECT c AS CUSTOMER_SHIPTO,"
+        " avg(CASE WHEN (n > 24 AND i > n - 24 AND i <= n - 12) OR (n <= 24 AND i <= n // 2) THEN v END) AS mean_before,"
+        " avg(CASE WHEN (n > 24 AND i > n - 12) OR (n <= 24 AND i > n // 2) THEN v END) AS mean_after FROM ser GROUP BY 1),\n"
+        "win AS (SELECT c, 'a' AS w, i - (n - 12) - 1 AS t, v AS x FROM ser WHERE n >= 18 AND i > n - 12"
+        " UNION ALL SELECT c, 'b' AS w, i - (n - 18) - 1 AS t, v AS x FROM ser WHERE n >= 18 AND i > n - 18 AND i <= n - 6),\n"
+        "wm AS (SELECT c, w, avg(x) AS m FROM win GROUP BY c, w),\n"
+        "dev AS (SELECT win.c, win.w, win.t, win.x - wm.m AS d FROM win JOIN wm USING (c, w)),\n"
+        "c0 AS (SELECT c, w, sum(d * d) AS c0 FROM dev GROUP BY c, w),\n"
+        "ac AS (SELECT a.c, a.w, r.k, sum(a.d * b.d) AS s FROM dev a CROSS JOIN range(1, 7) r(k)"
+        " JOIN dev b ON b.c = a.c AND b.w = a.w AND b.t = a.t + r.k GROUP BY a.c, a.w, r.k),\n"
+        "acf AS (SELECT ac.c, ac.w, ac.k, CASE WHEN c0.c0 = 0 THEN NULL ELSE ac.s / c0.c0 END AS r FROM ac JOIN c0 USING (c, w)),\n"
+        "bp AS (SELECT c, w, k AS p FROM (SELECT *, row_number() OVER (PARTITION BY c, w ORDER BY r DESC NULLS LAST, k) AS rn"
+        " FROM acf) WHERE rn = 1),\n"
+        "tr AS (SELECT a.c, a.w, a.t, sum(b.x * CASE WHEN bp.p % 2 = 0 AND abs(b.t - a.t) = bp.p // 2 THEN 0.5 ELSE 1.0 END)"
+        " / bp.p AS trend FROM win a JOIN bp ON bp.c = a.c AND bp.w = a.w JOIN win b ON b.c = a.c AND b.w = a.w"
+        " AND b.t BETWEEN a.t - bp.p // 2 AND a.t + bp.p // 2"
+        " WHERE a.t >= bp.p // 2 AND a.t <= 11 - bp.p // 2 GROUP BY a.c, a.w, a.t, bp.p),\n"
+        "phs AS (SELECT win.c, win.w, win.t % bp.p AS q, avg(win.x - tr.trend) AS pa FROM win JOIN bp USING (c, w)"
+        " JOIN tr USING (c, w, t) GROUP BY 1, 2, 3),\n"
+        "phc AS (SELECT c, w, q, pa - avg(pa) OVER (PARTITION BY c, w) AS s FROM phs),\n"
+        "seas AS (SELECT win.c, win.w, win.t, phc.s FROM win JOIN bp USING (c, w) JOIN phc ON phc.c = win.c AND phc.w = win.w"
+        " AND phc.q = win.t % bp.p),\n"
+        "sc AS (SELECT a.c AS CUSTOMER_SHIPTO, a.p AS period_after, b.p AS period_before,"
+        " (SELECT max(s) FROM seas WHERE seas.c = b.c AND seas.w = 'b') AS amplitude"
+        " FROM bp a JOIN bp b ON a.c = b.c AND a.w = 'a' AND b.w = 'b'),\n"
+        "inp AS (SELECT fit.*, coalesce(CASE WHEN abs(sc.amplitude) > 0.025 THEN CAST(sc.period_before - sc.period_after - 1 AS DOUBLE) END, 0.0)"
+        " AS miss_period, CASE WHEN mb.mean_before IS NULL OR mb.mean_after IS NULL THEN 0.0"
+        " WHEN mb.mean_before = 0 AND mb.mean_after <> mb.mean_before THEN -100.0 WHEN mb.mean_before = 0 THEN 0.0"
+        " ELSE (mb.mean_after - mb.mean_before) / mb.mean_before END AS magnitute_drop"
+        " FROM fit LEFT JOIN sc USING (CUSTOMER_SHIPTO) LEFT JOIN mb USING (CUSTOMER_SHIPTO)),\n"
+        "inp0 AS (SELECT CUSTOMER_SHIPTO, coalesce(CCH, 0) AS CCH, coalesce(CCH_lag_1, 0) AS CCH_lag_1,"
+        " coalesce(percent_decline, 0) AS percent_decline, coalesce(max_cch, 0) AS max_cch,"
+        " coalesce(cross_zero, 0) AS cross_zero, miss_period, magnitute_drop FROM inp),\n"
+        "lad AS (SELECT *, "
+        f"{_ladder_sql('percent_decline', _L.SLOPE_STEPS, _L.SLOPE_ELSE[0])} AS slope_score, "
+        f"{_ladder_sql('percent_decline', _L.SLOPE_STEPS, _L.SLOPE_ELSE[1], pick=2)} AS slope_t, "
+        f"{_ladder_sql('magnitute_drop', _L.magnitude_steps(), _L.MAGNITUDE_ELSE)} AS mag, "
+        f"{_ladder_sql('miss_period', _L.PERIOD_STEPS, _L.PERIOD_ELSE[0])} AS period, "
+        f"{_ladder_sql('miss_period', _L.PERIOD_STEPS, _L.PERIOD_ELSE[1], pick=2)} AS period_t, "
+        f"{_ladder_sql('max_cch', _L.SIZE_STEPS, _L.SIZE_ELSE, strict=True)} AS size FROM inp0),\n"
+        "scores AS (SELECT CUSTOMER_SHIPTO,"
+        f" round_even((size * (slope_score + {_L.MAGNITUDE_WEIGHT!r} * mag + period) / {_L.SCORE_NORMALISER!r} + 100) / 2, 0) AS risk_score,"
+        f" '{FORECAST_AT.strftime('%Y%m')}' || ': Current CCH:' || {_int_text('CCH')} || ', Last mth CCH:' || {_int_text('CCH_lag_1')}"
+        f" || ', 6 mth CCH likely ' || slope_t || ' within ' || {_int_text('abs(percent_decline) * 100')} || '%.'"
+        f" || CASE WHEN cross_zero > 0 THEN ' Churn likely in ' || {_int_text('cross_zero')} || ' mth. ' ELSE '' END"
+        " || ' ' || CASE WHEN period <> 0 THEN period_t || ' pred purch of ' || CAST(abs(period) AS VARCHAR) || ' mth.' ELSE '' END"
+        " AS risk_value FROM lad)"
+    )
+
+
+register("risk_score", f"{risk_ctes()}\nSELECT CUSTOMER_SHIPTO, risk_score, risk_value FROM scores")
+register("risk_list", f"{risk_ctes()}\nSELECT CUSTOMER_SHIPTO, risk_score, risk_value FROM scores WHERE risk_score > 65")
+register("opportunity_list", f"{risk_ctes()}\nSELECT CUSTOMER_SHIPTO, risk_score, risk_value FROM scores WHERE risk_score < 45")
+register(
+    "score_bins",
+    f"{risk_ctes()}\nSELECT CAST(floor(risk_score / 10) * 10 AS BIGINT) AS score_bin, count(*) AS customers FROM scores GROUP BY 1",
+)

@@ -42,6 +42,9 @@ def risk_run(
 ) -> RiskRun:
     start, end, anchor = risk_window(as_of, months)
     monthly = rollup.monthly_rollup(tx, start, end, "customer", material_codes, product_codes)
+    if materialize:
+        # the one pass over the ledger; everything after reads customer-months
+        monthly = stage(monthly, "monthly")
     panel = pnl.dense_panel(monthly)
     features = pnl.period_diff_bucket(pnl.panel_features(panel))
     if materialize:

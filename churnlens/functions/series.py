@@ -1,7 +1,8 @@
 """Time-series formulas as native Spark column expressions (no Python UDF).
 
-Everything here is closed-form arithmetic, window aggregates or
-higher-order array functions, so it runs inside whole-stage codegen.
+Closed-form arithmetic and window aggregates compile into whole-stage
+codegen. The Kalman scans use higher-order array functions, which Spark
+evaluates per row without codegen; their arrays are one customer's months.
 """
 
 from __future__ import annotations
@@ -64,7 +65,7 @@ def kalman_smooth(y: Column, q: float = 0.01, r: float = 1.0, p0: float = 1.0) -
     n = F.size(y)
     # predicted covariances P-_t, t = 0..n-1
     pminus = F.aggregate(
-        F.sequence(F.lit(2), F.greatest(n, F.lit(1))),
+        F.sequence(F.lit(2), F.greatest(n, F.lit(2))),
         F.array(F.lit(p0).cast("double")),
         lambda acc, _: F.concat(
             acc,
@@ -75,6 +76,7 @@ def kalman_smooth(y: Column, q: float = 0.01, r: float = 1.0, p0: float = 1.0) -
             ),
         ),
     )
+    pminus = F.slice(pminus, 1, n)
     gain = F.transform(pminus, lambda pm: pm / (pm + F.lit(r)))
     post = F.transform(pminus, lambda pm: (F.lit(1.0) - pm / (pm + F.lit(r))) * pm)
     # forward filtered means
@@ -148,6 +150,6 @@ def linregress(points: Sequence[Column]) -> dict[str, Column]:
     r = F.when(syy == 0, F.lit(0.0)).otherwise(sxy / F.sqrt(F.lit(sxx) * syy))
     r = F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0))
     nu = n - 2
-    t = r * F.sqrt(F.lit(float(nu)) / ((F.lit(1.0) - r) * (F.lit(1.0) + r)))
+    t = r * F.sqrt(F.try_divide(F.lit(float(nu)), (F.lit(1.0) - r) * (F.lit(1.0) + r)))
     p = F.when(F.abs(r) >= 1.0, F.lit(0.0)).otherwise(_t_sf_two_sided(t, nu))
     return {"slope": slope, "intercept": intercept, "p_value": p, "r": r}

@@ -223,30 +223,41 @@ def permutation_importance(model, snap: DataFrame, features: Sequence[str] = PUR
                            seed: int = 42, blocks: int = 16) -> DataFrame:
     """Accuracy drop when one feature is permuted across the test rows.
 
-    Each feature's permutation pairs the rows of a hash block ordered by key
-    with the same block ordered by a seeded hash, so it is computed with
-    windows over blocks (no global sort, no driver loop over rows). All
-    permuted copies are scored in one ``transform``.
+    Rows are spread over hash blocks. Within a block, feature j's values are
+    re-dealt by a seeded hash order: the row ranked r by key receives the
+    value ranked r by the feature's hash. All features' permuted values come
+    from one exploded table and one join, and every permuted copy plus the
+    original is scored in one ``transform`` -- no global sort, no loop of jobs.
     """
     data = clean_numeric(snap, features).withColumn("label", F.col("purchase").cast("double"))
     _, test = hash_split(data, ["SNAPSHOT", "CUSTOMER_NUMBER"], 20, seed)
     key = [F.col("SNAPSHOT"), F.col("CUSTOMER_NUMBER")]
     test = test.withColumn("_blk", F.pmod(F.xxhash64(*key), F.lit(blocks))).withColumn("_k", F.xxhash64(*key))
-    copies = [test.withColumn("perm", F.lit("(none)"))]
-    for j, f in enumerate(features):
-        by_key = Window.partitionBy("_blk").orderBy("_k")
-        by_perm = Window.partitionBy("_blk").orderBy(F.xxhash64(*key, F.lit(seed + j)), "_k")
-        a = test.withColumn("_rn", F.row_number().over(by_key))
-        b = test.select("_blk", F.col(f).alias("_v"), F.row_number().over(by_perm).alias("_rn"))
-        copies.append(a.join(b, ["_blk", "_rn"]).withColumn(f, F.col("_v")).drop("_v", "_rn").withColumn("perm", F.lit(f)))
-    allc = copies[0]
-    for c in copies[1:]:
-        allc = allc.unionByName(c)
+    blk = Window.partitionBy("_blk")
+    ranked = test.select(
+        "*",
+        F.row_number().over(blk.orderBy("_k")).alias("_rn"),
+        *[F.row_number().over(blk.orderBy(F.xxhash64(*key, F.lit(seed + j)), "_k")).alias(f"_r{j}") for j in range(len(features))],
+    )
+    dealt = ranked.select(
+        "_blk",
+        F.explode(F.array(*[
+            F.struct(F.lit(j).alias("_j"), F.col(f"_r{j}").alias("_rn"), F.col(f).cast("double").alias("_v"))
+            for j, f in enumerate(features)
+        ])).alias("e"),
+    ).select("_blk", "e._j", "e._rn", "e._v")
+    base = ranked.select("_blk", "_rn", "label", *features)
+    permuted = base.join(dealt, ["_blk", "_rn"]).select(
+        "label",
+        F.element_at(F.array(*[F.lit(f) for f in features]), F.col("_j") + 1).alias("perm"),
+        *[F.when(F.col("_j") == j, F.col("_v")).otherwise(F.col(f)).alias(f) for j, f in enumerate(features)],
+    )
+    allc = base.select("label", F.lit("(none)").alias("perm"), *features).unionByName(permuted)
     scored = model.transform(_assemble(allc, features))
     acc = scored.groupBy("perm").agg(F.avg(F.when(F.col("prediction") == F.col("label"), 1.0).otherwise(0.0)).alias("accuracy"))
-    base = acc.filter(F.col("perm") == "(none)").select(F.max("accuracy")).scalar()
+    base_acc = acc.filter(F.col("perm") == "(none)").select(F.max("accuracy")).scalar()
     return acc.filter(F.col("perm") != "(none)").select(
-        F.col("perm").alias("variable"), "accuracy", (base - F.col("accuracy")).alias("importance")
+        F.col("perm").alias("variable"), "accuracy", (base_acc - F.col("accuracy")).alias("importance")
     )
 
 

@@ -103,6 +103,43 @@ def kalman_smooth(y: Column, q: float = 0.01, r: float = 1.0, p0: float = 1.0) -
     return F.when(n == 0, F.array().cast("array<double>")).when(n == 1, fwd).otherwise(back)
 
 
+def np_kalman_smooth(ys, q: float = 0.01, r: float = 1.0, p0: float = 1.0) -> list[list[float]]:
+    """The same smoother with numpy, vectorised over all series of equal
+    length in ``ys`` (one recursion step per month for the whole batch).
+    Operation order matches ``kalman_smooth`` element by element."""
+    import numpy as np
+
+    out: list = [None] * len(ys)
+    by_len: dict[int, list[int]] = {}
+    for i, y in enumerate(ys):
+        by_len.setdefault(len(y), []).append(i)
+    for n, idx in by_len.items():
+        if n == 0:
+            for i in idx:
+                out[i] = []
+            continue
+        y = np.array([np.asarray(ys[i], dtype=float) for i in idx])
+        pm = np.empty(n)
+        pm[0] = p0
+        for t in range(1, n):
+            pm[t] = (1.0 - pm[t - 1] / (pm[t - 1] + r)) * pm[t - 1] + q
+        k = pm / (pm + r)
+        post = (1.0 - pm / (pm + r)) * pm
+        m = np.empty_like(y)
+        last = y[:, 0]
+        for t in range(n):
+            last = last + k[t] * (y[:, t] - last)
+            m[:, t] = last
+        sm = np.empty_like(m)
+        sm[:, n - 1] = m[:, n - 1]
+        for t in range(n - 2, -1, -1):
+            lg = post[t] / pm[t + 1]
+            sm[:, t] = m[:, t] + lg * (sm[:, t + 1] - m[:, t])
+        for j, i in enumerate(idx):
+            out[i] = sm[j].tolist()
+    return out
+
+
 # --------------------------------------------------------------------------
 # OLS over equally spaced points
 # --------------------------------------------------------------------------

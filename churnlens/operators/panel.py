@@ -9,8 +9,10 @@ customer key; the Kalman aggregate and its join back reuse that partitioning.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnlens.functions import holidays as hol
 from churnlens.functions import series
@@ -89,20 +91,25 @@ def add_holidays(panel: DataFrame) -> DataFrame:
     )
 
 
-def kalman_levels(panel: DataFrame, value: str = "CCH") -> DataFrame:
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _kalman_batch(ys: pd.Series) -> pd.Series:
+    return pd.Series(series.np_kalman_smooth(list(ys)))
+
+
+def kalman_levels(panel: DataFrame, value: str = "CCH", engine: str = "arrow") -> DataFrame:
     """Per customer, the RTS-smoothed level of ``value`` by month.
 
     One row per customer with the sorted series as an array (bounded by the
-    number of months), smoothed by native higher-order functions.
+    number of months). ``engine='arrow'`` runs the recursion in numpy over a
+    whole Arrow batch of customers at once; ``'native'`` uses higher-order
+    array functions (no Python, but interpreted per row: ~10x slower here).
     """
     series_df = panel.groupBy(CUST).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(MONTH), F.col(value).alias("v")))).alias("s")
-    )
-    return series_df.select(
-        CUST,
-        F.transform("s", lambda e: e[MONTH]).alias("months"),
-        series.kalman_smooth(F.transform("s", lambda e: e["v"])).alias("ks"),
+        F.array_sort(F.collect_list(F.struct(F.col(MONTH), F.col(value).cast("double").alias("v")))).alias("s")
     )
+    ys = F.transform("s", lambda e: e["v"])
+    smooth = _kalman_batch(ys) if engine == "arrow" else series.kalman_smooth(ys)
+    return series_df.select(CUST, F.transform("s", lambda e: e[MONTH]).alias("months"), smooth.alias("ks"))
 
 
 def panel_features(panel: DataFrame) -> DataFrame:

@@ -91,3 +91,14 @@ def test_holiday_counts_per_month(spark):
     counts = {r["POSTING_DATE"].month: r["Holidays"] for r in holidays.holidays_per_month(holidays.holiday_calendar(years)).collect()}
     # 2001: Good Friday 13 Apr, Easter Monday 16 Apr, Anzac Day 25 Apr
     assert counts == {1: 2, 4: 3, 12: 2}
+
+
+def test_kalman_engines_agree(spark):
+    rng = np.random.default_rng(5)
+    ys = [rng.normal(10, 5, size=n).round(2).tolist() for n in (1, 2, 7, 24, 24, 31)]
+    got = series.np_kalman_smooth(ys)
+    df = spark.createDataFrame([(y,) for y in ys], "y array<double>")
+    native = [r["k"] for r in df.select(series.kalman_smooth(F.col("y")).alias("k")).collect()]
+    for a, b, y in zip(got, native, ys):
+        assert np.allclose(a, b, atol=1e-12)
+        assert np.allclose(a, _np_kalman(np.array(y)), atol=1e-9)

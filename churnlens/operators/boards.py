@@ -96,6 +96,22 @@ def status_median_pct(table: DataFrame, as_of: dt.date, months: int = 12) -> Dat
     return med.withColumn("pct_diff", pct_diff(F.col("median_cch"), F.first("median_cch").over(w)))
 
 
+def blend(primary: DataFrame, secondary: DataFrame, link: list[str], measures: dict[str, Column]) -> DataFrame:
+    """Data blending: the secondary source aggregated to the link
+    fields, then left-joined to the primary view (primary rows are kept)."""
+    agg = secondary.groupBy(*link).agg(*[c.alias(n) for n, c in measures.items()])
+    return primary.join(agg, link, "left")
+
+
+def status_blend(table: DataFrame, scores: DataFrame, as_of: dt.date, months: int = 12,
+                 score_col: str = "At_Risk_Score__c") -> DataFrame:
+    """Sheet with MEDIAN CCH by (month, status) blended with the secondary
+    status source's average score on the month link."""
+    primary = status_median_pct(table, as_of, months)
+    secondary = _last_months(table.join(scores.select(CUST, score_col), CUST, "inner"), as_of, months)
+    return blend(primary, secondary, [MONTH], {"avg_score": F.avg(score_col)})
+
+
 def status_growth(table: DataFrame) -> DataFrame:
     """Compound monthly growth of average CCH against the status's first
     month: (v / first)^(1 / (k - 1)) - 1 for the k-th month."""

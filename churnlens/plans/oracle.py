@@ -862,3 +862,16 @@ register(
     "score_bins",
     f"{risk_ctes()}\nSELECT CAST(floor(risk_score / 10) * 10 AS BIGINT) AS score_bin, count(*) AS customers FROM scores GROUP BY 1",
 )
+
+
+register(
+    "status_blend",
+    f"{status_ctes()},\nmed AS (SELECT POSTING_DATE, RISK_STATUS, median(CCH) AS median_cch FROM last12"
+    " WHERE RISK_STATUS IS DISTINCT FROM 'growth' GROUP BY 1, 2),\n"
+    "pm AS (SELECT POSTING_DATE, RISK_STATUS, median_cch, CASE WHEN first_value(median_cch) OVER w = 0 THEN NULL"
+    " ELSE (median_cch - first_value(median_cch) OVER w) / abs(first_value(median_cch) OVER w) END AS pct_diff FROM med"
+    " WINDOW w AS (PARTITION BY RISK_STATUS ORDER BY POSTING_DATE ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),\n"
+    "sec AS (SELECT l.POSTING_DATE, avg(sc.s) AS avg_score FROM last12 l JOIN sc USING (CUSTOMER_SHIPTO) GROUP BY 1)\n"
+    "SELECT pm.POSTING_DATE, RISK_STATUS, round(median_cch, 6) AS median_cch, round(pct_diff, 6) AS pct_diff,"
+    " round(avg_score, 6) AS avg_score FROM pm LEFT JOIN sec USING (POSTING_DATE)",
+)

@@ -129,20 +129,24 @@ def run_frame(spark, sf_dir):
     return risk_run(fx.ledger(spark, sf_dir), AS_OF, 24, True, mats, prods)
 
 
+def forecast_long_frame(spark, sf_dir):
+    return fc.forecast_long(panel_frame(spark, sf_dir), FORECAST_AT)
+
+
 @query
 def forecast_quantiles(spark, sf_dir):
-    return finalize(run_frame(spark, sf_dir).forecast_long, 6)
+    return finalize(forecast_long_frame(spark, sf_dir), 6)
 
 
 @query
 def forecast_wide(spark, sf_dir):
-    return finalize(run_frame(spark, sf_dir).forecast_wide, 6)
+    return finalize(fc.forecast_wide(forecast_long_frame(spark, sf_dir), FORECAST_AT), 6)
 
 
 @query
 def backtest_error(spark, sf_dir):
-    feats = features_frame(spark, sf_dir)
-    bt = fc.backtest(feats, fc.month_anchors(feats))
+    panel = panel_frame(spark, sf_dir)
+    bt = fc.backtest(panel, fc.month_anchors(panel))
     return finalize(fc.backtest_error(bt), 6)
 
 
@@ -307,6 +311,16 @@ def status_median_pct(spark, sf_dir):
     return finalize(boards.status_median_pct(status_frame(spark, sf_dir), AS_OF), 6)
 
 
+@query
+def status_blend(spark, sf_dir):
+    r = run_frame(spark, sf_dir)
+    yes, no = fx.action_lists(spark, sf_dir)
+    labelled = boards.action_labels(r.features.select(pnl.CUST).distinct(), yes, no)
+    score = r.fit.select(pnl.CUST, F.expr(fx.STATUS_SCORE_EXPR).alias("At_Risk_Score__c"))
+    table = boards.status_table(r.features, boards.status_of(score, labelled, score_col="At_Risk_Score__c"))
+    return finalize(boards.status_blend(table, score, AS_OF), 6)
+
+
 @query
 def status_growth(spark, sf_dir):
     return finalize(boards.status_growth(status_frame(spark, sf_dir)), 6)
@@ -375,7 +389,7 @@ from churnlens.operators import ml  # noqa: E402
 
 def training_frame(spark, sf_dir):
     r = run_frame(spark, sf_dir)
-    bt = fc.backtest(r.features, fc.month_anchors(r.features))
+    bt = fc.backtest(r.panel, fc.month_anchors(r.panel))
     train = stage(ml.training_set(r.features, fc.backtest_wide(bt)), "training_set")
     return r, train
 

@@ -47,13 +47,16 @@ def risk_run(
         monthly = stage(monthly, "monthly")
     panel = pnl.dense_panel(monthly)
     features = pnl.period_diff_bucket(pnl.panel_features(panel))
-    if materialize:
-        # read three times below (forecast, scoring row, scaffold): write once
-        features = stage(features, "features")
-    long = fc.forecast_long(features, anchor)
+    # the forecast and the scaffold need only CCH: they read the dense panel,
+    # so the window features are computed once, for the scoring rows
+    long = fc.forecast_long(panel, anchor)
     wide = fc.forecast_wide(long, anchor)
     fit = sc.trend_fit(sc.scoring_frame(features, wide, anchor))
-    scaffold = sc.score_scaffold(fit, features)
+    if materialize:
+        # one row per forecast customer, read by the scaffold, the score,
+        # the lists and the attribution: write once
+        fit = stage(fit, "fit")
+    scaffold = sc.score_scaffold(fit, panel)
     seasonal = ss.seasonal_compare(scaffold)
     inputs = sc.score_inputs(fit, seasonal)
     scores = sc.risk_score(inputs, report_month=anchor)

@@ -220,7 +220,7 @@ def forest_importance(snap: DataFrame, features: Sequence[str] = PURCHASE_FEATUR
 
 
 def permutation_importance(model, snap: DataFrame, features: Sequence[str] = PURCHASE_FEATURES,
-                           seed: int = 42, blocks: int = 16) -> DataFrame:
+                           seed: int = 42, block_rows: int = 50_000) -> DataFrame:
     """Accuracy drop when one feature is permuted across the test rows.
 
     Rows are spread over hash blocks. Within a block, feature j's values are
@@ -232,7 +232,9 @@ def permutation_importance(model, snap: DataFrame, features: Sequence[str] = PUR
     data = clean_numeric(snap, features).withColumn("label", F.col("purchase").cast("double"))
     _, test = hash_split(data, ["SNAPSHOT", "CUSTOMER_NUMBER"], 20, seed)
     key = [F.col("SNAPSHOT"), F.col("CUSTOMER_NUMBER")]
-    test = test.withColumn("_blk", F.pmod(F.xxhash64(*key), F.lit(blocks))).withColumn("_k", F.xxhash64(*key))
+    # blocks of about ``block_rows`` rows: the permutation windows stay small
+    blocks = F.greatest(F.lit(1), F.ceil(test.select(F.count(F.lit(1))).scalar() / block_rows))
+    test = test.withColumn("_blk", F.pmod(F.xxhash64(*key), blocks)).withColumn("_k", F.xxhash64(*key))
     blk = Window.partitionBy("_blk")
     ranked = test.select(
         "*",

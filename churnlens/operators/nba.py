@@ -107,25 +107,44 @@ def customer_table(tx: DataFrame, mapping_df: DataFrame, anchors: DataFrame, w:
     return base.groupBy(SNAP, "KNDNR").agg(*aggs)
 
 
+def delivery_gaps(d: DataFrame, w: Windows = Windows()) -> DataFrame:
+    """W9 + A15 without a window over a ship-to's deliveries.
+
+    The days between consecutive deliveries (first -> 0) telescope: their
+    sum is last - first, so the average is (max - min) / count. The distinct
+    gaps of a month only depend on the ship-to's distinct delivery dates
+    (bounded by the calendar, whatever the delivery volume): the first
+    delivery of a date has gap = date - previous date, any further delivery
+    on the same date has gap 0. T-SQL AVG of INT truncates (T5).
+    """
+    overall = d.groupBy(SNAP, "KUNNR").agg(
+        F.floor(F.datediff(F.max("LDDAT"), F.min("LDDAT")) / F.count(F.lit(1))).cast("bigint").alias("AVG_TIME_DELIVERY")
+    )
+    dates = d.groupBy(SNAP, "KUNNR", "LDDAT").agg(F.count(F.lit(1)).alias("_n"))
+    win = Window.partitionBy(SNAP, "KUNNR").orderBy("LDDAT")
+    dates = dates.withColumn("_gap", F.coalesce(F.datediff("LDDAT", F.lag("LDDAT").over(win)), F.lit(0)))
+    gaps = dates.select(
+        SNAP, "KUNNR", "LDDAT",
+        F.explode(F.when(F.col("_n") > 1, F.array(F.col("_gap"), F.lit(0))).otherwise(F.array(F.col("_gap")))).alias("gap"),
+    )
+    per_month = gaps.groupBy(SNAP, "KUNNR").agg(*[
+        F.expr(f"CAST(avg(DISTINCT CASE WHEN trunc(LDDAT, 'MM') = add_months({SNAP}, -{k}) THEN gap END) AS BIGINT)").alias(f"T_{i}_TIME_DELIVERY")
+        for i, k in enumerate(w.offsets, 1)
+    ])
+    return overall.join(per_month, [SNAP, "KUNNR"])
+
+
 def delivery_profile(deliveries: DataFrame, anchors: DataFrame, w: Windows = Windows(),
                      codes: DeliveryCodes = DeliveryCodes()) -> DataFrame:
     """W9 + A15 + A16: per ship-to, days between deliveries and counts by
-    transport group, delivery type and customer group. T-SQL AVG of INT
-    truncates (T5); VBELN breaks ties of equal dates (T25)."""
+    transport group, delivery type and customer group."""
     d = _per_anchor(deliveries, anchors, "LDDAT", w.history)
-    win = Window.partitionBy(SNAP, "KUNNR").orderBy("LDDAT", "VBELN")
-    d = d.withColumn("gap", F.coalesce(F.datediff("LDDAT", F.lag("LDDAT").over(win)), F.lit(0)))
 
     def cnt(cond: Column, name: str) -> Column:
         return F.count_distinct(F.when(cond, F.col("VBELN"))).alias(name)
 
     tr, lf, kd = F.col("TRAGR"), F.col("LFART"), F.col("KDGRP")
-    aggs = [F.avg("gap").cast("bigint").alias("AVG_TIME_DELIVERY")]
-    aggs += [
-        F.expr(f"CAST(avg(DISTINCT CASE WHEN trunc(LDDAT, 'MM') = add_months({SNAP}, -{k}) THEN gap END) AS BIGINT)").alias(f"T_{i}_TIME_DELIVERY")
-        for i, k in enumerate(w.offsets, 1)
-    ]
-    aggs += [
+    counts = d.groupBy(SNAP, "KUNNR").agg(
         F.count_distinct("ROUTE").alias("CNTD_ROUTE"),
         cnt(tr.isin(*codes.dangerous), "CNTD_DANGEROUS"),
         cnt(tr.isin(*codes.general), "CNTD_GENERAL"),
@@ -139,14 +158,15 @@ def delivery_profile(deliveries: DataFrame, anchors: DataFrame, w: Windows = Win
         cnt(kd == codes.kdgrp_d0, "CNTD_D0_KDGRP"),
         cnt(kd.isNull(), "CNTD_NULL_KDGRP"),
         cnt(kd == codes.kdgrp_gf, "CNTD_GF_KDGRP"),
-    ]
-    return d.groupBy(SNAP, "KUNNR").agg(*aggs)
+    )
+    return delivery_gaps(d, w).join(counts, [SNAP, "KUNNR"])
 
 
 def _ndist(c: Column) -> Column:
-    """Distinct count inside a small group (one delivery-month): a set per
-    group avoids an Expand copy of every row per distinct measure."""
-    return F.size(F.collect_set(c))
+    """Exact distinct count through Spark's distinct aggregation (Expand +
+    two-level aggregate): a delivery-month with very many items is spread
+    over tasks instead of collected into one set."""
+    return F.count_distinct(c)
 
 
 def items_profile(items: DataFrame, anchors: DataFrame, w: Windows = Windows()) -> DataFrame:

@@ -3,11 +3,21 @@ small integers to bigint) so Spark and DuckDB results compare exactly."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def round_half_away(c: Column, digits: int) -> Column:
+    """Round half away from zero in double arithmetic (stays in codegen;
+    ``F.round`` on doubles goes through BigDecimal per value). Values too
+    large to carry the digits are returned as they are."""
+    m = 10.0 ** digits
+    scaled = F.abs(c) * m
+    r = F.signum(c) * F.floor(scaled + 0.5).cast("double") / m
+    return F.when(F.isnan(c) | (scaled >= 4.5e15), c * m / m).otherwise(r)
+
+
 def finalize(df: DataFrame, digits: int | None = None) -> DataFrame:
     cols = []
     for f in df.schema.fields:
@@ -15,9 +25,9 @@ def finalize(df: DataFrame, digits: int | None = None) -> DataFrame:
         if isinstance(f.dataType, (T.DecimalType, T.FloatType)):
             c = c.cast("double")
             if digits is not None:
-                c = F.round(c, digits)
+                c = round_half_away(c, digits)
         elif isinstance(f.dataType, T.DoubleType) and digits is not None:
-            c = F.round(c, digits)
+            c = round_half_away(c, digits)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         cols.append(c.alias(f.name))

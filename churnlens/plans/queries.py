@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from churnlens.operators import rollup
 from churnlens.plans.oracle import AS_OF, FORECAST_AT, HIST_END, HIST_START  # noqa: F401
-from churnlens.plans.output import finalize
+from churnlens.plans.output import finalize, round_half_away
 from churnlens.sources import fixtures as fx
 from churnlens.sources.stage import stage
 
@@ -351,7 +351,7 @@ def action_labels(spark, sf_dir):
 @query
 def customer_pv(spark, sf_dir):
     df = finalize(boards.pv_table(panel_frame(spark, sf_dir), AS_OF), 6)
-    return df.withColumn("pv", F.round("pv", 2))
+    return df.withColumn("pv", round_half_away(F.col("pv"), 2))
 
 
 @query

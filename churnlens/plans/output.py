@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 
 
 def round_half_away(c: Column, digits: int) -> Column:
-    """Round half away from zero in double arithmetic (stays in codegen;
-    ``F.round`` on doubles goes through BigDecimal per value). Values too
-    large to carry the digits are returned as they are."""
+    """Round half away from zero in double arithmetic, as DuckDB's ``round``
+    does. Used where a value can sit on a decimal tie; ``finalize`` keeps
+    ``F.round`` (measured faster on wide outputs)."""
     m = 10.0 ** digits
     scaled = F.abs(c) * m
     r = F.signum(c) * F.floor(scaled + 0.5).cast("double") / m
@@ -25,9 +25,9 @@ def finalize(df: DataFrame, digits: int | None = None) -> DataFrame:
         if isinstance(f.dataType, (T.DecimalType, T.FloatType)):
             c = c.cast("double")
             if digits is not None:
-                c = round_half_away(c, digits)
+                c = F.round(c, digits)
         elif isinstance(f.dataType, T.DoubleType) and digits is not None:
-            c = round_half_away(c, digits)
+            c = F.round(c, digits)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         cols.append(c.alias(f.name))

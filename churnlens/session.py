@@ -43,6 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="churnlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 -- core conf not settable at run time
+            pass
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -103,3 +103,31 @@ def test_sql_parameters(spark):
     df = io.sql_with_dates(spark, "SELECT * FROM ledger_t WHERE BUDAT >= :start_date AND BUDAT < :end_date",
                            dt.date(2001, 1, 1), dt.date(2001, 2, 1))
     assert df.count() == 1
+
+
+def test_delivery_gaps_match_window_brute_force(spark):
+    """The telescoping / distinct-date rewrite equals the per-delivery LAG
+    formulation, including several deliveries on one date."""
+    import datetime as dt
+    import random
+
+    from pyspark.sql import Window
+
+    from churnlens.operators import nba
+
+    rnd = random.Random(3)
+    rows = []
+    for k in range(6):
+        for v in range(rnd.randint(1, 40)):
+            d = dt.date(2000, 1, 1) + dt.timedelta(days=rnd.randint(0, 330))
+            rows.append((dt.date(2001, 8, 1), f"s{k}", f"v{k}-{v}", d))
+    d = spark.createDataFrame(rows, "SNAPSHOT date, KUNNR string, VBELN string, LDDAT date")
+    got = {tuple(r[:2]): tuple(r[2:]) for r in nba.delivery_gaps(d).collect()}
+    w = Window.partitionBy("SNAPSHOT", "KUNNR").orderBy("LDDAT", "VBELN")
+    g = d.withColumn("gap", F.coalesce(F.datediff("LDDAT", F.lag("LDDAT").over(w)), F.lit(0)))
+    aggs = [F.avg("gap").cast("bigint").alias("AVG_TIME_DELIVERY")] + [
+        F.expr(f"CAST(avg(DISTINCT CASE WHEN trunc(LDDAT, 'MM') = add_months(SNAPSHOT, -{k}) THEN gap END) AS BIGINT)")
+        .alias(f"T_{i}_TIME_DELIVERY") for i, k in enumerate(range(7, 13), 1)
+    ]
+    want = {tuple(r[:2]): tuple(r[2:]) for r in g.groupBy("SNAPSHOT", "KUNNR").agg(*aggs).collect()}
+    assert got == want

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,3 +44,13 @@ def staged(df: DataFrame, name: str, schema: T.StructType | None = None) -> Data
 
 def text_or_empty(name: str) -> Column:
     return F.coalesce(col_of(name).cast("string"), F.lit(""))
+
+
+def text_slices(rec: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes of text each (a longer text stands
+    alone), so that what a task holds doesn't depend on how long the rows are."""
+    sizes = pc.fill_null(pc.binary_length(rec.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most, prepend=0)).tolist()
+    for a, b in zip([0, *cuts], [*cuts, rec.num_rows]):
+        if b > a:
+            yield rec.slice(a, b - a)

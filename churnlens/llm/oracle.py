@@ -12,6 +12,29 @@ FROM documents
 WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
+# Escaped length: one more character for each control string, backslashes in it or not.
+OP2 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), m AS (
+  SELECT *,
+    len(regexp_extract_all(text, '<\\*(\|im_start\|>|\|im_end\|>|s>|/s>)|\[\\*(INST\]|/INST\])')) AS marks,
+    length(role) + length(replace(replace(role, chr(92), 'xx'), chr(10), 'xx')) - length(role)
+      + len(regexp_extract_all(role, '<(\|im_start\|>|\|im_end\|>|s>|/s>)|\[(INST\]|/INST\])')) AS role_chars
+  FROM t
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(12 + role_chars + 1 + length(text) + marks + 10 + 1) AS BIGINT) AS formatted_chars
+FROM m
+GROUP BY conv_id
+"""
+
 ORACLE = {
+    "op2_chat_format": OP2,
     "op5_exact_dedup": OP5,
 }

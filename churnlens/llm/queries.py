@@ -6,14 +6,29 @@ derives the result columns from the operator's output.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlens.llm.chat import format_chats, read_back
 from churnlens.llm.digest_index import DigestIndex
+from churnlens.llm.sentencepiece import encode
 from churnlens.llm.shuffle import external_shuffle, record_bytes
 from churnlens.sources.tables import read_table
 
 N_SHARDS = 40
+PIECES = os.environ.get("CORPUS_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(read_table(spark, sf_dir, "documents"), PIECES).withColumnRenamed("id", "doc_id")
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return read_back(format_chats(turns.unionByName(spark.createDataFrame(probe, "conv_id long, turn long, role string, text string"))))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +51,8 @@ def op8_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_chat_format": op2_chat_format,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_shuffle_shards": op8_shuffle_shards,
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from churnlens.llm.chat import format_chats, read_back
 from churnlens.llm.digest_index import DigestIndex
+from churnlens.llm.minhash import near_duplicates
 from churnlens.llm.sentencepiece import encode
 from churnlens.llm.shuffle import external_shuffle, record_bytes
 from churnlens.sources.tables import read_table
@@ -31,6 +32,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(turns.unionByName(spark.createDataFrame(probe, "conv_id long, turn long, role string, text string"))))
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = DigestIndex(spark)
     return index.report(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -53,6 +58,7 @@ def op8_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_format": op2_chat_format,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_shuffle_shards": op8_shuffle_shards,
 }

@@ -54,3 +54,12 @@ def text_slices(rec: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterat
     for a, b in zip([0, *cuts], [*cuts, rec.num_rows]):
         if b > a:
             yield rec.slice(a, b - a)
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most_rows`` rows (of a few bytes);
+    beyond that a plain join side, which Spark shuffles. The result is the same."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from churnlens.llm.chat import format_chats, read_back
 from churnlens.llm.digest_index import DigestIndex
+from churnlens.llm.kneser_ney import judged
 from churnlens.llm.minhash import near_duplicates
 from churnlens.llm.sentencepiece import encode
 from churnlens.llm.shuffle import external_shuffle, record_bytes
@@ -41,6 +42,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.report(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op7_quality_kn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return judged(docs, labels).withColumnRenamed("id", "doc_id")
+
+
 def op8_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     written = external_shuffle(docs, N_SHARDS, seed=8).select("record.*", "shard", "slot")
@@ -60,5 +66,6 @@ QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_quality_kn": op7_quality_kn,
     "op8_shuffle_shards": op8_shuffle_shards,
 }

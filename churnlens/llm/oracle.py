@@ -34,7 +34,57 @@ FROM m
 GROUP BY conv_id
 """
 
+
+
+def mix_ctes(docs: str, sweeps: int = 6) -> str:
+    """CTEs that end in ``mixed`` (all columns of ``docs`` and the draw), written as window
+    sums over the cells; the fixed values are those of the query."""
+    steps = []
+    for k in range(3 * sweeps):
+        m = ("source", "lang", "topic")[k % 3]
+        steps.append(f"""w{k + 1} AS (
+  SELECT k_source, k_lang, k_topic, tokens, g_source, g_lang, g_topic, mass,
+         w * coalesce(g_{m} / nullif(sum(w) OVER (PARTITION BY k_{m}), 0), 1) AS w FROM w{k})""")
+    return f"""
+t AS (
+  SELECT *, CASE WHEN contains(text, 'Licensed under') THEN 'license' WHEN contains(text, ' | ') THEN 'table'
+                 WHEN contains(text, '!!') THEN 'shout' WHEN contains(text, '***') OR contains(text, '%%%') THEN 'symbols'
+                 ELSE 'prose' END AS topic,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens,
+         coalesce('=' || source, 'null') AS k_source, coalesce('=' || lang, 'null') AS k_lang
+  FROM {docs}
+), c AS (
+  SELECT k_source, k_lang, '=' || topic AS k_topic, sum(n_tokens)::BIGINT AS tokens FROM t GROUP BY ALL
+), gs AS (
+  SELECT k_source, pow(sum(tokens)::DOUBLE, 0.5) AS g FROM c GROUP BY 1 HAVING sum(tokens) > 0
+), gl AS (
+  SELECT k_lang, CASE k_lang WHEN '=en' THEN 0.4::DOUBLE ELSE 0.2::DOUBLE END AS g FROM c GROUP BY 1 HAVING sum(tokens) > 0
+), gt AS (
+  SELECT k_topic, CASE k_topic WHEN '=prose' THEN 0.85::DOUBLE WHEN '=license' THEN 0.1::DOUBLE
+                  WHEN '=table' THEN 0.02::DOUBLE WHEN '=symbols' THEN 0.02::DOUBLE ELSE 0.01::DOUBLE END AS g
+  FROM c GROUP BY 1 HAVING sum(tokens) > 0
+), w0 AS (
+  SELECT c.*, mass,
+         gs.g / (SELECT sum(g) FROM gs) * mass AS g_source, gl.g / (SELECT sum(g) FROM gl) * mass AS g_lang,
+         gt.g / (SELECT sum(g) FROM gt) * mass AS g_topic, tokens::DOUBLE AS w
+  FROM c CROSS JOIN (SELECT sum(tokens)::DOUBLE AS mass FROM c) LEFT JOIN gs USING (k_source) LEFT JOIN gl USING (k_lang) LEFT JOIN gt USING (k_topic)
+), {", ".join(steps)}, mixed AS (
+  SELECT t.*, f.factor, least(1.0::DOUBLE, 0.5::DOUBLE * f.factor) AS p,
+         ('0x' || substr(md5(coalesce('=' || doc_id, 'null') || '#4'), 1, 12))::BIGINT::DOUBLE / 281474976710656 < least(1.0::DOUBLE, 0.5::DOUBLE * f.factor) AS sampled
+  FROM t JOIN (SELECT k_source, k_lang, k_topic, CASE WHEN tokens > 0 THEN w / tokens ELSE 1.0 END AS factor FROM w{3 * sweeps}) f
+    ON t.k_source = f.k_source AND t.k_lang = f.k_lang AND '=' || t.topic = f.k_topic
+)"""
+
+
+OP4 = f"""
+WITH {mix_ctes("documents")}
+SELECT doc_id, source, lang, topic, n_tokens, round(factor, 6) AS factor, round(p, 6) AS p,
+       round(factor / p, 6) AS weight, sampled
+FROM mixed
+"""
+
 ORACLE = {
+    "op4_source_mix": OP4,
     "op2_chat_format": OP2,
     "op5_exact_dedup": OP5,
 }

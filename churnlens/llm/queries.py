@@ -8,18 +8,28 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.llm.chat import format_chats, read_back
 from churnlens.llm.digest_index import DigestIndex
 from churnlens.llm.kneser_ney import judged
 from churnlens.llm.minhash import near_duplicates
+from churnlens.llm.mixing import mixed
 from churnlens.llm.sentencepiece import encode
 from churnlens.llm.shuffle import external_shuffle, record_bytes
 from churnlens.sources.tables import read_table
 
 N_SHARDS = 40
+MIX = {
+    "rate": 0.5,
+    "seed": 4,
+    "powers": {"source": 0.5},
+    "wanted": {
+        "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2},
+        "topic": {"prose": 0.85, "license": 0.1, "table": 0.02, "symbols": 0.02, "shout": 0.01},
+    },
+}
 PIECES = os.environ.get("CORPUS_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 
 
@@ -37,6 +47,23 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def topic_of(text_col: str = "text") -> Column:
+    """The kind of text, by what stands in it (null text: prose)."""
+    has = lambda x: F.contains(F.col(text_col), F.lit(x))
+    return (
+        F.when(has("Licensed under"), "license").when(has(" | "), "table").when(has("!!"), "shout")
+        .when(has("***") | has("%%%"), "symbols").otherwise("prose")
+    )
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    rows = mixed(docs, topic_of(), **MIX)
+    return rows.select(
+        F.col("id").alias("doc_id"), "source", "lang", "topic", "n_tokens",
+        *[F.round(x, 6).alias(x) for x in ("factor", "p", "weight")], "sampled")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = DigestIndex(spark)
     return index.report(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -65,6 +92,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_format": op2_chat_format,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_source_mix": op4_source_mix,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_quality_kn": op7_quality_kn,
     "op8_shuffle_shards": op8_shuffle_shards,

@@ -13,15 +13,16 @@ components of the links.
    bucket compares its members with one pivot, on full sets. Linked classes contract to
    components. A bucket whose members are in one component is done, for no link in it can
    change the result; so a bucket with thousands of near copies costs one pass over its
-   members. In the second round buckets of up to ``SMALL`` members compare what is still
-   in different components.
+   members. In the second round buckets with up to ``SMALL`` members outside their largest
+   component compare all members of different components: at most ``SMALL`` pairs for each
+   member.
 4. What is left are large buckets of texts that are not near copies, but share a passage.
    Their members go through an exact prefix filter: with the shingles of a set ordered
    from rare to common, two linked sets share one of the first |A| - ceil(0.75 |A|) + 1.
    The common passage is at the end of that order. These finer buckets are worked off the
    same way, with the smallest set as pivot. A member leaves a bucket when what it has
    from the bucket's shingle on can no longer reach the overlap that the bucket's smallest
-   set asks for. Rounds go on until no pair is left: nothing is capped.
+   set asks for. Rounds go on until every bucket is done: nothing is capped.
 
 No bucket is ever collected: pivots and counts are aggregates, pairs are joins with at
 most ``SMALL`` rows out for each row in, and a round with one pivot makes one pair for
@@ -123,40 +124,42 @@ class _Rounds:
         self.members, self.labels, self.sets = members, labels, sets
 
     def _live(self) -> DataFrame:
-        """Members of buckets that still hold several components, with their bucket's figures."""
+        """Members of buckets that still hold several components, with their bucket's
+        pivot, its largest component and how many members that one doesn't have."""
         m = self.members.join(self.labels, "v")
-        stats = m.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("size").alias("least"),
-            F.min(F.struct("size", "v", "c", "rest")).alias("pivot"),
-        ).where("lo != hi")
+        parts = m.groupBy("key", "c").agg(
+            F.count(F.lit(1)).alias("n"), F.min("size").alias("least"), F.min(F.struct("size", "v", "c", "rest")).alias("pivot"))
+        stats = parts.groupBy("key").agg(
+            (F.sum("n") - F.max("n")).alias("minor"), F.max_by("c", "n").alias("major"),
+            F.min("least").alias("least"), F.min("pivot").alias("pivot")).where("minor > 0")
         return m.join(stats, "key").where(_reaches(F.col("rest"), F.col("size"), F.col("least")))
 
     def run(self, small: int, pivots: bool) -> bool:
-        """One round: all pairs of buckets up to ``small``; with ``pivots``, one star in each
-        larger one. Leaves the buckets that aren't done. False if there was no pair."""
+        """One round: all pairs of different components in buckets with up to ``small``
+        members outside their largest component; with ``pivots``, one star in each other
+        one. Leaves the buckets that aren't done. False if all were done before."""
         live = staged(self._live(), "live")
-        star = live.where((F.col("n") > small) & F.lit(pivots)).where(
+        if live.isEmpty():
+            return False
+        star = live.where((F.col("minor") > small) & F.lit(pivots)).where(
             (F.col("v") != F.col("pivot.v")) & (F.col("c") != F.col("pivot.c"))
             & _reaches(F.least("rest", "pivot.rest"), F.col("size"), F.col("pivot.size"))
         ).select(F.col("v").alias("a"), F.col("c").alias("ca"), F.col("pivot.v").alias("b"), F.col("pivot.c").alias("cb"))
-        few = live.where(F.col("n") <= small)
-        other = few.select("key", *[F.col(x).alias(f"o_{x}") for x in ("v", "c", "size", "rest")])
+        few = live.where(F.col("minor") <= small)
+        other = few.where("c != major").select("key", *[F.col(x).alias(f"o_{x}") for x in ("v", "c", "size", "rest")])
         cross = few.join(other, "key").where(
-            (F.col("v") < F.col("o_v")) & (F.col("c") != F.col("o_c"))
-            & _reaches(F.least("rest", "o_rest"), F.col("size"), F.col("o_size"))
+            (F.col("c") != F.col("o_c")) & _reaches(F.least("rest", "o_rest"), F.col("size"), F.col("o_size"))
         ).select(F.col("v").alias("a"), F.col("c").alias("ca"), F.col("o_v").alias("b"), F.col("o_c").alias("cb"))
         pairs = star.unionByName(cross).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
         pairs = staged(pairs.dropDuplicates(["a", "b"]), "pairs")
-        if pairs.isEmpty():
-            self.members = live.where(F.col("n") > small).select("key", "v", "size", "rest")
-            return False
-        links = linked(pairs, self.sets).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        self.labels = staged(relabel(self.labels, roots(links)), "labels")
-        left = live.where(F.col("n") > small)
+        left = live.where(F.col("minor") > small)
         if pivots:
             left = left.where(F.col("v") != F.col("pivot.v"))
         self.members = left.select("key", "v", "size", "rest")
+        if not pairs.isEmpty():
+            links = linked(pairs, self.sets).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+            self.labels = staged(relabel(self.labels, roots(links)), "labels")
         return True
 
 

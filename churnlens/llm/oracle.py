@@ -35,6 +35,24 @@ GROUP BY conv_id
 """
 
 
+# The pages' markup has one shape, which expressions can undo: the article between its
+# tags, blocks at p and h1 tags, other tags gone, references decoded (ampersand last).
+OP6 = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS body FROM pages
+), b AS (
+  SELECT page_id, url,
+         list_filter(list_transform(regexp_split_to_array(regexp_replace(body, '(?s)<!--.*?-->', '', 'g'), '</?(p|h1|article)>'),
+           lambda x: trim(regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(
+                  regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '</?[a-z][^>]*>', '', 'g'),
+                  '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#x27;', chr(39)), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks
+  FROM a
+)
+SELECT page_id, url, coalesce(array_to_string(blocks, chr(10) || chr(10)), '') AS text,
+       length(coalesce(array_to_string(blocks, chr(10) || chr(10)), '')) AS n_chars
+FROM b
+"""
+
 
 def mix_ctes(docs: str, sweeps: int = 6) -> str:
     """CTEs that end in ``mixed`` (all columns of ``docs`` and the draw), written as window
@@ -84,6 +102,7 @@ FROM mixed
 """
 
 ORACLE = {
+    "op6_html_extract": OP6,
     "op4_source_mix": OP4,
     "op2_chat_format": OP2,
     "op5_exact_dedup": OP5,

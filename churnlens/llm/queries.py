@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from churnlens.llm.chat import format_chats, read_back
 from churnlens.llm.digest_index import DigestIndex
+from churnlens.llm.html import extract
 from churnlens.llm.kneser_ney import judged
 from churnlens.llm.minhash import near_duplicates
 from churnlens.llm.mixing import mixed
@@ -69,6 +70,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.report(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return extract(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars"))
+
+
 def op7_quality_kn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return judged(docs, labels).withColumnRenamed("id", "doc_id")
@@ -94,6 +101,7 @@ QUERIES = {
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_source_mix": op4_source_mix,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_html_extract": op6_html_extract,
     "op7_quality_kn": op7_quality_kn,
     "op8_shuffle_shards": op8_shuffle_shards,
 }

@@ -101,7 +101,23 @@ SELECT doc_id, source, lang, topic, n_tokens, round(factor, 6) AS factor, round(
 FROM mixed
 """
 
+# Brute force: one distance for each pair of a query and a row.
+OP9 = """
+WITH c AS (
+  SELECT DISTINCT vec_id AS id,
+         list_aggregate(list_transform(embedding, lambda x, i: CASE WHEN x > 0 THEN 1::UBIGINT << (i - 1) ELSE 0::UBIGINT END), 'bit_or') AS code
+  FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+), d AS (
+  SELECT q.id AS query_id, r.id AS vec_id, bit_count(xor(q.code, r.code))::BIGINT AS distance
+  FROM c q JOIN c r ON q.id % 20 = 0 AND (q.id <> r.id OR q.code <> r.code)
+)
+SELECT query_id, rank, vec_id, distance
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d)
+WHERE rank <= 10
+"""
+
 ORACLE = {
+    "op9_hamming_topk": OP9,
     "op6_html_extract": OP6,
     "op4_source_mix": OP4,
     "op2_chat_format": OP2,

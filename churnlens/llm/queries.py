@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from churnlens.llm.chat import format_chats, read_back
 from churnlens.llm.digest_index import DigestIndex
+from churnlens.llm.hamming import top_k
 from churnlens.llm.html import extract
 from churnlens.llm.kneser_ney import judged
 from churnlens.llm.minhash import near_duplicates
@@ -95,6 +96,11 @@ def op8_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=10)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_format": op2_chat_format,
@@ -104,4 +110,5 @@ QUERIES = {
     "op6_html_extract": op6_html_extract,
     "op7_quality_kn": op7_quality_kn,
     "op8_shuffle_shards": op8_shuffle_shards,
+    "op9_hamming_topk": op9_hamming_topk,
 }

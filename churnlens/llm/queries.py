@@ -20,9 +20,13 @@ from churnlens.llm.minhash import near_duplicates
 from churnlens.llm.mixing import mixed
 from churnlens.llm.sentencepiece import encode
 from churnlens.llm.shuffle import external_shuffle, record_bytes
+from churnlens.llm.urls import judge
 from churnlens.sources.tables import read_table
 
 N_SHARDS = 40
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+# fixed values: words in a host that label its urls as bad, the source of labelled urls
+BAD_HOST_WORDS = ["spam", "adult", "casino", "pills", "bets", "track", "ads"]
 MIX = {
     "rate": 0.5,
     "seed": 4,
@@ -101,6 +105,12 @@ def op9_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = F.col("host").rlike(f"(^|[^a-z0-9])({'|'.join(BAD_HOST_WORDS)})([^a-z0-9]|$)")
+    found = judge(read_table(spark, sf_dir, "pages"), URL_RULES, bad)
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", F.round("p", 6).alias("p_bad"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_format": op2_chat_format,
@@ -111,4 +121,5 @@ QUERIES = {
     "op7_quality_kn": op7_quality_kn,
     "op8_shuffle_shards": op8_shuffle_shards,
     "op9_hamming_topk": op9_hamming_topk,
+    "op10_url_filter": op10_url_filter,
 }

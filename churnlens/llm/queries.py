@@ -72,7 +72,9 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = DigestIndex(spark)
-    return index.report(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    rows = index.report(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    index.drop()  # the catalogue's name only
+    return rows
 
 
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

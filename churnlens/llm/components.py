@@ -43,6 +43,6 @@ def _follow(known: DataFrame, step: DataFrame) -> DataFrame:
 
 
 def relabel(labels: DataFrame, found: DataFrame) -> DataFrame:
-    """``labels`` (v, c) with c replaced by its root in ``found``."""
+    """``labels`` (v, c, ...) with c replaced by its root in ``found``."""
     to = found.select(F.col("v").alias("c"), F.col("root"))
-    return labels.join(to, "c", "left").select("v", F.coalesce("root", "c").alias("c"))
+    return labels.join(to, "c", "left").withColumn("c", F.coalesce("root", "c")).select(labels.columns)

@@ -9,18 +9,16 @@ components of the links.
    with probability (1 - 0.75**4)**32 = 5e-6; more similar ones far less.
 2. Documents with equal sets are one class, the vertex of all that follows: thousands of
    copies are one row.
-3. Buckets (band keys with several classes) are worked off in rounds. In the first, each
-   bucket compares its members with one pivot, on full sets. Linked classes contract to
-   components. A bucket whose members are in one component is done, for no link in it can
-   change the result; so a bucket with thousands of near copies costs one pass over its
-   members. In the second round buckets with up to ``SMALL`` members outside their largest
-   component compare all members of different components: at most ``SMALL`` pairs for each
-   member.
-4. What is left are large buckets of texts that are not near copies, but share a passage.
-   Their members go through an exact prefix filter: with the shingles of a set ordered
-   from rare to common, two linked sets share one of the first |A| - ceil(0.75 |A|) + 1.
-   The common passage is at the end of that order. These finer buckets are worked off the
-   same way, with the smallest set as pivot. A member leaves a bucket when what it has
+3. Each bucket (a band key with several classes) compares its members with its most
+   popular one, on full sets; linked classes contract to components. A bucket whose
+   members are in one component is done, for no link in it can change the result: a bucket
+   with thousands of near copies costs one pass over its members.
+4. The members of all other buckets, most of them texts that share a passage and are no
+   copies, go through an exact prefix filter: with the shingles of a set ordered from rare
+   to common, two linked sets share one of the first |A| - ceil(0.75 |A|) + 1. The common
+   passage is at the end of that order. These finer buckets are worked off in rounds: those
+   with up to ``SMALL`` members outside their largest component compare all members of
+   different components, the others one pivot. A member leaves a bucket when what it has
    from the bucket's shingle on can no longer reach the overlap that the bucket's smallest
    set asks for. Rounds go on until every bucket is done: nothing is capped.
 
@@ -51,7 +49,8 @@ from churnlens.llm.common import col_of, free_name, staged, text_slices
 from churnlens.llm.components import relabel, roots
 
 BANDS, BAND_ROWS = 32, 4
-SMALL = 16
+SMALL = 128
+FEW_PAIRS = 200_000  # pairs of two digests that are broadcast
 
 _SIGNED = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("h", T.LongType()), T.StructField("n", T.LongType()),
@@ -110,7 +109,12 @@ def _reaches(overlap, a, b):
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The rows of ``pairs`` (a, b, ...) whose full sets are similar enough."""
-    side = lambda x: sets.select(F.col("v").alias(x), F.col("items").alias(f"{x}_items"))
+    few = pairs.count() <= FEW_PAIRS
+
+    def side(x: str) -> DataFrame:
+        items = sets.select(F.col("v").alias(x), F.col("items").alias(f"{x}_items"))
+        return items.join(F.broadcast(pairs.select(x)), x, "left_semi") if few else items  # shuffle only what is compared
+
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     overlap = F.size(F.array_intersect("a_items", "b_items"))
     return both.where(_reaches(overlap, F.size("a_items"), F.size("b_items"))).select(pairs.columns)
@@ -118,30 +122,32 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 class _Rounds:
     """Works off buckets: members (key, v, size, rest) with rest the largest overlap that
-    a member can have with one that shares the key."""
+    a member can have with one that shares the key; labels (v, c, pop) with the component
+    and the popularity, the number of others in a class's buckets. The most popular member
+    of a bucket is its pivot: the text that most copies in it were made from."""
 
     def __init__(self, members: DataFrame, labels: DataFrame, sets: DataFrame):
         self.members, self.labels, self.sets = members, labels, sets
 
-    def _live(self) -> DataFrame:
+    def left(self) -> DataFrame:
         """Members of buckets that still hold several components, with their bucket's
         pivot, its largest component and how many members that one doesn't have."""
         m = self.members.join(self.labels, "v")
         parts = m.groupBy("key", "c").agg(
-            F.count(F.lit(1)).alias("n"), F.min("size").alias("least"), F.min(F.struct("size", "v", "c", "rest")).alias("pivot"))
+            F.count(F.lit(1)).alias("n"), F.min("size").alias("least"), F.max(F.struct("pop", "v", "c", "size", "rest")).alias("pivot"))
         stats = parts.groupBy("key").agg(
             (F.sum("n") - F.max("n")).alias("minor"), F.max_by("c", "n").alias("major"),
-            F.min("least").alias("least"), F.min("pivot").alias("pivot")).where("minor > 0")
+            F.min("least").alias("least"), F.max("pivot").alias("pivot")).where("minor > 0")
         return m.join(stats, "key").where(_reaches(F.col("rest"), F.col("size"), F.col("least")))
 
-    def run(self, small: int, pivots: bool) -> bool:
+    def run(self, small: int) -> bool:
         """One round: all pairs of different components in buckets with up to ``small``
-        members outside their largest component; with ``pivots``, one star in each other
-        one. Leaves the buckets that aren't done. False if all were done before."""
-        live = staged(self._live(), "live")
+        members outside their largest component, one star in each other one. Leaves the
+        members that aren't done. False if all were done before."""
+        live = staged(self.left(), "live")
         if live.isEmpty():
             return False
-        star = live.where((F.col("minor") > small) & F.lit(pivots)).where(
+        star = live.where(F.col("minor") > small).where(
             (F.col("v") != F.col("pivot.v")) & (F.col("c") != F.col("pivot.c"))
             & _reaches(F.least("rest", "pivot.rest"), F.col("size"), F.col("pivot.size"))
         ).select(F.col("v").alias("a"), F.col("c").alias("ca"), F.col("pivot.v").alias("b"), F.col("pivot.c").alias("cb"))
@@ -153,9 +159,7 @@ class _Rounds:
         pairs = star.unionByName(cross).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
         pairs = staged(pairs.dropDuplicates(["a", "b"]), "pairs")
-        left = live.where(F.col("minor") > small)
-        if pivots:
-            left = left.where(F.col("v") != F.col("pivot.v"))
+        left = live.where((F.col("minor") > small) & (F.col("v") != F.col("pivot.v")))
         self.members = left.select("key", "v", "size", "rest")
         if not pairs.isEmpty():
             links = linked(pairs, self.sets).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
@@ -164,14 +168,15 @@ class _Rounds:
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """Members of the prefix buckets of ``sets``: key (a shingle), v, size, rest."""
+    """Members of the prefix buckets of ``sets``: key (a shingle), v, size, rest. Shingles
+    of one set only come first in the order and make no bucket: they are only counted."""
     items = sets.select("v", "size", F.explode("items").alias("key"))
     common = items.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ordered = items.join(common, "key", "left").groupBy("v", "size").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "key"))).alias("o"))
-    length = F.expr("size - ceil(0.75 * size) + 1").cast("int")
-    head = ordered.select("v", "size", F.posexplode(F.slice("o", F.lit(1), length)))
-    return head.where("col.df > 1").select("col.key", "v", "size", (F.col("size") - F.col("pos")).alias("rest"))
+    ordered = items.join(common, "key").groupBy("v", "size").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("o"))
+    alone = F.col("size") - F.size("o")
+    ordered = ordered.withColumn("alone", alone).withColumn("n", F.expr("cast(size - ceil(0.75 * size) + 1 - alone as int)"))
+    head = ordered.where("n > 0").select("v", "size", "alone", F.posexplode(F.slice("o", F.lit(1), F.col("n"))))
+    return head.select("col.key", "v", "size", (F.col("size") - F.col("alone") - F.col("pos")).alias("rest"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -180,20 +185,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = docs.where("v IS NOT NULL").groupBy("v").agg(
         F.min("id").alias("id"), F.first("n").alias("size"), F.first("bands").alias("bands"))
     member = classes.select("v", "id", "size", F.explode("bands").alias("key"))
-    shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
+    shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     members = staged(member.join(shared, "key"), "members")
-    wanted = staged(members.groupBy("v").agg(F.min("id").alias("id")), "wanted")
+    wanted = staged(members.groupBy("v").agg(F.min("id").alias("id"), F.sum("m").alias("pop")), "wanted")
     sets = staged(sets_of(df, wanted, id_col, text_col), "sets")
 
     rounds = _Rounds(
         members.select("key", "v", "size", F.col("size").alias("rest")),
-        wanted.select("v", F.col("v").alias("c")), sets)
-    if rounds.run(small=0, pivots=True) and rounds.run(small=SMALL, pivots=False):
-        rest = staged(rounds.members.select("v").distinct(), "rest")
-        if not rest.isEmpty():
-            rounds.members = staged(_prefixes(sets.join(rest, "v", "left_semi")), "prefixes")
-            while rounds.run(small=SMALL, pivots=True):
-                pass
+        wanted.select("v", F.col("v").alias("c"), "pop"), sets)
+    if rounds.run(small=0):
+        rest = staged(rounds.left().select("v").distinct(), "rest")
+        rounds.members = staged(_prefixes(sets.join(rest, "v", "left_semi")), "prefixes")
+        while rounds.run(small=SMALL):
+            pass
 
     group = rounds.labels.join(wanted, "v")
     least = group.groupBy("c").agg(F.min("id").alias("least"))

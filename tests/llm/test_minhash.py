@@ -8,38 +8,15 @@ from churnlens.llm import minhash, shingles
 from churnlens.llm.minhash import keep_one, near_duplicates
 from churnlens.sources.tables import read_table
 
-SF = "/root/testdata/sf0.001"
-
-
-def plain_set(text):
-    words = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in __import__("re").findall(r"[^\x20\x09-\x0D]+", text or "")]
-    if not words:
-        return frozenset()
-    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
-
+from .plain import near_groups
 
-def brute(rows):
-    """{id: component} by comparing all pairs."""
-    sets = [(i, plain_set(t)) for i, t in rows]
-    parent = {i: i for i, _ in sets}
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for k, (i, a) in enumerate(sets):
-        for j, b in sets[k + 1 :]:
-            if a and b and 100 * len(a & b) >= 75 * len(a | b):
-                x, y = find(i), find(j)
-                parent[max(x, y)] = min(x, y)
-    return {i: (len(s), find(i)) for i, s in sets}
+SF = "/root/testdata/sf0.001"
 
 
 def check(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.id: (r.n_shingles, r.component_id) for r in near_duplicates(df).collect()}
-    assert got == brute(rows)
+    assert got == near_groups(rows)
 
 
 def test_small_table(spark):

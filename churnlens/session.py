@@ -6,11 +6,15 @@ The library never creates a global session; jobs take the caller's
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
 
+_scratch: dict[str, str] = {}  # application id -> its scratch folder (local sessions only)
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session with the settings the tests and bench rely on."""
@@ -24,7 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("CHURNLENS_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("CHURNLENS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -34,18 +38,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """The folder for stages and checkpoints.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (tests, local runs) a scratch folder is
-    created and registered.
+    On a cluster ``spark.checkpoint.dir`` names a folder that all executors
+    share; without it a job stops here. Only a ``local`` session without the
+    setting gets a scratch folder: one for the application, removed at exit.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="churnlens-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # noqa: BLE001 -- core conf not settable at run time
-            pass
+        sc = spark.sparkContext
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = _scratch.get(sc.applicationId)
+        if path is None:
+            path = _scratch[sc.applicationId] = tempfile.mkdtemp(prefix="churnlens-ckpt-")
+            atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(path)
     return path

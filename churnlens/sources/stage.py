@@ -2,7 +2,8 @@
 checkpoint folder as parquet and read it back, cutting the lineage.
 
 The folder comes from ``spark.checkpoint.dir`` (the cluster's shared
-storage); a scratch folder is registered only when it is unset.
+storage); only a local session without the setting gets a scratch folder of
+its own (see ``session.ensure_checkpoint_dir``).
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/churnlens-stage/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -46,7 +46,7 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(col_of(name).cast("string"), F.lit(""))
 
 
-def text_slices(rec: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(rec: pa.RecordBatch, column: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``most`` bytes of text each (a longer text stands
     alone), so that what a task holds doesn't depend on how long the rows are."""
     sizes = pc.fill_null(pc.binary_length(rec.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -53,7 +53,7 @@ SHARD_ROWS = 2_000_000  # some 30 MB in a worker
 HELD_OUT = 5
 FENCE, PRIOR_UNITS, WINDOW = 6.0, 200.0, 128
 LEAST_SPREAD = {"score": 0.05, "uneven": 0.045}
-FLUSH_GRAMS = 1 << 20
+FLUSH_GRAMS = 1 << 19
 U64 = np.uint64
 
 _COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("g", T.LongType()), T.StructField("c", T.LongType())])
@@ -98,7 +98,7 @@ def gram_counts(trusted: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                 yield pa.record_batch([pa.array([name] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts)], names=_COUNTS.names)
 
         for rec in rows:
-            for part in text_slices(rec, 0, 4 << 20):
+            for part in text_slices(rec, 0):
                 for name, texts in _by_lang(part, 0, 1).items():
                     grams, counts = np.unique(_units([t for _, t in texts])[0], return_counts=True)
                     held.setdefault(name, []).append((grams, counts))
@@ -275,7 +275,7 @@ def score(df: DataFrame, model: DataFrame, text_col: str, lang_col: str, nll: st
         def batches(recs, shared=shared, shard=shard):
             scorers: dict = {}
             for rec in recs:
-                for part in text_slices(rec, text_at, 2 << 20):
+                for part in text_slices(rec, text_at):
                     total, length, sums = (part.column(i).to_pylist() for i in new_at)
                     for name, texts in _by_lang(part, text_at, lang_at).items():
                         if name not in shared.value:

@@ -46,7 +46,7 @@ NORMAL, UNKNOWN, BYTE = 1, 2, 6  # piece types of the public model format
 UNK_PENALTY = 10.0  # the format's: an unknown character scores this much below the worst piece
 FIXED = float(1 << 20)  # fixed-point unit of a score
 LANE_BYTES = 64
-CACHE_SEGMENTS = 600_000
+CACHE_SEGMENTS = 300_000
 LANES = 20_000  # segments encoded at once
 
 

@@ -15,7 +15,7 @@ _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x
 _LENGTH = _MULT[SHINGLE] * np.arange(SHINGLE + 1, dtype=U64)
 SIGMA_SEED = U32(0x5BD1E995)
 CHUNK = 1 << 15  # shingles whose signature is made at once: fits a core's cache
-WORDS_CACHED = 400_000
+WORDS_CACHED = 200_000
 
 
 class _Words(dict):

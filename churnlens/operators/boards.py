@@ -4,10 +4,13 @@ F15, F16, J18, J20, P18, P19, X13)."""
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.functions.quantiles import exact_quantiles
+
 CUST = "CUSTOMER_SHIPTO"
 MONTH = "POSTING_DATE"
 STATUS = "RISK_STATUS"
@@ -70,16 +73,20 @@ def status_countd(table: DataFrame) -> DataFrame:
     return _not_growth(table).groupBy(STATUS).agg(F.count_distinct(CUST).alias("customers"))
 
 
+def _average(df: DataFrame, measures: Sequence[str]) -> DataFrame:
+    return df.groupBy(F.trunc(MONTH, "MM").alias(MONTH), STATUS).agg(*[F.avg(m).alias(f"avg_{m.lower()}") for m in measures])
+
+
 def status_avg(table: DataFrame, as_of: dt.date, months: int = 12) -> DataFrame:
-    """Averages by month and status over the last ``months`` months."""
-    df = _last_months(table, as_of, months)
-    return df.groupBy(F.trunc(MONTH, "MM").alias(MONTH), STATUS).agg(
-        F.avg("RENTAL_SALES").alias("avg_rental_sales"),
-        F.avg("PRODUCT_SALES").alias("avg_product_sales"),
-        F.avg("CCH").alias("avg_cch"),
-        F.avg("DELIVERY").alias("avg_delivery"),
-        F.avg("Holidays").alias("avg_holidays"),
-    )
+    """Average product sales, CCH and deliveries by month and status over
+    the last ``months`` months, growth excluded."""
+    return _average(_last_months(_not_growth(table), as_of, months), ["PRODUCT_SALES", "CCH", "DELIVERY"])
+
+
+def status_rental_avg(table: DataFrame) -> DataFrame:
+    """Average rental sales by month and status, growth excluded, over
+    all months (this sheet has no date filter)."""
+    return _average(_not_growth(table), ["RENTAL_SALES"])
 
 
 def pct_diff(value: Column, base: Column) -> Column:
@@ -87,13 +94,46 @@ def pct_diff(value: Column, base: Column) -> Column:
     return F.try_divide(value - base, F.abs(base))
 
 
-def status_median_pct(table: DataFrame, as_of: dt.date, months: int = 12) -> DataFrame:
-    """A33 + W12: exact median CCH by (month, status), growth excluded, and
-    its percent difference from the status's first month."""
-    df = _last_months(_not_growth(table), as_of, months)
-    med = df.groupBy(MONTH, STATUS).agg(F.median("CCH").alias("median_cch"))
+def _first(value: str) -> Column:
+    """The status's value in its first month: the base of every comparison."""
     w = Window.partitionBy(STATUS).orderBy(MONTH).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return med.withColumn("pct_diff", pct_diff(F.col("median_cch"), F.first("median_cch").over(w)))
+    return F.first(value).over(w)
+
+
+def _compounded(value: str) -> Column:
+    """Growth a period since the first month: (v / first)^(1 / (k - 1)) - 1
+    for the k-th month."""
+    k = F.row_number().over(Window.partitionBy(STATUS).orderBy(MONTH))
+    ratio = F.try_divide(F.col(value), _first(value))
+    return F.when((k > 1) & (ratio > 0), F.pow(ratio, F.lit(1.0) / (k - 1)) - 1)
+
+
+def _median(df: DataFrame, value: str) -> DataFrame:
+    q = exact_quantiles(df.withColumn(MONTH, F.trunc(MONTH, "MM")), [MONTH, STATUS], F.col(value), [0.5])
+    return q.select(MONTH, STATUS, F.col("q")[0].alias(f"median_{value.lower()}"))
+
+
+def status_median_pct(table: DataFrame, as_of: dt.date, months: int = 16) -> DataFrame:
+    """A33 + W12: exact median CCH by (month, status) over the last ``months``
+    months, growth excluded, and its percent difference from the status's
+    first month."""
+    med = _median(_last_months(_not_growth(table), as_of, months), "CCH")
+    return med.withColumn("pct_diff", pct_diff(F.col("median_cch"), _first("median_cch")))
+
+
+def status_median_growth(table: DataFrame, as_of: dt.date, months: int = 12) -> DataFrame:
+    """Compound growth of the exact median CCH over the last ``months``
+    months, growth excluded."""
+    med = _median(_last_months(_not_growth(table), as_of, months), "CCH")
+    return med.withColumn("compound_growth", _compounded("median_cch"))
+
+
+def status_sales_pct(table: DataFrame, as_of: dt.date, months: int = 12) -> DataFrame:
+    """Average product sales by month and status, their percent
+    difference from the status's first month, and the average holidays (the
+    size mark); last ``months`` months, growth excluded."""
+    avg = _average(_last_months(_not_growth(table), as_of, months), ["PRODUCT_SALES", "Holidays"])
+    return avg.withColumn("pct_diff", pct_diff(F.col("avg_product_sales"), _first("avg_product_sales")))
 
 
 def blend(primary: DataFrame, secondary: DataFrame, link: list[str], measures: dict[str, Column]) -> DataFrame:
@@ -103,7 +143,7 @@ def blend(primary: DataFrame, secondary: DataFrame, link: list[str], measures: d
     return primary.join(agg, link, "left")
 
 
-def status_blend(table: DataFrame, scores: DataFrame, as_of: dt.date, months: int = 12,
+def status_blend(table: DataFrame, scores: DataFrame, as_of: dt.date, months: int = 16,
                  score_col: str = "At_Risk_Score__c") -> DataFrame:
     """Sheet with MEDIAN CCH by (month, status) blended with the secondary
     status source's average score on the month link."""
@@ -113,15 +153,8 @@ def status_blend(table: DataFrame, scores: DataFrame, as_of: dt.date, months: in
 
 
 def status_growth(table: DataFrame) -> DataFrame:
-    """Compound monthly growth of average CCH against the status's first
-    month: (v / first)^(1 / (k - 1)) - 1 for the k-th month."""
-    avg = _not_growth(table).groupBy(F.trunc(MONTH, "MM").alias(MONTH), STATUS).agg(F.avg("CCH").alias("avg_cch"))
-    w = Window.partitionBy(STATUS).orderBy(MONTH)
-    first = F.first("avg_cch").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    k = F.row_number().over(w)
-    ratio = F.try_divide(F.col("avg_cch"), first)
-    growth = F.when((k > 1) & (ratio > 0), F.pow(ratio, F.lit(1.0) / (k - 1)) - 1)
-    return avg.withColumn("compound_growth", growth)
+    """Compound monthly growth of average CCH, growth excluded."""
+    return _average(_not_growth(table), ["CCH"]).withColumn("compound_growth", _compounded("avg_cch"))
 
 
 def score_bins(scores: DataFrame, score_col: str = "risk_score", size: int = 10) -> DataFrame:

@@ -6,9 +6,11 @@ splits are hash-based (repeatable, no global sort); metrics are aggregates.
 
 from __future__ import annotations
 
+import math
 import statistics
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -17,6 +19,9 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.functions.quantiles import exact_quantiles
+
+RANK_TOLERANCE = 1e-10
 CUST = "CUSTOMER_SHIPTO"
 MONTH = "POSTING_DATE"
 
@@ -80,10 +85,13 @@ def training_set(features: DataFrame, bt_wide: DataFrame) -> DataFrame:
 
 
 def horizon_models(train: DataFrame, variables: Sequence[str] = VARIABLES, seed: int = 42,
-                   max_iter: int = 50, max_depth: int = 4) -> list[PipelineModel]:
+                   max_iter: int = 50, max_depth: int = 4, validation_pct: int = 10) -> list[PipelineModel]:
     """M7: one gradient-boosted regressor per horizon (target CCH_shift_h);
-    rows with a null target are dropped for that horizon."""
-    data = clean_numeric(train, variables)
+    rows with a null target are dropped for that horizon. Boosting ends before
+    ``max_iter`` rounds when the error on the validation rows (a hash split by
+    customer and month) no longer falls by a hundredth."""
+    bucket = F.pmod(F.xxhash64(F.col(CUST), F.col(MONTH), F.lit(seed + 1)), F.lit(100))
+    data = clean_numeric(train, variables).withColumn("_validation", bucket < validation_pct)
     models = []
     for h in range(1, 7):
         target = f"CCH_shift_{h}"
@@ -91,7 +99,7 @@ def horizon_models(train: DataFrame, variables: Sequence[str] = VARIABLES, seed:
         pipe = Pipeline(stages=[
             VectorAssembler(inputCols=list(variables), outputCol="features", handleInvalid="keep"),
             GBTRegressor(featuresCol="features", labelCol="label", predictionCol=f"pred{h}",
-                         maxIter=max_iter, maxDepth=max_depth, seed=seed),
+                         maxIter=max_iter, maxDepth=max_depth, seed=seed, validationIndicatorCol="_validation"),
         ])
         models.append(pipe.fit(d))
     return models
@@ -168,40 +176,95 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
 
 
 def ols_pvalues(snap: DataFrame, features: Sequence[str] = PURCHASE_FEATURES) -> tuple[DataFrame, DataFrame]:
-    """OLS of purchase on the features with intercept (normal
-    equations): coefficient, std error, t and p per term; plus fitted values
-    and residuals."""
+    """OLS of purchase on the features with intercept: coefficient, std
+    error, t and two-sided p per term; plus fitted values and residuals.
+
+    One aggregate gives the cross products (a matrix as large as the number of
+    terms, whatever the rows); the coefficients are its pseudo-inverse times
+    X'y, so equal or dependent features share their effect in the least-norm
+    solution and have standard errors too. t has n - rank degrees of freedom.
+    """
     spark = snap.sparkSession
-    data = _assemble(clean_numeric(snap, features), features).withColumn("label", F.col("purchase").cast("double"))
-    model = LinearRegression(featuresCol="features", labelCol="label", solver="normal", regParam=0.0).fit(data)
-    s = model.summary
-    names = list(features) + ["const"]
-    coefs = list(model.coefficients) + [model.intercept]
-    try:
-        se, tv, pv = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
-    except Exception:  # noqa: BLE001 -- singular design: no standard errors
-        se = tv = pv = [None] * len(names)
-    table = spark.createDataFrame(
-        [(n, float(c), *(None if v is None else float(v) for v in (a, b, c2))) for n, c, a, b, c2 in zip(names, coefs, se, tv, pv)],
-        "variable string, coef double, std_err double, t double, p_value double",
-    )
-    fitted = model.transform(data).select("SNAPSHOT", "CUSTOMER_NUMBER", F.col("prediction").alias("fitted"),
-                                          (F.col("label") - F.col("prediction")).alias("resid"))
-    return table, fitted
+    names = [*features, "const"]
+    data = clean_numeric(snap, features).withColumn("label", F.col("purchase").cast("double"))
+    # columns are scaled by their root mean square first: the rank is judged on one scale
+    terms = {f: F.col(f) for f in features} | {"const": F.lit(1.0)}
+    rms = data.agg(*[F.sqrt(F.avg(x * x)).alias(n) for n, x in terms.items()]).first()
+    scale = [float(rms[n] or 0.0) or 1.0 for n in names]
+    z = [x / s for x, s in zip(terms.values(), scale)]
+    cross = data.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("label") * F.col("label")).alias("yy"),
+        *[F.sum(z[i] * z[j]).alias(f"x{i}_{j}") for i in range(len(z)) for j in range(i, len(z))],
+        *[F.sum(z[i] * F.col("label")).alias(f"y{i}") for i in range(len(z))],
+    ).first()
+    k, n = len(names), cross["n"]
+    xx = np.array([[float(cross[f"x{min(i, j)}_{max(i, j)}"] or 0.0) for j in range(k)] for i in range(k)])
+    xy = np.array([float(cross[f"y{i}"] or 0.0) for i in range(k)])
+    inverse = np.linalg.pinv(xx, rcond=RANK_TOLERANCE, hermitian=True)
+    rank = int(np.linalg.matrix_rank(xx, tol=RANK_TOLERANCE * max(np.abs(np.linalg.eigvalsh(xx)).max(), 1e-300), hermitian=True))
+    coef = inverse @ xy
+    rss = max(float(cross["yy"] or 0.0) - float(coef @ xy), 0.0)
+    free = n - rank
+    se = np.sqrt(np.clip(np.diag(inverse), 0, None) * rss / free) if free > 0 else np.full(k, np.nan)
+    table = []
+    for name, c, e, s in zip(names, coef, se, scale):
+        c, e = c / s, e / s
+        t = float(c / e) if e > 0 else None
+        table.append((name, float(c), None if math.isnan(e) else float(e), t, None if t is None else student_t_two_sided(t, free)))
+    fitted_col = F.lit(0.0)
+    for name, c, s in zip(names, coef, scale):
+        fitted_col = fitted_col + F.lit(float(c / s)) * terms[name]
+    fitted = data.select("SNAPSHOT", "CUSTOMER_NUMBER", fitted_col.alias("fitted"), (F.col("label") - fitted_col).alias("resid"))
+    return spark.createDataFrame(table, "variable string, coef double, std_err double, t double, p_value double"), fitted
+
+
+def student_t_two_sided(t: float, df: int) -> float:
+    """P(|T| >= |t|) for Student's t: the regularised incomplete beta function
+    I_x(df / 2, 1 / 2) at x = df / (df + t^2), by its continued fraction."""
+    x = df / (df + t * t)
+    a, b = df / 2.0, 0.5
+    if x >= 1.0:
+        return 1.0
+    if x <= 0.0:
+        return 0.0
+    if x > (a + 1) / (a + b + 2):
+        return 1.0 - _beta_fraction(b, a, 1.0 - x)
+    return _beta_fraction(a, b, x)
+
+
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    c, d = 1.0, 0.0
+    value = 1.0
+    for m in range(400):
+        if m == 0:
+            step = 1.0
+        elif m % 2 == 0:
+            k = m // 2
+            step = k * (b - k) * x / ((a + 2 * k - 1) * (a + 2 * k))
+        else:
+            k = (m - 1) // 2
+            step = -(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1))
+        d = 1.0 + step * d
+        d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
+        c = 1.0 + step / (c if abs(c) > 1e-300 else 1e-300)
+        value *= c * d
+        if m and abs(1.0 - c * d) < 1e-15:
+            break
+    return front * (value - 1.0)
 
 
 def residual_quantiles(fitted: DataFrame, probs: Sequence[float] | None = None) -> DataFrame:
-    """Q-Q data: quantiles of the standardised residuals against the
-    standard normal quantiles at the same probabilities."""
+    """Q-Q data: exact quantiles of the standardised residuals against
+    the standard normal quantiles at the same probabilities."""
     probs = list(probs or [i / 100 for i in range(1, 100)])
     spark = fitted.sparkSession
     m = fitted.select(F.avg("resid")).scalar()
     sd = fitted.select(F.stddev_samp("resid")).scalar()
-    z = fitted.select(((F.col("resid") - m) / sd).alias("z"))
-    q = z.select(F.percentile("z", probs)).scalar()
+    q = exact_quantiles(fitted, [], (F.col("resid") - m) / sd, probs).select(F.posexplode("q").alias("i", "sample_q"))
     nd = statistics.NormalDist()
     theo = spark.createDataFrame([(i, p, nd.inv_cdf(p)) for i, p in enumerate(probs)], "i int, p double, normal_q double")
-    return theo.select("p", "normal_q", F.element_at(q, F.col("i") + 1).alias("sample_q"))
+    return theo.join(q, "i").select("p", "normal_q", "sample_q")
 
 
 def forest_importance(snap: DataFrame, features: Sequence[str] = PURCHASE_FEATURES, seed: int = 42,
@@ -220,10 +283,11 @@ def forest_importance(snap: DataFrame, features: Sequence[str] = PURCHASE_FEATUR
 
 
 def permutation_importance(model, snap: DataFrame, features: Sequence[str] = PURCHASE_FEATURES,
-                           seed: int = 42, block_rows: int = 50_000) -> DataFrame:
+                           seed: int = 42, blocks: int = 512) -> DataFrame:
     """Accuracy drop when one feature is permuted across the test rows.
 
-    Rows are spread over hash blocks. Within a block, feature j's values are
+    Rows are spread over a fixed number of hash blocks (a parameter, the same
+    for any number of rows). Within a block, feature j's values are
     re-dealt by a seeded hash order: the row ranked r by key receives the
     value ranked r by the feature's hash. All features' permuted values come
     from one exploded table and one join, and every permuted copy plus the
@@ -232,9 +296,7 @@ def permutation_importance(model, snap: DataFrame, features: Sequence[str] = PUR
     data = clean_numeric(snap, features).withColumn("label", F.col("purchase").cast("double"))
     _, test = hash_split(data, ["SNAPSHOT", "CUSTOMER_NUMBER"], 20, seed)
     key = [F.col("SNAPSHOT"), F.col("CUSTOMER_NUMBER")]
-    # blocks of about ``block_rows`` rows: the permutation windows stay small
-    blocks = F.greatest(F.lit(1), F.ceil(test.select(F.count(F.lit(1))).scalar() / block_rows))
-    test = test.withColumn("_blk", F.pmod(F.xxhash64(*key), blocks)).withColumn("_k", F.xxhash64(*key))
+    test = test.withColumn("_blk", F.pmod(F.xxhash64(*key), F.lit(blocks))).withColumn("_k", F.xxhash64(*key))
     blk = Window.partitionBy("_blk")
     ranked = test.select(
         "*",

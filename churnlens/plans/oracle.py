@@ -636,52 +636,6 @@ register(
 # --------------------------------------------------------------------------
 # Dashboards, labels, present value, profiles
 # --------------------------------------------------------------------------
-def status_ctes() -> str:
-    return (
-        f"{fit_ctes()},\n"
-        f"yes AS ({fx.ACTION_YES_SQL}),\nno AS ({fx.ACTION_NO_SQL}),\n"
-        "act AS (SELECT DISTINCT c.CUSTOMER_SHIPTO, CASE WHEN c.CUSTOMER_SHIPTO IN (SELECT SAPCustomerNumber__c FROM no) THEN 0"
-        " WHEN c.CUSTOMER_SHIPTO IN (SELECT SAPCustomerNumber__c FROM yes) THEN 1 END AS action"
-        " FROM (SELECT DISTINCT CUSTOMER_SHIPTO FROM feat) c),\n"
-        f"sc AS (SELECT fit.CUSTOMER_SHIPTO, {fx.STATUS_SCORE_EXPR} AS s, act.action FROM fit LEFT JOIN act USING (CUSTOMER_SHIPTO)),\n"
-        "st AS (SELECT CUSTOMER_SHIPTO, CASE WHEN s > 65 AND action = 1 THEN 'risk_check' WHEN s > 65 THEN 'risk_uncheck'"
-        " WHEN s < 45 THEN 'growth' END AS RISK_STATUS FROM sc),\n"
-        "tbl AS (SELECT feat.*, st.RISK_STATUS FROM feat LEFT JOIN st USING (CUSTOMER_SHIPTO)),\n"
-        f"last12 AS (SELECT * FROM tbl WHERE POSTING_DATE IS NOT NULL AND POSTING_DATE >= CAST({d(AS_OF)} - INTERVAL 11 MONTH AS DATE))"
-    )
-
-
-register(
-    "status_countd",
-    f"{status_ctes()}\nSELECT RISK_STATUS, count(DISTINCT CUSTOMER_SHIPTO) AS customers FROM tbl"
-    " WHERE RISK_STATUS IS DISTINCT FROM 'growth' GROUP BY RISK_STATUS",
-)
-register(
-    "status_avg",
-    f"{status_ctes()}\nSELECT CAST(date_trunc('month', POSTING_DATE) AS DATE) AS POSTING_DATE, RISK_STATUS,"
-    " round(avg(RENTAL_SALES), 6) AS avg_rental_sales, round(avg(PRODUCT_SALES), 6) AS avg_product_sales,"
-    " round(avg(CCH), 6) AS avg_cch, round(avg(DELIVERY), 6) AS avg_delivery, round(avg(Holidays), 6) AS avg_holidays"
-    " FROM last12 GROUP BY 1, 2",
-)
-register(
-    "status_median_pct",
-    f"{status_ctes()},\nmed AS (SELECT POSTING_DATE, RISK_STATUS, median(CCH) AS median_cch FROM last12"
-    " WHERE RISK_STATUS IS DISTINCT FROM 'growth' GROUP BY 1, 2)\n"
-    "SELECT POSTING_DATE, RISK_STATUS, round(median_cch, 6) AS median_cch,"
-    " round(CASE WHEN first_value(median_cch) OVER w = 0 THEN NULL ELSE (median_cch - first_value(median_cch) OVER w)"
-    " / abs(first_value(median_cch) OVER w) END, 6) AS pct_diff FROM med"
-    " WINDOW w AS (PARTITION BY RISK_STATUS ORDER BY POSTING_DATE ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)",
-)
-register(
-    "status_growth",
-    f"{status_ctes()},\ng AS (SELECT CAST(date_trunc('month', POSTING_DATE) AS DATE) AS POSTING_DATE, RISK_STATUS,"
-    " avg(CCH) AS avg_cch FROM tbl WHERE RISK_STATUS IS DISTINCT FROM 'growth' GROUP BY 1, 2),\n"
-    "g2 AS (SELECT *, CASE WHEN first_value(avg_cch) OVER wf = 0 THEN NULL ELSE avg_cch / first_value(avg_cch) OVER wf END AS ratio,"
-    " row_number() OVER w AS k FROM g WINDOW w AS (PARTITION BY RISK_STATUS ORDER BY POSTING_DATE),"
-    " wf AS (PARTITION BY RISK_STATUS ORDER BY POSTING_DATE ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))\n"
-    "SELECT POSTING_DATE, RISK_STATUS, round(avg_cch, 6) AS avg_cch,"
-    " round(CASE WHEN k > 1 AND ratio > 0 THEN pow(ratio, 1.0 / (k - 1)) - 1 END, 6) AS compound_growth FROM g2",
-)
 register(
     "rental_type",
     f"WITH {panel_ctes()}\nSELECT CASE WHEN DAILY_RENT > 0 THEN 'Daily' WHEN MONTHLY_RENT > 0 THEN 'Monthly' ELSE 'Others' END"
@@ -697,9 +651,9 @@ register(
 register(
     "action_labels",
     f"WITH {panel_ctes()},\nyes AS ({fx.ACTION_YES_SQL}),\nno AS ({fx.ACTION_NO_SQL}),\n"
-    "lab AS (SELECT CUSTOMER_SHIPTO, POSTING_DATE, CCH, CASE WHEN CUSTOMER_SHIPTO IN (SELECT SAPCustomerNumber__c FROM no) THEN 0"
+    "lab AS (SELECT panel.*, CASE WHEN CUSTOMER_SHIPTO IN (SELECT SAPCustomerNumber__c FROM no) THEN 0"
     " WHEN CUSTOMER_SHIPTO IN (SELECT SAPCustomerNumber__c FROM yes) THEN 1 END AS action FROM panel)\n"
-    "SELECT CUSTOMER_SHIPTO, POSTING_DATE, round(CCH, 6) AS CCH, CAST(action AS BIGINT) AS action FROM lab WHERE action IS NOT NULL",
+    "SELECT * REPLACE (CAST(action AS BIGINT) AS action), FROM lab WHERE action IS NOT NULL",
 )
 register(
     "customer_pv",
@@ -864,14 +818,61 @@ register(
 )
 
 
-register(
-    "status_blend",
-    f"{status_ctes()},\nmed AS (SELECT POSTING_DATE, RISK_STATUS, median(CCH) AS median_cch FROM last12"
-    " WHERE RISK_STATUS IS DISTINCT FROM 'growth' GROUP BY 1, 2),\n"
-    "pm AS (SELECT POSTING_DATE, RISK_STATUS, median_cch, CASE WHEN first_value(median_cch) OVER w = 0 THEN NULL"
-    " ELSE (median_cch - first_value(median_cch) OVER w) / abs(first_value(median_cch) OVER w) END AS pct_diff FROM med"
-    " WINDOW w AS (PARTITION BY RISK_STATUS ORDER BY POSTING_DATE ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),\n"
-    "sec AS (SELECT l.POSTING_DATE, avg(sc.s) AS avg_score FROM last12 l JOIN sc USING (CUSTOMER_SHIPTO) GROUP BY 1)\n"
-    "SELECT pm.POSTING_DATE, RISK_STATUS, round(median_cch, 6) AS median_cch, round(pct_diff, 6) AS pct_diff,"
-    " round(avg_score, 6) AS avg_score FROM pm LEFT JOIN sec USING (POSTING_DATE)",
-)
+# --------------------------------------------------------------------------
+# The seven dashboard sheets, each with its own period and calculation
+# --------------------------------------------------------------------------
+def status_ctes(months: int | None) -> str:
+    """``sheet``: rows of the status table without growth, of the last months (all: None)."""
+    period = "" if months is None else (
+        f" AND POSTING_DATE IS NOT NULL AND POSTING_DATE >= CAST({d(AS_OF)} - INTERVAL {months - 1} MONTH AS DATE)")
+    return (
+        f"{risk_ctes()},\n"
+        f"yes AS ({fx.ACTION_YES_SQL}),\nno AS ({fx.ACTION_NO_SQL}),\n"
+        "act AS (SELECT DISTINCT c.CUSTOMER_SHIPTO, CASE WHEN c.CUSTOMER_SHIPTO IN (SELECT SAPCustomerNumber__c FROM no) THEN 0"
+        " WHEN c.CUSTOMER_SHIPTO IN (SELECT SAPCustomerNumber__c FROM yes) THEN 1 END AS action"
+        " FROM (SELECT DISTINCT CUSTOMER_SHIPTO FROM feat) c),\n"
+        "scored AS (SELECT scores.CUSTOMER_SHIPTO, risk_score AS s, act.action FROM scores LEFT JOIN act USING (CUSTOMER_SHIPTO)),\n"
+        "status AS (SELECT CUSTOMER_SHIPTO, CASE WHEN s > 65 AND action = 1 THEN 'risk_check' WHEN s > 65 THEN 'risk_uncheck'"
+        " WHEN s < 45 THEN 'growth' END AS RISK_STATUS FROM scored),\n"
+        "board AS (SELECT feat.*, status.RISK_STATUS FROM feat LEFT JOIN status USING (CUSTOMER_SHIPTO)),\n"
+        f"sheet AS (SELECT * FROM board WHERE RISK_STATUS IS DISTINCT FROM 'growth'{period})"
+    )
+
+
+def by_month(what: str) -> str:
+    return f"SELECT CAST(date_trunc('month', POSTING_DATE) AS DATE) AS POSTING_DATE, RISK_STATUS, {what} FROM sheet GROUP BY 1, 2"
+
+
+def from_first(value: str) -> str:
+    return (f"first_value({value}) OVER (PARTITION BY RISK_STATUS ORDER BY POSTING_DATE"
+            " ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
+
+
+def pct_diff(value: str) -> str:
+    base = from_first(value)
+    return f"round(CASE WHEN {base} = 0 THEN NULL ELSE ({value} - {base}) / abs({base}) END, 6) AS pct_diff"
+
+
+def compounded(value: str) -> str:
+    k = "row_number() OVER (PARTITION BY RISK_STATUS ORDER BY POSTING_DATE)"
+    ratio = f"({value} / nullif({from_first(value)}, 0))"
+    return f"round(CASE WHEN {k} > 1 AND {ratio} > 0 THEN pow({ratio}, 1.0 / ({k} - 1)) - 1 END, 6) AS compound_growth"
+
+
+register("status_countd", f"{status_ctes(None)}\nSELECT RISK_STATUS, count(DISTINCT CUSTOMER_SHIPTO) AS customers FROM sheet GROUP BY RISK_STATUS")
+register("status_growth", f"{status_ctes(None)},\ng AS ({by_month('avg(CCH) AS a')})\n"
+         f"SELECT POSTING_DATE, RISK_STATUS, round(a, 6) AS avg_cch, {compounded('a')} FROM g")
+register("status_median_growth", f"{status_ctes(12)},\ng AS ({by_month('median(CCH) AS m')})\n"
+         f"SELECT POSTING_DATE, RISK_STATUS, round(m, 6) AS median_cch, {compounded('m')} FROM g")
+register("status_sales_pct", f"{status_ctes(12)},\ng AS ({by_month('avg(PRODUCT_SALES) AS a, avg(Holidays) AS h')})\n"
+         f"SELECT POSTING_DATE, RISK_STATUS, round(a, 6) AS avg_product_sales, round(h, 6) AS avg_holidays, {pct_diff('a')} FROM g")
+register("status_avg", f"{status_ctes(12)}\n" + by_month(
+    "round(avg(PRODUCT_SALES), 6) AS avg_product_sales, round(avg(CCH), 6) AS avg_cch, round(avg(DELIVERY), 6) AS avg_delivery"))
+register("status_rental_avg", f"{status_ctes(None)}\n" + by_month("round(avg(RENTAL_SALES), 6) AS avg_rental_sales"))
+register("status_median_pct", f"{status_ctes(16)},\ng AS ({by_month('median(CCH) AS m')})\n"
+         f"SELECT POSTING_DATE, RISK_STATUS, round(m, 6) AS median_cch, {pct_diff('m')} FROM g")
+register("status_blend", f"{status_ctes(16)},\ng AS ({by_month('median(CCH) AS m')}),\n"
+         "second AS (SELECT POSTING_DATE, avg(s) AS avg_score FROM board JOIN scored USING (CUSTOMER_SHIPTO)"
+         f" WHERE POSTING_DATE >= CAST({d(AS_OF)} - INTERVAL 15 MONTH AS DATE) GROUP BY 1),\n"
+         f"pm AS (SELECT POSTING_DATE, RISK_STATUS, round(m, 6) AS median_cch, {pct_diff('m')} FROM g)\n"
+         "SELECT pm.*, round(avg_score, 6) AS avg_score FROM pm LEFT JOIN second USING (POSTING_DATE)")

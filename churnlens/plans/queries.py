@@ -281,49 +281,60 @@ def latest_child(spark, sf_dir):
 from pyspark.sql import functions as F  # noqa: E402
 
 from churnlens.operators import boards, profile  # noqa: E402
+from churnlens.operators.ml import PURCHASE_FEATURES  # noqa: E402
 
-PROFILE_COLS = ["CCH", "AVG_CCH", "PRODUCT_SALES", "CNTD_DANGEROUS", "CNTD_SEA", "CNTD_WATERWAY", "CNTD_DEBIT_ITEMS",
-                "CNTD_MATNR", "CNTD_MATKL", "CNTD_STANDARD", "T_1_ENTRIES", "T_2_ENTRIES", "T_3_ENTRIES", "NEW_MATNR"]
+PROFILE_COLS = [*PURCHASE_FEATURES, "NEW_MATNR"]
+# The variables of the class plots.
 VIOLIN_COLS = ["NEW_MATNR", "CCH", "PRODUCT_SALES", "CNTD_DANGEROUS", "T_1_ENTRIES"]
 
 
 def status_frame(spark, sf_dir):
+    """The dashboards' table and the scores it rests on: the risk run's own."""
     r = run_frame(spark, sf_dir)
     yes, no = fx.action_lists(spark, sf_dir)
-    labelled = boards.action_labels(r.features.select(pnl.CUST).distinct(), yes, no)
-    score = r.fit.select(pnl.CUST, F.expr(fx.STATUS_SCORE_EXPR).alias("status_score"))
-    status = boards.status_of(score, labelled, score_col="status_score")
-    return boards.status_table(r.features, status)
+    labelled = boards.action_labels(r.panel.select(pnl.CUST).distinct(), yes, no)
+    return boards.status_table(r.features, boards.status_of(r.scores, labelled)), r.scores
 
 
 @query
 def status_countd(spark, sf_dir):
-    return finalize(boards.status_countd(status_frame(spark, sf_dir)))
+    return finalize(boards.status_countd(status_frame(spark, sf_dir)[0]))
 
 
 @query
 def status_avg(spark, sf_dir):
-    return finalize(boards.status_avg(status_frame(spark, sf_dir), AS_OF), 6)
+    return finalize(boards.status_avg(status_frame(spark, sf_dir)[0], AS_OF), 6)
+
+
+@query
+def status_rental_avg(spark, sf_dir):
+    return finalize(boards.status_rental_avg(status_frame(spark, sf_dir)[0]), 6)
+
+
+@query
+def status_sales_pct(spark, sf_dir):
+    return finalize(boards.status_sales_pct(status_frame(spark, sf_dir)[0], AS_OF), 6)
 
 
 @query
 def status_median_pct(spark, sf_dir):
-    return finalize(boards.status_median_pct(status_frame(spark, sf_dir), AS_OF), 6)
+    return finalize(boards.status_median_pct(status_frame(spark, sf_dir)[0], AS_OF), 6)
+
+
+@query
+def status_median_growth(spark, sf_dir):
+    return finalize(boards.status_median_growth(status_frame(spark, sf_dir)[0], AS_OF), 6)
 
 
 @query
 def status_blend(spark, sf_dir):
-    r = run_frame(spark, sf_dir)
-    yes, no = fx.action_lists(spark, sf_dir)
-    labelled = boards.action_labels(r.features.select(pnl.CUST).distinct(), yes, no)
-    score = r.fit.select(pnl.CUST, F.expr(fx.STATUS_SCORE_EXPR).alias("At_Risk_Score__c"))
-    table = boards.status_table(r.features, boards.status_of(score, labelled, score_col="At_Risk_Score__c"))
-    return finalize(boards.status_blend(table, score, AS_OF), 6)
+    table, scores = status_frame(spark, sf_dir)
+    return finalize(boards.status_blend(table, scores, AS_OF, score_col="risk_score"), 6)
 
 
 @query
 def status_growth(spark, sf_dir):
-    return finalize(boards.status_growth(status_frame(spark, sf_dir)), 6)
+    return finalize(boards.status_growth(status_frame(spark, sf_dir)[0]), 6)
 
 
 @query
@@ -345,7 +356,7 @@ def miss_period_bucket(spark, sf_dir):
 @query
 def action_labels(spark, sf_dir):
     yes, no = fx.action_lists(spark, sf_dir)
-    return finalize(boards.action_labels(panel_frame(spark, sf_dir).select(*K, "CCH"), yes, no))
+    return finalize(boards.action_labels(panel_frame(spark, sf_dir), yes, no), 6)
 
 
 @query
@@ -397,7 +408,7 @@ def training_frame(spark, sf_dir):
 def models_frame(spark, sf_dir):
     r, train = training_frame(spark, sf_dir)
     tr, te = ml.hash_split(train, [pnl.CUST, pnl.MONTH], 25)
-    models = ml.horizon_models(tr, max_iter=10)
+    models = ml.horizon_models(tr)
     return r, train, te, models
 
 

@@ -308,10 +308,6 @@ ACTION_YES_SQL = (
     " WHERE c_mktsegment IN ('AUTOMOBILE', 'MACHINERY')"
 )
 ACTION_NO_SQL = f"SELECT {CUSTOMER_ID_EXPR} AS SAPCustomerNumber__c FROM customer WHERE c_mktsegment = 'MACHINERY'"
-# Status stand-in score: the dashboards read a status table produced outside
-# the reference; the fixture scores customers by their fitted trend.
-STATUS_SCORE_EXPR = "50 - 100 * percent_decline"
-
 
 def action_lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c = read_table(spark, sf_dir, "customer")

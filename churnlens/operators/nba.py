@@ -1,10 +1,11 @@
 """Next-best-action snapshots.
 
 Every snapshot anchor T0 defines month offsets T_i = T0 - i months. All
-anchors run in ONE job: each fact row is joined (range condition) to the
-anchors whose windows contain it -- the anchors table holds one row per
-requested snapshot, so it is broadcast -- and every aggregate is keyed by
-(SNAPSHOT, ...). The final table can be written ``partitionBy("SNAPSHOT")``.
+anchors run in ONE job. The anchors are parameters, so the outermost bounds of
+a window over all of them are literals that reach the scan; what is left of a
+fact row is repeated, inside generated code, for the anchors whose windows
+contain it, and every aggregate is keyed by (SNAPSHOT, ...). The final table
+can be written ``partitionBy("SNAPSHOT")``.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.operators.rollup import net_sales
@@ -56,39 +57,53 @@ class Windows:
     offsets: Sequence[int] = field(default_factory=lambda: list(range(7, 13)))
 
 
-def anchors_frame(spark: SparkSession, anchors: Sequence[dt.date]) -> DataFrame:
-    """One row per snapshot anchor (month start)."""
-    return spark.createDataFrame([(a.replace(day=1),) for a in anchors], f"{SNAP} date")
+def month_shift(month: dt.date, k: int) -> dt.date:
+    """The first day of the month ``k`` months later."""
+    n = month.year * 12 + month.month - 1 + k
+    return dt.date(n // 12, n % 12 + 1, 1)
 
 
-def _in_window(date_col: str, win: tuple[int, int]) -> Column:
-    return (F.col(date_col) >= T(win[0])) & (F.col(date_col) < T(win[1]))
+def _per_anchor(df: DataFrame, anchors: Sequence[dt.date], date_col: str, win: tuple[int, int]) -> DataFrame:
+    """Rows of ``df`` repeated for each anchor (a month) whose window contains
+    them: T_a <= date < T_b."""
+    day = F.col(date_col)
+    months = sorted({a.replace(day=1) for a in anchors})
+    spans = [(a, month_shift(a, -win[0]), month_shift(a, -win[1])) for a in months]
+    near = df.where((day >= F.lit(min(lo for _, lo, _ in spans))) & (day < F.lit(max(hi for _, _, hi in spans))))
+    inside = F.array(*[F.when((day >= F.lit(lo)) & (day < F.lit(hi)), F.lit(a)) for a, lo, hi in spans])
+    return near.select("*", F.explode(F.array_compact(inside)).alias(SNAP))
 
 
-def _per_anchor(df: DataFrame, anchors: DataFrame, date_col: str, win: tuple[int, int]) -> DataFrame:
-    """Rows of ``df`` repeated for each anchor whose window contains them."""
-    return df.join(F.broadcast(anchors), _in_window(date_col, win))
+def customer_shiptos(tx: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows(),
+                     shipto_col: str = "KUNWE", country: str = "AU") -> DataFrame:
+    """(SNAPSHOT, KNDNR, KUNWE): the ship-tos a customer bought for in the window."""
+    return (
+        _per_anchor(tx.filter(F.col("LAND1") == country), anchors, "BUDAT", w.mapping)
+        .select(SNAP, "KNDNR", F.col(shipto_col).alias("KUNWE"))
+        .distinct()
+    )
+
 
+def shipto_deliveries(deliveries: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows()) -> DataFrame:
+    """(SNAPSHOT, VBELN, KUNNR): the deliveries to a ship-to in the window."""
+    return _per_anchor(deliveries, anchors, "LDDAT", w.mapping).select(SNAP, "VBELN", "KUNNR").distinct()
 
-def mapping(tx: DataFrame, deliveries: DataFrame, anchors: DataFrame, w: Windows = Windows(),
+
+def mapping(tx: DataFrame, deliveries: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows(),
             shipto_col: str = "KUNWE", country: str = "AU") -> DataFrame:
     """(customer, ship-to, delivery) triples active in the window.
 
     The GROUP BY over the join equals the join of the two de-duplicated
     sides, so both sides are reduced to distinct keys before the join.
     """
-    left = (
-        _per_anchor(tx.filter(F.col("LAND1") == country), anchors, "BUDAT", w.mapping)
-        .select(SNAP, "KNDNR", F.col(shipto_col).alias("KUNWE"))
-        .distinct()
-    )
-    right = _per_anchor(deliveries, anchors, "LDDAT", w.mapping).select(SNAP, "VBELN", "KUNNR").distinct()
+    left = customer_shiptos(tx, anchors, w, shipto_col, country)
+    right = shipto_deliveries(deliveries, anchors, w)
     return left.join(right, (left[SNAP] == right[SNAP]) & (right["KUNNR"] == left["KUNWE"])).select(
         left[SNAP], "KNDNR", "KUNWE", "VBELN", "KUNNR"
     )
 
 
-def customer_table(tx: DataFrame, mapping_df: DataFrame, anchors: DataFrame, w: Windows = Windows(),
+def customer_table(tx: DataFrame, mapping_df: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows(),
                    country: str = "AU") -> DataFrame:
     """J2 + A17: CCH and product sales of mapped customers, overall and for
     the month offsets (T15: with the default windows these months lie outside
@@ -134,7 +149,7 @@ def delivery_gaps(d: DataFrame, w: Windows = Windows()) -> DataFrame:
     return overall.join(per_month, [SNAP, "KUNNR"])
 
 
-def delivery_profile(deliveries: DataFrame, anchors: DataFrame, w: Windows = Windows(),
+def delivery_profile(deliveries: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows(),
                      codes: DeliveryCodes = DeliveryCodes()) -> DataFrame:
     """W9 + A15 + A16: per ship-to, days between deliveries and counts by
     transport group, delivery type and customer group."""
@@ -169,7 +184,7 @@ def _ndist(c: Column) -> Column:
     return F.count_distinct(c)
 
 
-def items_profile(items: DataFrame, anchors: DataFrame, w: Windows = Windows()) -> DataFrame:
+def items_profile(items: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows()) -> DataFrame:
     """A14 + A20: per delivery and month, then per delivery (AVG of monthly
     sums is not a plain AVG). AVG of counts truncates (T5)."""
     it = _per_anchor(items, anchors, "ERDAT", w.history)
@@ -225,7 +240,7 @@ def items_profile(items: DataFrame, anchors: DataFrame, w: Windows = Windows())
     )
 
 
-def new_items(items: DataFrame, anchors: DataFrame, w: Windows = Windows(),
+def new_items(items: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows(),
               keys: Sequence[str] = ("VBELN", "MATNR", "MATKL", "VGBEL")) -> DataFrame:
     """J3 + A18: items of the new window with no matching item in the
     history window (NOT EXISTS -> left anti join; null keys survive), counted
@@ -240,54 +255,67 @@ def new_items(items: DataFrame, anchors: DataFrame, w: Windows = Windows(),
     )
 
 
-def snapshot(mapping_df: DataFrame, new_df: DataFrame, profile_df: DataFrame, cust_df: DataFrame,
+def snapshot(pairs: DataFrame, deliveries: DataFrame, new_df: DataFrame, profile_df: DataFrame, cust_df: DataFrame,
              items_df: DataFrame, offsets: Sequence[int] = range(7, 13)) -> DataFrame:
-    """J4 + A19: mapping rows left-joined to new items and inner-joined to
-    the three profiles, then one row per customer and snapshot. Join keys
-    are not unique on the mapping side, so sums count a customer's values
-    once per mapped delivery (T9, as written)."""
+    """J4 + A19: the mapping left-joined to new items and inner-joined to the
+    three profiles, then one row per customer and snapshot. Join keys are not
+    unique on the mapping side, so sums count a customer's values once per
+    mapped delivery (T9, as written).
+
+    The mapping's rows are not made: deliveries and their items are first
+    summed per ship-to (``_n``: how many mapping rows it stands for), and
+    only (customer, ship-to) pairs are joined to those sums. A sum over
+    mapping rows is then a sum over pairs, a value per customer or ship-to
+    counts ``_n`` times, an average is sum over count.
+    """
     n = len(list(offsets))
-    j = (
-        mapping_df.join(new_df, [SNAP, "VBELN"], "left")
-        .join(items_df, [SNAP, "VBELN"], "inner")
-        .join(profile_df, [SNAP, "KUNNR"], "inner")
-        .join(cust_df, [SNAP, "KNDNR"], "inner")
-    )
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    aggs = [F.sum("CCH").alias("CCH"), F.avg("CCH").alias("AVG_CCH")]
-    aggs += [F.sum(f"T_{i}_CCH").alias(f"T_{i}_CCH") for i in range(1, n + 1)]
-    aggs += [F.avg(f"T_{i}_CCH").alias(f"AVG_T_{i}_CCH") for i in range(1, n + 1)]
-    aggs += [F.sum("PRODUCT_SALES").alias("PRODUCT_SALES")]
-    aggs += [F.sum(f"T_{i}_PRODUCT_SALES").alias(f"T_{i}_PRODUCT_SALES") for i in range(1, n + 1)]
-    aggs += [F.avg(f"T_{i}_PRODUCT_SALES").alias(f"AVG_T_{i}_PRODUCT_SALES") for i in range(1, n + 1)]
-    aggs += [F.sum(c).alias(c) for c in ("NEW_MATNR", "NEW_MATKL", "NEW_ENTRIES")]
-    aggs += [
-        F.sum(c).alias(c)
-        for c in ("CNTD_DANGEROUS", "CNTD_GENERAL", "CNTD_AIR", "CNTD_SEA", "CNTD_WATERWAY", "CNTD_DEBIT_ITEMS",
-                  "CNTD_CONSIGNMENT", "CNTD_STANDARD", "CNTD_THIRDPARTY", "CNTD_D0_KDGRP", "CNTD_NULL_KDGRP",
-                  "CNTD_GF_KDGRP")
-    ]
+    total = lambda c: F.sum(F.col(c) * F.col("_n"))
+    new_cols = ["NEW_MATNR", "NEW_MATKL", "NEW_ENTRIES"]
+    item_cols = ["CNTD_MATNR", "CNTD_MATKL", "CNTD_SHIPTO", *[f"T_{i}_ENTRIES" for i in range(1, n + 1)]]
+    sums = (
+        deliveries.join(new_df, [SNAP, "VBELN"], "left").join(items_df, [SNAP, "VBELN"], "inner")
+        .groupBy(SNAP, "KUNNR").agg(
+            F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in new_cols], *[F.sum(z(c)).alias(c) for c in item_cols])
+    )
+    profile_cols = ["CNTD_DANGEROUS", "CNTD_GENERAL", "CNTD_AIR", "CNTD_SEA", "CNTD_WATERWAY", "CNTD_DEBIT_ITEMS",
+                    "CNTD_CONSIGNMENT", "CNTD_STANDARD", "CNTD_THIRDPARTY", "CNTD_D0_KDGRP", "CNTD_NULL_KDGRP",
+                    "CNTD_GF_KDGRP"]
+    per_shipto = sums.join(profile_df.select(SNAP, "KUNNR", "AVG_TIME_DELIVERY", *profile_cols), [SNAP, "KUNNR"], "inner")
+    j = pairs.withColumnRenamed("KUNWE", "KUNNR").join(per_shipto, [SNAP, "KUNNR"], "inner").join(cust_df, [SNAP, "KNDNR"], "inner")
+    rows = F.sum("_n")
+    # a customer's own values are the same in all its rows: their average is the value
+    cust_cols = ["CCH", *[f"T_{i}_CCH" for i in range(1, n + 1)]]
+    sale_cols = [f"T_{i}_PRODUCT_SALES" for i in range(1, n + 1)]
+    aggs = [x for c in cust_cols for x in (total(c).alias(c), F.max(c).alias(f"AVG_{c}"))]
+    aggs += [total("PRODUCT_SALES").alias("PRODUCT_SALES")]
+    aggs += [x for c in sale_cols for x in (total(c).alias(c), F.max(c).alias(f"AVG_{c}"))]
+    aggs += [F.sum(c).alias(c) for c in new_cols]
+    aggs += [total(c).alias(c) for c in profile_cols]
     aggs += [
-        F.avg("AVG_TIME_DELIVERY").cast("bigint").alias("TIME_DELIVERY"),
-        F.sum(z("CNTD_MATNR")).alias("CNTD_MATNR"),
-        F.sum(z("CNTD_MATKL")).alias("CNTD_MATKL"),
-        F.avg(z("CNTD_MATNR")).cast("bigint").alias("AVG_MATNR"),
-        F.avg(z("CNTD_MATKL")).cast("bigint").alias("AVG_MATKL"),
-        F.sum(z("CNTD_SHIPTO")).alias("CNTD_SHIPTO"),
+        (F.sum(F.col("AVG_TIME_DELIVERY") * F.col("_n")) / rows).cast("bigint").alias("TIME_DELIVERY"),
+        F.sum("CNTD_MATNR").alias("CNTD_MATNR"),
+        F.sum("CNTD_MATKL").alias("CNTD_MATKL"),
+        (F.sum("CNTD_MATNR") / rows).cast("bigint").alias("AVG_MATNR"),
+        (F.sum("CNTD_MATKL") / rows).cast("bigint").alias("AVG_MATKL"),
+        F.sum("CNTD_SHIPTO").alias("CNTD_SHIPTO"),
     ]
-    aggs += [F.sum(z(f"T_{i}_ENTRIES")).alias(f"T_{i}_ENTRIES") for i in range(1, n + 1)]
+    aggs += [F.sum(f"T_{i}_ENTRIES").alias(f"T_{i}_ENTRIES") for i in range(1, n + 1)]
     return j.groupBy(SNAP, F.col("KNDNR").alias("CUSTOMER_NUMBER")).agg(*aggs)
 
 
-def nba_snapshot(tx: DataFrame, deliveries: DataFrame, items: DataFrame, anchors: DataFrame,
+def nba_snapshot(tx: DataFrame, deliveries: DataFrame, items: DataFrame, anchors: Sequence[dt.date],
                  w: Windows = Windows(), codes: DeliveryCodes = DeliveryCodes(), shipto_col: str = "KUNWE") -> DataFrame:
     """All snapshot anchors in one job."""
-    m = mapping(tx, deliveries, anchors, w, shipto_col)
+    pairs = customer_shiptos(tx, anchors, w, shipto_col)
+    sent = shipto_deliveries(deliveries, anchors, w)
+    mapped = pairs.join(sent.select(SNAP, F.col("KUNNR").alias("KUNWE")).distinct(), [SNAP, "KUNWE"], "left_semi")
     return snapshot(
-        m,
+        pairs,
+        sent,
         new_items(items, anchors, w),
         delivery_profile(deliveries, anchors, w, codes),
-        customer_table(tx, m, anchors, w),
+        customer_table(tx, mapped, anchors, w),
         items_profile(items, anchors, w),
         w.offsets,
     )

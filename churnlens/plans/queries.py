@@ -208,7 +208,7 @@ def nba_inputs(spark, sf_dir):
         fx.ledger(spark, sf_dir),
         fx.deliveries(spark, sf_dir),
         fx.delivery_items(spark, sf_dir),
-        nba.anchors_frame(spark, NBA_ANCHORS),
+        NBA_ANCHORS,
     )
 
 

@@ -70,7 +70,7 @@ def test_new_items_keep_null_keys(spark):
         [("1", dt.date(2001, 7, 10), "m", None, "v"), ("1", dt.date(2000, 1, 10), "m", None, "v")],
         "VBELN string, ERDAT date, MATNR string, MATKL string, VGBEL string",
     )
-    a = nba.anchors_frame(spark, [dt.date(2001, 8, 1)])
+    a = [dt.date(2001, 8, 1)]
     r = nba.new_items(items, a).first()
     assert r["NEW_MATNR"] == 1  # NOT EXISTS with a null key never matches
 

@@ -138,6 +138,7 @@ class _Rounds:
         stats = parts.groupBy("key").agg(
             (F.sum("n") - F.max("n")).alias("minor"), F.max_by("c", "n").alias("major"),
             F.min("least").alias("least"), F.max("pivot").alias("pivot")).where("minor > 0")
+        stats = staged(stats, "buckets")  # both sides of the join are then shuffles, which can be split at a hot bucket
         return m.join(stats, "key").where(_reaches(F.col("rest"), F.col("size"), F.col("least")))
 
     def run(self, small: int) -> bool:

@@ -876,3 +876,12 @@ register("status_blend", f"{status_ctes(16)},\ng AS ({by_month('median(CCH) AS m
          f" WHERE POSTING_DATE >= CAST({d(AS_OF)} - INTERVAL 15 MONTH AS DATE) GROUP BY 1),\n"
          f"pm AS (SELECT POSTING_DATE, RISK_STATUS, round(m, 6) AS median_cch, {pct_diff('m')} FROM g)\n"
          "SELECT pm.*, round(avg_score, 6) AS avg_score FROM pm LEFT JOIN second USING (POSTING_DATE)")
+LISTS = (f"{risk_ctes()},\nlists AS (SELECT 'risk' AS list, CUSTOMER_SHIPTO, risk_score FROM scores WHERE risk_score > 65"
+         " UNION ALL SELECT 'opportunity', CUSTOMER_SHIPTO, risk_score FROM scores WHERE risk_score < 45)")
+register("result_lists", f"{LISTS}\nSELECT list, CUSTOMER_SHIPTO, CAST(risk_score AS DOUBLE) AS risk_score FROM lists")
+register("list_counts", f"{LISTS}\nSELECT list, count(*) AS customers FROM lists GROUP BY list")
+register("action_list_csv", fx.ACTION_YES_SQL)
+register("status_csv", f"{status_ctes(None)}\nSELECT RISK_STATUS, count(*) AS rows, count(DISTINCT POSTING_DATE) AS months,"
+         " round(sum(CCH), 3) AS sum_cch, round(sum(PRODUCT_SALES), 3) AS sum_product_sales, round(sum(RENTAL_SALES), 3) AS sum_rental_sales,"
+         " round(sum(DELIVERY), 3) AS sum_delivery, round(sum(Holidays), 3) AS sum_holidays,"
+         " CAST(sum(CASE WHEN RISK_STATUS = 'risk_uncheck' THEN 1 ELSE 0 END) AS BIGINT) AS uncheck_rows FROM board GROUP BY RISK_STATUS")

@@ -3,6 +3,7 @@ the whole fixture tables. Parameters mirror FIXTURES.md (as_of 2001-08-01)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -337,6 +338,66 @@ def status_growth(spark, sf_dir):
     return finalize(boards.status_growth(status_frame(spark, sf_dir)[0]), 6)
 
 
+def csv_folder(spark, name):
+    from churnlens.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv/{name}-{uuid.uuid4().hex}"
+
+
+def written_lists(spark, sf_dir):
+    """The two result lists, written as CSV and read back."""
+    from churnlens.sources import io
+
+    scores = run_frame(spark, sf_dir).scores
+    lists = {"risk": sc.risk_list(scores), "opportunity": sc.opportunity_list(scores)}
+    out = None
+    for name, df in lists.items():
+        path = csv_folder(spark, name)
+        io.write_csv(df.select(pnl.CUST, "risk_score"), path)
+        back = spark.read.schema(f"{pnl.CUST} string, risk_score double").option("header", True).csv(path)
+        back = back.select(F.lit(name).alias("list"), pnl.CUST, F.col("risk_score").cast("double"))
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+@query
+def result_lists(spark, sf_dir):
+    return finalize(written_lists(spark, sf_dir), 6)
+
+
+@query
+def list_counts(spark, sf_dir):
+    """How many customers each result list has."""
+    return finalize(written_lists(spark, sf_dir).groupBy("list").agg(F.count(F.lit(1)).alias("customers")))
+
+
+@query
+def action_list_csv(spark, sf_dir):
+    """The action list as the CSV that the labelling reads."""
+    from churnlens.sources import io
+
+    yes, _ = fx.action_lists(spark, sf_dir)
+    path = csv_folder(spark, "actions")
+    io.write_csv(yes, path)
+    return finalize(io.read_action_list(spark, path))
+
+
+@query
+def status_csv(spark, sf_dir):
+    """The dashboards' table through its CSV with the declared schema."""
+    from churnlens.sources import io
+
+    table, _ = status_frame(spark, sf_dir)
+    panel = ["CCH", "PRODUCT_SALES", "RENTAL_SALES", "DELIVERY", "Holidays"]
+    names = [f.name for f in io.status_schema(panel)]
+    path = csv_folder(spark, "status")
+    io.write_csv(table.select(*names), path)
+    back = io.read_status_csv(spark, path, panel)
+    return finalize(back.groupBy("RISK_STATUS").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("POSTING_DATE").alias("months"),
+        *[F.sum(c).alias(f"sum_{c.lower()}") for c in panel], F.sum("RISK_UNCHECK").alias("uncheck_rows")), 3)
+
+
 @query
 def score_bins(spark, sf_dir):
     return finalize(boards.score_bins(run_frame(spark, sf_dir).scores))
@@ -427,7 +488,8 @@ def horizon_mse(spark, sf_dir):
 
 
 def purchase_snapshot(spark, sf_dir):
-    return ml.purchase_frame(snapshot_frame(spark, sf_dir))
+    # every fit, split and count reads it: write the snapshot once
+    return stage(ml.purchase_frame(snapshot_frame(spark, sf_dir)), "purchase")
 
 
 @query

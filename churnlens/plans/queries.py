@@ -120,7 +120,7 @@ def kalman_level(spark, sf_dir):
 # --------------------------------------------------------------------------
 from churnlens.operators import forecast as fc  # noqa: E402
 from churnlens.operators import score as sc  # noqa: E402
-from churnlens.plans.risk_run import risk_run  # noqa: E402
+from churnlens.plans.risk_run import risk_run, with_models  # noqa: E402
 
 FIT_COLS = sc.FIT_COLS
 
@@ -481,6 +481,13 @@ def horizon_models(spark, sf_dir):
     return finalize(out.select(pnl.CUST, *sc.PREDS), 6)
 
 
+@query
+def risk_score_gbt(spark, sf_dir):
+    """M9: the risk run scored by the fitted regressors."""
+    r, _, _, models = models_frame(spark, sf_dir)
+    return finalize(with_models(r, models, FORECAST_AT).scores.select(pnl.CUST, "risk_score", "risk_value"))
+
+
 @query
 def horizon_mse(spark, sf_dir):
     _, _, te, models = models_frame(spark, sf_dir)
@@ -541,6 +548,7 @@ def driver_names(spark, sf_dir):
 
 def explain_frame(spark, sf_dir):
     r, train, _, models = models_frame(spark, sf_dir)
+    r = with_models(r, models, FORECAST_AT)  # explain the model that made the scores
     means = ex.background_means(train)
     drivers = ex.driver_table(spark)
     risk = sc.risk_list(r.scores)

@@ -5,12 +5,15 @@ seasonal comparison -> risk score -> risk / opportunity lists."""
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from churnlens.functions.dates import risk_window
 from churnlens.operators import forecast as fc
+from churnlens.operators import ml
 from churnlens.operators import panel as pnl
 from churnlens.operators import rollup
 from churnlens.operators import score as sc
@@ -61,3 +64,19 @@ def risk_run(
     inputs = sc.score_inputs(fit, seasonal)
     scores = sc.risk_score(inputs, report_month=anchor)
     return RiskRun(monthly, panel, features, long, wide, fit, scaffold, seasonal, inputs, scores)
+
+
+def with_models(run: RiskRun, models: Sequence[PipelineModel], anchor: dt.date, materialize: bool = True) -> RiskRun:
+    """M9: the run's trend, comparison and scores from the predictions of the
+    six fitted regressors in place of the forecast means. Rollup, panel,
+    features and forecast are the run's own and aren't made again."""
+    scoring = sc.scoring_frame(run.features, run.forecast_wide, anchor).drop(*sc.PREDS)
+    predictions = ml.predict_horizons(models, scoring).select(sc.CUST, *sc.PREDS)
+    fit = sc.trend_fit(scoring.join(predictions, sc.CUST))
+    if materialize:
+        fit = stage(fit, "fit")
+    scaffold = sc.score_scaffold(fit, run.panel)
+    seasonal = ss.seasonal_compare(scaffold)
+    inputs = sc.score_inputs(fit, seasonal)
+    scores = sc.risk_score(inputs, report_month=anchor)
+    return replace(run, fit=fit, scaffold=scaffold, seasonal=seasonal, inputs=inputs, scores=scores)

@@ -11,12 +11,12 @@ import statistics
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.quantiles import exact_quantiles
@@ -53,6 +53,7 @@ PURCHASE_FEATURES = [
 ]
 # Columns never used as lasso candidates.
 LASSO_EXCLUDE = [
+    *[f"period_{h}_uncertainty" for h in range(1, 7)], "period_diff", "miss_period",
     "POSTING_DATE", "cv2_sales", "CCH_shift_1", "CCH_shift_2", "CCH_shift_3", "CCH_shift_4",
     "CCH_shift_5", "CCH_shift_6", "ORDER_NO", "PREDICTION_DATE", "CUSTOMER_SHIPTO",
 ]
@@ -159,8 +160,9 @@ def purchase_logit(snap: DataFrame, features: Sequence[str] = PURCHASE_FEATURES,
 
 def classification_report(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                           classes: Sequence[float] = (0.0, 1.0)) -> DataFrame:
-    """Precision / recall / F1 / support per class: each row is counted once
-    per class of the (binary) label domain, then one aggregate."""
+    """Precision / recall / F1 / support per class, then accuracy, macro and
+    weighted averages: each row is counted once per class of the (binary)
+    label domain, then one aggregate."""
     e = pred.select(label, prediction, F.explode(F.array(*[F.lit(float(c)) for c in classes])).alias("cls"))
     agg = e.groupBy("cls").agg(
         F.sum(F.when((F.col(label) == F.col("cls")) & (F.col(prediction) == F.col("cls")), 1).otherwise(0)).alias("tp"),
@@ -169,9 +171,20 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
     )
     p = F.coalesce(F.try_divide(F.col("tp"), F.col("pp")), F.lit(0.0))
     r = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
-    return agg.select(
-        F.col("cls").alias("class"), p.alias("precision"), r.alias("recall"),
-        F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)).alias("f1"), F.col("support").cast("bigint").alias("support"),
+    f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
+    per = agg.select(F.format_string("%.1f", "cls").alias("class"), p.alias("precision"), r.alias("recall"), f1.alias("f1"), "tp", "support")
+    rows = F.sum("support")
+    mean = lambda c: F.avg(c).alias(c)
+    weighted = lambda c: F.coalesce(F.try_divide(F.sum(F.col(c) * F.col("support")), rows), F.lit(0.0)).alias(c)
+    right = F.coalesce(F.try_divide(F.sum("tp"), rows), F.lit(0.0))
+    total = rows.alias("support")
+    scores = ["precision", "recall", "f1"]
+    return (
+        per.drop("tp")
+        .unionByName(per.agg(F.lit("accuracy").alias("class"), *[right.alias(c) for c in scores], total))
+        .unionByName(per.agg(F.lit("macro avg").alias("class"), *map(mean, scores), total))
+        .unionByName(per.agg(F.lit("weighted avg").alias("class"), *map(weighted, scores), total))
+        .withColumn("support", F.col("support").cast("bigint"))
     )
 
 
@@ -325,26 +338,91 @@ def permutation_importance(model, snap: DataFrame, features: Sequence[str] = PUR
     )
 
 
-def lasso_select(train: DataFrame, target: str = "CCH_shift_6", reg: Sequence[float] = (0.01, 0.1, 1.0),
-                 folds: int = 3, seed: int = 42) -> DataFrame:
-    """M6: L1 regression with cross-validated penalty; features with a
-    non-zero coefficient are selected (the reference computes and discards
-    this list)."""
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
+def fold_moments(df: DataFrame, cols: Sequence[str], fold: Column, folds: int) -> np.ndarray:
+    """Z'Z of Z = (1, cols) for each fold, shape (folds, k, k): one pass, each
+    task adds up its rows' matrix; what reaches the driver is folds x k x k
+    numbers, whatever the rows."""
+    k = len(cols) + 1
+
+    def sums(batches):
+        total = np.zeros((folds, k, k))
+        for rec in batches:
+            at = rec.column(0).to_numpy()
+            z = np.column_stack([np.ones(rec.num_rows), *(rec.column(i).to_numpy() for i in range(1, k))])
+            for f in range(folds):
+                part = z[at == f]
+                total[f] += part.T @ part
+        yield pa.record_batch([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["at", "v"])
+
+    rows = df.select(fold.cast("int"), *[F.col(c).cast("double") for c in cols]).mapInArrow(sums, "at long, v double")
+    out = np.zeros(folds * k * k)
+    for r in rows.groupBy("at").agg(F.sum("v").alias("v")).collect():
+        out[r["at"]] = r["v"]
+    return out.reshape(folds, k, k)
+
+
+def _centred(m: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """(n, means, centred cross products) of a moment matrix; the target is its last column."""
+    n = max(m[0, 0], 1.0)
+    mean = m[0, 1:] / n
+    return n, mean, m[1:, 1:] - n * np.outer(mean, mean)
+
+
+def lasso_path(m: np.ndarray, alphas: np.ndarray, sweeps: int = 1000, tol: float = 1e-4) -> np.ndarray:
+    """Coefficients at each penalty (largest first), by coordinate descent on
+    the cross products: least |y - Xb - c|^2 / (2 n) + alpha |b|_1."""
+    n, _, s = _centred(m)
+    q, r, yy = s[:-1, :-1] / n, s[:-1, -1] / n, s[-1, -1] / n
+    diag = np.diag(q).copy()
+    b, out = np.zeros(len(r)), []
+    for alpha in alphas:
+        grad = r - q @ b
+        for _ in range(sweeps):
+            largest = 0.0
+            for j in np.flatnonzero(diag > 0):
+                old = b[j]
+                rho = grad[j] + diag[j] * old
+                new = np.sign(rho) * max(abs(rho) - alpha, 0.0) / diag[j]
+                if new != old:
+                    grad -= q[:, j] * (new - old)
+                    b[j] = new
+                    largest = max(largest, abs(new - old) * np.sqrt(diag[j]))
+            if largest <= tol * np.sqrt(max(yy, 1e-300)):
+                break
+        out.append(b.copy())
+    return np.array(out)
+
+
+def lasso_select(train: DataFrame, target: str = "CCH_shift_6", n_alphas: int = 100, eps: float = 1e-3,
+                 folds: int = 5, holdout_pct: int = 15, seed: int = 42) -> DataFrame:
+    """M6 + O4: L1 regression on the rows outside a 15 % hash hold-out; the
+    penalty is the one of a path of ``n_alphas`` (down to ``eps`` of the
+    smallest penalty that selects nothing) with the least mean squared error
+    over ``folds`` hash folds. Features with a non-zero coefficient are
+    selected (the reference computes and discards this list)."""
     spark = train.sparkSession
     num = [f.name for f in train.schema.fields
            if f.dataType.typeName() in ("double", "long", "integer") and f.name not in LASSO_EXCLUDE]
-    data = _assemble(clean_numeric(train.filter(F.col(target).isNotNull()), num), num).withColumn("label", F.col(target).cast("double"))
-    lr = LinearRegression(featuresCol="features", labelCol="label", elasticNetParam=1.0, standardization=True)
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg)).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="mse"),
-                        numFolds=folds, seed=seed)
-    best = cv.fit(data).bestModel
-    return spark.createDataFrame(
-        [(n, float(c), c != 0.0) for n, c in zip(num, best.coefficients.toArray().tolist())],
-        "variable string, coefficient double, selected boolean",
-    )
+    keys = [CUST, MONTH]
+    data, _ = hash_split(train.filter(F.col(target).isNotNull()), keys, holdout_pct, seed)
+    data = clean_numeric(data, num).withColumn("_label", F.col(target).cast("double"))
+    fold = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed + 2)), F.lit(folds))
+    moments = fold_moments(data, [*num, "_label"], fold, folds)
+    whole = moments.sum(axis=0)
+    n, _, s = _centred(whole)
+    top = np.abs(s[:-1, -1]).max() / n
+    alphas = top * np.logspace(0, np.log10(eps), n_alphas) if top > 0 else np.array([1.0])
+    error = np.zeros(len(alphas))
+    for m in moments:
+        fit = whole - m
+        _, mf, _ = _centred(fit)
+        for i, b in enumerate(lasso_path(fit, alphas)):
+            # squared error on the fold, from its moments: residual = (y - b x) - intercept
+            w = np.concatenate([[-(mf[-1] - b @ mf[:-1])], -b, [1.0]])
+            error[i] += w @ m @ w / max(m[0, 0], 1.0) / folds
+    best = lasso_path(whole, alphas[: int(error.argmin()) + 1])[-1]
+    return spark.createDataFrame([(c, float(v), bool(v != 0.0)) for c, v in zip(num, best)],
+                                 "variable string, coefficient double, selected boolean")
 
 
 def purchase_frame(snap: DataFrame) -> DataFrame:

@@ -61,3 +61,32 @@ def test_background_mean_takes_all_rows(spark):
     df = spark.range(12_000).selectExpr("CAST(id AS string) AS CUSTOMER_SHIPTO", "id AS POSTING_DATE", "CAST(id AS double) AS a")
     assert explain.background_means(df, ["a"]).first().a == 5999.5
     assert explain.background_sample(df, 7).count() == 7
+
+
+def test_lasso_path_against_its_conditions(spark):
+    """At each penalty the coefficients meet the optimality conditions of the problem."""
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(300, 6)) * [1, 2, 1, 0.5, 1, 0]
+    y = 2 * x[:, 0] - x[:, 1] + 0.05 * x[:, 2] + rnd.normal(size=300) * 0.1 + 4
+    z = np.column_stack([np.ones(300), x, y])
+    alphas = np.array([1.5, 0.5, 0.1, 0.01])
+    xc, yc = x - x.mean(axis=0), y - y.mean()
+    for alpha, b in zip(alphas, ml.lasso_path(z.T @ z, alphas, tol=1e-10)):
+        grad = xc.T @ (yc - xc @ b) / 300
+        assert np.all(np.abs(grad) <= alpha + 1e-6)
+        assert np.allclose(grad[b != 0], alpha * np.sign(b[b != 0]), atol=1e-6)
+    cols = [f"c{i}" for i in range(7)]
+    df = spark.createDataFrame([(i % 3, *map(float, r)) for i, r in enumerate(z[:, 1:])], "f int, " + ", ".join(f"{c} double" for c in cols))
+    got = ml.fold_moments(df, cols, F.col("f"), 3)
+    assert np.allclose(got.sum(axis=0), z.T @ z) and np.allclose(got[1], z[1::3].T @ z[1::3])
+
+
+def test_classification_report(spark):
+    rows = [(1.0, 1.0)] * 6 + [(1.0, 0.0)] * 2 + [(0.0, 0.0)] * 9 + [(0.0, 1.0)] * 3
+    got = {r["class"]: r for r in ml.classification_report(spark.createDataFrame(rows, "label double, prediction double")).collect()}
+    assert set(got) == {"0.0", "1.0", "accuracy", "macro avg", "weighted avg"}
+    p, r = 6 / 9, 6 / 8
+    assert math.isclose(got["1.0"].precision, p) and math.isclose(got["1.0"].recall, r) and math.isclose(got["1.0"].f1, 2 * p * r / (p + r))
+    assert math.isclose(got["accuracy"].f1, 15 / 20)
+    assert math.isclose(got["macro avg"].recall, (r + 9 / 12) / 2)
+    assert math.isclose(got["weighted avg"].precision, (p * 8 + 9 / 11 * 12) / 20)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +48,7 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(col_of(name).cast("string"), F.lit(""))
 
 
-def text_slices(rec: pa.RecordBatch, column: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(rec: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``most`` bytes of text each (a longer text stands
     alone), so that what a task holds doesn't depend on how long the rows are."""
     sizes = pc.fill_null(pc.binary_length(rec.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -56,6 +58,21 @@ def text_slices(rec: pa.RecordBatch, column: int, most: int = 2 << 20) -> Iterat
             yield rec.slice(a, b - a)
 
 
+@contextmanager
+def tidy(*caches: dict):
+    """Around a task's work in Python: workers live on for other tasks and stages, so at
+    its end caches are emptied and freed memory goes back to the system."""
+    try:
+        yield
+    finally:
+        for cache in caches:
+            cache.clear()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; other C libraries have none
+        if trim:
+            trim(0)
+
+
 BROADCAST_ROWS = 1_000_000
 
 

@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlens.llm.common import bounded_broadcast, col_of, free_name, staged, text_slices
+from churnlens.llm.common import bounded_broadcast, col_of, free_name, staged, text_slices, tidy
 
 ORDER = 4
 SHARD_ROWS = 2_000_000  # some 30 MB in a worker
@@ -54,6 +54,7 @@ HELD_OUT = 5
 FENCE, PRIOR_UNITS, WINDOW = 6.0, 200.0, 128
 LEAST_SPREAD = {"score": 0.05, "uneven": 0.045}
 FLUSH_GRAMS = 1 << 19
+SLICE_BYTES = 1 << 19  # text scored at once: each unit takes some 100 bytes in numpy
 U64 = np.uint64
 
 _COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("g", T.LongType()), T.StructField("c", T.LongType())])
@@ -97,16 +98,17 @@ def gram_counts(trusted: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                 counts = np.bincount(which, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
                 yield pa.record_batch([pa.array([name] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts)], names=_COUNTS.names)
 
-        for rec in rows:
-            for part in text_slices(rec, 0):
-                for name, texts in _by_lang(part, 0, 1).items():
-                    grams, counts = np.unique(_units([t for _, t in texts])[0], return_counts=True)
-                    held.setdefault(name, []).append((grams, counts))
-                    size += len(grams)
-                if size > FLUSH_GRAMS:
-                    yield from flushed()
-                    held, size = {}, 0
-        yield from flushed()
+        with tidy():
+            for rec in rows:
+                for part in text_slices(rec, 0, SLICE_BYTES):
+                    for name, texts in _by_lang(part, 0, 1).items():
+                        grams, counts = np.unique(_units([t for _, t in texts])[0], return_counts=True)
+                        held.setdefault(name, []).append((grams, counts))
+                        size += len(grams)
+                    if size > FLUSH_GRAMS:
+                        yield from flushed()
+                        held, size = {}, 0
+            yield from flushed()
 
     picked = trusted.select(col_of(text_col).cast("string"), col_of(lang_col).cast("string"))
     return picked.mapInArrow(batches, _COUNTS).groupBy("lang", "g").agg(F.sum("c").alias("c"))
@@ -272,31 +274,35 @@ def score(df: DataFrame, model: DataFrame, text_col: str, lang_col: str, nll: st
         rows = model.where((F.col("unit") < 0) | (_shard_of("unit", shards) == shard))
         shared = sc.broadcast(_tables(rows.select("lang", "kind", "key", "value").toArrow()))  # at most SHARD_ROWS and the single units
 
+        def scored(part: pa.RecordBatch, scorers: dict, tables: dict, shard: int) -> pa.RecordBatch:
+            total, length, sums = (part.column(i).to_pylist() for i in new_at)
+            for name, texts in _by_lang(part, text_at, lang_at).items():
+                if name not in tables:
+                    continue
+                if name not in scorers:
+                    scorers[name] = Scorer(tables[name])
+                grams, lens = _units([t for _, t in texts])
+                mine = owner[(grams >> U64(16)) & U64(0xFFFF)] == shard
+                surprise = np.zeros(len(grams))
+                surprise[mine] = scorers[name].surprise(grams[mine])
+                at = 0
+                for (i, _), n in zip(texts, lens.tolist()):
+                    own = surprise[at : at + n]
+                    at += n
+                    wide = own[: n - n % WINDOW].reshape(-1, WINDOW).sum(axis=1)
+                    sums[i] = wide if sums[i] is None else wide + sums[i]
+                    total[i], length[i] = (total[i] or 0.0) + float(own.sum()), n
+            cols = part.columns
+            for i, values, kind in zip(new_at, (total, length, sums), (pa.float64(), pa.int64(), pa.list_(pa.float64()))):
+                cols[i] = pa.array(values, kind)
+            return pa.record_batch(cols, names=part.schema.names)
+
         def batches(recs, shared=shared, shard=shard):
             scorers: dict = {}
-            for rec in recs:
-                for part in text_slices(rec, text_at):
-                    total, length, sums = (part.column(i).to_pylist() for i in new_at)
-                    for name, texts in _by_lang(part, text_at, lang_at).items():
-                        if name not in shared.value:
-                            continue
-                        if name not in scorers:
-                            scorers[name] = Scorer(shared.value[name])
-                        grams, lens = _units([t for _, t in texts])
-                        mine = owner[(grams >> U64(16)) & U64(0xFFFF)] == shard
-                        surprise = np.zeros(len(grams))
-                        surprise[mine] = scorers[name].surprise(grams[mine])
-                        at = 0
-                        for (i, _), n in zip(texts, lens.tolist()):
-                            own = surprise[at : at + n]
-                            at += n
-                            wide = own[: n - n % WINDOW].reshape(-1, WINDOW).sum(axis=1)
-                            sums[i] = wide if sums[i] is None else wide + sums[i]
-                            total[i], length[i] = (total[i] or 0.0) + float(own.sum()), n
-                    cols = part.columns
-                    for i, values, kind in zip(new_at, (total, length, sums), (pa.float64(), pa.int64(), pa.list_(pa.float64()))):
-                        cols[i] = pa.array(values, kind)
-                    yield pa.record_batch(cols, names=part.schema.names)
+            with tidy(scorers):
+                for rec in recs:
+                    for part in text_slices(rec, text_at, SLICE_BYTES):
+                        yield scored(part, scorers, shared.value, shard)
 
         out = out.mapInArrow(batches, out.schema)
         if shards > 1:

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens.llm import shingles as S
-from churnlens.llm.common import col_of, free_name, staged, text_slices
+from churnlens.llm.common import col_of, free_name, staged, text_slices, tidy
 from churnlens.llm.components import relabel, roots
 
 BANDS, BAND_ROWS = 32, 4
@@ -65,20 +65,24 @@ def signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, h (the text's 64-bit hash), n (set size), v (the set's digest; null if empty),
     bands (keys)."""
 
+    def sign(part: pa.RecordBatch) -> pa.RecordBatch:
+        sets = S.shingle_sets(part.column(2).to_pylist())
+        some = [s for s in sets if len(s)]
+        keys = S.band_keys(S.signatures(some, BANDS * BAND_ROWS), BAND_ROWS)
+        ends, at = [], 0
+        for s in sets:
+            ends.append(at)
+            at += BANDS * bool(len(s))
+        return pa.record_batch([
+            part.column(0), part.column(1), pa.array([len(s) for s in sets]), pa.array([S.digest(s) for s in sets], pa.binary()),
+            pa.ListArray.from_arrays(pa.array([*ends, at], pa.int32()), pa.array(keys.ravel())),
+        ], names=_SIGNED.names)
+
     def batches(rows):
-        for rec in rows:
-            for part in text_slices(rec, 2):
-                sets = S.shingle_sets(part.column(2).to_pylist())
-                some = [s for s in sets if len(s)]
-                keys = S.band_keys(S.signatures(some, BANDS * BAND_ROWS), BAND_ROWS)
-                ends, at = [], 0
-                for s in sets:
-                    ends.append(at)
-                    at += BANDS * bool(len(s))
-                yield pa.record_batch([
-                    part.column(0), part.column(1), pa.array([len(s) for s in sets]), pa.array([S.digest(s) for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array([*ends, at], pa.int32()), pa.array(keys.ravel())),
-                ], names=_SIGNED.names)
+        with tidy(S.WORDS):
+            for rec in rows:
+                for part in text_slices(rec, 2):
+                    yield sign(part)
 
     text = col_of(text_col).cast("string")
     return df.select(col_of(id_col).cast("bigint"), F.xxhash64(text), text).mapInArrow(batches, _SIGNED)
@@ -88,13 +92,14 @@ def sets_of(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> Dat
     """v, size, items of the classes in ``wanted`` (v, id of one of its documents)."""
 
     def batches(rows):
-        for rec in rows:
-            for part in text_slices(rec, 0):
-                sets = S.shingle_sets(part.column(0).to_pylist())
-                yield pa.record_batch([
-                    pa.array([S.digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets]),
-                    pa.array([s.view("int64") for s in sets], pa.list_(pa.int64())),
-                ], names=_SETS.names)
+        with tidy(S.WORDS):
+            for rec in rows:
+                for part in text_slices(rec, 0):
+                    sets = S.shingle_sets(part.column(0).to_pylist())
+                    yield pa.record_batch([
+                        pa.array([S.digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets]),
+                        pa.array([s.view("int64") for s in sets], pa.list_(pa.int64())),
+                    ], names=_SETS.names)
 
     docs = df.select(col_of(id_col).cast("bigint").alias("id"), col_of(text_col).cast("string").alias("t"))
     near = docs.join(wanted.select("id").distinct(), docs["id"].eqNullSafe(wanted["id"]), "left_semi").select("t")

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlens.llm.common import col_of, text_slices
+from churnlens.llm.common import col_of, text_slices, tidy
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
@@ -291,7 +291,7 @@ _WIDTHS = np.array([_width(b) for b in range(256)])
 
 @lru_cache(maxsize=2)
 def encoder(vocab: Vocabulary) -> Encoder:
-    """One encoder, with its trie and cache, for each worker process and vocabulary."""
+    """One encoder with its trie for each worker process and vocabulary."""
     return Encoder(vocab)
 
 
@@ -307,24 +307,28 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
         T.StructField("round_trip", T.BooleanType()),
     ])
 
+    def coded(enc: Encoder, is_byte: np.ndarray, part: pa.RecordBatch) -> pa.RecordBatch:
+        texts = part.column(1).to_pylist()
+        packed = enc.encode(texts)
+        lens = np.array([len(p) // 4 if p else 0 for p in packed], dtype=np.int64)
+        flat = np.frombuffer(b"".join(p or b"" for p in packed), dtype=np.int32)
+        cuts = np.concatenate([[0], np.cumsum(lens)])
+        ids = pa.ListArray.from_arrays(
+            pa.array([None if p is None else int(a) for p, a in zip(packed, cuts)] + [int(cuts[-1])], pa.int32()), pa.array(flat))
+        sums = np.concatenate([[0], np.cumsum(is_byte[flat])])
+        listed = flat.tolist()
+        same = [t is None or enc.decode(listed[a:b]) == t for t, a, b in zip(texts, cuts[:-1].tolist(), cuts[1:].tolist())]
+        return pa.record_batch([part.column(0), ids, pa.array(lens), pa.array(sums[cuts[1:]] - sums[cuts[:-1]]), pa.array(same)],
+                               names=schema.names)
+
     def batches(rows):
         enc = encoder(shared.value)
         is_byte = np.zeros(len(enc.spell), dtype=bool)
         is_byte[enc.byte_ids[enc.byte_ids >= 0]] = True
-        for rec in rows:
-            for part in text_slices(rec, 1):
-                texts = part.column(1).to_pylist()
-                packed = enc.encode(texts)
-                lens = np.array([len(p) // 4 if p else 0 for p in packed], dtype=np.int64)
-                flat = np.frombuffer(b"".join(p or b"" for p in packed), dtype=np.int32)
-                cuts = np.concatenate([[0], np.cumsum(lens)])
-                ids = pa.ListArray.from_arrays(
-                    pa.array([None if p is None else int(a) for p, a in zip(packed, cuts)] + [int(cuts[-1])], pa.int32()), pa.array(flat))
-                sums = np.concatenate([[0], np.cumsum(is_byte[flat])])
-                listed = flat.tolist()
-                same = [t is None or enc.decode(listed[a:b]) == t for t, a, b in zip(texts, cuts[:-1].tolist(), cuts[1:].tolist())]
-                yield pa.record_batch([part.column(0), ids, pa.array(lens), pa.array(sums[cuts[1:]] - sums[cuts[:-1]]), pa.array(same)],
-                                      names=schema.names)
+        with tidy(enc.cache):
+            for rec in rows:
+                for part in text_slices(rec, 1):
+                    yield coded(enc, is_byte, part)
 
     picked = df.select(col_of(id_col).alias("id"), col_of(text_col).cast("string").alias("text"))
     return picked.mapInArrow(batches, schema)

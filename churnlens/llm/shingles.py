@@ -26,7 +26,7 @@ class _Words(dict):
         return value
 
 
-_words = _Words()
+WORDS = _Words()
 
 
 def _mix64(x: np.ndarray) -> np.ndarray:
@@ -49,11 +49,11 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """The set of each text: sorted distinct 64-bit hashes of its shingles. A-Z are
     lower-cased, words are runs without ASCII white space. A text of one to four words
     has one element, its whole sequence; without words the set is empty."""
-    if len(_words) > WORDS_CACHED:
-        _words.clear()
+    if len(WORDS) > WORDS_CACHED:
+        WORDS.clear()
     words = [t.encode().lower().split() if t else [] for t in texts]  # bytes: ASCII rules only
     lens = np.array([len(w) for w in words], dtype=np.int64)
-    flat = np.fromiter(map(_words.__getitem__, chain.from_iterable(words)), dtype=U64, count=int(lens.sum()))
+    flat = np.fromiter(map(WORDS.__getitem__, chain.from_iterable(words)), dtype=U64, count=int(lens.sum()))
     offsets = np.concatenate([[0], np.cumsum(lens)])
     full = np.zeros(max(len(flat) - SHINGLE + 1, 0), dtype=U64)
     for j in range(SHINGLE):

@@ -423,8 +423,3 @@ def lasso_select(train: DataFrame, target: str = "CCH_shift_6", n_alphas: int =
     best = lasso_path(whole, alphas[: int(error.argmin()) + 1])[-1]
     return spark.createDataFrame([(c, float(v), bool(v != 0.0)) for c, v in zip(num, best)],
                                  "variable string, coefficient double, selected boolean")
-
-
-def purchase_frame(snap: DataFrame) -> DataFrame:
-    return snap.withColumn("purchase", F.when(F.col("NEW_MATNR") > 0, 1).otherwise(0))
-

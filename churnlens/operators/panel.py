@@ -153,6 +153,7 @@ def period_diff_bucket(features: DataFrame) -> DataFrame:
     w = by_customer()
     diff = F.coalesce(F.col("period") - F.lag("period", 1).over(w), F.lit(0.0))
     d = F.col("period_diff")
+    # fixed values: the bucket's upper bounds
     bucket = (
         F.when(d <= -3, -3).when(d <= -2, -2).when(d <= -1, -1).when(d <= 0.5, 0)
         .when(d <= 1.5, 1).when(d <= 2.5, 2).when(d > 2.5, 3).otherwise(0)

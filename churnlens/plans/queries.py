@@ -496,7 +496,7 @@ def horizon_mse(spark, sf_dir):
 
 def purchase_snapshot(spark, sf_dir):
     # every fit, split and count reads it: write the snapshot once
-    return stage(ml.purchase_frame(snapshot_frame(spark, sf_dir)), "purchase")
+    return stage(nba.purchase_label(snapshot_frame(spark, sf_dir)), "purchase")
 
 
 @query

@@ -162,7 +162,8 @@ def monthly_rollup(
     """A1/A2/A3: one row per customer (or customer x ship-to) and month.
 
     ``keys='customer'``: composite customer number, SHIP_TO '0' (A1).
-    ``keys='shipto'``: raw customer and ship-to, no prefix (A2).
+    ``keys='shipto'``: raw customer and ship-to, no prefix, no product
+    hierarchies (A2).
     ``detail=True``: adds MAX(USNAM) and COUNT(*) with the detail names (A3).
     """
     base = ledger_filter(tx, start, end).withColumn("sales", net_sales())
@@ -175,6 +176,7 @@ def monthly_rollup(
     elif keys == "shipto":
         grouped = base.groupBy("KNDNR", "KUNWE", month)
         head = [F.col("KNDNR").alias("CUSTOMER_NUMBER"), F.col("KUNWE").alias("SHIP_TO")]
+        product_codes = ()  # this form ends with the material groups
     else:
         raise ValueError(keys)
     out = grouped.agg(*_measures(material_codes, product_codes, detail))

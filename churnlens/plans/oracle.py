@@ -87,7 +87,8 @@ def rollup_select(keys: str = "customer", detail: bool = False) -> str:
         f"round(sum(CASE WHEN sales = 0 THEN 0.0 ELSE CAST({DED_SQL} AS DOUBLE) / CAST(sales AS DOUBLE) END), 3) AS DISCOUNT_RATIO",
     ]
     cols += [f"CAST(sum(CASE WHEN MATKL = '{c}' THEN sales END) AS DOUBLE) AS {n}" for c, n in mats]
-    cols += [f"CAST(sum(CASE WHEN PRODH = '{c}' THEN sales END) AS DOUBLE) AS {n}" for c, n in prods]
+    if keys == "customer":  # the ship-to form ends with the material groups
+        cols += [f"CAST(sum(CASE WHEN PRODH = '{c}' THEN sales END) AS DOUBLE) AS {n}" for c, n in prods]
     return "SELECT " + ",\n  ".join(cols) + f"\nFROM base GROUP BY {group}"
 
 

@@ -205,7 +205,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         while rounds.run(small=SMALL):
             pass
 
-    group = staged(rounds.labels.join(wanted, "v"), "group")
+    group = staged(rounds.labels.join(wanted.select("v", "id"), "v"), "group")
     least = staged(group.groupBy("c").agg(F.min("id").alias("least")), "least")  # so that a hot component's join can be split
     component = group.join(least, "c").select("v", "least")
     # classes in no bucket are their own component; hot classes: partial minimum, then a join

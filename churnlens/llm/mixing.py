@@ -8,6 +8,11 @@ p = min(1, ``rate`` * factor), by the hash of its id and the seed, and carries t
 factor / p, so that weight * tokens over the sample has the raked totals as expectation,
 also where a cell can't supply more than all it has.
 
+Rows without weights (``sample``) can't make up for that cap, so there a document is
+repeated: floor(``rate`` * factor) copies, and one more by the hash with the rest as
+probability. The expected tokens of a cell are ``rate`` times its raked weight, whatever
+the factor. The documents drawn are the same; a document whose p is below 1 is drawn once.
+
 Targets of a marginal are either its observed shares to a power (0 gives each value the
 same, 1 leaves them as they are), so no list of sources is needed, or a table of wanted
 shares, in which a value that the table doesn't name gets its least share. Only values
@@ -87,7 +92,7 @@ def mixed(df: DataFrame, topic: Column, rate: float, seed: int = 0, powers: dict
           wanted: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source", lang_col: str = "lang", carry: bool = False) -> DataFrame:
     """A row for each row of ``df``: id, source, lang, topic, n_tokens, factor, p, sampled,
-    weight. With ``carry``: the columns of ``df`` and, as the last one, ``sampled``."""
+    weight, copies. With ``carry``: the columns of ``df`` and, as the last one, ``copies``."""
     powers, wanted = powers or {}, wanted or {}
     names = {k: free_name(df, f"_{k}") for k in (*MARGINS, "f")}
     keys = {"source": _named(col_of(source_col)), "lang": _named(col_of(lang_col)), "topic": _named(topic)}
@@ -100,20 +105,23 @@ def mixed(df: DataFrame, topic: Column, rate: float, seed: int = 0, powers: dict
     factors = staged(raked.select(*[F.col(m).alias(names[m]) for m in MARGINS], factor.alias(names["f"])), "factors")
     factors = bounded_broadcast(factors, CELL_ROWS)
     f = col_of(names["f"])
-    p = F.least(F.lit(1.0), F.lit(float(rate)) * f)
+    wish = F.lit(float(rate)) * f
+    p = F.least(F.lit(1.0), wish)
+    copies = lambda u: (F.floor(wish) + (u < wish - F.floor(wish)).cast("int")).cast("int")
     if carry:
         on = [keys[m] == col_of(names[m]) for m in MARGINS]
         return df.join(factors, on).select(
-            *[col_of(c) for c in df.columns], (uniform(col_of(id_col), seed) < p).alias(free_name(df, "sampled")))
+            *[col_of(c) for c in df.columns], copies(uniform(col_of(id_col), seed)).alias(free_name(df, "copies")))
     on = [narrow[m] == factors[names[m]] for m in MARGINS]
     return narrow.join(factors, on).select(
         "id", F.col("source_value").alias("source"), F.col("lang_value").alias("lang"), F.col("topic_value").alias("topic"),
         narrow["tokens"].alias("n_tokens"), f.alias("factor"), p.alias("p"),
-        (uniform(F.col("id"), seed) < p).alias("sampled"), (f / p).alias("weight"))
+        (uniform(F.col("id"), seed) < p).alias("sampled"), (f / p).alias("weight"), copies(uniform(F.col("id"), seed)).alias("copies"))
 
 
 def sample(df: DataFrame, topic: Column, rate: float, **more) -> DataFrame:
-    """The drawn rows of ``df``, with all their columns."""
+    """The drawn rows of ``df``, with all their columns, each as often as its copies."""
     marked = mixed(df, topic, rate, carry=True, **more)
-    flag = marked.columns[-1]
-    return marked.where(col_of(flag)).drop(flag)
+    copies = marked.columns[-1]
+    again = F.explode(F.array_repeat(F.lit(True), col_of(copies))).alias(copies)
+    return marked.where(col_of(copies) > 0).select(*[col_of(c) for c in df.columns], again).drop(copies)

@@ -39,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by raked probabilities (operator 4)."""
+    """Documents drawn, and where they must be repeated, by raked factors (operator 4)."""
     return sample(docs, topic_of(), **MIX)
 
 

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from churnlens.llm.mixing import SWEEPS, mixed, sample
+import corpus_pipeline
+from churnlens.llm.mixing import SWEEPS, mixed, n_tokens, sample
 from churnlens.llm.queries import MIX, topic_of
 from churnlens.sources.tables import read_table
 
@@ -51,3 +52,27 @@ def test_edges(spark):
 def test_no_python_in_plans(spark):
     plan = mixed(read_table(spark, SF, "documents"), topic_of(), **MIX)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_drawn_shares(spark):
+    """The rows of the pipeline's stage, unweighted, have the wanted shares of tokens; a
+    document is repeated only where its cell can't supply its share otherwise."""
+    docs = read_table(spark, SF, "documents")
+    drawn = corpus_pipeline.mix(spark, docs, SF).select("doc_id", "source", "lang", topic_of().alias("topic"), n_tokens("text").alias("n")).cache()
+    total = drawn.agg(F.sum("n")).first()[0]
+    assert abs(total / docs.agg(F.sum(n_tokens("text"))).first()[0] - MIX["rate"]) < 0.02
+    topics = {r.topic: r.n / total for r in drawn.groupBy("topic").agg(F.sum("n").alias("n")).collect()}
+    assert all(abs(topics[t] - g) < 0.012 for t, g in MIX["wanted"]["topic"].items())
+    # each value has rate times its raked tokens, but for four deviations of the draw of the rests
+    rest = MIX["rate"] * F.col("factor") - F.floor(MIX["rate"] * F.col("factor"))
+    for by in ("source", "lang", "topic"):
+        got = {r[0]: r.n for r in drawn.groupBy(by).agg(F.sum("n").alias("n")).collect()}
+        for r in mixed(docs, topic_of(), **MIX).groupBy(by).agg(
+                F.sum(F.col("n_tokens") * F.col("factor")).alias("w"),
+                F.sqrt(F.sum(F.col("n_tokens") ** 2 * rest * (1 - rest))).alias("sd")).collect():
+            assert abs(got.get(r[0], 0) - MIX["rate"] * r.w) <= 4 * r.sd + 1e-6
+    want = {r.id: r for r in mixed(docs, topic_of(), **MIX).collect()}
+    counts = {r.doc_id: r["count"] for r in drawn.groupBy("doc_id").count().collect()}
+    assert set(counts) == {i for i, r in want.items() if r.sampled}
+    assert all(n == want[i].copies and abs(n - MIX["rate"] * want[i].factor) < 1 for i, n in counts.items())
+    assert max(counts.values()) > 2

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from churnlens.llm.minhash import near_duplicates
 from churnlens.llm.mixing import mixed
 from churnlens.llm.sentencepiece import encode
 from churnlens.llm.shuffle import external_shuffle, record_bytes
+from churnlens.llm.token_counts import token_counts
 from churnlens.llm.urls import judge
 from churnlens.sources.tables import read_table
 
@@ -36,6 +38,8 @@ MIX = {
         "topic": {"prose": 0.85, "license": 0.1, "table": 0.02, "symbols": 0.02, "shout": 0.01},
     },
 }
+COUNTED_BY = public_tokenizers.path("word_bpe_49k.json")
+CONTEXT_TOKENS = 2048
 PIECES = os.environ.get("CORPUS_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 
 
@@ -113,6 +117,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", F.round("p", 6).alias("p_bad"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return token_counts(docs, COUNTED_BY, CONTEXT_TOKENS).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_chat_format": op2_chat_format,
@@ -124,4 +133,5 @@ QUERIES = {
     "op8_shuffle_shards": op8_shuffle_shards,
     "op9_hamming_topk": op9_hamming_topk,
     "op10_url_filter": op10_url_filter,
+    "op13_token_counts": op13_token_counts,
 }

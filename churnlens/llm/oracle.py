@@ -116,7 +116,34 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_
 WHERE rank <= 10
 """
 
+# Brute force: the score of each anchor with each row (sums of integers below 2**53).
+OP11 = """
+WITH v AS (
+  SELECT row_number() OVER () AS n, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.n AS an, a.id AS anchor_id, b.n AS bn, b.id, a.label = b.label AS same,
+         list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.id % 100 = 0
+), p AS (
+  SELECT an, anchor_id, bn, id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY an ORDER BY score DESC, id) AS k
+  FROM s WHERE same AND an <> bn
+), g AS (
+  SELECT p.anchor_id, positive_id, s.id AS negative_id, positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.an, p.bn ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON p.an = s.an AND NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+  WHERE p.k <= 5
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM g WHERE rank <= 5
+"""
+
 ORACLE = {
+    "op11_hard_negatives": OP11,
     "op9_hamming_topk": OP9,
     "op6_html_extract": OP6,
     "op4_source_mix": OP4,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from churnlens.llm.chat import format_chats, read_back
 from churnlens.llm.digest_index import DigestIndex
 from churnlens.llm.hamming import top_k
+from churnlens.llm.hard_negatives import mine
 from churnlens.llm.html import extract
 from churnlens.llm.kneser_ney import judged
 from churnlens.llm.minhash import near_duplicates
@@ -117,6 +118,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", F.round("p", 6).alias("p_bad"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return mine(rows, F.col("id") % 100 == 0)
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return token_counts(docs, COUNTED_BY, CONTEXT_TOKENS).withColumnRenamed("id", "doc_id")
@@ -133,5 +140,6 @@ QUERIES = {
     "op8_shuffle_shards": op8_shuffle_shards,
     "op9_hamming_topk": op9_hamming_topk,
     "op10_url_filter": op10_url_filter,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_token_counts": op13_token_counts,
 }

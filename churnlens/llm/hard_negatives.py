@@ -138,7 +138,7 @@ def block_of(x: np.ndarray, dims: list[int], cuts: np.ndarray) -> np.ndarray:
     return at
 
 
-def str_pages(x: np.ndarray, page: int = PAGE) -> Iterator[np.ndarray]:
+def str_pages(x: np.ndarray, page: int) -> Iterator[np.ndarray]:
     """Row numbers of each page: sort by a coordinate, cut into slabs, tile each slab by
     the next coordinate (those of greatest variance first)."""
     order = np.argsort(-x.var(axis=0), kind="stable") if x.shape[1] else []
@@ -168,7 +168,7 @@ def _pack(key: tuple, entries: pa.Table) -> pa.Table:
     out = []
     for label in np.unique(labels):
         mine = np.flatnonzero(labels == label)
-        for rows in str_pages(x[mine]):
+        for rows in str_pages(x[mine], PAGE):
             rows = mine[rows]
             out.append({"unit": key[0].as_py(), "label": int(label), "lo": _raw(x[rows].min(axis=0)), "hi": _raw(x[rows].max(axis=0)),
                         "codes": [codes[r] for r in rows], "ids": [ids[r] for r in rows], "unit_lo": None, "unit_hi": None})

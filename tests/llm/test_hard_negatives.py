@@ -113,8 +113,9 @@ def test_tree(n, dims):
     assert n < 100 or np.bincount(blocks)[8:].max() < n / 4
 
 
-def test_queue_prunes():
+def test_queue_prunes(monkeypatch):
     """Near clusters are found without opening the pages of far ones."""
+    monkeypatch.setattr(H, "PAGE", 32)
     rnd = np.random.default_rng(3)
     centres = rnd.integers(-200, 200, (40, 8))
     x = np.concatenate([c + rnd.integers(-3, 4, (50, 8)) for c in centres])

@@ -142,7 +142,48 @@ SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_scor
 FROM g WHERE rank <= 5
 """
 
+# Prefixes as strings of turn hashes; a subtree is all nodes whose string begins so. The
+# CRC-32 goes bit by bit: -1 stands for one shift.
+OP12 = """
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x) - 1 AS pos,
+         md5(length(r) || ':' || r || x) AS tid, strlen(x) AS bytes
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)
+), v AS (
+  SELECT c, c - c % 5 AS donor,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(c::VARCHAR, ''),
+               lambda y: [ascii(y)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda a, y: CASE WHEN y >= 0 THEN xor(a, y) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END),
+           4294967295::BIGINT) % 9 AS h
+  FROM (SELECT DISTINCT c FROM t)
+), r AS (
+  SELECT c, pos, tid, bytes FROM t JOIN v USING (c) WHERE pos >= h
+  UNION ALL
+  SELECT v.c, t.pos, t.tid, t.bytes FROM v JOIN t ON t.c = v.donor AND t.pos < v.h
+), p AS (
+  SELECT c, row_number() OVER w AS depth, string_agg(tid, '') OVER w AS key, bytes FROM r WINDOW w AS (PARTITION BY c ORDER BY pos)
+  UNION ALL
+  SELECT c, 0, '', 0 FROM v
+), n AS (
+  SELECT depth, key, left(key, length(key) - 32) AS up, min(c) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM p GROUP BY depth, key
+), k AS (
+  SELECT up AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY up
+), f AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (key)
+), s AS (
+  SELECT a.key, count(*) FILTER (b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.bytes)::BIGINT AS saved_tokens
+  FROM f a JOIN f b ON starts_with(b.key, a.key) GROUP BY a.key
+), e AS (
+  SELECT key, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends
+  FROM (SELECT c, max(depth) AS depth FROM p GROUP BY c) JOIN p USING (c, depth) GROUP BY key
+)
+SELECT f.conv_id, f.depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens,
+       coalesce(e.ends, sha256('')) AS ends_sha256
+FROM f JOIN s USING (key) LEFT JOIN e USING (key) LEFT JOIN n u ON f.depth > 0 AND u.key = f.up
+"""
+
 ORACLE = {
+    "op12_prefix_trie": OP12,
     "op11_hard_negatives": OP11,
     "op9_hamming_topk": OP9,
     "op6_html_extract": OP6,

@@ -20,6 +20,7 @@ from churnlens.llm.html import extract
 from churnlens.llm.kneser_ney import judged
 from churnlens.llm.minhash import near_duplicates
 from churnlens.llm.mixing import mixed
+from churnlens.llm.prefix_trie import numbered, prefix_trie, rebuilt
 from churnlens.llm.sentencepiece import encode
 from churnlens.llm.shuffle import external_shuffle, record_bytes
 from churnlens.llm.token_counts import token_counts
@@ -124,6 +125,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(rows, F.col("id") % 100 == 0)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = numbered(read_table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    shared = F.crc32(F.col("conv").cast("string").cast("binary")) % 9
+    return prefix_trie(rebuilt(turns, F.col("conv") - F.col("conv") % 5, shared, 8), turns)
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return token_counts(docs, COUNTED_BY, CONTEXT_TOKENS).withColumnRenamed("id", "doc_id")
@@ -141,5 +148,6 @@ QUERIES = {
     "op9_hamming_topk": op9_hamming_topk,
     "op10_url_filter": op10_url_filter,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_token_counts": op13_token_counts,
 }

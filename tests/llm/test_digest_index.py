@@ -2,6 +2,9 @@
 
 import hashlib
 
+import pytest
+from pyspark.sql import functions as F
+
 from churnlens.llm.digest_index import DigestIndex
 from churnlens.sources.tables import read_table
 
@@ -61,3 +64,50 @@ def test_columns_and_repeated_rows(spark):
 def test_no_python_in_plans(spark):
     plan = DigestIndex(spark).keep_new(read_table(spark, SF, "documents"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_crash_and_retry(spark):
+    """A batch that runs again keeps what it kept: after its rows were lost, and after a
+    part of its append was written without the marker."""
+    first = spark.range(2000).selectExpr("id AS doc_id", "concat('t', id div 2) AS text")
+    index = DigestIndex(spark, buckets=4)
+    want = sorted(range(1, 2000, 2))
+    groups = index.groups(first, "doc_id", "text")
+    index.append_new(groups, "monday")  # the job is lost before the rows are written
+    assert index.batches() == {"monday"}
+    assert sorted(r.doc_id for r in index.keep_new(first, batch="monday").collect()) == want
+    assert sorted(r.id for r in index.report(first, batch="monday").where("kept").collect()) == want
+    assert index.read().count() == 1000
+    half = DigestIndex(spark, buckets=4)
+    half.append_new(groups.where(F.hash("digest") % 2 == 0), "tuesday")
+    half._notes, done = (lambda kind, ddl, old=half._notes: [] if kind == "batches" else old(kind, ddl)), half.read().count()
+    assert 0 < done < 1000
+    assert sorted(r.doc_id for r in half.keep_new(first, batch="tuesday").collect()) == want
+    assert half.read().count() == 1000
+    assert half.keep_new(first, batch="wednesday").count() == 0
+
+
+def test_reopened(spark):
+    index = DigestIndex(spark, buckets=8)
+    docs = spark.range(500).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    assert index.keep_new(docs).count() == 500
+    with pytest.raises(ValueError):
+        DigestIndex(spark, path=index.path, buckets=32)
+    again = DigestIndex(spark, path=index.path)
+    assert again.buckets == 8 and again.keep_new(docs).count() == 0
+
+
+def test_index_is_read_by_bucket(spark):
+    """One exchange for the batch's digests in front of the anti-join, none for the index."""
+    index = DigestIndex(spark, buckets=8)
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    index.keep_new(docs)
+    found = index.groups(docs, "doc_id", "text").select("digest").distinct().join(index.read().hint("merge"), "digest")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = plan.index("Bucketed: true")
+    assert "Exchange" not in plan[plan.rindex(":- ", 0, scan) + 1 : scan].split("+- ", 1)[0] and "SelectedBucketsCount: 8 out of 8" in plan
+
+
+def test_long_text(spark):
+    docs = spark.createDataFrame([(1, "x" * 3_000_000), (2, "x" * 3_000_000), (3, "x" * 2_999_999)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in DigestIndex(spark).keep_new(docs).collect()) == [2, 3]

@@ -2,6 +2,9 @@
 
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from churnlens.llm.queries import QUERIES
 from churnlens.llm.shuffle import external_shuffle
 from churnlens.sources.tables import read_table
@@ -54,3 +57,23 @@ def test_edges(spark):
     assert sorted(Counter(r.shard for r in got).values()) == [25, 25, 25, 26]
     assert external_shuffle(same.limit(0), 4).count() == 0
     assert external_shuffle(same.limit(2), 4).count() == 2
+
+
+@pytest.mark.parametrize("kind", ["repartition", "join", "filter"])
+def test_any_input(spark, kind, tmp_path):
+    """The law and gapless slots hold where rows are dealt out anew each time they are read."""
+    spark.range(20_000).selectExpr("id AS doc_id", "repeat('x', 50) AS text").repartition(16).write.parquet(str(tmp_path / "in"))
+    rows = spark.read.parquet(str(tmp_path / "in"))
+    if kind == "repartition":
+        df = rows.repartition(64)
+    elif kind == "join":
+        df = rows.join(spark.range(0, 40_000, 3).withColumnRenamed("id", "doc_id").hint("shuffle_hash"), "doc_id").repartition(9)
+    else:
+        df = rows.withColumn("noise", F.rand()).where("noise < 0.7").drop("noise")
+    got = external_shuffle(df, 13, seed=3, bucket_bytes=100_000).select("record.doc_id", "shard", "slot").collect()
+    ids = [r.doc_id for r in got]
+    assert len(ids) == len(set(ids)) and (kind == "filter" or len(ids) == {"repartition": 20_000, "join": 6667}[kind])
+    sizes = Counter(r.shard for r in got)
+    assert set(sizes) == set(range(13)) and max(sizes.values()) - min(sizes.values()) <= 1
+    for s in range(13):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sizes[s]))

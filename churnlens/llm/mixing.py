@@ -8,10 +8,15 @@ p = min(1, ``rate`` * factor), by the hash of its id and the seed, and carries t
 factor / p, so that weight * tokens over the sample has the raked totals as expectation,
 also where a cell can't supply more than all it has.
 
-Rows without weights (``sample``) can't make up for that cap, so there a document is
-repeated: floor(``rate`` * factor) copies, and one more by the hash with the rest as
-probability. The expected tokens of a cell are ``rate`` times its raked weight, whatever
-the factor. The documents drawn are the same; a document whose p is below 1 is drawn once.
+Rows without weights (``sample``) can't make up for that cap, so there the raking itself
+is bounded: no cell gets more than ``max_repeats`` copies of each of its documents (1 by
+default: a sample without repeats). Targets that a marginal's values can't supply within
+that bound go to the values that can, in proportion; then each step scales the cells of a
+value to its target and cuts what goes beyond a cell's bound, which later sweeps give to
+cells with supply, until every marginal is within ``TOLERANCE`` of the whole (or
+``MOST_SWEEPS``, if the marginals contradict each other). A document is taken
+floor(``rate`` * factor) times, and once more by the hash with the rest as probability.
+``shares`` tells goal, reachable goal and raked share of every value.
 
 Targets of a marginal are either its observed shares to a power (0 gives each value the
 same, 1 leaves them as they are), so no list of sources is needed, or a table of wanted
@@ -19,7 +24,7 @@ shares, in which a value that the table doesn't name gets its least share. Only
 that have tokens take part; shares are normalised over them.
 
 All is DataFrame work. Cells are as many as the combinations that occur; after each
-marginal they are staged, so plans stay short. A marginal is an aggregate over the cells,
+marginal (bounded: each sweep) they are staged, so plans stay short. A marginal is an aggregate over the cells,
 joined back by its value; sums are pre-aggregated, so a source with a third of the rows
 is no hot task. Texts are never shuffled as long as the cells can be broadcast (their
 number is checked); beyond that the join is a shuffle that adaptive execution can split.
@@ -33,12 +38,13 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.llm.common import bounded_broadcast, col_of, free_name, staged, text_or_empty
 
 SWEEPS = 6
+TOLERANCE, MOST_SWEEPS = 0.002, 15
 CELL_ROWS = 200_000  # cells that are broadcast
 MARGINS = ("source", "lang", "topic")
 WORD = r"[^\x20\x09-\x0D]+"
@@ -90,9 +96,9 @@ def rake(cells: DataFrame, goals: dict[str, DataFrame], sweeps: int = SWEEPS) ->
 
 def mixed(df: DataFrame, topic: Column, rate: float, seed: int = 0, powers: dict[str, float] | None = None,
           wanted: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", text_col: str = "text",
-          source_col: str = "source", lang_col: str = "lang", carry: bool = False) -> DataFrame:
+          source_col: str = "source", lang_col: str = "lang") -> DataFrame:
     """A row for each row of ``df``: id, source, lang, topic, n_tokens, factor, p, sampled,
-    weight, copies. With ``carry``: the columns of ``df`` and, as the last one, ``copies``."""
+    weight."""
     powers, wanted = powers or {}, wanted or {}
     names = {k: free_name(df, f"_{k}") for k in (*MARGINS, "f")}
     keys = {"source": _named(col_of(source_col)), "lang": _named(col_of(lang_col)), "topic": _named(topic)}
@@ -105,23 +111,88 @@ def mixed(df: DataFrame, topic: Column, rate: float, seed: int = 0, powers: dict
     factors = staged(raked.select(*[F.col(m).alias(names[m]) for m in MARGINS], factor.alias(names["f"])), "factors")
     factors = bounded_broadcast(factors, CELL_ROWS)
     f = col_of(names["f"])
-    wish = F.lit(float(rate)) * f
-    p = F.least(F.lit(1.0), wish)
-    copies = lambda u: (F.floor(wish) + (u < wish - F.floor(wish)).cast("int")).cast("int")
-    if carry:
-        on = [keys[m] == col_of(names[m]) for m in MARGINS]
-        return df.join(factors, on).select(
-            *[col_of(c) for c in df.columns], copies(uniform(col_of(id_col), seed)).alias(free_name(df, "copies")))
+    p = F.least(F.lit(1.0), F.lit(float(rate)) * f)
     on = [narrow[m] == factors[names[m]] for m in MARGINS]
     return narrow.join(factors, on).select(
         "id", F.col("source_value").alias("source"), F.col("lang_value").alias("lang"), F.col("topic_value").alias("topic"),
         narrow["tokens"].alias("n_tokens"), f.alias("factor"), p.alias("p"),
-        (uniform(F.col("id"), seed) < p).alias("sampled"), (f / p).alias("weight"), copies(uniform(F.col("id"), seed)).alias("copies"))
+        (uniform(F.col("id"), seed) < p).alias("sampled"), (f / p).alias("weight"))
 
 
-def sample(df: DataFrame, topic: Column, rate: float, **more) -> DataFrame:
-    """The drawn rows of ``df``, with all their columns, each as often as its copies."""
-    marked = mixed(df, topic, rate, carry=True, **more)
-    copies = marked.columns[-1]
-    again = F.explode(F.array_repeat(F.lit(True), col_of(copies))).alias(copies)
-    return marked.where(col_of(copies) > 0).select(*[col_of(c) for c in df.columns], again).drop(copies)
+def _reachable(cells: DataFrame, margin: str, goal: DataFrame) -> DataFrame:
+    """(margin, goal, reach) as shares of the mass: what a value's cells can't supply goes
+    to the others in proportion. By supply over goal, the values that stay below the common
+    level come first; the level is the greatest of (mass - supply before) / (goals left)."""
+    supply = cells.groupBy(margin).agg(F.sum("cap").alias("supply"))
+    mass = cells.agg(F.sum("tokens").cast("double").alias("mass"))
+    whole = goal.agg(F.sum("goal").alias("whole"))
+    rows = goal.join(supply, margin).crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(mass))  # one row each
+    rows = rows.select(margin, (F.col("goal") / F.col("whole") * F.col("mass")).alias("goal"), "supply", "mass")
+    order = Window.orderBy(F.col("supply") / F.col("goal"), margin)  # a row a value
+    before = F.coalesce(F.sum("supply").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    left = F.sum("goal").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    level = F.max("level").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = rows.withColumn("level", (F.col("mass") - before) / left).withColumn("level", level)
+    return rows.select(margin, F.col("goal").alias(f"goal_{margin}"), F.least("supply", F.col("goal") * F.col("level")).alias(f"reach_{margin}"))
+
+
+def rake_bounded(cells: DataFrame, goals: dict[str, DataFrame]) -> DataFrame:
+    """``cells`` (source, lang, topic, tokens, cap) with ``w``, their raked weights of at
+    most ``cap``, and each marginal's goal and reachable goal."""
+    now = cells.where("tokens > 0").withColumn("w", F.least(F.col("tokens").cast("double"), "cap"))
+    for margin in MARGINS:
+        now = now.join(_reachable(cells, margin, goals[margin]), margin)
+    columns = [*MARGINS, "tokens", "cap", *[f"{kind}_{m}" for m in MARGINS for kind in ("goal", "reach")]]
+    now = staged(now.select(*columns, "w"), "bounded")
+    for _ in range(MOST_SWEEPS):
+        swept = now.withColumn("error", F.lit(0.0))
+        for m in MARGINS:
+            swept = swept.withColumn("had", F.sum("w").over(Window.partitionBy(m))).withColumn(
+                "error", F.greatest("error", F.abs(F.col("had") - F.col(f"reach_{m}")))).withColumn(
+                "w", F.least("cap", F.col("w") * F.col(f"reach_{m}") / F.col("had")))
+        now = staged(swept.select(*columns, "w", "error"), "bounded")
+        most, mass = now.agg(F.max("error"), F.sum("tokens")).first()
+        if most is None or most <= TOLERANCE * mass:
+            break
+    return now
+
+
+def bounded_cells(df: DataFrame, topic: Column, rate: float, max_repeats: int = 1, powers: dict[str, float] | None = None,
+                  wanted: dict[str, dict[str, float]] | None = None, text_col: str = "text",
+                  source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+    """The cells of ``df`` after bounded raking (see ``rake_bounded``)."""
+    powers, wanted = powers or {}, wanted or {}
+    cap = (F.col("tokens") * F.lit(max_repeats / float(rate))).cast("double")
+    cells = df.groupBy(
+        _named(col_of(source_col)).alias("source"), _named(col_of(lang_col)).alias("lang"), _named(topic).alias("topic")
+    ).agg(F.sum(n_tokens(text_col)).alias("tokens")).withColumn("cap", cap)
+    cells = staged(cells, "cells")
+    return rake_bounded(cells, {m: _targets(cells, m, powers.get(m, 1.0), wanted.get(m, {})) for m in MARGINS})
+
+
+def shares(cells: DataFrame) -> DataFrame:
+    """margin, value, goal, reachable, raked: shares of the mass for every value."""
+    out = None
+    for m in MARGINS:
+        mass = F.sum("tokens").over(Window.partitionBy())
+        rows = cells.select(m, "w", f"goal_{m}", f"reach_{m}", mass.alias("mass")).groupBy(m).agg(
+            *[(F.max(f"{kind}_{m}") / F.max("mass")).alias(name) for kind, name in (("goal", "goal"), ("reach", "reachable"))],
+            (F.sum("w") / F.max("mass")).alias("raked"))
+        rows = rows.select(F.lit(m).alias("margin"), F.col(m).alias("value"), "goal", "reachable", "raked")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def sample(df: DataFrame, topic: Column, rate: float, seed: int = 0, max_repeats: int = 1, id_col: str = "doc_id",
+           text_col: str = "text", source_col: str = "source", lang_col: str = "lang", **targets) -> DataFrame:
+    """The drawn rows of ``df``, with all their columns, each at most ``max_repeats`` times.
+    A row without tokens has the factor 1."""
+    names = {k: free_name(df, f"_{k}") for k in (*MARGINS, "f", "again")}
+    keys = {"source": _named(col_of(source_col)), "lang": _named(col_of(lang_col)), "topic": _named(topic)}
+    cells = bounded_cells(df, topic, rate, max_repeats, text_col=text_col, source_col=source_col, lang_col=lang_col, **targets)
+    factors = cells.select(*[F.col(m).alias(names[m]) for m in MARGINS], (F.col("w") / F.col("tokens")).alias(names["f"]))
+    rows = df.join(bounded_broadcast(factors, CELL_ROWS), [keys[m] == col_of(names[m]) for m in MARGINS], "left")
+    wish = F.least(F.lit(float(max_repeats)), F.lit(float(rate)) * F.coalesce(col_of(names["f"]), F.lit(1.0)))
+    copies = (F.floor(wish) + (uniform(col_of(id_col), seed) < wish - F.floor(wish)).cast("int")).cast("int")
+    again = F.explode(F.array_repeat(F.lit(True), copies)).alias(names["again"])
+    return rows.select(*[col_of(c) for c in df.columns], again).drop(names["again"])

@@ -115,3 +115,53 @@ def mix(docs, rate, seed, powers, wanted, sweeps):
         u = int(hashlib.md5(f"={i}#{seed}".encode()).hexdigest()[:12], 16) / 2**48
         out[i] = (f, min(1.0, rate * f), u < min(1.0, rate * f))
     return out
+
+
+def bounded_mix(docs, rate, seed, powers, wanted, max_repeats, tolerance, sweeps):
+    """{id: copies} and {(margin, value): (goal, reachable, raked)} of docs (id, text, source,
+    lang), by bounded raking."""
+    cell = {i: (f"{s}", f"{lang}", topic(t)) for i, t, s, lang in docs}
+    base = defaultdict(float)
+    for i, t, _, _ in docs:
+        base[cell[i]] += len(words(t))
+    base = {c: w for c, w in base.items() if w > 0}
+    mass, cap = sum(base.values()), {c: w * max_repeats / rate for c, w in base.items()}
+    goals, reach = [], []
+    for k, name in enumerate(("source", "lang", "topic")):
+        sums, supply = defaultdict(float), defaultdict(float)
+        for c, w in base.items():
+            sums[c[k]] += w
+            supply[c[k]] += cap[c]
+        table = wanted.get(name)
+        raw = {v: (table.get(v, min(table.values())) if table else w ** powers.get(name, 1.0)) for v, w in sums.items()}
+        goals.append({v: g / sum(raw.values()) * mass for v, g in raw.items()})
+        full = set()
+        while True:  # values that can't have their part are given all they have
+            rest = sum(g for v, g in goals[k].items() if v not in full)
+            level = (mass - sum(supply[v] for v in full)) / rest if rest else 0
+            more = {v for v, g in goals[k].items() if v not in full and g * level > supply[v]}
+            if not more:
+                break
+            full |= more
+        reach.append({v: supply[v] if v in full else g * level for v, g in goals[k].items()})
+    weight = {c: min(w, cap[c]) for c, w in base.items()}
+    for _ in range(sweeps):
+        error = 0
+        for k in range(3):
+            had = defaultdict(float)
+            for c, w in weight.items():
+                had[c[k]] += w
+            error = max([error, *(abs(had[v] - r) for v, r in reach[k].items())])
+            weight = {c: min(cap[c], w * reach[k][c[k]] / had[c[k]]) for c, w in weight.items()}
+        if error <= tolerance * mass:
+            break
+    out = {}
+    for i in cell:
+        wish = min(max_repeats, rate * weight[cell[i]] / base[cell[i]] if cell[i] in base else rate)
+        u = int(hashlib.md5(f"={i}#{seed}".encode()).hexdigest()[:12], 16) / 2**48
+        out[i] = int(wish) + (u < wish - int(wish))
+    report = {}
+    for k, name in enumerate(("source", "lang", "topic")):
+        for v in goals[k]:
+            report[name, v] = tuple(x / mass for x in (goals[k][v], reach[k][v], sum(w for c, w in weight.items() if c[k] == v)))
+    return out, report

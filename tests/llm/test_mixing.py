@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from churnlens.llm.mixing import SWEEPS, mixed, n_tokens, sample
+from churnlens.llm.mixing import MOST_SWEEPS, SWEEPS, TOLERANCE, bounded_cells, mixed, n_tokens, sample, shares
 from churnlens.llm.queries import MIX, topic_of
 from churnlens.sources.tables import read_table
 
-from .plain import mix
+from .plain import bounded_mix, mix
 
 SF = "/root/testdata/sf0.01"
 
@@ -54,25 +54,57 @@ def test_no_python_in_plans(spark):
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
 
 
-def test_drawn_shares(spark):
-    """The rows of the pipeline's stage, unweighted, have the wanted shares of tokens; a
-    document is repeated only where its cell can't supply its share otherwise."""
+def tuples(docs):
+    return [(r.doc_id, r.text, r.source, r.lang) for r in docs.collect()]
+
+
+def test_bounded_against_plain(spark):
+    """Cells that run out, with and without repeats."""
     docs = read_table(spark, SF, "documents")
-    drawn = corpus_pipeline.mix(spark, docs, SF).select("doc_id", "source", "lang", topic_of().alias("topic"), n_tokens("text").alias("n")).cache()
-    total = drawn.agg(F.sum("n")).first()[0]
-    assert abs(total / docs.agg(F.sum(n_tokens("text"))).first()[0] - MIX["rate"]) < 0.02
-    topics = {r.topic: r.n / total for r in drawn.groupBy("topic").agg(F.sum("n").alias("n")).collect()}
-    assert all(abs(topics[t] - g) < 0.012 for t, g in MIX["wanted"]["topic"].items())
-    # each value has rate times its raked tokens, but for four deviations of the draw of the rests
-    rest = MIX["rate"] * F.col("factor") - F.floor(MIX["rate"] * F.col("factor"))
+    for more in ({"max_repeats": 1}, {"max_repeats": 3, "rate": 1.2}):
+        args = {**MIX, **more}
+        want, report = bounded_mix(tuples(docs), tolerance=TOLERANCE, sweeps=MOST_SWEEPS, **args)
+        drawn = sample(docs, topic_of(), **args)
+        assert drawn.columns == docs.columns
+        counts = {r.doc_id: r["count"] for r in drawn.groupBy("doc_id").count().collect()}
+        assert counts == {i: n for i, n in want.items() if n} and max(counts.values()) <= args["max_repeats"]
+        targets = {k: v for k, v in args.items() if k != "seed"}
+        for r in shares(bounded_cells(docs, topic_of(), **targets)).collect():
+            goal, reachable, raked = report[r.margin, r.value[1:]]
+            assert abs(r.goal - goal) < 1e-9 and abs(r.reachable - reachable) < 1e-9 and abs(r.raked - raked) < 1e-9
+
+
+def test_reachable_goals(spark):
+    """A topic with a hundredth of the tokens can't have a third of them without repeats."""
+    rows = [(i, "a b c", "s", "en") for i in range(300)] + [(300 + i, "a | b", "s", "en") for i in range(3)] + [(400 + i, "x !! y", "s", "en") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    wanted = {"topic": {"prose": 0.4, "table": 0.3, "shout": 0.3}}
+    got = {r.value: (r.goal, r.reachable, r.raked) for r in shares(bounded_cells(docs, topic_of(), 0.5, wanted=wanted)).collect() if r.margin == "topic"}
+    mass = 403 * 3
+    assert abs(got["=table"][1] - 3 * 3 * 2 / mass) < 1e-9  # all it has
+    rest = 1 - got["=table"][1]
+    assert abs(got["=prose"][1] - rest * 4 / 7) < 1e-9 and abs(got["=shout"][1] - rest * 3 / 7) < 1e-9
+    assert all(abs(reach - raked) < 0.002 for _, reach, raked in got.values())
+    drawn = [r.doc_id for r in sample(docs, topic_of(), 0.5, wanted=wanted).collect()]
+    assert len(drawn) == len(set(drawn)) and {300, 301, 302} <= set(drawn)
+
+
+def test_drawn_shares(spark):
+    """The pipeline's stage on what near-duplicate removal leaves: no document twice, and
+    the rows drawn, unweighted, have the reachable shares but for the chance of the draw."""
+    small = "/root/testdata/sf0.001"
+    docs = read_table(spark, small, "documents")
+    for name in ("quality", "exact_dedup", "near_dedup"):
+        docs = dict(corpus_pipeline.STAGES)[name](spark, docs, small).checkpoint()
+    args = corpus_pipeline.MIX
+    drawn = corpus_pipeline.mix(spark, docs, small).select("doc_id", "source", "lang", topic_of().alias("topic"), n_tokens("text").alias("n")).cache()
+    assert drawn.count() == drawn.select("doc_id").distinct().count() > 0
+    want, report = bounded_mix(tuples(docs), tolerance=TOLERANCE, sweeps=MOST_SWEEPS, **args)
+    assert {r.doc_id for r in drawn.collect()} == {i for i, n in want.items() if n}
+    mass = docs.agg(F.sum(n_tokens("text"))).first()[0]
     for by in ("source", "lang", "topic"):
         got = {r[0]: r.n for r in drawn.groupBy(by).agg(F.sum("n").alias("n")).collect()}
-        for r in mixed(docs, topic_of(), **MIX).groupBy(by).agg(
-                F.sum(F.col("n_tokens") * F.col("factor")).alias("w"),
-                F.sqrt(F.sum(F.col("n_tokens") ** 2 * rest * (1 - rest))).alias("sd")).collect():
-            assert abs(got.get(r[0], 0) - MIX["rate"] * r.w) <= 4 * r.sd + 1e-6
-    want = {r.id: r for r in mixed(docs, topic_of(), **MIX).collect()}
-    counts = {r.doc_id: r["count"] for r in drawn.groupBy("doc_id").count().collect()}
-    assert set(counts) == {i for i, r in want.items() if r.sampled}
-    assert all(n == want[i].copies and abs(n - MIX["rate"] * want[i].factor) < 1 for i, n in counts.items())
-    assert max(counts.values()) > 2
+        square = {r[0]: r.s for r in docs.withColumn("topic", topic_of()).groupBy(by).agg(F.sum(n_tokens("text") ** 2).alias("s")).collect()}
+        for (margin, value), (_, _, raked) in report.items():
+            if margin == by:  # half the root of the sum of squares is the greatest deviation of such a draw
+                assert abs(got.get(value, 0) - args["rate"] * raked * mass) <= 4 * 0.5 * square[value] ** 0.5

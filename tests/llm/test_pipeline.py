@@ -7,11 +7,12 @@ from sentencepiece import sentencepiece_model_pb2 as pb
 
 import corpus_pipeline
 from churnlens.llm import kneser_ney as K
-from churnlens.llm.queries import MIX, PIECES
+from churnlens.llm.mixing import MOST_SWEEPS, TOLERANCE
+from churnlens.llm.queries import PIECES
 from churnlens.llm.sentencepiece import Vocabulary
 from churnlens.sources.tables import read_table
 
-from .plain import kneser_ney, mix, near_groups
+from .plain import bounded_mix, kneser_ney, near_groups
 
 SF = "/root/testdata/sf0.001"
 STAGES = dict(corpus_pipeline.STAGES)
@@ -85,9 +86,9 @@ def test_dedups_and_mix(spark):
     near = STAGES["near_dedup"](spark, docs, SF)
     assert near.columns == COLUMNS and set(rows(near)) == {i for i, (_, c) in groups.items() if c == i}
 
-    drawn = mix([(r.doc_id, r.text, r.source, r.lang) for r in docs.collect()], sweeps=6, **MIX)
+    drawn, _ = bounded_mix([(r.doc_id, r.text, r.source, r.lang) for r in docs.collect()], tolerance=TOLERANCE, sweeps=MOST_SWEEPS, **corpus_pipeline.MIX)
     mixed = STAGES["mix"](spark, docs, SF)
-    assert mixed.columns == COLUMNS and set(rows(mixed)) == {i for i, (_, _, s) in drawn.items() if s}
+    assert mixed.columns == COLUMNS and mixed.count() == len(rows(mixed)) and set(rows(mixed)) == {i for i, n in drawn.items() if n}
 
 
 def test_run(spark):

@@ -15,11 +15,25 @@ from churnlens.llm.digest_index import DigestIndex
 from churnlens.llm.kneser_ney import keep_good
 from churnlens.llm.minhash import keep_one
 from churnlens.llm.mixing import sample
-from churnlens.llm.queries import MIX, PIECES, topic_of
+from churnlens.llm.queries import PIECES, topic_of
 from churnlens.llm.sentencepiece import encode
 from churnlens.sources.tables import read_table
 
 
+# What the quality stage keeps is prose, and license lines in it; the other kinds get what
+# little is left of them, each document once at most.
+MIX = {
+    "rate": 0.5,
+    "seed": 4,
+    "max_repeats": 1,
+    "powers": {"source": 0.5},
+    "wanted": {
+        "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2},
+        "topic": {"prose": 0.88, "license": 0.1, "table": 0.01, "symbols": 0.005, "shout": 0.005},
+    },
+}
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the Kneser-Ney classifier keeps (operator 7)."""
     return keep_good(docs, read_table(spark, sf_dir, "labels"))
@@ -39,7 +53,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn, and where they must be repeated, by raked factors (operator 4)."""
+    """Documents drawn by raked factors, none of them twice (operator 4)."""
     return sample(docs, topic_of(), **MIX)
 
 

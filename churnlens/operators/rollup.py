@@ -1,11 +1,17 @@
 """Monthly customer rollup of the profitability ledger.
 
-One wide conditional aggregation per (customer, month), partial on the map
-side. The four ``count_distinct`` measures over strings become one five-fold
-``Expand`` + two-level aggregate, which spreads a hot customer-month over many
-tasks instead of collecting its distinct values in one; distinct dates are day
-bitmaps and need no copy of the row. The string maxima make Spark aggregate by
-sorting.
+Two aggregates per (customer, month), joined on that key:
+
+* the measures (sums, counts, averages, date bounds, day bitmaps): fixed-width buffers,
+  so one hash aggregate, partial on the map side, over the full-width rows;
+* the values: four distinct counts, the string maxima and the list of materials. The
+  ledger's few columns for them become narrow (key, kind, value) rows, which are
+  de-duplicated by hash, so a hot customer-month spreads over many tasks and a value
+  leaves a task once; counts, maxima and lists are taken over what is left.
+
+The ledger is scanned twice, the second time only for the key and the value columns. One
+scan would carry every measure through each copy of a row (that is what Spark's Expand
+does for several distinct counts), and string maxima beside sums would sort those rows.
 """
 
 from __future__ import annotations
@@ -95,26 +101,12 @@ def _days(date: Column) -> Column:
     return F.coalesce(F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(date)))), F.lit(0)).cast("bigint")
 
 
-def _measures(
-    material_codes: Sequence[tuple[str, str]],
-    product_codes: Sequence[tuple[str, str]],
-    detail: bool,
-) -> list[Column]:
+def _measures(material_codes: Sequence[tuple[str, str]], product_codes: Sequence[tuple[str, str]], detail: bool) -> list[Column]:
     rental = F.col("VVQ01_ME").isin(*RENTAL_UNITS)
     product = (F.col("VVQ01_ME") != "CMO") & (F.col("VVQ01_ME") != "CDA")
     sales = F.col("sales")
     period = F.col("WWRCP")
     m = [
-        F.count_distinct("ARTNR").alias("CNTD_MATERIAL"),
-        F.count_distinct("MATKL").alias("MATERIAL_GROUP"),
-        F.max("WWI06").alias("INDUSTRY"),
-        F.max("WWI04").alias("INDUSTRY_SUBLEVEL"),
-        F.max("VKORG").alias("PLANT"),
-        F.max("PERDE").alias("POSTING_PERIOD"),
-    ]
-    if detail:
-        m.append(F.max("USNAM").alias("USERNAME"))
-    m += [
         F.datediff(F.max("BUDAT"), F.min("BUDAT")).alias("DAY_BETWEEN_POSTING"),
         # a group's dates are of one month: the set of days is 31 bits, no distinct pass
         _days(F.when(rental, F.col("BUDAT"))).alias("CNTD_RENTAL_POSTING_DATE"),
@@ -123,8 +115,6 @@ def _measures(
         # T-SQL AVG over INT truncates toward zero (T5)
         F.avg(F.datediff("FADAT", "WADAT")).cast("bigint").alias("AVG_DOCUMENT_ISSUE_DIFF"),
         F.avg(F.datediff("FADAT", "BUDAT")).cast("bigint").alias("AVG_POST_ISSUE_DIFF"),
-        F.count_distinct("RPOSN").alias("CNTD_REFERENCE_ITEMS" if detail else "REFERENCE_ITEMS"),
-        F.count_distinct("KAUFN").alias("CNTD_ORDER_NO" if detail else "ORDER_NO"),
         F.sum(F.when(F.col("VVQ01_ME") == "CDA", _zero("VVQ13")).otherwise(0)).alias("CCH"),
         F.sum(F.when(product, _zero("VVQ13")).otherwise(0)).alias("SALE_QTY"),
         F.sum(F.when(rental, _zero("VVQ01"))).alias("RENTAL_BILLED_QTY"),
@@ -150,6 +140,60 @@ def _measures(
     return m
 
 
+# Ledger column -> output column of the distinct counts and the maxima (the
+# detail form has its own names for two of them, and the user as well).
+COUNTED = [("ARTNR", "CNTD_MATERIAL"), ("MATKL", "MATERIAL_GROUP"), ("RPOSN", "REFERENCE_ITEMS"), ("KAUFN", "ORDER_NO")]
+COUNTED_DETAIL = [("ARTNR", "CNTD_MATERIAL"), ("MATKL", "MATERIAL_GROUP"), ("RPOSN", "CNTD_REFERENCE_ITEMS"), ("KAUFN", "CNTD_ORDER_NO")]
+MAXIMA = [("WWI06", "INDUSTRY"), ("WWI04", "INDUSTRY_SUBLEVEL"), ("VKORG", "PLANT"), ("PERDE", "POSTING_PERIOD")]
+MAXIMA_DETAIL = [*MAXIMA, ("USNAM", "USERNAME")]
+NO_KEY = "\0"  # stands for a null in a key, so that the two aggregates join on plain equality
+
+
+def _values(base: DataFrame, keys: list[str], detail: bool, materials: bool) -> DataFrame:
+    """The keys with the distinct counts, string maxima and, with ``materials``, the sorted
+    list of materials."""
+    counted, maxima = (COUNTED_DETAIL, MAXIMA_DETAIL) if detail else (COUNTED, MAXIMA)
+    columns = [c for c, _ in [*counted, *maxima]]
+    each = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)])
+    values = (
+        base.select(*keys, F.explode(each).alias("e")).select(*keys, "e.kind", "e.value")
+        .where(F.col("value").isNotNull()).distinct()
+    )
+    of = lambda i: F.when(F.col("kind") == i, F.col("value"))
+    out = [F.count_if(F.col("kind") == i).alias(name) for i, (_, name) in enumerate(counted)]
+    # over distinct values of one key: as many as the attribute has; a hash aggregate, where max would sort
+    out += [F.array_max(F.collect_set(of(i))).alias(name) for i, (_, name) in enumerate(maxima, len(counted))]
+    if materials:
+        out.append(F.array_join(F.array_sort(F.collect_set(of(0))), ", ").alias("MATERIAL_SET"))
+    return values.groupBy(*keys).agg(*out)
+
+
+def _rollup(base: DataFrame, keys: list[str], material_codes, product_codes, detail: bool, materials: bool) -> DataFrame:
+    """One row per key (ledger columns, and ``POSTING_DATE``, the month)."""
+    named = {f"_key{i}": F.date_format("BUDAT", "yyyy-MM") if k == "POSTING_DATE" else F.col(k).cast("string") for i, k in enumerate(keys)}
+    base = base.select("*", *[F.coalesce(c, F.lit(NO_KEY)).alias(k) for k, c in named.items()])
+    counted = COUNTED_DETAIL if detail else COUNTED
+    measures = base.groupBy(*named).agg(*_measures(material_codes, product_codes, detail))
+    values = _values(base, list(named), detail, materials)
+    joined = measures.join(values, list(named), "left")
+    return joined.select(
+        *[F.nullif(F.col(n), F.lit(NO_KEY)).alias(k) for n, k in zip(named, keys)],
+        *[c for c in measures.columns if c not in named],
+        *[F.coalesce(name, F.lit(0)).cast("bigint").alias(name) for _, name in counted],
+        *[c for c in values.columns if c not in named and c not in {name for _, name in counted}],
+    )
+
+
+def _in_order(columns: list[str], detail: bool) -> list[str]:
+    """The reference's column order: counts and maxima before and between the measures."""
+    counted, maxima = (COUNTED_DETAIL, MAXIMA_DETAIL) if detail else (COUNTED, MAXIMA)
+    (c0, c1, c2, c3), names = [n for _, n in counted], [n for _, n in maxima]
+    issue = columns.index("AVG_POST_ISSUE_DIFF") + 1
+    start = columns.index("DAY_BETWEEN_POSTING")
+    rest = [c for c in columns[issue:] if c not in (c0, c1, c2, c3, *names)]
+    return ["POSTING_DATE", c0, c1, *names, *columns[start:issue], c2, c3, *rest]
+
+
 def monthly_rollup(
     tx: DataFrame,
     start: dt.date | None,
@@ -158,30 +202,29 @@ def monthly_rollup(
     material_codes: Sequence[tuple[str, str]] = MATERIAL_GROUP_COLUMNS,
     product_codes: Sequence[tuple[str, str]] = PRODUCT_HIERARCHY_COLUMNS,
     detail: bool = False,
+    materials: bool = False,
 ) -> DataFrame:
     """A1/A2/A3: one row per customer (or customer x ship-to) and month.
 
     ``keys='customer'``: composite customer number, SHIP_TO '0' (A1).
     ``keys='shipto'``: raw customer and ship-to, no prefix, no product
     hierarchies (A2).
-    ``detail=True``: adds MAX(USNAM) and COUNT(*) with the detail names (A3).
+    ``detail=True``: adds MAX(USNAM) and COUNT(*) with the detail names (A3);
+    ``materials=True``: and the list of materials as the last column (A23).
     """
     base = ledger_filter(tx, start, end).withColumn("sales", net_sales())
-    month = F.date_format("BUDAT", "yyyy-MM").alias("POSTING_DATE")
     if keys == "customer":
-        grouped = base.groupBy("KNDNR", "MANDT", "BUKRS", month)
+        rows = _rollup(base, ["KNDNR", "MANDT", "BUKRS", "POSTING_DATE"], material_codes, product_codes, detail, materials)
         head = [customer_key().alias("CUSTOMER_NUMBER")]
         if not detail:
             head.append(F.lit("0").alias("SHIP_TO"))
     elif keys == "shipto":
-        grouped = base.groupBy("KNDNR", "KUNWE", month)
-        head = [F.col("KNDNR").alias("CUSTOMER_NUMBER"), F.col("KUNWE").alias("SHIP_TO")]
         product_codes = ()  # this form ends with the material groups
+        rows = _rollup(base, ["KNDNR", "KUNWE", "POSTING_DATE"], material_codes, product_codes, detail, materials)
+        head = [F.col("KNDNR").alias("CUSTOMER_NUMBER"), F.col("KUNWE").alias("SHIP_TO")]
     else:
         raise ValueError(keys)
-    out = grouped.agg(*_measures(material_codes, product_codes, detail))
-    measures = [c for c in out.columns if c not in ("KNDNR", "MANDT", "BUKRS", "KUNWE")]
-    return out.select(*head, *measures)
+    return rows.select(*head, *_in_order(rows.columns, detail))
 
 
 def material_set(
@@ -195,14 +238,8 @@ def material_set(
     materials as one ', '-separated, sorted string.
 
     The reference builds the string with a correlated FOR XML subquery; here
-    it is a decorrelated aggregate joined back on (customer, month); the join
-    shuffles the rolled-up rows, not the ledger, once more.
+    the materials are one of the kinds of values that the rollup
+    de-duplicates anyway, so the list needs no scan and no join of its own.
     The trailing-separator trim is the intent (a clean list), see T7.
     """
-    main = monthly_rollup(tx, start, end, "customer", material_codes, product_codes, detail=True)
-    sets = (
-        ledger_filter(tx, start, end)
-        .groupBy(customer_key().alias("CUSTOMER_NUMBER"), F.date_format("BUDAT", "yyyy-MM").alias("POSTING_DATE"))
-        .agg(F.array_join(F.array_sort(F.collect_set("ARTNR")), ", ").alias("MATERIAL_SET"))
-    )
-    return main.join(sets, ["CUSTOMER_NUMBER", "POSTING_DATE"], "left")
+    return monthly_rollup(tx, start, end, "customer", material_codes, product_codes, detail=True, materials=True)

@@ -11,9 +11,13 @@ one aggregate that reuses the window's partitioning.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CUST = "CUSTOMER_SHIPTO"
 MONTH = "POSTING_DATE"
@@ -109,19 +113,70 @@ def month_anchors(panel: DataFrame, lead_in: int = 6, tail: int = 4) -> DataFram
     )
 
 
+def prefix_stats(y: np.ndarray, at: Sequence[int], horizon: int, min_nonzero: int) -> Iterator[tuple]:
+    """For series of equal length (a row each) and each anchor position T: (T, h, rows,
+    mean, lower, upper, actual or None) of the samples y[T] + (y[t+h] - y[t]), t + h <= T,
+    over the rows with ``min_nonzero`` non-zero values up to T. The moves of a horizon are
+    computed once; sums are cumulative and the sorted prefix grows from anchor to anchor."""
+    nonzero = np.cumsum(y != 0, axis=1)
+    for h in range(1, horizon + 1):
+        moves = y[:, h:] - y[:, :-h]
+        sums = np.cumsum(moves, axis=1)
+        ordered = moves[:, :0]
+        for t in at:
+            k = t - h + 1
+            rows = np.flatnonzero(nonzero[:, t] >= min_nonzero)
+            if k < 1 or not len(rows):
+                continue
+            ordered = np.sort(np.concatenate([ordered, moves[:, ordered.shape[1] : k]], axis=1), axis=1, kind="stable")
+            quartiles = []
+            for q in (0.25, 0.75):
+                pos = q * (k - 1)
+                lo, hi = int(np.floor(pos)), int(np.ceil(pos))
+                quartiles.append(y[rows, t] + (ordered[rows, lo] if lo == hi else (hi - pos) * ordered[rows, lo] + (pos - lo) * ordered[rows, hi]))
+            actual = y[rows, t + h] if t + h < y.shape[1] else None
+            yield t, h, rows, y[rows, t] + sums[rows, k - 1] / k, *quartiles, actual
+
+
 def backtest(panel: DataFrame, anchors: DataFrame, horizon: int = 6, min_nonzero: int = 3, value: str = "CCH") -> DataFrame:
     """M4: the forecast at every anchor month with the realised value.
 
-    Each panel row is joined to the anchors it can serve (its month up to
-    anchor + horizon). The anchors table has one row per month, so it is
-    broadcast; the window and aggregate are keyed (customer, anchor).
-    Returns (customer, anchor, h, PERIOD, sample_mean, lower_bound,
-    upper_bound, actual).
+    The panel is dense and zero-filled. One row per customer holds the series as an array
+    (bounded by the calendar); each Arrow batch of customers goes through ``prefix_stats``
+    at once, so a customer's months meet in one shuffle and no row is made for a pair of
+    month and anchor: the rows made are the result's, customers x anchors x horizon.
+    Returns (customer, anchor, h, PERIOD, sample_mean, lower_bound, upper_bound, actual).
     """
-    a = F.broadcast(anchors.select("anchor"))
-    rows = panel.join(a, F.col(MONTH) <= F.add_months(F.col("anchor"), horizon)).withColumnRenamed("anchor", "_a")
-    s = _samples(rows, [CUST, "_a"], F.col("_a"), horizon, min_nonzero, value).drop("_a")
-    return _summarise(s, [CUST])
+    month = lambda c: F.year(c) * 12 + F.month(c) - 1
+    wanted = anchors.select(F.array_sort(F.collect_set(month(F.col("anchor"))))).scalar()
+    by_customer = panel.groupBy(F.col(CUST).alias("c")).agg(
+        F.array_sort(F.collect_list(F.struct(month(F.col(MONTH)).alias("m"), F.col(value).cast("double").alias("y")))).alias("s"))
+    series = by_customer.select("c", F.col("s.m").alias("months"), F.col("s.y").alias("ys"), wanted.alias("anchors"))
+
+    def score(batches):
+        for rec in batches:
+            groups: dict[tuple, list[int]] = {}
+            months, anchors_ = rec.column(1).to_pylist(), rec.column(3).to_pylist()
+            for i, m in enumerate(months):
+                groups.setdefault(tuple(m), []).append(i)
+            for m, members in groups.items():
+                place = {x: n for n, x in enumerate(m)}
+                at = [place[a] for a in anchors_[members[0]] if a in place]
+                y = np.array([rec.column(2)[i].as_py() for i in members], dtype=float)
+                names = rec.column(0).take(pa.array(members))
+                for t, h, rows, mean, lower, upper, actual in prefix_stats(y, at, horizon, min_nonzero):
+                    n = len(rows)
+                    yield pa.record_batch([
+                        names.take(pa.array(rows)), pa.array(np.full(n, m[t]), pa.int32()), pa.array(np.full(n, h), pa.int32()), pa.array(mean),
+                        pa.array(lower), pa.array(upper), pa.nulls(n, pa.float64()) if actual is None else pa.array(actual)], names=names_out)
+
+    schema = T.StructType([
+        T.StructField("c", panel.schema[CUST].dataType), T.StructField("m", T.IntegerType()), T.StructField("h", T.IntegerType()),
+        *[T.StructField(x, T.DoubleType()) for x in (*STATS, "actual")]])
+    names_out = schema.names
+    anchor = F.make_date(F.floor(F.col("m") / 12).cast("int"), F.col("m") % 12 + 1, F.lit(1))
+    return series.mapInArrow(score, schema).select(
+        F.col("c").alias(CUST), anchor.alias("anchor"), "h", F.concat(F.lit("period_"), F.col("h").cast("string")).alias("PERIOD"), *STATS, "actual")
 
 
 def backtest_error(bt: DataFrame) -> DataFrame:

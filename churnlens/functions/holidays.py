@@ -7,7 +7,7 @@ plus Good Friday and Easter Monday from the Gregorian Easter computus.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values: (month, day, name) of the fixed-date national holidays.
@@ -64,3 +64,29 @@ def holidays_per_month(calendar: DataFrame) -> DataFrame:
         calendar.groupBy(F.trunc("date", "MM").alias("POSTING_DATE"))
         .agg(F.count_distinct("date").alias("Holidays"))
     )
+
+
+def with_days_in_lieu(calendar: DataFrame) -> DataFrame:
+    """``calendar`` (date, holiday: a caller's table or ``holiday_calendar``) and a day in
+    lieu for each date in it that falls on a weekend: the next working day that is neither
+    a holiday nor already in lieu of an earlier one.
+
+    Working days that aren't holidays are numbered. A weekend holiday (the i-th) could have
+    the free day f_i, the first after it; taking them in order, each later than the one
+    before, gives day i + max over j <= i of (f_j - j): one running maximum. The windows run
+    over the calendar's days, whose number doesn't depend on the data.
+    """
+    dates = calendar.select("date").distinct()
+    span = dates.agg(F.min("date").alias("lo"), F.max("date").alias("hi"), F.count("*").cast("int").alias("n"))
+    days = span.select(F.explode(F.sequence("lo", F.date_add("hi", 14 + 2 * F.col("n")))).alias("date")).join(
+        dates.withColumn("off", F.lit(True)), "date", "left")
+    weekend = F.dayofweek("date").isin(1, 7)
+    order = Window.orderBy("date")
+    days = days.select("date", weekend.alias("weekend"), F.col("off").isNotNull().alias("off"))
+    days = days.withColumn("free", (~F.col("weekend") & ~F.col("off")).cast("int")).withColumn("number", F.sum("free").over(order))
+    lost = days.where("weekend AND off").withColumn("i", F.row_number().over(order))
+    lost = lost.withColumn("number", F.col("i") + F.max(F.col("number") + 1 - F.col("i")).over(order))
+    lieu = lost.select("number", F.col("date").alias("lost")).join(days.where("free = 1").select("number", "date"), "number")
+    names = calendar.groupBy(F.col("date").alias("lost")).agg(F.min("holiday").alias("holiday"))
+    return calendar.select("date", "holiday").unionByName(
+        lieu.join(names, "lost").select("date", F.concat("holiday", F.lit(" (in lieu)")).alias("holiday")))

@@ -169,3 +169,28 @@ def driver_global(contrib: DataFrame, drivers: DataFrame) -> DataFrame:
     return contrib.join(F.broadcast(drivers), "variable").groupBy("variable", "driver").agg(
         F.avg(F.abs("contribution")).alias("mean_abs_contribution"), F.count(F.lit(1)).alias("n")
     )
+
+
+def feature_attribution(model, rows: DataFrame, features: Sequence[str], score: Column, block: int = 4) -> DataFrame:
+    """Variable, mean_abs_contribution, mean_contribution, n over *all* rows: what each
+    feature adds to a row's score against its mean in the rows (one aggregate, broadcast).
+
+    A row's own score is computed first and travels with it, so its variants needn't meet
+    again: each of the passes scores ``block`` variants of a row (one feature at its mean)
+    and adds their differences up on the map side. No variant is shuffled, only a row per
+    feature and task. ``score`` is a column of the model's output.
+    """
+    data = clean_numeric(rows, features).select(*features)
+    means = data.agg(*[F.avg(f).alias(f"_m_{f}") for f in features])
+    full = model.transform(data).select(*features, score.alias("_full")).crossJoin(F.broadcast(means))  # one row
+    out = None
+    for start in range(0, len(features), block):
+        part = list(features)[start : start + block]
+        variants = full.select("*", F.explode(F.array(*[F.lit(f) for f in part])).alias("_feature")).select(
+            "_feature", "_full",
+            *[F.when(F.col("_feature") == f, F.col(f"_m_{f}")).otherwise(F.col(f)).alias(f) if f in part else F.col(f) for f in features])
+        gain = F.col("_full") - score
+        sums = model.transform(variants).groupBy(F.col("_feature").alias("variable")).agg(
+            F.avg(F.abs(gain)).alias("mean_abs_contribution"), F.avg(gain).alias("mean_contribution"), F.count(F.lit(1)).alias("n"))
+        out = sums if out is None else out.unionByName(sums)
+    return out

@@ -103,11 +103,12 @@ def forecast_wide(long: DataFrame, start_date: dt.date, horizon: int = 6) -> Dat
     )
 
 
-def month_anchors(panel: DataFrame, lead_in: int = 6, tail: int = 4) -> DataFrame:
+def month_anchors(panel: DataFrame, lead_in: int = 6, tail: int = 4, bounds: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """Backtest anchors: every month from first+lead_in to last-tail (the
-    reference's list of prediction months). Bounded by the calendar."""
-    lo = panel.select(F.add_months(F.min(MONTH), lead_in)).scalar()
-    hi = panel.select(F.add_months(F.max(MONTH), -tail)).scalar()
+    reference's list of prediction months). Bounded by the calendar.
+    ``bounds``: the panel's first and last month if they are known."""
+    first, final = map(F.lit, bounds) if bounds else (panel.select(f(MONTH)).scalar() for f in (F.min, F.max))
+    lo, hi = F.add_months(first, lead_in), F.add_months(final, -tail)
     return panel.sparkSession.range(1).select(
         F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("anchor")
     )

@@ -6,6 +6,7 @@ splits are hash-based (repeatable, no global sort); metrics are aggregates.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 import statistics
 from collections.abc import Sequence
@@ -16,7 +17,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.quantiles import exact_quantiles
@@ -86,7 +87,7 @@ def training_set(features: DataFrame, bt_wide: DataFrame) -> DataFrame:
 
 
 def horizon_models(train: DataFrame, variables: Sequence[str] = VARIABLES, seed: int = 42,
-                   max_iter: int = 50, max_depth: int = 4, validation_pct: int = 10) -> list[PipelineModel]:
+                   max_iter: int = 2500, max_depth: int = 4, validation_pct: int = 10) -> list[PipelineModel]:
     """M7: one gradient-boosted regressor per horizon (target CCH_shift_h);
     rows with a null target are dropped for that horizon. Boosting ends before
     ``max_iter`` rounds when the error on the validation rows (a hash split by
@@ -107,7 +108,7 @@ def horizon_models(train: DataFrame, variables: Sequence[str] = VARIABLES, seed:
 
 
 def horizon_mse(models: Sequence[PipelineModel], test: DataFrame, variables: Sequence[str] = VARIABLES) -> DataFrame:
-    """M8: mean squared error per horizon on the held-out rows."""
+    """M8: mean squared error per horizon on the held-out rows, and the rounds used."""
     data = clean_numeric(test, variables)
     rows = []
     for h, m in enumerate(models, 1):
@@ -118,6 +119,7 @@ def horizon_mse(models: Sequence[PipelineModel], test: DataFrame, variables: Seq
             F.lit(h).alias("horizon"),
             F.avg((F.col(f"pred{h}") - F.col("label")) ** 2).alias("mse"),
             F.count(F.lit(1)).alias("n"),
+            F.lit(boosting_rounds(m)).alias("rounds"),
         ))
     out = rows[0]
     for r in rows[1:]:
@@ -133,20 +135,49 @@ def predict_horizons(models: Sequence[PipelineModel], scoring: DataFrame, variab
     return df
 
 
-def save_models(models: Sequence[PipelineModel], path: str) -> None:
-    """Spark ML persistence, one folder per horizon."""
+def boosting_rounds(model: PipelineModel) -> int:
+    """Rounds that the boosting kept: trees up to the best validation error."""
+    return model.stages[-1].getNumTrees
+
+
+_REGISTRY = "as_of date, horizon int, rounds int, variables array<string>, mse double, n bigint"
+
+
+def save_models(spark: SparkSession, models: Sequence[PipelineModel], path: str, as_of: dt.date, mse: DataFrame,
+                variables: Sequence[str] = VARIABLES) -> DataFrame:
+    """The fitted regressors of one run under ``path``, a folder that all executors
+    share: a folder per horizon, then the registry's rows (features, rounds used, hold-out
+    error), which mark the run as complete. A run with the same date replaces it."""
+    root = f"{path}/{as_of:%Y-%m-%d}"
     for h, m in enumerate(models, 1):
-        m.write().overwrite().save(f"{path}/horizon_{h}")
+        m.write().overwrite().save(f"{root}/horizon_{h}")
+    rows = spark.createDataFrame([(as_of, h, boosting_rounds(m), list(variables)) for h, m in enumerate(models, 1)],
+                                 "as_of date, horizon int, rounds int, variables array<string>")
+    rows = rows.join(F.broadcast(mse.select("horizon", "mse", "n")), "horizon", "left").select("as_of", "horizon", "rounds", "variables", "mse", "n")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/registry")
+    return spark.read.schema(_REGISTRY).parquet(f"{root}/registry")
 
 
-def load_models(path: str, horizons: int = 6) -> list[PipelineModel]:
-    return [PipelineModel.load(f"{path}/horizon_{h}") for h in range(1, horizons + 1)]
+def load_models(spark: SparkSession, path: str, as_of: dt.date, variables: Sequence[str] = VARIABLES) -> list[PipelineModel]:
+    """A saved run's regressors, for a later job. The registry must be there and name
+    the same features in the same order."""
+    root = f"{path}/{as_of:%Y-%m-%d}"
+    entries = spark.read.schema(_REGISTRY).parquet(f"{root}/registry").orderBy("horizon").collect()
+    for e in entries:
+        if e.variables != list(variables):
+            raise ValueError(f"{root}: horizon {e.horizon} was fitted on other features")
+    return [PipelineModel.load(f"{root}/horizon_{e.horizon}") for e in entries]
 
 
 def _assemble(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep").transform(df)
 
 
+def assembled(model, cols: Sequence[str]) -> PipelineModel:
+    """A fitted model behind the assembler of its features."""
+    return PipelineModel([VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep"), model])
+
+
 def purchase_logit(snap: DataFrame, features: Sequence[str] = PURCHASE_FEATURES, seed: int = 42):
     """Logistic regression of the purchase label; returns the fitted
     model and the hold-out classification report (per class precision,

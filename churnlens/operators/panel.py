@@ -9,6 +9,8 @@ customer key; the Kalman aggregate and its join back reuse that partitioning.
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,9 +58,17 @@ def cast_present(df: DataFrame, columns: list[str] = TEXT_COLUMNS, to: str = "st
     return df.select(*[F.col(c).cast(to).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
-def dense_panel(monthly: DataFrame) -> DataFrame:
+def month_bounds(monthly: DataFrame) -> tuple[dt.date, dt.date] | None:
+    """The first and last month of the rollup (None: it is empty): one column of the staged
+    rollup read once, so that everything after has them as literals."""
+    lo, hi = monthly.select(F.to_date(F.col(MONTH), "yyyy-MM").alias("m")).agg(F.min("m"), F.max("m")).first()
+    return (lo, hi) if lo else None
+
+
+def dense_panel(monthly: DataFrame, bounds: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """X11: rollup rows -> one row per (customer, month) over the global
-    month range, numeric measures summed (A24) and zero-filled (P7)."""
+    month range, numeric measures summed (A24) and zero-filled (P7).
+    ``bounds``: the range if it is known, else two scalar subqueries."""
     facts = (
         cast_present(monthly).select(
             F.col("CUSTOMER_NUMBER").cast("string").alias(CUST),
@@ -68,24 +78,25 @@ def dense_panel(monthly: DataFrame) -> DataFrame:
         .groupBy(CUST, MONTH)
         .agg(*[F.sum(c).alias(c) for c in PANEL_SUMS])
     )
-    lo = facts.select(F.min(MONTH)).scalar()
-    hi = facts.select(F.max(MONTH)).scalar()
+    lo, hi = map(F.lit, bounds) if bounds else (facts.select(f(MONTH)).scalar() for f in (F.min, F.max))
     grid = facts.select(CUST).distinct().select(
         CUST, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias(MONTH)
     )
     return grid.join(facts, [CUST, MONTH], "left").na.fill(0.0, subset=PANEL_SUMS)
 
 
-def holiday_counts(panel: DataFrame) -> DataFrame:
-    """Holiday count per month for the years present in the panel."""
-    years = panel.select(F.year(MONTH).alias("year")).distinct()
-    return hol.holidays_per_month(hol.holiday_calendar(years))
+def holiday_counts(panel: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+    """Holiday count per month: of the caller's ``holidays`` (date, holiday), else of the
+    rule-made calendar for the years present in the panel."""
+    if holidays is None:
+        holidays = hol.holiday_calendar(panel.select(F.year(MONTH).alias("year")).distinct())
+    return hol.holidays_per_month(holidays)
 
 
-def add_holidays(panel: DataFrame) -> DataFrame:
+def add_holidays(panel: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
     """Left join the month's holiday count (a dimension bounded by the
     calendar, so it is broadcast), zero when none."""
-    counts = holiday_counts(panel)
+    counts = holiday_counts(panel, holidays)
     return panel.join(F.broadcast(counts), MONTH, "left").withColumn(
         "Holidays", F.coalesce(F.col("Holidays"), F.lit(0)).cast("bigint")
     )
@@ -112,15 +123,19 @@ def kalman_levels(panel: DataFrame, value: str = "CCH", engine: str = "arrow") -
     return series_df.select(CUST, F.transform("s", lambda e: e[MONTH]).alias("months"), smooth.alias("ks"))
 
 
-def panel_features(panel: DataFrame) -> DataFrame:
-    """X12 + create_lags: holidays, Kalman level and its difference,
+def panel_features(panel: DataFrame, holidays: DataFrame | None = None, tap: str = "oldest") -> DataFrame:
+    """X12 + create_lags: holidays (a caller's table, or the rule-made calendar), Kalman level and its difference,
     rolling variance, Gaussian period, smoothed holidays, zero fill of the
-    warm-up nulls, lags, rolling means, leads and the 12-month flag."""
+    warm-up nulls, lags, rolling means, leads and the 12-month flag. ``tap``: which
+    end of the smoothed 12 months the Gaussian period is taken at, the oldest (as the
+    reference's callback does) or the latest; the filter's mirrored edges are alike."""
+    if tap not in ("oldest", "latest"):
+        raise ValueError(tap)
     w = by_customer()
     # one hash exchange on the customer key, shared by the windows, the
     # Kalman aggregate and the join between them
     panel = panel.repartition(CUST)
-    df = add_holidays(panel).withColumn("_i", F.row_number().over(w))
+    df = add_holidays(panel, holidays).withColumn("_i", F.row_number().over(w))
     ks = kalman_levels(df)
     df = df.join(ks.select(CUST, "ks"), CUST, "left").withColumn(
         "KS_filtered", F.element_at("ks", F.col("_i"))
@@ -132,7 +147,7 @@ def panel_features(panel: DataFrame) -> DataFrame:
         (F.col("KS_filtered") - F.lag("KS_filtered", 1).over(w)).alias("KSD"),
         F.when(full12, F.var_samp("CCH").over(w12)).alias("cv2"),
         F.when(full12, F.var_samp("SALE_QTY").over(w12)).alias("cv2_sales"),
-        F.when(full12, series.gaussian_period([F.lag("CCH", 11 - j).over(w) for j in range(7)])).alias("period"),
+        F.when(full12, series.gaussian_period([F.lag("CCH", 11 - j if tap == "oldest" else j).over(w) for j in range(7)])).alias("period"),
         F.avg("Holidays").over(w12).alias("Smoothed_Holidays"),
     )
     # create_lags: zero-fill first (warm-up nulls of KSD, cv2, period)

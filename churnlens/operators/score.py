@@ -23,17 +23,17 @@ FIT_COLS = [
 ]
 
 
-def latest_month(features: DataFrame) -> DataFrame:
-    """Rows of the panel's last month (scalar subquery, no driver round trip)."""
-    last = features.select(F.max(MONTH)).scalar()
-    return features.filter(F.col(MONTH) == last)
+def latest_month(features: DataFrame, last: dt.date | None = None) -> DataFrame:
+    """Rows of the panel's last month: ``last`` if it is known, else a scalar
+    subquery over the whole feature chain."""
+    return features.filter(F.col(MONTH) == (F.lit(last) if last else features.select(F.max(MONTH)).scalar()))
 
 
-def scoring_frame(features: DataFrame, wide: DataFrame, start_date: dt.date) -> DataFrame:
+def scoring_frame(features: DataFrame, wide: DataFrame, start_date: dt.date, last: dt.date | None = None) -> DataFrame:
     """J15 + F19: forecast row at ``start_date`` joined to the customer's
     last panel row; pred1..6 default to the forecast means."""
     w = wide.filter(F.col("PREDICTION_DATE") == F.lit(start_date)).drop(MONTH)
-    df = w.join(latest_month(features), CUST, "inner")
+    df = w.join(latest_month(features, last), CUST, "inner")
     return df.select("*", *[F.col(f"period_{h}_sample_mean").alias(f"pred{h}") for h in range(1, 7)])
 
 

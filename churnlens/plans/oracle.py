@@ -123,8 +123,6 @@ register("material_set", material_set_sql())
 # --------------------------------------------------------------------------
 # Panel and window features
 # --------------------------------------------------------------------------
-from churnlens.functions import holidays as _hol  # noqa: E402
-from churnlens.functions import series as _series  # noqa: E402
 from churnlens.operators import panel as _panel  # noqa: E402
 
 W_CUST = "(PARTITION BY CUSTOMER_SHIPTO ORDER BY POSTING_DATE)"
@@ -165,10 +163,22 @@ def easter_sql(y: str) -> str:
     return f"make_date({y}, {month}, {day})"
 
 
+# Month and day of the fixed-date holidays; the seven edge taps of a Gaussian
+# of standard deviation 1.5, cut at four deviations, with mirrored edges.
+_FIXED_DAYS = [(1, 1), (1, 26), (4, 25), (12, 25), (12, 26)]
+_TAPS = [
+    0.4789317857089249,
+    0.3223087035023845,
+    0.14533552302823932,
+    0.04359175027030576,
+    0.008625598774735838,
+    0.0011174176467743013,
+    8.922106863539231e-05,
+]
+
+
 def holiday_ctes() -> str:
-    fixed = " UNION ALL ".join(
-        f"SELECT make_date(y, {m}, {dd}) AS hdate FROM years" for m, dd, _ in _hol.FIXED_HOLIDAYS
-    )
+    fixed = " UNION ALL ".join(f"SELECT make_date(y, {m}, {dd}) AS hdate FROM years" for m, dd in _FIXED_DAYS)
     return (
         "years AS (SELECT DISTINCT CAST(year(POSTING_DATE) AS INTEGER) AS y FROM panel),\n"
         f"cal AS ({fixed} UNION ALL SELECT CAST({easter_sql('y')} - INTERVAL 2 DAY AS DATE) FROM years"
@@ -194,9 +204,24 @@ def kalman_ctes(q: float = 0.01, r: float = 1.0) -> str:
     )
 
 
-def features_ctes() -> str:
-    taps = _series.gaussian_edge_taps()
-    period = " + ".join(f"lag(CCH, {11 - j}) OVER w * {taps[j]!r}" for j in range(len(taps)))
+def lieu_ctes() -> str:
+    """The calendar with a day in lieu of each weekend holiday, one after another: the first
+    working day after the holiday and after the day before it in lieu."""
+    return (
+        holiday_ctes().split(",\nhol AS")[0] + ",\n"
+        "hd AS (SELECT DISTINCT hdate FROM cal),\n"
+        "free AS (SELECT day FROM (SELECT CAST(unnest(generate_series(min(hdate)::TIMESTAMP, max(hdate) + INTERVAL 60 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM hd)"
+        " WHERE isodow(day) < 6 AND day NOT IN (SELECT hdate FROM hd)),\n"
+        "lost AS (SELECT hdate, row_number() OVER (ORDER BY hdate) AS i FROM hd WHERE isodow(hdate) >= 6),\n"
+        "lieu AS (SELECT CAST(0 AS BIGINT) AS i, DATE '1900-01-01' AS day UNION ALL"
+        " SELECT lost.i, min(free.day) FROM lieu JOIN lost ON lost.i = lieu.i + 1 JOIN free ON free.day > lost.hdate AND free.day > lieu.day GROUP BY lost.i),\n"
+        "hol AS (SELECT date_trunc('month', hdate)::DATE AS POSTING_DATE, count(*) AS Holidays"
+        " FROM (SELECT hdate FROM hd UNION SELECT day FROM lieu WHERE i > 0) GROUP BY 1)"
+    )
+
+
+def features_ctes(holidays: str | None = None, tap: str = "oldest") -> str:
+    period = " + ".join(f"lag(CCH, {11 - j if tap == 'oldest' else j}) OVER w * {x!r}" for j, x in enumerate(_TAPS))
     lags = ", ".join(
         f"lag({c}, {i}) OVER w AS {c}_lag_{i}" for c in _panel.LAG_COLUMNS for i in range(1, 7)
     )
@@ -204,7 +229,7 @@ def features_ctes() -> str:
         f"lead({c}, {i}) OVER w AS {c}_shift_{i}" for c in ("CCH", "Smoothed_Holidays") for i in range(1, 7)
     )
     return (
-        f"WITH RECURSIVE {panel_ctes()},\n{holiday_ctes()},\n{kalman_ctes()},\n"
+        f"WITH RECURSIVE {panel_ctes()},\n{holidays or holiday_ctes()},\n{kalman_ctes()},\n"
         "ph AS (SELECT p.*, CAST(coalesce(hol.Holidays, 0) AS BIGINT) AS Holidays, ks.KS_filtered,"
         f" row_number() OVER {W_CUST} AS _i"
         " FROM panel p LEFT JOIN hol USING (POSTING_DATE) LEFT JOIN ks USING (CUSTOMER_SHIPTO, POSTING_DATE)),\n"
@@ -239,6 +264,10 @@ register(
     "holiday_months",
     f"{features_ctes()}\nSELECT DISTINCT POSTING_DATE, Holidays, round(Smoothed_Holidays, 6) AS Smoothed_Holidays FROM feat",
 )
+register(
+    "holiday_months_in_lieu",
+    f"{features_ctes(lieu_ctes())}\nSELECT DISTINCT POSTING_DATE, Holidays, round(Smoothed_Holidays, 6) AS Smoothed_Holidays FROM feat",
+)
 register(
     "panel_lags",
     f"{features_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, "
@@ -268,6 +297,15 @@ register(
     " WHEN period_diff <= 0.5 THEN 0 WHEN period_diff <= 1.5 THEN 1 WHEN period_diff <= 2.5 THEN 2"
     " WHEN period_diff > 2.5 THEN 3 ELSE 0 END AS BIGINT) AS miss_period FROM pd",
 )
+register(
+    "gauss_period_latest",
+    f"{features_ctes(tap='latest')},\npd AS (SELECT CUSTOMER_SHIPTO, POSTING_DATE, period,"
+    " coalesce(period - lag(period, 1) OVER w, 0.0) AS period_diff FROM feat WINDOW w AS " + W_CUST + ")\n"
+    "SELECT CUSTOMER_SHIPTO, POSTING_DATE, round(period, 6) AS period, round(period_diff, 6) AS period_diff,"
+    " CAST(CASE WHEN period_diff <= -3 THEN -3 WHEN period_diff <= -2 THEN -2 WHEN period_diff <= -1 THEN -1"
+    " WHEN period_diff <= 0.5 THEN 0 WHEN period_diff <= 1.5 THEN 1 WHEN period_diff <= 2.5 THEN 2"
+    " WHEN period_diff > 2.5 THEN 3 ELSE 0 END AS BIGINT) AS miss_period FROM pd",
+)
 register(
     "less12",
     f"{features_ctes()}\nSELECT CUSTOMER_SHIPTO, POSTING_DATE, CAST(less12 AS BIGINT) AS less12 FROM feat",
@@ -575,6 +613,16 @@ def nba_snapshot_sql() -> str:
 
 
 register("nba_snapshot", nba_snapshot_sql())
+register("nba_snapshot_table", nba_snapshot_sql())
+
+
+def shared_shiptos(sql: str) -> str:
+    """The mapping by the ledger's own ship-to, which customers share."""
+    return sql.replace("t.KNDNR AS KUNWE", "t.KUNWE").replace("d.KUNNR = t.KNDNR", "d.KUNNR = t.KUNWE")
+
+
+for _name in ("nba_mapping", "nba_customer", "nba_snapshot"):
+    register(f"{_name}_shared", shared_shiptos(ORACLE[_name]))
 
 
 # --------------------------------------------------------------------------

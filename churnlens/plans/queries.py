@@ -12,7 +12,8 @@ from churnlens.operators import rollup
 from churnlens.plans.oracle import AS_OF, FORECAST_AT, HIST_END, HIST_START  # noqa: F401
 from churnlens.plans.output import finalize, round_half_away
 from churnlens.sources import fixtures as fx
-from churnlens.sources.stage import stage
+from churnlens.sources.snapshots import SnapshotTable
+from churnlens.sources.stage import new_path, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -60,7 +61,13 @@ K = [pnl.CUST, pnl.MONTH]
 def panel_frame(spark, sf_dir):
     # the ledger rollup is read by the grid bounds, the grid and the facts:
     # write it once to the checkpoint folder
-    return pnl.dense_panel(stage(rollup_frame(spark, sf_dir), "monthly"))
+    return bounded_panel(spark, sf_dir)[0]
+
+
+def bounded_panel(spark, sf_dir):
+    monthly = stage(rollup_frame(spark, sf_dir), "monthly")
+    bounds = pnl.month_bounds(monthly)
+    return pnl.dense_panel(monthly, bounds), bounds
 
 
 def features_frame(spark, sf_dir):
@@ -77,6 +84,17 @@ def holiday_months(spark, sf_dir):
     return finalize(features_frame(spark, sf_dir).select(pnl.MONTH, "Holidays", "Smoothed_Holidays").distinct(), 6)
 
 
+@query
+def holiday_months_in_lieu(spark, sf_dir):
+    """X12 with a caller's holiday table: the calendar and its days in lieu."""
+    from churnlens.functions import holidays as hol
+
+    panel = panel_frame(spark, sf_dir)
+    table = hol.with_days_in_lieu(hol.holiday_calendar(panel.select(F.year(pnl.MONTH).alias("year")).distinct()))
+    features = pnl.panel_features(panel, holidays=stage(table, "holidays"))
+    return finalize(features.select(pnl.MONTH, "Holidays", "Smoothed_Holidays").distinct(), 6)
+
+
 @query
 def panel_lags(spark, sf_dir):
     cols = [f"{c}_lag_{i}" for c in pnl.LAG_COLUMNS for i in range(1, 7)]
@@ -105,6 +123,13 @@ def gauss_period(spark, sf_dir):
     return finalize(df.select(*K, "period", "period_diff", "miss_period"), 6)
 
 
+@query
+def gauss_period_latest(spark, sf_dir):
+    """W6 at the latest month of the window."""
+    df = pnl.period_diff_bucket(pnl.panel_features(panel_frame(spark, sf_dir), tap="latest"))
+    return finalize(df.select(*K, "period", "period_diff", "miss_period"), 6)
+
+
 @query
 def less12(spark, sf_dir):
     return finalize(features_frame(spark, sf_dir).select(*K, "less12"))
@@ -146,8 +171,8 @@ def forecast_wide(spark, sf_dir):
 
 @query
 def backtest_error(spark, sf_dir):
-    panel = panel_frame(spark, sf_dir)
-    bt = fc.backtest(panel, fc.month_anchors(panel))
+    panel, bounds = bounded_panel(spark, sf_dir)
+    bt = fc.backtest(panel, fc.month_anchors(panel, bounds=bounds))
     return finalize(fc.backtest_error(bt), 6)
 
 
@@ -253,6 +278,37 @@ def nba_snapshot(spark, sf_dir):
     return finalize(snapshot_frame(spark, sf_dir), 6)
 
 
+@query
+def nba_snapshot_table(spark, sf_dir):
+    """The partitioned table, one anchor written first and the rest by a later run,
+    read back."""
+    tx, dl, it, anchors = nba_inputs(spark, sf_dir)
+    build = lambda a: finalize(nba.nba_snapshot(tx, dl, it, a, codes=NBA_CODES, shipto_col="KNDNR"), 6)
+    table = SnapshotTable(spark, new_path(spark, "snapshots"))
+    table.write_missing(anchors[-1:], build)
+    table.write_missing(anchors, build)
+    return table.read(build(anchors).schema)
+
+
+# J1, J4 with ship-tos that customers share: the ledger's own ship-to column
+@query
+def nba_mapping_shared(spark, sf_dir):
+    tx, dl, _, a = nba_inputs(spark, sf_dir)
+    return finalize(nba.mapping(tx, dl, a))
+
+
+@query
+def nba_customer_shared(spark, sf_dir):
+    tx, dl, _, a = nba_inputs(spark, sf_dir)
+    return finalize(nba.customer_table(tx, nba.mapping(tx, dl, a), a), 6)
+
+
+@query
+def nba_snapshot_shared(spark, sf_dir):
+    tx, dl, it, a = nba_inputs(spark, sf_dir)
+    return finalize(nba.nba_snapshot(tx, dl, it, a, codes=NBA_CODES), 6)
+
+
 # --------------------------------------------------------------------------
 # CRM feed
 # --------------------------------------------------------------------------
@@ -461,7 +517,7 @@ from churnlens.operators import ml  # noqa: E402
 
 def training_frame(spark, sf_dir):
     r = run_frame(spark, sf_dir)
-    bt = fc.backtest(r.panel, fc.month_anchors(r.panel))
+    bt = fc.backtest(r.panel, fc.month_anchors(r.panel, bounds=r.bounds))
     train = stage(ml.training_set(r.features, fc.backtest_wide(bt)), "training_set")
     return r, train
 
@@ -476,7 +532,7 @@ def models_frame(spark, sf_dir):
 @query
 def horizon_models(spark, sf_dir):
     r, _, _, models = models_frame(spark, sf_dir)
-    scoring = sc.scoring_frame(r.features, r.forecast_wide, FORECAST_AT).drop(*sc.PREDS)
+    scoring = sc.scoring_frame(r.features, r.forecast_wide, FORECAST_AT, r.last_month).drop(*sc.PREDS)
     out = ml.predict_horizons(models, scoring)
     return finalize(out.select(pnl.CUST, *sc.PREDS), 6)
 
@@ -488,6 +544,24 @@ def risk_score_gbt(spark, sf_dir):
     return finalize(with_models(r, models, FORECAST_AT).scores.select(pnl.CUST, "risk_score", "risk_value"))
 
 
+@query
+def risk_score_saved(spark, sf_dir):
+    """The risk run scored by regressors that were saved and loaded again."""
+    r, _, te, models = models_frame(spark, sf_dir)
+    path = new_path(spark, "models")
+    ml.save_models(spark, models, path, FORECAST_AT, ml.horizon_mse(models, te))
+    loaded = ml.load_models(spark, path, FORECAST_AT)
+    return finalize(with_models(r, loaded, FORECAST_AT).scores.select(pnl.CUST, "risk_score", "risk_value"))
+
+
+@query
+def model_registry(spark, sf_dir):
+    """The registry's rows of one run: rounds used, features, hold-out error."""
+    _, _, te, models = models_frame(spark, sf_dir)
+    saved = ml.save_models(spark, models, new_path(spark, "models"), FORECAST_AT, ml.horizon_mse(models, te))
+    return finalize(saved.select("as_of", "horizon", "rounds", F.size("variables").alias("n_variables"), "mse", "n"), 6)
+
+
 @query
 def horizon_mse(spark, sf_dir):
     _, _, te, models = models_frame(spark, sf_dir)
@@ -523,6 +597,18 @@ def forest_importance(spark, sf_dir):
     return finalize(table.orderBy(F.col("importance").desc()), 6)
 
 
+@query
+def forest_attribution(spark, sf_dir):
+    """What each feature adds to the purchase forest's probability, over all rows."""
+    from pyspark.ml.functions import vector_to_array
+
+    snap = purchase_snapshot(spark, sf_dir)
+    model, _ = ml.forest_importance(snap)
+    forest = ml.assembled(model, ml.PURCHASE_FEATURES)
+    table = ex.feature_attribution(forest, snap, ml.PURCHASE_FEATURES, vector_to_array("probability")[1])
+    return finalize(table, 6)
+
+
 @query
 def permutation_importance(spark, sf_dir):
     snap = purchase_snapshot(spark, sf_dir)
@@ -539,7 +625,7 @@ def lasso_select(spark, sf_dir):
 @query
 def driver_names(spark, sf_dir):
     r = run_frame(spark, sf_dir)
-    scoring = sc.scoring_frame(r.features, r.forecast_wide, FORECAST_AT)
+    scoring = sc.scoring_frame(r.features, r.forecast_wide, FORECAST_AT, r.last_month)
     means = scoring.agg(*[F.avg(F.col(v).cast("double")).alias(v) for v in ml.VARIABLES])
     long = means.select(F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).alias("mean_value"))
                                              for v in ml.VARIABLES])).alias("e")).select("e.*")

@@ -33,6 +33,11 @@ class RiskRun:
     seasonal: DataFrame
     inputs: DataFrame
     scores: DataFrame
+    bounds: tuple[dt.date, dt.date] | None = None  # first and last month, if staged
+
+    @property
+    def last_month(self) -> dt.date | None:
+        return self.bounds[1] if self.bounds else None
 
 
 def risk_run(
@@ -48,13 +53,14 @@ def risk_run(
     if materialize:
         # the one pass over the ledger; everything after reads customer-months
         monthly = stage(monthly, "monthly")
-    panel = pnl.dense_panel(monthly)
+    bounds = pnl.month_bounds(monthly) if materialize else None
+    panel = pnl.dense_panel(monthly, bounds)
     features = pnl.period_diff_bucket(pnl.panel_features(panel))
     # the forecast and the scaffold need only CCH: they read the dense panel,
     # so the window features are computed once, for the scoring rows
     long = fc.forecast_long(panel, anchor)
     wide = fc.forecast_wide(long, anchor)
-    fit = sc.trend_fit(sc.scoring_frame(features, wide, anchor))
+    fit = sc.trend_fit(sc.scoring_frame(features, wide, anchor, bounds and bounds[1]))
     if materialize:
         # one row per forecast customer, read by the scaffold, the score,
         # the lists and the attribution: write once
@@ -63,14 +69,14 @@ def risk_run(
     seasonal = ss.seasonal_compare(scaffold)
     inputs = sc.score_inputs(fit, seasonal)
     scores = sc.risk_score(inputs, report_month=anchor)
-    return RiskRun(monthly, panel, features, long, wide, fit, scaffold, seasonal, inputs, scores)
+    return RiskRun(monthly, panel, features, long, wide, fit, scaffold, seasonal, inputs, scores, bounds)
 
 
 def with_models(run: RiskRun, models: Sequence[PipelineModel], anchor: dt.date, materialize: bool = True) -> RiskRun:
     """M9: the run's trend, comparison and scores from the predictions of the
     six fitted regressors in place of the forecast means. Rollup, panel,
     features and forecast are the run's own and aren't made again."""
-    scoring = sc.scoring_frame(run.features, run.forecast_wide, anchor).drop(*sc.PREDS)
+    scoring = sc.scoring_frame(run.features, run.forecast_wide, anchor, run.last_month).drop(*sc.PREDS)
     predictions = ml.predict_horizons(models, scoring).select(sc.CUST, *sc.PREDS)
     fit = sc.trend_fit(scoring.join(predictions, sc.CUST))
     if materialize:

@@ -10,22 +10,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from churnlens.session import ensure_checkpoint_dir
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A folder name of its own under the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/churnlens-stage/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/churnlens-stage/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """S5 sink: parquet, optionally partitioned (e.g. by snapshot anchor)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)

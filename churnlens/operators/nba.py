@@ -5,7 +5,13 @@ anchors run in ONE job. The anchors are parameters, so the outermost bounds of
 a window over all of them are literals that reach the scan; what is left of a
 fact row is repeated, inside generated code, for the anchors whose windows
 contain it, and every aggregate is keyed by (SNAPSHOT, ...). The final table
-can be written ``partitionBy("SNAPSHOT")``.
+goes to ``sources.snapshots.SnapshotTable``, a partition per anchor.
+
+Distinct counts are cascades of hash aggregates: first one row per (group,
+value), with the conditions as flags, then a sum of flags. A value leaves a task
+once, a hot group spreads by its values, and no row is copied for each count. What
+depends on the month only (items) is counted once per month, before the rows are
+repeated for the overlapping windows of the anchors.
 """
 
 from __future__ import annotations
@@ -17,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.operators.rollup import net_sales
+from churnlens.operators.rollup import NO_KEY, month_days, net_sales
 
 SNAP = "SNAPSHOT"
 
@@ -63,15 +69,24 @@ def month_shift(month: dt.date, k: int) -> dt.date:
     return dt.date(n // 12, n % 12 + 1, 1)
 
 
+def _spans(anchors: Sequence[dt.date], win: tuple[int, int]) -> list[tuple[dt.date, dt.date, dt.date]]:
+    """Each anchor's month with its window's bounds, first days of months."""
+    months = sorted({a.replace(day=1) for a in anchors})
+    return [(a, month_shift(a, -win[0]), month_shift(a, -win[1])) for a in months]
+
+
+def _near(df: DataFrame, anchors: Sequence[dt.date], date_col: str, win: tuple[int, int]) -> DataFrame:
+    """Rows of ``df`` between the outermost bounds of the anchors' windows."""
+    day, spans = F.col(date_col), _spans(anchors, win)
+    return df.where((day >= F.lit(min(lo for _, lo, _ in spans))) & (day < F.lit(max(hi for _, _, hi in spans))))
+
+
 def _per_anchor(df: DataFrame, anchors: Sequence[dt.date], date_col: str, win: tuple[int, int]) -> DataFrame:
     """Rows of ``df`` repeated for each anchor (a month) whose window contains
-    them: T_a <= date < T_b."""
+    them: T_a <= date < T_b. ``date_col`` may be a day or the first of a month."""
     day = F.col(date_col)
-    months = sorted({a.replace(day=1) for a in anchors})
-    spans = [(a, month_shift(a, -win[0]), month_shift(a, -win[1])) for a in months]
-    near = df.where((day >= F.lit(min(lo for _, lo, _ in spans))) & (day < F.lit(max(hi for _, _, hi in spans))))
-    inside = F.array(*[F.when((day >= F.lit(lo)) & (day < F.lit(hi)), F.lit(a)) for a, lo, hi in spans])
-    return near.select("*", F.explode(F.array_compact(inside)).alias(SNAP))
+    inside = F.array(*[F.when((day >= F.lit(lo)) & (day < F.lit(hi)), F.lit(a)) for a, lo, hi in _spans(anchors, win)])
+    return _near(df, anchors, date_col, win).select("*", F.explode(F.array_compact(inside)).alias(SNAP))
 
 
 def customer_shiptos(tx: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows(),
@@ -142,8 +157,9 @@ def delivery_gaps(d: DataFrame, w: Windows = Windows()) -> DataFrame:
         SNAP, "KUNNR", "LDDAT",
         F.explode(F.when(F.col("_n") > 1, F.array(F.col("_gap"), F.lit(0))).otherwise(F.array(F.col("_gap")))).alias("gap"),
     )
-    per_month = gaps.groupBy(SNAP, "KUNNR").agg(*[
-        F.expr(f"CAST(avg(DISTINCT CASE WHEN trunc(LDDAT, 'MM') = add_months({SNAP}, -{k}) THEN gap END) AS BIGINT)").alias(f"T_{i}_TIME_DELIVERY")
+    distinct = gaps.select(SNAP, "KUNNR", F.trunc("LDDAT", "MM").alias("mth"), "gap").distinct()
+    per_month = distinct.groupBy(SNAP, "KUNNR").agg(*[
+        F.avg(F.when(F.col("mth") == T(k), F.col("gap"))).cast("bigint").alias(f"T_{i}_TIME_DELIVERY")
         for i, k in enumerate(w.offsets, 1)
     ])
     return overall.join(per_month, [SNAP, "KUNNR"])
@@ -155,60 +171,69 @@ def delivery_profile(deliveries: DataFrame, anchors: Sequence[dt.date], w: Windo
     transport group, delivery type and customer group."""
     d = _per_anchor(deliveries, anchors, "LDDAT", w.history)
 
-    def cnt(cond: Column, name: str) -> Column:
-        return F.count_distinct(F.when(cond, F.col("VBELN"))).alias(name)
-
     tr, lf, kd = F.col("TRAGR"), F.col("LFART"), F.col("KDGRP")
-    counts = d.groupBy(SNAP, "KUNNR").agg(
-        F.count_distinct("ROUTE").alias("CNTD_ROUTE"),
-        cnt(tr.isin(*codes.dangerous), "CNTD_DANGEROUS"),
-        cnt(tr.isin(*codes.general), "CNTD_GENERAL"),
-        cnt(tr.isin(*codes.air), "CNTD_AIR"),
-        cnt(tr.isin(*codes.sea), "CNTD_SEA"),
-        cnt(tr.isin(*codes.waterway), "CNTD_WATERWAY"),
-        cnt(lf.isin(*codes.debit), "CNTD_DEBIT_ITEMS"),
-        cnt(lf.isin(*codes.consignment), "CNTD_CONSIGNMENT"),
-        cnt(lf.isin(*codes.standard), "CNTD_STANDARD"),
-        cnt(lf.isin(*codes.thirdparty), "CNTD_THIRDPARTY"),
-        cnt(kd == codes.kdgrp_d0, "CNTD_D0_KDGRP"),
-        cnt(kd.isNull(), "CNTD_NULL_KDGRP"),
-        cnt(kd == codes.kdgrp_gf, "CNTD_GF_KDGRP"),
-    )
+    flags = {
+        "CNTD_DANGEROUS": tr.isin(*codes.dangerous),
+        "CNTD_GENERAL": tr.isin(*codes.general),
+        "CNTD_AIR": tr.isin(*codes.air),
+        "CNTD_SEA": tr.isin(*codes.sea),
+        "CNTD_WATERWAY": tr.isin(*codes.waterway),
+        "CNTD_DEBIT_ITEMS": lf.isin(*codes.debit),
+        "CNTD_CONSIGNMENT": lf.isin(*codes.consignment),
+        "CNTD_STANDARD": lf.isin(*codes.standard),
+        "CNTD_THIRDPARTY": lf.isin(*codes.thirdparty),
+        "CNTD_D0_KDGRP": kd == codes.kdgrp_d0,
+        "CNTD_NULL_KDGRP": kd.isNull(),
+        "CNTD_GF_KDGRP": kd == codes.kdgrp_gf,
+    }
+    counts = _flagged(d, [SNAP, "KUNNR"], "VBELN", flags)
+    routes = d.groupBy(SNAP, "KUNNR", "ROUTE").agg(F.lit(1).alias("_one")).groupBy(SNAP, "KUNNR").agg(F.count("ROUTE").alias("CNTD_ROUTE"))
+    counts = routes.join(counts, [SNAP, "KUNNR"])
     return delivery_gaps(d, w).join(counts, [SNAP, "KUNNR"])
 
 
-def _ndist(c: Column) -> Column:
-    """Exact distinct count through Spark's distinct aggregation (Expand +
-    two-level aggregate): a delivery-month with very many items is spread
-    over tasks instead of collected into one set."""
-    return F.count_distinct(c)
+def _flagged(df: DataFrame, keys: list[str], value: str, flags: dict[str, Column]) -> DataFrame:
+    """For each flag the number of distinct values of ``value`` in a group that have a row
+    with it: first a row per (group, value) with the greatest of each flag, then sums."""
+    known = F.col(value).isNotNull()
+    one = df.groupBy(*keys, value).agg(*[F.max(F.when(known & c, 1).otherwise(0)).alias(name) for name, c in flags.items()])
+    return one.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in flags])
 
 
 def items_profile(items: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows()) -> DataFrame:
     """A14 + A20: per delivery and month, then per delivery (AVG of monthly
     sums is not a plain AVG). AVG of counts truncates (T5)."""
-    it = _per_anchor(items, anchors, "ERDAT", w.history)
-    month = F.trunc("ERDAT", "MM").alias("mth")
+    it = _near(items, anchors, "ERDAT", w.history).select(
+        "*", F.coalesce("VBELN", F.lit(NO_KEY)).alias("_v"), F.trunc("ERDAT", "MM").alias("mth"))
     mv, vg = F.col("MVGR1"), F.col("VGBEL")
-    # month-offset entry counts depend only on the month key: computed at level 2
-    monthly = it.groupBy(SNAP, "VBELN", month).agg(
+    sums = it.groupBy("_v", "mth").agg(
         F.sum("LGMNG").alias("mth_stock_diff"),
         F.max("LGMNG").alias("mth_max_stock_diff"),
         F.min("LGMNG").alias("mth_min_stock_diff"),
-        _ndist(F.when(mv.isNull(), vg)).alias("CNTD_NULL_DIFOT"),
-        _ndist(F.when(mv.isNotNull(), vg)).alias("CNTD_DIFOT"),
-        _ndist(F.when(mv == "Z08", vg)).alias("CNTD_Z08DIFOT"),
-        _ndist(F.when(mv == "Z01", vg)).alias("CNTD_Z01DIFOT"),
-        _ndist(F.when(mv == "P07", vg)).alias("CNTD_P07DIFOT"),
-        _ndist(F.col("ERDAT")).alias("CNTD_MTH_DATES"),
-        _ndist(vg).alias("CNTD_MTH_ENTRIES"),
+        month_days(F.col("ERDAT")).alias("CNTD_MTH_DATES"),
         F.sum(F.when(F.col("GEWEI") == "KG", F.col("BRGEW"))).alias("SUM_MTH_VOL_KG"),
         F.sum(F.when(F.col("MEINS") == "CYL", F.col("LFIMG"))).alias("SUM_MTH_LFIMG_CYL"),
         F.sum(F.when(F.col("VOLEH") == "M3", F.col("VOLUM"))).alias("SUM_MTH_VOLUM_M3"),
-        _ndist(F.col("MATNR")).alias("CNTD_MATNR"),
-        _ndist(F.col("MATKL")).alias("CNTD_MATKL"),
-        _ndist(F.col("VBELN")).alias("CNTD_SHIPTO"),
+        F.max(F.col("VBELN").isNotNull().cast("bigint")).alias("CNTD_SHIPTO"),  # the delivery itself
     )
+    kinds = [(vg, mv), (F.col("MATNR"), F.lit(None).cast("string")), (F.col("MATKL"), F.lit(None).cast("string"))]
+    values = it.select("_v", "mth", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("kind"), value.alias("value"), code.alias("mv")) for i, (value, code) in enumerate(kinds)])).alias("e")).select("_v", "mth", "e.*")
+    entry, mv = F.col("kind") == 0, F.col("mv")
+    counts = values.withColumn("value", F.when(F.col("value").isNotNull(), F.concat(F.col("kind").cast("string"), F.lit(":"), "value")))
+    counts = _flagged(counts, ["_v", "mth"], "value", {
+        "CNTD_NULL_DIFOT": entry & mv.isNull(),
+        "CNTD_DIFOT": entry & mv.isNotNull(),
+        "CNTD_Z08DIFOT": entry & (mv == "Z08"),
+        "CNTD_Z01DIFOT": entry & (mv == "Z01"),
+        "CNTD_P07DIFOT": entry & (mv == "P07"),
+        "CNTD_MTH_ENTRIES": entry,
+        "CNTD_MATNR": F.col("kind") == 1,
+        "CNTD_MATKL": F.col("kind") == 2,
+    })
+    # a month's figures are the same for every anchor whose window has it
+    whole = _per_anchor(sums.join(counts, ["_v", "mth"]), anchors, "mth", w.history)
+    monthly = whole.withColumn("VBELN", F.nullif(F.col("_v"), F.lit(NO_KEY))).drop("_v")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     ti = lambda c: F.avg(c).cast("bigint")
     return monthly.groupBy(SNAP, "VBELN").agg(
@@ -248,11 +273,10 @@ def new_items(items: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows
     new = _per_anchor(items, anchors, "ERDAT", w.new)
     old = _per_anchor(items, anchors, "ERDAT", w.history).select(SNAP, *keys).distinct()
     fresh = new.join(old, [SNAP, *keys], "left_anti")
-    return fresh.groupBy(SNAP, "VBELN").agg(
-        F.count_distinct("MATNR").alias("NEW_MATNR"),
-        F.count_distinct("MATKL").alias("NEW_MATKL"),
-        F.count_distinct("VGBEL").alias("NEW_ENTRIES"),
-    )
+    kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("value")) for i, c in enumerate(("MATNR", "MATKL", "VGBEL"))])
+    values = fresh.select(SNAP, "VBELN", F.explode(kinds).alias("e")).select(SNAP, "VBELN", "e.*").distinct()
+    have = lambda i: F.count(F.when(F.col("kind") == i, F.col("value")))
+    return values.groupBy(SNAP, "VBELN").agg(have(0).alias("NEW_MATNR"), have(1).alias("NEW_MATKL"), have(2).alias("NEW_ENTRIES"))
 
 
 def snapshot(pairs: DataFrame, deliveries: DataFrame, new_df: DataFrame, profile_df: DataFrame, cust_df: DataFrame,

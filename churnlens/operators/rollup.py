@@ -96,7 +96,7 @@ def customer_key() -> Column:
     return F.concat(F.lit("PEA"), F.col("MANDT"), F.lit("."), F.col("BUKRS"), F.lit("."), F.col("KNDNR"))
 
 
-def _days(date: Column) -> Column:
+def month_days(date: Column) -> Column:
     """Distinct dates within a month, by a bitmap of its days."""
     return F.coalesce(F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(date)))), F.lit(0)).cast("bigint")
 
@@ -109,8 +109,8 @@ def _measures(material_codes: Sequence[tuple[str, str]], product_codes: Sequence
     m = [
         F.datediff(F.max("BUDAT"), F.min("BUDAT")).alias("DAY_BETWEEN_POSTING"),
         # a group's dates are of one month: the set of days is 31 bits, no distinct pass
-        _days(F.when(rental, F.col("BUDAT"))).alias("CNTD_RENTAL_POSTING_DATE"),
-        _days(F.col("BUDAT")).alias("CNTD_POSTING_DATE"),
+        month_days(F.when(rental, F.col("BUDAT"))).alias("CNTD_RENTAL_POSTING_DATE"),
+        month_days(F.col("BUDAT")).alias("CNTD_POSTING_DATE"),
         (F.count(F.lit(1)).alias("CNT_ALL") if detail else F.count("BUDAT").alias("CNT_POSTING_DATE")),
         # T-SQL AVG over INT truncates toward zero (T5)
         F.avg(F.datediff("FADAT", "WADAT")).cast("bigint").alias("AVG_DOCUMENT_ISSUE_DIFF"),

@@ -1,15 +1,16 @@
 """Complaint / visit feed.
 
-Four branches -- complaints, visits booked on a payer, on a ship-to (payer
-is its parent) and on a customer (payer is its latest child) -- unioned by
-name into one 13-column feed. Small dimensions (company, user, dictionary)
-are joined by key; Spark's broadcast threshold decides their strategy at
-run time from their measured size.
+Complaints name their payer. Visits are booked on a payer, on a ship-to (payer is its
+parent) or on a customer (payer is its latest child): the level of the booked account
+tells which, so one table (booked account -> payer) resolves all three, and visits are
+read and joined once. Complaints and visits then meet in one union, and the payer's
+attributes (account, company, user), put together once, are joined to it. Tables that are
+small are broadcast by Spark's threshold, from their measured size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FEED_COLUMNS = [
@@ -19,6 +20,8 @@ FEED_COLUMNS = [
 # The feed's type labels (complaint, voice of customer).
 COMPLAINT_TYPE = "投诉"
 VISIT_TYPE = "VOC"
+# Account levels.
+CUSTOMER_LEVEL, PAYER_LEVEL, SHIPTO_LEVEL = 10, 20, 30
 
 
 def listagg_sorted(rows: DataFrame, key: str, text: str, name: str, prefix: str = "-", sep: str = "\n") -> DataFrame:
@@ -47,30 +50,43 @@ def latest_child(account: DataFrame) -> DataFrame:
     )
 
 
-def _payer_cols(acc: str) -> list[Column]:
-    return [
-        F.col(f"{acc}.ACCOUNTID").alias("PayerAccountId"),
-        F.col("co.NEW_CODE").alias("SalesOrg"),
-        F.col(f"{acc}.NEW_JDECODE").alias("PayerId"),
-        F.col(f"{acc}.NAME").alias("Payer"),
-        F.col("su.SYSTEMUSERID").alias("SalesUserSystemId"),
-    ]
+def payer_of(account: DataFrame) -> DataFrame:
+    """(booked, PayerAccountId): the payer of a visit by the level of the booked account --
+    itself, its parent or its latest child. Accounts of other levels have none."""
+    child = latest_child(account).select(F.col("PARENTACCOUNTID").alias("_parent"), F.col("ACCOUNTID").alias("_child"))
+    level = F.col("NEW_LEVELTYPE")
+    payer = (
+        F.when(level == PAYER_LEVEL, F.col("ACCOUNTID"))
+        .when(level == SHIPTO_LEVEL, F.col("PARENTACCOUNTID"))
+        .when(level == CUSTOMER_LEVEL, F.col("_child"))
+    )
+    joined = account.join(child, (F.col("ACCOUNTID") == F.col("_parent")) & (level == CUSTOMER_LEVEL), "left")
+    return joined.select(F.col("ACCOUNTID").alias("booked"), payer.alias("PayerAccountId")).where(F.col("PayerAccountId").isNotNull())
 
 
-def _with_org(df: DataFrame, acc: str, company: DataFrame, systemuser: DataFrame) -> DataFrame:
-    return df.join(company.alias("co"), F.col(f"{acc}.NEW_COMPANYID") == F.col("co.NEW_COMPANYID")).join(
-        systemuser.alias("su"), F.col("su.SYSTEMUSERID") == F.col(f"{acc}.OWNERID")
+def payer_attributes(t: dict[str, DataFrame]) -> DataFrame:
+    """(PayerAccountId, SalesOrg, PayerId, Payer, SalesUserSystemId) of every account with a company
+    and a user."""
+    acc, co, su = t["account"].alias("acc"), t["company"].alias("co"), t["systemuser"].alias("su")
+    joined = acc.join(co, F.col("acc.NEW_COMPANYID") == F.col("co.NEW_COMPANYID")).join(su, F.col("su.SYSTEMUSERID") == F.col("acc.OWNERID"))
+    return joined.select(
+        F.col("acc.ACCOUNTID").alias("PayerAccountId"),
+        F.col("co.NEW_CODE").alias("SalesOrg"),
+        F.col("acc.NEW_JDECODE").alias("PayerId"),
+        F.col("acc.NAME").alias("Payer"),
+        F.col("su.SYSTEMUSERID").alias("SalesUserSystemId"),
     )
 
 
-def complaint_branch(t: dict[str, DataFrame]) -> DataFrame:
+def complaints(t: dict[str, DataFrame]) -> DataFrame:
+    """Judged complaints with their feedback and action texts, still without the payer's
+    attributes."""
     judge = t["datadict"].filter((F.upper("TABLENAME") == "NEW_COMPLAINT") & (F.col("FIELDNAME") == "new_judge"))
     fb = listagg_sorted(t["feedback"], "NEW_COMPLAINT", "NEW_BRIEFDESCRIPTION", "Feedback")
     cs = listagg_sorted(t["solution"], "NEW_COMPLAINT", "NEW_BRIEFDESCRIPTION", "CorrectiveActionPlan")
-    df = t["complaint"].alias("c").join(t["account"].alias("acc"), F.col("c.NEW_PAYER") == F.col("acc.ACCOUNTID"))
-    df = _with_org(df, "acc", t["company"], t["systemuser"])
     df = (
-        df.join(judge.alias("j"), F.col("j.CODE") == F.col("c.NEW_JUDGE"))
+        t["complaint"].alias("c")
+        .join(judge.alias("j"), F.col("j.CODE") == F.col("c.NEW_JUDGE"))
         .join(fb.alias("fb"), F.col("c.NEW_COMPLAINTID") == F.col("fb.NEW_COMPLAINT"))
         .join(cs.alias("cs"), F.col("c.NEW_COMPLAINTID") == F.col("cs.NEW_COMPLAINT"))
     )
@@ -78,10 +94,6 @@ def complaint_branch(t: dict[str, DataFrame]) -> DataFrame:
         F.col("c.NEW_COMPLAINTID").alias("Id"),
         F.col("c.CREATEDON").cast("timestamp").alias("CreatedOn"),
         F.col("c.NEW_PAYER").alias("PayerAccountId"),
-        F.col("co.NEW_CODE").alias("SalesOrg"),
-        F.col("acc.NEW_JDECODE").alias("PayerId"),
-        F.col("acc.NAME").alias("Payer"),
-        F.col("su.SYSTEMUSERID").alias("SalesUserSystemId"),
         F.col("c.NEW_CONTACT").alias("CustomerContactPerson"),
         F.col("c.NEW_CONTACT_PHONE").alias("CustomerContactPhone"),
         F.col("fb.Feedback"),
@@ -91,72 +103,23 @@ def complaint_branch(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _visit_cols() -> list[Column]:
-    return [
+def visits(t: dict[str, DataFrame]) -> DataFrame:
+    """Completed visits with their payer, still without the payer's attributes."""
+    done = t["visit"].filter((F.col("NEW_VISITRESULT") == 20) & F.col("NEW_CUSTOMER").isNotNull()).alias("v")
+    return done.join(payer_of(t["account"]), F.col("v.NEW_CUSTOMER") == F.col("booked")).select(
+        F.col("v.NEW_CUSTOMERVISITID").alias("Id"),
+        F.col("v.CREATEDON").cast("timestamp").alias("CreatedOn"),
+        "PayerAccountId",
         F.col("v.NEW_CONTRACTOR").alias("CustomerContactPerson"),
         F.col("v.NEW_CONTRACTPHONE").alias("CustomerContactPhone"),
         F.col("v.NEW_FEEDBACKSCORE").cast("string").alias("Feedback"),
         F.col("v.NEW_HANDLERECORD").cast("string").alias("CorrectiveActionPlan"),
         F.lit(None).cast("string").alias("Judge"),  # Oracle '' is NULL
         F.lit(VISIT_TYPE).alias("Type"),
-    ]
-
-
-def _visits(t: dict[str, DataFrame]) -> DataFrame:
-    return t["visit"].filter((F.col("NEW_VISITRESULT") == 20) & F.col("NEW_CUSTOMER").isNotNull()).alias("v")
-
-
-def visit_payer_branch(t: dict[str, DataFrame]) -> DataFrame:
-    df = _visits(t).join(t["account"].alias("acc"), F.col("v.NEW_CUSTOMER") == F.col("acc.ACCOUNTID")).filter(
-        F.col("acc.NEW_LEVELTYPE") == 20
-    )
-    df = _with_org(df, "acc", t["company"], t["systemuser"])
-    return df.select(
-        F.col("v.NEW_CUSTOMERVISITID").alias("Id"),
-        F.col("v.CREATEDON").cast("timestamp").alias("CreatedOn"),
-        F.col("v.NEW_CUSTOMER").alias("PayerAccountId"),
-        *_payer_cols("acc")[1:],
-        *_visit_cols(),
-    )
-
-
-def visit_shipto_branch(t: dict[str, DataFrame]) -> DataFrame:
-    """Ship-to account -> its parent payer account (aliased self join)."""
-    df = (
-        _visits(t)
-        .join(t["account"].alias("sh"), F.col("v.NEW_CUSTOMER") == F.col("sh.ACCOUNTID"))
-        .filter(F.col("sh.NEW_LEVELTYPE") == 30)
-        .join(t["account"].alias("pa"), F.col("sh.PARENTACCOUNTID") == F.col("pa.ACCOUNTID"))
-    )
-    df = _with_org(df, "pa", t["company"], t["systemuser"])
-    return df.select(
-        F.col("v.NEW_CUSTOMERVISITID").alias("Id"),
-        F.col("v.CREATEDON").cast("timestamp").alias("CreatedOn"),
-        *_payer_cols("pa"),
-        *_visit_cols(),
-    )
-
-
-def visit_customer_branch(t: dict[str, DataFrame]) -> DataFrame:
-    """Customer account -> its latest child as payer."""
-    df = (
-        _visits(t)
-        .join(t["account"].alias("cu"), F.col("v.NEW_CUSTOMER") == F.col("cu.ACCOUNTID"))
-        .filter(F.col("cu.NEW_LEVELTYPE") == 10)
-        .join(latest_child(t["account"]).alias("pa"), F.col("pa.PARENTACCOUNTID") == F.col("cu.ACCOUNTID"))
-    )
-    df = _with_org(df, "pa", t["company"], t["systemuser"])
-    return df.select(
-        F.col("v.NEW_CUSTOMERVISITID").alias("Id"),
-        F.col("v.CREATEDON").cast("timestamp").alias("CreatedOn"),
-        *_payer_cols("pa"),
-        *_visit_cols(),
     )
 
 
 def crm_feed(t: dict[str, DataFrame]) -> DataFrame:
-    """UNION ALL of the four branches (by name)."""
-    out = complaint_branch(t)
-    for b in (visit_payer_branch, visit_shipto_branch, visit_customer_branch):
-        out = out.unionByName(b(t))
-    return out.select(*FEED_COLUMNS)
+    """Complaints and visits in one feed."""
+    facts = complaints(t).unionByName(visits(t))
+    return facts.join(payer_attributes(t), "PayerAccountId").select(*FEED_COLUMNS)

@@ -266,40 +266,33 @@ def np_shift(a: np.ndarray, v: np.ndarray, mode: str = "full") -> np.ndarray:
 
 def _compare_batch(xs: pd.Series, shift_mode: str, min_points: int) -> pd.DataFrame:
     arrs = [np.asarray(x, dtype=float) for x in xs]
-    n = np.array([len(a) for a in arrs])
-    res = pd.DataFrame(
-        {f.name: pd.Series([None] * len(arrs), dtype=object) for f in SEASONAL_SCHEMA.fields}
-    )
-    mb, ma = [], []
-    for a in arrs:
-        k = len(a)
-        if k > 24:
-            mb.append(float(a[-24:-12].mean()))
-            ma.append(float(a[-12:].mean()))
-        else:
-            h = k // 2
-            mb.append(float(a[:h].mean()) if h > 0 else None)
-            ma.append(float(a[h:].mean()) if k - h > 0 else None)
-    res["mean_before"] = pd.Series(mb, dtype=object)
-    res["mean_after"] = pd.Series(ma, dtype=object)
-    idx = np.flatnonzero(n >= min_points)
-    if len(idx):
-        after = np.stack([arrs[i][-12:] for i in idx])
-        before = np.stack([arrs[i][-18:-6] for i in idx])
-        pa = np_best_period(np_acf(after))
-        pb = np_best_period(np_acf(before))
-        sa = np_seasonal(after, pa)
-        sb = np_seasonal(before, pb)
-        sh = np_shift(sa, sb, shift_mode)
-        for j, i in enumerate(idx):
-            res.at[i, "period_after"] = int(pa[j])
-            res.at[i, "period_before"] = int(pb[j])
-            res.at[i, "diff_phase"] = int(pa[j] - pb[j])
-            res.at[i, "seasonal_after"] = sa[j].tolist()
-            res.at[i, "seasonal_before"] = sb[j].tolist()
-            res.at[i, "amplitude"] = float(sb[j].max())
-            res.at[i, "seasonal_shift"] = int(sh[j])
-    return res
+    lengths = np.array([len(a) for a in arrs], dtype=int)
+    columns = {f.name: np.full(len(arrs), None, dtype=object) for f in SEASONAL_SCHEMA.fields}
+
+    def put(name: str, rows: np.ndarray, values) -> None:
+        for row, value in zip(rows.tolist(), values.tolist()):  # objects: some cells stay null
+            columns[name][row] = value
+
+    for k in np.unique(lengths):  # customers with equally many months at once
+        rows = np.flatnonzero(lengths == k)
+        x = np.stack([arrs[i] for i in rows])
+        before, after = (x[:, -24:-12], x[:, -12:]) if k > 24 else (x[:, : k // 2], x[:, k // 2 :])
+        for name, part in (("mean_before", before), ("mean_after", after)):
+            if part.shape[1]:
+                put(name, rows, part.mean(axis=1))
+    rows = np.flatnonzero(lengths >= min_points)
+    if len(rows):
+        after = np.stack([arrs[i][-12:] for i in rows])
+        before = np.stack([arrs[i][-18:-6] for i in rows])
+        pa, pb = np_best_period(np_acf(after)), np_best_period(np_acf(before))
+        sa, sb = np_seasonal(after, pa), np_seasonal(before, pb)
+        found = {
+            "period_after": pa, "period_before": pb, "diff_phase": pa - pb, "seasonal_after": sa, "seasonal_before": sb,
+            "amplitude": sb.max(axis=1), "seasonal_shift": np_shift(sa, sb, shift_mode),
+        }
+        for name, values in found.items():
+            put(name, rows, values)
+    return pd.DataFrame(columns)
 
 
 def seasonal_compare_arrow(

@@ -803,11 +803,17 @@ def _int_text(x: str) -> str:
     return f"CAST(CAST(trunc({x}) AS DECIMAL(38,0)) AS VARCHAR)"
 
 
-def risk_ctes() -> str:
+def risk_ctes(trimmed: bool = False) -> str:
+    """``trimmed``: the series begin with their first value other than zero."""
+    kept = (
+        "pts AS (SELECT CUSTOMER_SHIPTO, POSTING_DATE, predicted FROM (SELECT *, max(CASE WHEN predicted <> 0 THEN 1 ELSE 0 END)"
+        " OVER (PARTITION BY CUSTOMER_SHIPTO ORDER BY POSTING_DATE) AS seen FROM scaffold WHERE predicted IS NOT NULL) WHERE seen = 1),\n"
+        if trimmed else "pts AS (SELECT CUSTOMER_SHIPTO, POSTING_DATE, predicted FROM scaffold WHERE predicted IS NOT NULL),\n"
+    )
     return (
-        f"{fit_ctes()},\n"
+        f"{fit_ctes()},\n{kept}"
         "ser AS (SELECT CUSTOMER_SHIPTO AS c, predicted AS v, row_number() OVER (PARTITION BY CUSTOMER_SHIPTO ORDER BY POSTING_DATE) AS i,"
-        " count(*) OVER (PARTITION BY CUSTOMER_SHIPTO) AS n FROM scaffold WHERE predicted IS NOT NULL),\n"
+        " count(*) OVER (PARTITION BY CUSTOMER_SHIPTO) AS n FROM pts),\n"
         "mb AS (SELECT c AS CUSTOMER_SHIPTO,"
         " avg(CASE WHEN (n > 24 AND i > n - 24 AND i <= n - 12) OR (n <= 24 AND i <= n // 2) THEN v END) AS mean_before,"
         " avg(CASE WHEN (n > 24 AND i > n - 12) OR (n <= 24 AND i > n // 2) THEN v END) AS mean_after FROM ser GROUP BY 1),\n"
@@ -858,6 +864,14 @@ def risk_ctes() -> str:
     )
 
 
+_SEASONAL = (
+    "SELECT CUSTOMER_SHIPTO, CAST(period_after - period_before AS BIGINT) AS diff_phase, round(amplitude, 6) AS amplitude,"
+    " CAST(period_after AS BIGINT) AS period_after, CAST(period_before AS BIGINT) AS period_before,"
+    " round(mean_before, 6) AS mean_before, round(mean_after, 6) AS mean_after"
+    " FROM (SELECT DISTINCT CUSTOMER_SHIPTO FROM scaffold WHERE predicted IS NOT NULL) LEFT JOIN sc USING (CUSTOMER_SHIPTO) LEFT JOIN mb USING (CUSTOMER_SHIPTO)"
+)
+register("seasonal_stats", f"{risk_ctes()}\n{_SEASONAL}")
+register("seasonal_stats_trimmed", f"{risk_ctes(True)}\n{_SEASONAL}")
 register("risk_score", f"{risk_ctes()}\nSELECT CUSTOMER_SHIPTO, risk_score, risk_value FROM scores")
 register("risk_list", f"{risk_ctes()}\nSELECT CUSTOMER_SHIPTO, risk_score, risk_value FROM scores WHERE risk_score > 65")
 register("opportunity_list", f"{risk_ctes()}\nSELECT CUSTOMER_SHIPTO, risk_score, risk_value FROM scores WHERE risk_score < 45")

@@ -197,6 +197,24 @@ def seasonal_compare(spark, sf_dir):
     return finalize(run_frame(spark, sf_dir).seasonal, 6)
 
 
+SEASONAL_STATS = [pnl.CUST, "diff_phase", "amplitude", "period_after", "period_before", "mean_before", "mean_after"]
+
+
+@query
+def seasonal_stats(spark, sf_dir):
+    """X6 without its arrays: periods, amplitude and means."""
+    return finalize(run_frame(spark, sf_dir).seasonal.select(*SEASONAL_STATS), 6)
+
+
+@query
+def seasonal_stats_trimmed(spark, sf_dir):
+    """X7 without its arrays."""
+    from churnlens.operators import seasonal as ss
+
+    rows = ss.seasonal_compare(run_frame(spark, sf_dir).scaffold, trim_leading_zeros=True)
+    return finalize(rows.select(*SEASONAL_STATS), 6)
+
+
 @query
 def mean_shift(spark, sf_dir):
     r = run_frame(spark, sf_dir)

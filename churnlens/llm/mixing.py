@@ -13,8 +13,9 @@ is bounded: no cell gets more than ``max_repeats`` copies of each of its documen
 default: a sample without repeats). Targets that a marginal's values can't supply within
 that bound go to the values that can, in proportion; then each step scales the cells of a
 value to its target and cuts what goes beyond a cell's bound, which later sweeps give to
-cells with supply, until every marginal is within ``TOLERANCE`` of the whole (or
-``MOST_SWEEPS``, if the marginals contradict each other). A document is taken
+cells with supply, until every marginal is within ``TOLERANCE`` of the whole, or a sweep
+leaves over ``STALLED`` of the error before it, as when the marginals contradict each other
+(``MOST_SWEEPS`` at most). A document is taken
 floor(``rate`` * factor) times, and once more by the hash with the rest as probability.
 ``shares`` tells goal, reachable goal and raked share of every value.
 
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from churnlens.llm.common import bounded_broadcast, col_of, free_name, staged, text_or_empty
 
 SWEEPS = 6
-TOLERANCE, MOST_SWEEPS = 0.002, 15
+TOLERANCE, STALLED, MOST_SWEEPS = 0.002, 0.9, 15
 CELL_ROWS = 200_000  # cells that are broadcast
 MARGINS = ("source", "lang", "topic")
 WORD = r"[^\x20\x09-\x0D]+"
@@ -144,6 +145,7 @@ def rake_bounded(cells: DataFrame, goals: dict[str, DataFrame]) -> DataFrame:
         now = now.join(_reachable(cells, margin, goals[margin]), margin)
     columns = [*MARGINS, "tokens", "cap", *[f"{kind}_{m}" for m in MARGINS for kind in ("goal", "reach")]]
     now = staged(now.select(*columns, "w"), "bounded")
+    last = float("inf")
     for _ in range(MOST_SWEEPS):
         swept = now.withColumn("error", F.lit(0.0))
         for m in MARGINS:
@@ -152,8 +154,9 @@ def rake_bounded(cells: DataFrame, goals: dict[str, DataFrame]) -> DataFrame:
                 "w", F.least("cap", F.col("w") * F.col(f"reach_{m}") / F.col("had")))
         now = staged(swept.select(*columns, "w", "error"), "bounded")
         most, mass = now.agg(F.max("error"), F.sum("tokens")).first()
-        if most is None or most <= TOLERANCE * mass:
+        if most is None or most <= TOLERANCE * mass or most > STALLED * last:
             break
+        last = most
     return now
 
 

@@ -117,7 +117,7 @@ def mix(docs, rate, seed, powers, wanted, sweeps):
     return out
 
 
-def bounded_mix(docs, rate, seed, powers, wanted, max_repeats, tolerance, sweeps):
+def bounded_mix(docs, rate, seed, powers, wanted, max_repeats, tolerance, sweeps, stalled=0.9):
     """{id: copies} and {(margin, value): (goal, reachable, raked)} of docs (id, text, source,
     lang), by bounded raking."""
     cell = {i: (f"{s}", f"{lang}", topic(t)) for i, t, s, lang in docs}
@@ -144,7 +144,7 @@ def bounded_mix(docs, rate, seed, powers, wanted, max_repeats, tolerance, sweeps
                 break
             full |= more
         reach.append({v: supply[v] if v in full else g * level for v, g in goals[k].items()})
-    weight = {c: min(w, cap[c]) for c, w in base.items()}
+    weight, last = {c: min(w, cap[c]) for c, w in base.items()}, math.inf
     for _ in range(sweeps):
         error = 0
         for k in range(3):
@@ -153,8 +153,9 @@ def bounded_mix(docs, rate, seed, powers, wanted, max_repeats, tolerance, sweeps
                 had[c[k]] += w
             error = max([error, *(abs(had[v] - r) for v, r in reach[k].items())])
             weight = {c: min(cap[c], w * reach[k][c[k]] / had[c[k]]) for c, w in weight.items()}
-        if error <= tolerance * mass:
+        if error <= tolerance * mass or error > stalled * last:
             break
+        last = error
     out = {}
     for i in cell:
         wish = min(max_repeats, rate * weight[cell[i]] / base[cell[i]] if cell[i] in base else rate)

@@ -7,8 +7,9 @@ backslashes there gets one more. So no text holds a control string, and taking o
 backslash away restores every text exactly. In roles, backslash and line feed are
 written ``\\\\`` and ``\\n``.
 
-Turns are range-partitioned by (conversation, turn): a conversation with a third of all
-turns is formatted by many tasks. For each Arrow batch, numpy computes the lengths of
+Turns are range-partitioned by (conversation, turn, the beginnings of role and text), so a
+conversation with a third of all turns is formatted by many tasks, and the sample that
+finds the ranges has short keys. For each slice of about a megabyte of text, numpy computes the lengths of
 all segments (marker, role, line feed, text, end), their cumulative offsets and the
 scatter indices, and copies headers and contents into one preallocated buffer. The
 output is one row per *part*: consecutive turns of one conversation, in order, with the
@@ -16,11 +17,13 @@ formatted bytes as text and the byte spans under the loss mask (assistant texts)
 A conversation is its parts, one after another, by ``part``.
 
 Defined results
-* turns are ordered by turn, then role, then text (nulls first); rows repeated verbatim
+* turns are ordered by turn (nulls first), then role, then text (roles that share their
+  first ``KEY_CHARS`` characters: by the text's beginning first); rows repeated verbatim
   count each;
+* a very long text is a slice of its own: about 40 bytes of memory a byte of it;
 * a null text or role is empty; a null conversation id is a conversation of its own;
 * only the role ``assistant``, spelled so, is under the loss mask;
-* an empty table gives no parts; other columns are not touched.
+* an empty table gives no parts; other columns are not touched, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlens.llm.common import col_of
+from churnlens.llm.common import col_of, text_slices
 
 START, END = "<|im_start|>", "<|im_end|>"
 # fixed values: control strings of public chat templates, first character apart
@@ -44,6 +47,7 @@ _REST = {c: "|".join(re.escape(x[1:]) for x in CONTROL if x[0] == c) for c in "<
 _ESCAPE = re.compile("|".join(rf"{re.escape(c)}(?=\\*(?:{rest}))" for c, rest in _REST.items()))
 _UNESCAPE = re.compile("|".join(rf"{re.escape(c)}\\(?=\\*(?:{rest}))" for c, rest in _REST.items()))
 PART_BYTES = 4 << 20
+KEY_CHARS = 64
 
 PART = T.StructType([
     T.StructField("conv_id", T.LongType()),
@@ -124,9 +128,7 @@ def format_chats(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
 
     def parts(batches):
         number = TaskContext.get().partitionId() << 40  # range partitions are in order, so are parts
-        for rec in batches:
-            if not rec.num_rows:
-                continue
+        for rec in (part for batch in batches for part in text_slices(batch, 2)):
             convs, roles, texts = (rec.column(i).to_pylist() for i in range(3))
             buf, offsets, lo, hi = assemble([escape_role(x) for x in roles], [escape(x) for x in texts])
             loss = np.array([r == "assistant" for r in roles])
@@ -151,8 +153,9 @@ def format_chats(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
         F.coalesce(col_of(text_col).cast("string"), F.lit("")).alias("t"),
         col_of(turn_col).alias("n"),
     )
-    order = ["c", "n", "r", "t"]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(parts, PART)
+    begins = [F.left(x, F.lit(KEY_CHARS)) for x in ("r", "t")]
+    ranges = rows.repartitionByRange("c", "n", *begins)
+    return ranges.sortWithinPartitions("c", "n", *begins, "r", "t").mapInArrow(parts, PART)
 
 
 def read_turns(formatted: str) -> list[tuple[str, str]]:

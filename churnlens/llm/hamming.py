@@ -20,7 +20,8 @@ Defined results
 * rows repeated verbatim count once; an id on several vectors is several rows;
 * a null id or a null or empty vector takes no part, as query or as neighbour; null
   elements count as 0;
-* fewer than k other rows: all of them; an empty table gives an empty result.
+* fewer than k other rows: all of them; an empty table gives an empty result; other columns
+  are not read, whatever their names.
 """
 
 from __future__ import annotations

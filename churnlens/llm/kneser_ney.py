@@ -34,8 +34,12 @@ Defined results
   language is a language of its own;
 * an id that labels call both good and bad isn't trusted; null labels are ignored;
 * an n-gram never seen backs off; a unit never seen gets the uniform share;
+* a score equal to its threshold stays; equal counts have equal discounts, so nothing
+  depends on the order of rows;
+* a very long text is scored whole, in slices of its units;
 * repeated rows are scored alike; an empty table gives an empty result; with no trusted
-  text everything stays.
+  text everything stays; other columns are not read (``keep_good`` returns them), whatever
+  their names.
 """
 
 from __future__ import annotations

@@ -34,7 +34,9 @@ Defined results
   null id only if it has no other;
 * repeated rows: each gives a row of the result; the same id with different texts joins
   nothing by itself;
-* an empty table gives an empty result; other columns are not touched.
+* a very long text is a slice of its own, its distinct shingles held once as numbers;
+* an empty table gives an empty result; other columns are not touched, whatever their names
+  (``keep_one`` returns them).
 """
 
 from __future__ import annotations

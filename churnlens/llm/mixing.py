@@ -34,7 +34,10 @@ Defined results
 * null is a value like any other of source, language or topic;
 * a null or empty text has no tokens; a cell without tokens has factor 1;
 * repeated rows with one id are drawn or left together; a null id counts as one id;
-* an empty table gives an empty result; no column of the input is changed.
+* a very long text counts its words in the JVM and is not moved; a document beyond a cell's
+  share is drawn or left as a whole;
+* an empty table gives an empty result; no column of the input is changed, and columns with
+  the names used here clash with nothing.
 """
 
 from __future__ import annotations

@@ -8,8 +8,10 @@ and three labels): how often a suffix occurs and which share of its labelled url
 
 Labelled urls come from the caller as a condition that is true (bad), false (good) or null
 (not labelled) for each url. They are cut by hash of the host and path into two halves:
-suffix statistics are counted on one half, all of it, and the trees are fitted on the
-other, so a url's own label is not in its features. The fit takes a hash sample of about
+suffix statistics are counted on one half and the trees are fitted on the other, so a url's
+own label is not in its features. A third of the domains (last two labels of a host) is not
+counted at all: their urls are fitted without statistics of their own, as urls of a domain
+met for the first time will be judged. The fit takes a hash sample of about
 ``FIT_ROWS`` rows (a documented bound); everything else covers all rows.
 
 Suffix tables are broadcast up to a checked number of rows, else joined by a shuffle that
@@ -21,7 +23,9 @@ Defined results
 * a path is empty without a ``/`` after the host; a rule's path starts with ``/``;
 * two rules of the same length can't both fit unless they are equal: the first counts;
 * without labelled urls of both kinds in each half there is no model: ``allow``;
-* repeated rows get the same verdict; an empty table gives an empty result.
+* a very long url has its features counted over all of it;
+* repeated rows get the same verdict; an empty table gives an empty result; other columns
+  are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -122,7 +126,8 @@ def _with_suffixes(rows: DataFrame, counted: DataFrame) -> DataFrame:
 def _probability(rows: DataFrame) -> DataFrame:
     """``rows`` with ``p``, the probability that the url is bad (null without a model)."""
     half = F.pmod(F.xxhash64(F.lit(SEED), "host", "path"), F.lit(2))
-    labelled = rows.where("bad IS NOT NULL")
+    new = F.pmod(F.xxhash64(F.lit(SEED + 2), "s2"), F.lit(3)) == 0  # domains treated as not met before
+    labelled = rows.where("bad IS NOT NULL").where((half == 1) | ~new)
     kinds = labelled.groupBy(half.alias("half"), "bad").agg(F.count(F.lit(1)).alias("n")).collect()  # at most four rows
     if len(kinds) < 4:
         return rows.withColumn("p", F.lit(None).cast("double"))

@@ -74,6 +74,26 @@ def test_held_out_accuracy(spark):
     assert sum(a == b for a, b in held) / len(held) > 0.95
 
 
+def test_unseen_domains(spark):
+    """Urls of domains without any label are told by their lexical features."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(2400):
+        bad = rnd.random() < 0.4
+        word = "".join(rnd.choice("bcdfgklmnprst") + rnd.choice("aeiou") for _ in range(4))
+        domain = f"{word}{rnd.randrange(100, 999)}.com" if bad else f"{word}.com"
+        path = f"/{rnd.randrange(10**6)}?id={rnd.randrange(99)}&ref=x" if bad else f"/{rnd.choice(['about', 'news', 'wiki'])}/page"
+        rows += [(2 * i + k, f"http://www.{domain}{path}", bad, i % 4 == 0) for k in range(2)]  # two urls a domain
+    df = spark.createDataFrame(rows, "page_id long, url string, truth boolean, unseen boolean")
+    unseen = {r.page_id for r in df.where("unseen").collect()}
+    truth = {i: t for i, _, t, _ in rows}
+    named = spark.createDataFrame([(u.split("//")[1].split("/")[0], t) for _, u, t, n in rows if not n], "h string, t boolean").distinct()
+    table = {r.h: r.t for r in named.collect()}
+    known = F.when(F.col("host").isin([h for h, t in table.items() if t]), True).when(F.col("host").isin(list(table)), False)
+    got = {r.id: r.verdict == "block" for r in judge(df, [], known).collect()}
+    assert sum(got[i] == truth[i] for i in unseen) / len(unseen) > 0.95
+
+
 @pytest.mark.parametrize("host, path, url", [("", "", ""), ("h", "", "x://h?"), ("a.b", "/c/d", "http://a.b/c/d?x=1&&y=22#z")])
 def test_lexical(host, path, url):
     x = lexical(host, path, url)

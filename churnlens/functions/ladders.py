@@ -21,15 +21,14 @@ SLOPE_STEPS = [
 SLOPE_ELSE = (12, "decrease")
 
 
-def magnitude_steps() -> list[tuple[float, float]]:
-    """Magnitude ladder: >= .50 -> -10, one point less per .05 down to
-    >= .05 -> -1, >= 0 -> 0; then >= -.05 -> .5 and half a point more per
-    .05 down to >= -.50 -> 5; else 5."""
-    up = [(round(0.05 * k, 2), -float(k)) for k in range(10, 0, -1)] + [(0.0, 0.0)]
-    down = [(round(-0.05 * k, 2), 0.5 * k) for k in range(1, 11)]
-    return up + down
-
-
+# Magnitude ladder (threshold, score).
+MAGNITUDE_STEPS = [
+    (0.5, -10.0), (0.45, -9.0), (0.4, -8.0), (0.35, -7.0), (0.3, -6.0),
+    (0.25, -5.0), (0.2, -4.0), (0.15, -3.0), (0.1, -2.0), (0.05, -1.0),
+    (0.0, 0.0), (-0.05, 0.5), (-0.1, 1.0), (-0.15, 1.5), (-0.2, 2.0),
+    (-0.25, 2.5), (-0.3, 3.0), (-0.35, 3.5), (-0.4, 4.0), (-0.45, 4.5),
+    (-0.5, 5.0),
+]
 MAGNITUDE_ELSE = 5.0
 
 # Missed-period ladder (threshold, score, text).

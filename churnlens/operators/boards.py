@@ -100,12 +100,21 @@ def _first(value: str) -> Column:
     return F.first(value).over(w)
 
 
-def _compounded(value: str) -> Column:
-    """Growth a period since the first month: (v / first)^(1 / (k - 1)) - 1
-    for the k-th month."""
+def _base(value: str, offset: int | None) -> Column:
+    """The value of the status's first month, or of ``offset`` (-2: two) months
+    earlier in the view."""
+    if offset is None:
+        return _first(value)
+    return F.lag(value, -offset).over(Window.partitionBy(STATUS).orderBy(MONTH))
+
+
+def _compounded(value: str, offset: int | None = None) -> Column:
+    """Growth a period since the base: (v / first)^(1 / (k - 1)) - 1 for the k-th
+    month; with an offset, over as many periods as it has."""
     k = F.row_number().over(Window.partitionBy(STATUS).orderBy(MONTH))
-    ratio = F.try_divide(F.col(value), _first(value))
-    return F.when((k > 1) & (ratio > 0), F.pow(ratio, F.lit(1.0) / (k - 1)) - 1)
+    ratio = F.try_divide(F.col(value), _base(value, offset))
+    periods = k - 1 if offset is None else F.lit(-offset)
+    return F.when((k > 1) & (ratio > 0), F.pow(ratio, F.lit(1.0) / periods) - 1)
 
 
 def _median(df: DataFrame, value: str) -> DataFrame:
@@ -152,9 +161,10 @@ def status_blend(table: DataFrame, scores: DataFrame, as_of: dt.date, months: in
     return blend(primary, secondary, [MONTH], {"avg_score": F.avg(score_col)})
 
 
-def status_growth(table: DataFrame) -> DataFrame:
-    """Compound monthly growth of average CCH, growth excluded."""
-    return _average(_not_growth(table), ["CCH"]).withColumn("compound_growth", _compounded("avg_cch"))
+def status_growth(table: DataFrame, offset: int | None = None) -> DataFrame:
+    """Compound monthly growth of average CCH, growth excluded, against the first
+    month or (T14) the month ``offset`` before."""
+    return _average(_not_growth(table), ["CCH"]).withColumn("compound_growth", _compounded("avg_cch", offset))
 
 
 def score_bins(scores: DataFrame, score_col: str = "risk_score", size: int = 10) -> DataFrame:

@@ -280,11 +280,12 @@ def new_items(items: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows
 
 
 def snapshot(pairs: DataFrame, deliveries: DataFrame, new_df: DataFrame, profile_df: DataFrame, cust_df: DataFrame,
-             items_df: DataFrame, offsets: Sequence[int] = range(7, 13)) -> DataFrame:
+             items_df: DataFrame, offsets: Sequence[int] = range(7, 13), dedup: bool = False) -> DataFrame:
     """J4 + A19: the mapping left-joined to new items and inner-joined to the
     three profiles, then one row per customer and snapshot. Join keys are not
     unique on the mapping side, so sums count a customer's values once per
-    mapped delivery (T9, as written).
+    mapped delivery (T9, as written). ``dedup=True`` counts a customer's value
+    once and a ship-to's once for each of its customers.
 
     The mapping's rows are not made: deliveries and their items are first
     summed per ship-to (``_n``: how many mapping rows it stands for), and
@@ -294,7 +295,9 @@ def snapshot(pairs: DataFrame, deliveries: DataFrame, new_df: DataFrame, profile
     """
     n = len(list(offsets))
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    total = lambda c: F.sum(F.col(c) * F.col("_n"))
+    times = F.lit(1) if dedup else F.col("_n")  # mapping rows that a pair stands for
+    total = lambda c: F.sum(F.col(c) * times)
+    own = F.max if dedup else total  # a customer's value is the same in all its pairs
     new_cols = ["NEW_MATNR", "NEW_MATKL", "NEW_ENTRIES"]
     item_cols = ["CNTD_MATNR", "CNTD_MATKL", "CNTD_SHIPTO", *[f"T_{i}_ENTRIES" for i in range(1, n + 1)]]
     sums = (
@@ -311,13 +314,13 @@ def snapshot(pairs: DataFrame, deliveries: DataFrame, new_df: DataFrame, profile
     # a customer's own values are the same in all its rows: their average is the value
     cust_cols = ["CCH", *[f"T_{i}_CCH" for i in range(1, n + 1)]]
     sale_cols = [f"T_{i}_PRODUCT_SALES" for i in range(1, n + 1)]
-    aggs = [x for c in cust_cols for x in (total(c).alias(c), F.max(c).alias(f"AVG_{c}"))]
-    aggs += [total("PRODUCT_SALES").alias("PRODUCT_SALES")]
-    aggs += [x for c in sale_cols for x in (total(c).alias(c), F.max(c).alias(f"AVG_{c}"))]
+    aggs = [x for c in cust_cols for x in (own(c).alias(c), F.max(c).alias(f"AVG_{c}"))]
+    aggs += [own("PRODUCT_SALES").alias("PRODUCT_SALES")]
+    aggs += [x for c in sale_cols for x in (own(c).alias(c), F.max(c).alias(f"AVG_{c}"))]
     aggs += [F.sum(c).alias(c) for c in new_cols]
     aggs += [total(c).alias(c) for c in profile_cols]
     aggs += [
-        (F.sum(F.col("AVG_TIME_DELIVERY") * F.col("_n")) / rows).cast("bigint").alias("TIME_DELIVERY"),
+        (F.sum(F.col("AVG_TIME_DELIVERY") * times) / F.sum(times)).cast("bigint").alias("TIME_DELIVERY"),
         F.sum("CNTD_MATNR").alias("CNTD_MATNR"),
         F.sum("CNTD_MATKL").alias("CNTD_MATKL"),
         (F.sum("CNTD_MATNR") / rows).cast("bigint").alias("AVG_MATNR"),
@@ -329,7 +332,8 @@ def snapshot(pairs: DataFrame, deliveries: DataFrame, new_df: DataFrame, profile
 
 
 def nba_snapshot(tx: DataFrame, deliveries: DataFrame, items: DataFrame, anchors: Sequence[dt.date],
-                 w: Windows = Windows(), codes: DeliveryCodes = DeliveryCodes(), shipto_col: str = "KUNWE") -> DataFrame:
+                 w: Windows = Windows(), codes: DeliveryCodes = DeliveryCodes(), shipto_col: str = "KUNWE",
+                 dedup: bool = False) -> DataFrame:
     """All snapshot anchors in one job."""
     pairs = customer_shiptos(tx, anchors, w, shipto_col)
     sent = shipto_deliveries(deliveries, anchors, w)
@@ -342,6 +346,7 @@ def nba_snapshot(tx: DataFrame, deliveries: DataFrame, items: DataFrame, anchors
         customer_table(tx, mapped, anchors, w),
         items_profile(items, anchors, w),
         w.offsets,
+        dedup,
     )
 
 

@@ -122,7 +122,7 @@ def risk_score(df: DataFrame, report_month: dt.date) -> DataFrame:
     """Ladders, weighted score, half-even rounding, and the text."""
     slope_score = L.ladder(F.col("percent_decline"), L.SLOPE_STEPS, L.SLOPE_ELSE[0])
     slope_t = L.ladder(F.col("percent_decline"), L.SLOPE_STEPS, L.SLOPE_ELSE[1], pick=2)
-    mag = L.ladder(F.col("magnitute_drop"), L.magnitude_steps(), L.MAGNITUDE_ELSE)
+    mag = L.ladder(F.col("magnitute_drop"), L.MAGNITUDE_STEPS, L.MAGNITUDE_ELSE)
     period = L.ladder(F.col("miss_period"), L.PERIOD_STEPS, L.PERIOD_ELSE[0])
     period_t = L.ladder(F.col("miss_period"), L.PERIOD_STEPS, L.PERIOD_ELSE[1], pick=2)
     size = L.ladder(F.col("max_cch"), L.SIZE_STEPS, L.SIZE_ELSE, strict=True)

@@ -625,6 +625,32 @@ for _name in ("nba_mapping", "nba_customer", "nba_snapshot"):
     register(f"{_name}_shared", shared_shiptos(ORACLE[_name]))
 
 
+def nba_dedup_sql() -> str:
+    """Each grain by itself: customers, (customer, ship-to) pairs, deliveries."""
+    profile = [x for x in _SNAP_CNT if not x.startswith("NEW_")]
+    cust = [f"round(CAST(max(c.{x}) AS DOUBLE), 6) AS {x}" for x in _SNAP_SUM]
+    cust += [f"round(CAST(max(c.{x}) AS DOUBLE), 6) AS AVG_{x}" for x in _SNAP_AVG]
+    per_pair = [f"CAST(sum(p.{x}) AS BIGINT) AS {x}" for x in profile] + ["CAST(trunc(avg(p.AVG_TIME_DELIVERY)) AS BIGINT) AS TIME_DELIVERY"]
+    per_row = [f"CAST(sum(n.{x}) AS BIGINT) AS {x}" for x in ("NEW_MATNR", "NEW_MATKL", "NEW_ENTRIES")]
+    per_row += [f"CAST(sum(coalesce(i.{x}, 0)) AS BIGINT) AS {x}" for x in ["CNTD_MATNR", "CNTD_MATKL", "CNTD_SHIPTO"] + [f"T_{k}_ENTRIES" for k in _OFF]]
+    per_row += [f"CAST(trunc(avg(coalesce(i.CNTD_{x}, 0))) AS BIGINT) AS AVG_{x}" for x in ("MATNR", "MATKL")]
+    key = "SNAPSHOT, CUSTOMER_NUMBER"
+    return shared_shiptos(
+        f"WITH {nba_ctes()},\n"
+        "live AS (SELECT m.SNAPSHOT, m.KNDNR AS CUSTOMER_NUMBER, m.KUNNR, m.VBELN FROM mapping m"
+        " JOIN prof p ON p.SNAPSHOT = m.SNAPSHOT AND p.KUNNR = m.KUNNR JOIN cust c ON c.SNAPSHOT = m.SNAPSHOT AND c.KNDNR = m.KNDNR"
+        " JOIN items i ON i.SNAPSHOT = m.SNAPSHOT AND i.VBELN = m.VBELN),\n"
+        f"byc AS (SELECT {key}, {', '.join(cust)} FROM (SELECT DISTINCT {key} FROM live) l"
+        " JOIN cust c USING (SNAPSHOT) WHERE c.KNDNR = l.CUSTOMER_NUMBER GROUP BY ALL),\n"
+        f"byp AS (SELECT {key}, {', '.join(per_pair)} FROM (SELECT DISTINCT {key}, KUNNR FROM live) l JOIN prof p USING (SNAPSHOT, KUNNR) GROUP BY {key}),\n"
+        f"byr AS (SELECT {key}, {', '.join(per_row)} FROM live l JOIN items i USING (SNAPSHOT, VBELN) LEFT JOIN newi n USING (SNAPSHOT, VBELN) GROUP BY {key})\n"
+        f"SELECT * FROM byc JOIN byp USING ({key}) JOIN byr USING ({key})"
+    )
+
+
+register("nba_snapshot_dedup", nba_dedup_sql())
+
+
 # --------------------------------------------------------------------------
 # CRM feed
 # --------------------------------------------------------------------------
@@ -850,7 +876,7 @@ def risk_ctes(trimmed: bool = False) -> str:
         "lad AS (SELECT *, "
         f"{_ladder_sql('percent_decline', _L.SLOPE_STEPS, _L.SLOPE_ELSE[0])} AS slope_score, "
         f"{_ladder_sql('percent_decline', _L.SLOPE_STEPS, _L.SLOPE_ELSE[1], pick=2)} AS slope_t, "
-        f"{_ladder_sql('magnitute_drop', _L.magnitude_steps(), _L.MAGNITUDE_ELSE)} AS mag, "
+        f"{_ladder_sql('magnitute_drop', _L.MAGNITUDE_STEPS, _L.MAGNITUDE_ELSE)} AS mag, "
         f"{_ladder_sql('miss_period', _L.PERIOD_STEPS, _L.PERIOD_ELSE[0])} AS period, "
         f"{_ladder_sql('miss_period', _L.PERIOD_STEPS, _L.PERIOD_ELSE[1], pick=2)} AS period_t, "
         f"{_ladder_sql('max_cch', _L.SIZE_STEPS, _L.SIZE_ELSE, strict=True)} AS size FROM inp0),\n"
@@ -925,6 +951,9 @@ def compounded(value: str) -> str:
 register("status_countd", f"{status_ctes(None)}\nSELECT RISK_STATUS, count(DISTINCT CUSTOMER_SHIPTO) AS customers FROM sheet GROUP BY RISK_STATUS")
 register("status_growth", f"{status_ctes(None)},\ng AS ({by_month('avg(CCH) AS a')})\n"
          f"SELECT POSTING_DATE, RISK_STATUS, round(a, 6) AS avg_cch, {compounded('a')} FROM g")
+register("status_growth_offset", f"{status_ctes(None)},\ng AS ({by_month('avg(CCH) AS a')})\n"
+         "SELECT POSTING_DATE, RISK_STATUS, round(a, 6) AS avg_cch, round(CASE WHEN b <> 0 AND a / b > 0 THEN sqrt(a / b) - 1 END, 6) AS compound_growth"
+         " FROM (SELECT *, lag(a, 2) OVER (PARTITION BY RISK_STATUS ORDER BY POSTING_DATE) AS b FROM g)")
 register("status_median_growth", f"{status_ctes(12)},\ng AS ({by_month('median(CCH) AS m')})\n"
          f"SELECT POSTING_DATE, RISK_STATUS, round(m, 6) AS median_cch, {compounded('m')} FROM g")
 register("status_sales_pct", f"{status_ctes(12)},\ng AS ({by_month('avg(PRODUCT_SALES) AS a, avg(Holidays) AS h')})\n"

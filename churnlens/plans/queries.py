@@ -308,6 +308,13 @@ def nba_snapshot_table(spark, sf_dir):
     return table.read(build(anchors).schema)
 
 
+@query
+def nba_snapshot_dedup(spark, sf_dir):
+    """Every customer's, ship-to's and delivery's value once, with shared ship-tos."""
+    tx, dl, it, a = nba_inputs(spark, sf_dir)
+    return finalize(nba.nba_snapshot(tx, dl, it, a, codes=NBA_CODES, dedup=True), 6)
+
+
 # J1, J4 with ship-tos that customers share: the ledger's own ship-to column
 @query
 def nba_mapping_shared(spark, sf_dir):
@@ -396,6 +403,12 @@ def status_median_pct(spark, sf_dir):
     return finalize(boards.status_median_pct(status_frame(spark, sf_dir)[0], AS_OF), 6)
 
 
+@query
+def status_growth_offset(spark, sf_dir):
+    """W13 with the base that the sheet codes as -2."""
+    return finalize(boards.status_growth(status_frame(spark, sf_dir)[0], offset=-2), 6)
+
+
 @query
 def status_median_growth(spark, sf_dir):
     return finalize(boards.status_median_growth(status_frame(spark, sf_dir)[0], AS_OF), 6)

@@ -49,7 +49,7 @@ def test_arrow_and_native_engines_agree(spark):
 
 
 def test_magnitude_ladder_steps():
-    steps = L.magnitude_steps()
+    steps = L.MAGNITUDE_STEPS
     assert steps[0] == (0.5, -10.0) and steps[9] == (0.05, -1.0) and steps[10] == (0.0, 0.0)
     assert steps[11] == (-0.05, 0.5) and steps[-1] == (-0.5, 5.0)
 

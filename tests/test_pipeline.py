@@ -56,9 +56,21 @@ def test_feed_count_is_sum_of_branches(spark):
     from churnlens.sources import fixtures as fx
 
     t = fx.crm_tables(spark, SF_SMALL)
-    parts = [crm.complaint_branch(t), crm.visit_payer_branch(t), crm.visit_shipto_branch(t), crm.visit_customer_branch(t)]
-    assert crm.crm_feed(t).count() == sum(p.count() for p in parts)
-    assert all(p.count() > 0 for p in parts)
+    org = crm.payer_attributes(t)
+    accounts = {r.ACCOUNTID: r for r in t["account"].collect()}
+    latest = {r.PARENTACCOUNTID: r.ACCOUNTID for r in crm.latest_child(t["account"]).collect()}
+    known = {r.PayerAccountId for r in org.collect()}
+    payer = {  # by the level of the booked account
+        20: lambda a: a.ACCOUNTID, 30: lambda a: a.PARENTACCOUNTID, 10: lambda a: latest.get(a.ACCOUNTID)}
+    branches = dict.fromkeys(payer, 0)
+    for v in t["visit"].where((F.col("NEW_VISITRESULT") == 20) & F.col("NEW_CUSTOMER").isNotNull()).collect():
+        booked = accounts.get(v.NEW_CUSTOMER)
+        if booked and booked.NEW_LEVELTYPE in payer and payer[booked.NEW_LEVELTYPE](booked) in known:
+            branches[booked.NEW_LEVELTYPE] += 1
+    feed = crm.crm_feed(t)
+    kinds = {r.Type: r["count"] for r in feed.groupBy("Type").count().collect()}
+    assert all(branches.values()) and kinds[crm.VISIT_TYPE] == sum(branches.values())
+    assert kinds[crm.COMPLAINT_TYPE] == crm.complaints(t).join(org, "PayerAccountId").count() > 0
 
 
 def test_new_items_keep_null_keys(spark):

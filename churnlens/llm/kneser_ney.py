@@ -251,15 +251,17 @@ def _shard_of(unit, n: int):
 
 
 def _tables(rows: pa.Table) -> dict:
-    """{lang: Scorer} of collected model rows."""
-    lang, kind = rows.column("lang").to_pylist(), rows.column("kind").to_pylist()
+    """{lang: {kind: (keys, values)}} of collected model rows. Names stay dictionary codes:
+    as Python strings they would take far more of the driver than the numbers."""
+    lang, kind = (rows.column(c).combine_chunks().dictionary_encode() for c in ("lang", "kind"))
+    langs, kinds = lang.dictionary.to_pylist() + [None], kind.dictionary.to_pylist()
+    lang_at = lang.indices.fill_null(len(langs) - 1).to_numpy()  # a null language is one of its own
+    code = lang_at.astype(np.int64) * len(kinds) + kind.indices.to_numpy()
     keys, values = rows.column("key").to_numpy().view(U64), rows.column("value").to_numpy()
-    at: dict = {}
-    for i, lk in enumerate(zip(lang, kind)):
-        at.setdefault(lk, []).append(i)
     found: dict = {}
-    for (name, k), i in at.items():
-        found.setdefault(name, {})[k] = (keys[i], values[i])
+    for c in np.unique(code).tolist():
+        mine = code == c
+        found.setdefault(langs[c // len(kinds)], {})[kinds[c % len(kinds)]] = (keys[mine], values[mine])
     return found
 
 
@@ -276,7 +278,8 @@ def score(df: DataFrame, model: DataFrame, text_col: str, lang_col: str, nll: st
     owner = owner.column("s").to_numpy()
     for shard in range(shards):
         rows = model.where((F.col("unit") < 0) | (_shard_of("unit", shards) == shard))
-        shared = sc.broadcast(_tables(rows.select("lang", "kind", "key", "value").toArrow()))  # at most SHARD_ROWS and the single units
+        with tidy():  # at most SHARD_ROWS and the single units pass the driver
+            shared = sc.broadcast(_tables(rows.select("lang", "kind", "key", "value").toArrow()))
 
         def scored(part: pa.RecordBatch, scorers: dict, tables: dict, shard: int) -> pa.RecordBatch:
             total, length, sums = (part.column(i).to_pylist() for i in new_at)

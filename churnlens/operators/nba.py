@@ -12,6 +12,10 @@ value), with the conditions as flags, then a sum of flags. A value leaves a task
 once, a hot group spreads by its values, and no row is copied for each count. What
 depends on the month only (items) is counted once per month, before the rows are
 repeated for the overlapping windows of the anchors.
+
+The rows between the outermost bounds are read from the sources once and staged: several
+aggregates read them, and their number gives the parts of the items' hash tables. Tables
+that grow with the facts are merged, not broadcast: through the driver goes none of them.
 """
 
 from __future__ import annotations
@@ -23,9 +27,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.operators.rollup import NO_KEY, month_days, net_sales
+from churnlens.operators.rollup import DEDUCTION_TERMS, NO_KEY, REVENUE_TERMS, month_days, net_sales
+from churnlens.sources.stage import stage
 
 SNAP = "SNAPSHOT"
+ROWS_PER_TASK = 50_000  # items: a task has a hash table of all their values
 
 
 def T(i: int) -> Column:
@@ -89,6 +95,15 @@ def _per_anchor(df: DataFrame, anchors: Sequence[dt.date], date_col: str, win: t
     return _near(df, anchors, date_col, win).select("*", F.explode(F.array_compact(inside)).alias(SNAP))
 
 
+def near_items(items: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows()) -> DataFrame:
+    """The items between the outermost bounds of all windows, staged."""
+    return stage(_near(items, anchors, "ERDAT", _outermost(w.history, w.new)), "items")
+
+
+def _outermost(*wins: tuple[int, int]) -> tuple[int, int]:
+    return max(a for a, _ in wins), min(b for _, b in wins)
+
+
 def customer_shiptos(tx: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows(),
                      shipto_col: str = "KUNWE", country: str = "AU") -> DataFrame:
     """(SNAPSHOT, KNDNR, KUNWE): the ship-tos a customer bought for in the window."""
@@ -113,7 +128,7 @@ def mapping(tx: DataFrame, deliveries: DataFrame, anchors: Sequence[dt.date], w:
     """
     left = customer_shiptos(tx, anchors, w, shipto_col, country)
     right = shipto_deliveries(deliveries, anchors, w)
-    return left.join(right, (left[SNAP] == right[SNAP]) & (right["KUNNR"] == left["KUNWE"])).select(
+    return left.join(right.hint("merge"), (left[SNAP] == right[SNAP]) & (right["KUNNR"] == left["KUNWE"])).select(
         left[SNAP], "KNDNR", "KUNWE", "VBELN", "KUNNR"
     )
 
@@ -124,7 +139,7 @@ def customer_table(tx: DataFrame, mapping_df: DataFrame, anchors: Sequence[dt.da
     the month offsets (T15: with the default windows these months lie outside
     the history window and stay 0 / null, as written)."""
     base = _per_anchor(tx.filter(F.col("LAND1") == country), anchors, "BUDAT", w.customer).join(
-        mapping_df.select(SNAP, "KNDNR").distinct(), [SNAP, "KNDNR"], "left_semi"
+        mapping_df.select(SNAP, "KNDNR").distinct().hint("merge"), [SNAP, "KNDNR"], "left_semi"
     )
     cda = F.col("VVQ01_ME") == "CDA"
     product = (F.col("VVQ01_ME") != "CMO") & (F.col("VVQ01_ME") != "CDA")
@@ -162,7 +177,7 @@ def delivery_gaps(d: DataFrame, w: Windows = Windows()) -> DataFrame:
         F.avg(F.when(F.col("mth") == T(k), F.col("gap"))).cast("bigint").alias(f"T_{i}_TIME_DELIVERY")
         for i, k in enumerate(w.offsets, 1)
     ])
-    return overall.join(per_month, [SNAP, "KUNNR"])
+    return overall.join(per_month.hint("merge"), [SNAP, "KUNNR"])
 
 
 def delivery_profile(deliveries: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows(),
@@ -188,8 +203,8 @@ def delivery_profile(deliveries: DataFrame, anchors: Sequence[dt.date], w: Windo
     }
     counts = _flagged(d, [SNAP, "KUNNR"], "VBELN", flags)
     routes = d.groupBy(SNAP, "KUNNR", "ROUTE").agg(F.lit(1).alias("_one")).groupBy(SNAP, "KUNNR").agg(F.count("ROUTE").alias("CNTD_ROUTE"))
-    counts = routes.join(counts, [SNAP, "KUNNR"])
-    return delivery_gaps(d, w).join(counts, [SNAP, "KUNNR"])
+    counts = routes.join(counts.hint("merge"), [SNAP, "KUNNR"])
+    return delivery_gaps(d, w).join(counts.hint("merge"), [SNAP, "KUNNR"])
 
 
 def _flagged(df: DataFrame, keys: list[str], value: str, flags: dict[str, Column]) -> DataFrame:
@@ -202,9 +217,11 @@ def _flagged(df: DataFrame, keys: list[str], value: str, flags: dict[str, Column
 
 def items_profile(items: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows()) -> DataFrame:
     """A14 + A20: per delivery and month, then per delivery (AVG of monthly
-    sums is not a plain AVG). AVG of counts truncates (T5)."""
+    sums is not a plain AVG). AVG of counts truncates (T5). ``items`` are counted
+    first, for the number of parts: give them staged (``near_items``)."""
     it = _near(items, anchors, "ERDAT", w.history).select(
         "*", F.coalesce("VBELN", F.lit(NO_KEY)).alias("_v"), F.trunc("ERDAT", "MM").alias("mth"))
+    it = it.repartition(max(1, -(-it.count() // ROWS_PER_TASK)), "_v", "mth")
     mv, vg = F.col("MVGR1"), F.col("VGBEL")
     sums = it.groupBy("_v", "mth").agg(
         F.sum("LGMNG").alias("mth_stock_diff"),
@@ -232,7 +249,7 @@ def items_profile(items: DataFrame, anchors: Sequence[dt.date], w: Windows = Win
         "CNTD_MATKL": F.col("kind") == 2,
     })
     # a month's figures are the same for every anchor whose window has it
-    whole = _per_anchor(sums.join(counts, ["_v", "mth"]), anchors, "mth", w.history)
+    whole = _per_anchor(sums.join(counts.hint("merge"), ["_v", "mth"]), anchors, "mth", w.history)
     monthly = whole.withColumn("VBELN", F.nullif(F.col("_v"), F.lit(NO_KEY))).drop("_v")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     ti = lambda c: F.avg(c).cast("bigint")
@@ -272,7 +289,7 @@ def new_items(items: DataFrame, anchors: Sequence[dt.date], w: Windows = Windows
     per delivery. ``keys=("VBELN", "MATNR")`` gives 'new to the delivery'."""
     new = _per_anchor(items, anchors, "ERDAT", w.new)
     old = _per_anchor(items, anchors, "ERDAT", w.history).select(SNAP, *keys).distinct()
-    fresh = new.join(old, [SNAP, *keys], "left_anti")
+    fresh = new.join(old.hint("merge"), [SNAP, *keys], "left_anti")
     kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("value")) for i, c in enumerate(("MATNR", "MATKL", "VGBEL"))])
     values = fresh.select(SNAP, "VBELN", F.explode(kinds).alias("e")).select(SNAP, "VBELN", "e.*").distinct()
     have = lambda i: F.count(F.when(F.col("kind") == i, F.col("value")))
@@ -301,15 +318,16 @@ def snapshot(pairs: DataFrame, deliveries: DataFrame, new_df: DataFrame, profile
     new_cols = ["NEW_MATNR", "NEW_MATKL", "NEW_ENTRIES"]
     item_cols = ["CNTD_MATNR", "CNTD_MATKL", "CNTD_SHIPTO", *[f"T_{i}_ENTRIES" for i in range(1, n + 1)]]
     sums = (
-        deliveries.join(new_df, [SNAP, "VBELN"], "left").join(items_df, [SNAP, "VBELN"], "inner")
+        deliveries.join(new_df.hint("merge"), [SNAP, "VBELN"], "left").join(items_df.hint("merge"), [SNAP, "VBELN"], "inner")
         .groupBy(SNAP, "KUNNR").agg(
             F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in new_cols], *[F.sum(z(c)).alias(c) for c in item_cols])
     )
     profile_cols = ["CNTD_DANGEROUS", "CNTD_GENERAL", "CNTD_AIR", "CNTD_SEA", "CNTD_WATERWAY", "CNTD_DEBIT_ITEMS",
                     "CNTD_CONSIGNMENT", "CNTD_STANDARD", "CNTD_THIRDPARTY", "CNTD_D0_KDGRP", "CNTD_NULL_KDGRP",
                     "CNTD_GF_KDGRP"]
-    per_shipto = sums.join(profile_df.select(SNAP, "KUNNR", "AVG_TIME_DELIVERY", *profile_cols), [SNAP, "KUNNR"], "inner")
-    j = pairs.withColumnRenamed("KUNWE", "KUNNR").join(per_shipto, [SNAP, "KUNNR"], "inner").join(cust_df, [SNAP, "KNDNR"], "inner")
+    per_shipto = sums.join(profile_df.select(SNAP, "KUNNR", "AVG_TIME_DELIVERY", *profile_cols).hint("merge"), [SNAP, "KUNNR"], "inner")
+    j = pairs.withColumnRenamed("KUNWE", "KUNNR").join(per_shipto.hint("merge"), [SNAP, "KUNNR"], "inner")
+    j = j.join(cust_df.hint("merge"), [SNAP, "KNDNR"], "inner")
     rows = F.sum("_n")
     # a customer's own values are the same in all its rows: their average is the value
     cust_cols = ["CCH", *[f"T_{i}_CCH" for i in range(1, n + 1)]]
@@ -334,10 +352,14 @@ def snapshot(pairs: DataFrame, deliveries: DataFrame, new_df: DataFrame, profile
 def nba_snapshot(tx: DataFrame, deliveries: DataFrame, items: DataFrame, anchors: Sequence[dt.date],
                  w: Windows = Windows(), codes: DeliveryCodes = DeliveryCodes(), shipto_col: str = "KUNWE",
                  dedup: bool = False) -> DataFrame:
-    """All snapshot anchors in one job."""
+    """All snapshot anchors in one job, over the staged rows of their windows."""
+    used = dict.fromkeys(["LAND1", "BUDAT", "KNDNR", shipto_col, "VVQ01_ME", "VVQ13", *REVENUE_TERMS, *DEDUCTION_TERMS])
+    tx = stage(_near(tx, anchors, "BUDAT", _outermost(w.mapping, w.customer)).select(*used), "ledger")
+    deliveries = stage(_near(deliveries, anchors, "LDDAT", _outermost(w.mapping, w.history)), "deliveries")
+    items = near_items(items, anchors, w)
     pairs = customer_shiptos(tx, anchors, w, shipto_col)
     sent = shipto_deliveries(deliveries, anchors, w)
-    mapped = pairs.join(sent.select(SNAP, F.col("KUNNR").alias("KUNWE")).distinct(), [SNAP, "KUNWE"], "left_semi")
+    mapped = pairs.join(sent.select(SNAP, F.col("KUNNR").alias("KUNWE")).distinct().hint("merge"), [SNAP, "KUNWE"], "left_semi")
     return snapshot(
         pairs,
         sent,

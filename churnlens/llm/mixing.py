@@ -42,7 +42,7 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from churnlens.llm.common import bounded_broadcast, col_of, free_name, staged, text_or_empty
@@ -72,10 +72,14 @@ def uniform(value: Column, seed: int) -> Column:
 def _targets(cells: DataFrame, margin: str, power: float, wanted: dict[str, float]) -> DataFrame:
     """(margin, goal), up to a common factor."""
     sums = cells.groupBy(margin).agg(F.sum("tokens").cast("double").alias("t")).where("t > 0")
+    return sums.select(margin, _goal(margin, F.col("t"), power, wanted).alias("goal"))
+
+
+def _goal(margin: str, tokens: Column, power: float, wanted: dict[str, float]) -> Column:
     if not wanted:
-        return sums.select(margin, F.pow("t", F.lit(power)).alias("goal"))
+        return F.pow(tokens, F.lit(power))
     table = F.create_map(*[F.lit(x) for k, v in wanted.items() for x in (f"={k}", float(v))])
-    return sums.select(margin, F.coalesce(table[F.col(margin)], F.lit(float(min(wanted.values())))).alias("goal"))
+    return F.coalesce(table[F.col(margin)], F.lit(float(min(wanted.values()))))
 
 
 def rake(cells: DataFrame, goals: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
@@ -123,29 +127,32 @@ def mixed(df: DataFrame, topic: Column, rate: float, seed: int = 0, powers: dict
         (uniform(F.col("id"), seed) < p).alias("sampled"), (f / p).alias("weight"))
 
 
-def _reachable(cells: DataFrame, margin: str, goal: DataFrame) -> DataFrame:
+def _reachable(cells: DataFrame, margin: str, power: float, wanted: dict[str, float]) -> DataFrame:
     """(margin, goal, reach) as shares of the mass: what a value's cells can't supply goes
     to the others in proportion. By supply over goal, the values that stay below the common
-    level come first; the level is the greatest of (mass - supply before) / (goals left)."""
-    supply = cells.groupBy(margin).agg(F.sum("cap").alias("supply"))
-    mass = cells.agg(F.sum("tokens").cast("double").alias("mass"))
-    whole = goal.agg(F.sum("goal").alias("whole"))
-    rows = goal.join(supply, margin).crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(mass))  # one row each
-    rows = rows.select(margin, (F.col("goal") / F.col("whole") * F.col("mass")).alias("goal"), "supply", "mass")
+    level come first; the level is the greatest of (mass - supply before) / (goals left).
+    One aggregate of the cells, whose rows (one a value) then meet in windows."""
+    sums = cells.groupBy(margin).agg(F.sum("tokens").alias("n"), F.sum("cap").alias("supply")).where("n > 0")
+    everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    share = _goal(margin, F.col("n").cast("double"), power, wanted)
+    mass = F.sum("n").over(everything).cast("double")
+    rows = sums.select(margin, "supply", share.alias("goal"), mass.alias("mass"))
+    rows = rows.withColumn("goal", F.col("goal") / F.sum("goal").over(everything) * F.col("mass"))
     order = Window.orderBy(F.col("supply") / F.col("goal"), margin)  # a row a value
     before = F.coalesce(F.sum("supply").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     left = F.sum("goal").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    level = F.max("level").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    level = F.max("level").over(everything)
     rows = rows.withColumn("level", (F.col("mass") - before) / left).withColumn("level", level)
     return rows.select(margin, F.col("goal").alias(f"goal_{margin}"), F.least("supply", F.col("goal") * F.col("level")).alias(f"reach_{margin}"))
 
 
-def rake_bounded(cells: DataFrame, goals: dict[str, DataFrame]) -> DataFrame:
+def rake_bounded(cells: DataFrame, powers: dict[str, float], wanted: dict[str, dict[str, float]]) -> DataFrame:
     """``cells`` (source, lang, topic, tokens, cap) with ``w``, their raked weights of at
-    most ``cap``, and each marginal's goal and reachable goal."""
+    most ``cap``, and each marginal's goal and reachable goal. A sweep is one job: its error
+    is observed while its cells are written."""
     now = cells.where("tokens > 0").withColumn("w", F.least(F.col("tokens").cast("double"), "cap"))
     for margin in MARGINS:
-        now = now.join(_reachable(cells, margin, goals[margin]), margin)
+        now = now.join(_reachable(cells, margin, powers.get(margin, 1.0), wanted.get(margin, {})).hint("merge"), margin)
     columns = [*MARGINS, "tokens", "cap", *[f"{kind}_{m}" for m in MARGINS for kind in ("goal", "reach")]]
     now = staged(now.select(*columns, "w"), "bounded")
     last = float("inf")
@@ -155,8 +162,10 @@ def rake_bounded(cells: DataFrame, goals: dict[str, DataFrame]) -> DataFrame:
             swept = swept.withColumn("had", F.sum("w").over(Window.partitionBy(m))).withColumn(
                 "error", F.greatest("error", F.abs(F.col("had") - F.col(f"reach_{m}")))).withColumn(
                 "w", F.least("cap", F.col("w") * F.col(f"reach_{m}") / F.col("had")))
-        now = staged(swept.select(*columns, "w", "error"), "bounded")
-        most, mass = now.agg(F.max("error"), F.sum("tokens")).first()
+        seen = Observation()
+        swept = swept.select(*columns, "w", "error").observe(seen, F.max("error").alias("most"), F.sum("tokens").alias("mass"))
+        now = staged(swept, "bounded")
+        most, mass = seen.get["most"], seen.get["mass"]
         if most is None or most <= TOLERANCE * mass or most > STALLED * last:
             break
         last = most
@@ -173,7 +182,7 @@ def bounded_cells(df: DataFrame, topic: Column, rate: float, max_repeats: int =
         _named(col_of(source_col)).alias("source"), _named(col_of(lang_col)).alias("lang"), _named(topic).alias("topic")
     ).agg(F.sum(n_tokens(text_col)).alias("tokens")).withColumn("cap", cap)
     cells = staged(cells, "cells")
-    return rake_bounded(cells, {m: _targets(cells, m, powers.get(m, 1.0), wanted.get(m, {})) for m in MARGINS})
+    return rake_bounded(cells, powers, wanted)
 
 
 def shares(cells: DataFrame) -> DataFrame:

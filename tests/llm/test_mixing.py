@@ -108,3 +108,19 @@ def test_drawn_shares(spark):
         for (margin, value), (_, _, raked) in report.items():
             if margin == by:  # half the root of the sum of squares is the greatest deviation of such a draw
                 assert abs(got.get(value, 0) - args["rate"] * raked * mass) <= 4 * 0.5 * square[value] ** 0.5
+
+
+def test_a_sweep_is_one_job_and_nothing_is_broadcast(spark, monkeypatch):
+    """The raking's plans stay small: the driver holds each of them."""
+    from churnlens.llm import mixing
+
+    plans = []
+    write = mixing.staged
+    monkeypatch.setattr(mixing, "staged", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or write(df, name))
+    docs = read_table(spark, SF_SMALL, "documents")
+    asked = []
+    monkeypatch.setattr(type(docs), "first", lambda self: asked.append(self))
+    cells = bounded_cells(docs, topic_of(), 0.5, wanted={"topic": {"prose": 0.88, "license": 0.1, "table": 0.01, "symbols": 0.005, "shout": 0.005}})
+    assert cells.count() > 0 and not asked
+    raked = [p for name, p in plans if name == "bounded"]
+    assert len(raked) > 1 and all("Broadcast" not in p for p in raked)

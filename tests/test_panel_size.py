@@ -70,3 +70,22 @@ def test_nothing_that_grows_is_broadcast(spark):
     for h in range(2, 7):
         wide = wide.withColumn(f"period_{h}_sample_mean", wide["period_1_sample_mean"])
     assert "Broadcast" not in plan(score.scoring_frame(panel, wide, dt.date(2001, 1, 1), BOUNDS[1]))
+
+
+def test_training_set_keeps_the_features_where_they_are(spark):
+    """The wide features join the forecasts by customer, without a shuffle of their own."""
+    from churnlens.operators import forecast as fc
+    from churnlens.operators import ml
+
+    months = [f"2001-{m:02d}" for m in range(1, 6)]
+    panel = pnl.dense_panel(monthly(spark, [(c, m, float(i + 1)) for c in "ab" for i, m in enumerate(months)]), BOUNDS, 3)
+    features = pnl.panel_features(panel)
+    bt = fc.backtest(panel, spark.sql("SELECT explode(array(DATE'2001-03-01', DATE'2001-04-01')) AS anchor"))
+    wide = fc.backtest_wide(bt)
+    got = ml.training_set(features, wide)
+    assert not [x for x in plan(got).split("\n") if "Exchange" in x and "POSTING_DATE" in x and "anchor" not in x]
+    want = features.join(wide.withColumnRenamed("PREDICTION_DATE", pnl.MONTH), [pnl.CUST, pnl.MONTH])
+    rows = got.select(*want.columns)
+    assert rows.count() == want.count() == 4
+    assert got.columns[: len(want.columns)] == want.columns
+    assert rows.exceptAll(want).count() == want.exceptAll(rows).count() == 0

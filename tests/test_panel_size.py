@@ -89,3 +89,34 @@ def test_training_set_keeps_the_features_where_they_are(spark):
     assert rows.count() == want.count() == 4
     assert got.columns[: len(want.columns)] == want.columns
     assert rows.exceptAll(want).count() == want.exceptAll(rows).count() == 0
+
+
+def test_models_score_the_frame_that_the_run_wrote(spark):
+    """The run's models read its scoring frame; the feature chain isn't made again for them."""
+    from pyspark.sql import functions as F
+
+    from churnlens.plans.risk_run import risk_run, with_models
+
+    class Plus:
+        def __init__(self, h):
+            self.h = h
+
+        def transform(self, df):
+            return df.withColumn(f"pred{self.h}", F.col("CCH") + self.h).withColumn("features", F.lit(0))
+
+    as_of, anchor = dt.date(2001, 8, 1), dt.date(2001, 7, 1)
+    columns = {"MANDT": "'3'", "BUKRS": "'AU1'", "LAND1": "'AU'", "PALEDGER": "2", "AUART": "'0CRO'", "VVQ01_ME": "'CDA'",
+               "BUDAT": "m", "WADAT": "m", "FADAT": "m", "KNDNR": "c", "VVQ13": "CAST(q AS DECIMAL(18,4))"}
+    rows = [(c, dt.date(2000 + (m > 12), (m - 1) % 12 + 1, 5), float(m + len(c))) for c in ("a", "bb") for m in range(1, 20)]
+    base = spark.createDataFrame([*rows, ("c", dt.date(2001, 7, 9), 4.0)], "c string, m date, q double")
+    shape = fx.ledger(spark, SF_SMALL).schema
+    tx = base.selectExpr(*[f"CAST({columns.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in shape])
+    run = risk_run(tx, as_of, 24)
+    want = score.scoring_frame(run.features, run.forecast_wide, anchor, run.last_month)
+    assert run.scoring.columns == want.columns
+    assert run.scoring.count() == want.count() == 2
+    assert run.scoring.exceptAll(want).count() == 0
+    scored = with_models(run, [Plus(h) for h in range(1, 7)], anchor, materialize=False)
+    assert "Window" not in plan(scored.fit)
+    assert {tuple(r) for r in scored.fit.selectExpr("pred1 - CCH", "pred6 - CCH").collect()} == {(1.0, 6.0)}
+    assert with_models(run, [Plus(h) for h in range(1, 7)], as_of, materialize=False).fit.count() == 0

@@ -9,17 +9,20 @@ an ``article`` (else a ``main``) element, its blocks are the main text, whole: w
 the article is no boilerplate, a header in it is its title, articles inside it are
 comments unless it has no text of its own.
 
-Host suffix array for the rest: in a page without such an element nothing but repetition
-tells text from boilerplate. The token streams of such pages are concatenated by host;
-in the suffix order, neighbours with ``LONG`` tokens in common that come from distinct
-pages are boilerplate; the tokens that such a substring covers are removed and the unique
-runs stay. The array is built by prefix doubling up to ``LONG`` tokens, which is all of
-the order that this needs: a longer repeat is the union of repeats of ``LONG``.
+Host suffix array for what stands outside of the articles, on every page: the token
+streams are concatenated by host; neighbours in the suffix order with ``LONG`` tokens in
+common come from how many distinct pages? In a page without an article nothing but
+repetition tells text from boilerplate: the tokens that a substring of two such pages
+covers are removed and the unique runs stay. What stands around the articles, and what the
+markup names as boilerplate on any page, is evidence: a substring of it counts as well if
+two pages and half of the host's have it there (fewer may be teasers of a text). The array
+is built by prefix doubling up to ``LONG`` tokens, which is all of the order that this
+needs: a longer repeat is the union of repeats of ``LONG``.
 
 A host may have a third of all pages, so a host is cut into shards of about
-``SHARD_PAGES`` pages (by hash of the page's row). Each shard's array yields its distinct
-substrings of ``LONG`` tokens and whether two of its pages share them; an aggregate by
-(host, substring) adds what different shards share; each shard then removes what is
+``SHARD_PAGES`` pages (by hash of the page's row). Each shard's arrays yield its distinct
+substrings of ``LONG`` tokens and in how many pages they stand; an aggregate by
+(host, substring) adds up the shards; each shard then removes what is
 boilerplate on its host. So the result doesn't depend on the shards.
 
 Repetition doesn't decide inside an ``article``: an article that a host carries twice
@@ -29,6 +32,7 @@ Defined results
 * null or empty html, or a page of boilerplate only: empty text;
 * tags without end, crossed tags, ``<`` in text and unclosed comments don't stop the
   reader; what follows an unclosed comment or script is part of it;
+* what is hidden, and readers' comments, are no evidence;
 * a very long page is read in one pass, its blocks held once; other columns are not read,
   whatever their names;
 * repeated rows each give a row, and count as distinct pages for repetition;
@@ -48,10 +52,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlens.llm.common import col_of, staged, text_slices
+from churnlens.llm.common import bounded_broadcast, col_of, staged, text_slices
 
 LONG = 12  # tokens of a repeat that counts
 SHARD_PAGES = 256
+SMALL_ROWS = 100_000  # hosts whose sizes are broadcast; more are joined by a shuffle
 
 # fixed values: elements that break blocks, have no end tag, hold raw text, or are no main text
 BREAKS = frozenset(
@@ -139,8 +144,10 @@ def _chosen(found: list[Block]) -> list[str]:
     return [b.text for b in [b for b in near if not b.nested] or near]
 
 
-def blocks(page: str) -> tuple[list[str], list[str], list[str]]:
+def blocks(page: str, gone: list[str] | None = None) -> tuple[list[str], list[str], list[str]]:
     """The page's blocks outside boilerplate: in articles, in main elements, anywhere.
+    ``gone`` gets the text around them: what the markup names as boilerplate, a piece
+    between two tags each, and blocks outside of the articles, if there are any.
 
     An article or main element counts also inside an element that is boilerplate by its
     name (a form around the page, a class like with-sidebar), but after those that stand
@@ -162,6 +169,8 @@ def blocks(page: str) -> tuple[list[str], list[str], list[str]]:
         soft -= verdict == SOFT
         hard -= verdict == HARD
         if verdict in (DENSE, LINKED) and _is_boilerplate(verdict, found[began:]):
+            if gone is not None:
+                gone.extend(b.text for b in found[began:])
             del found[began:]
         return name
 
@@ -181,6 +190,10 @@ def blocks(page: str) -> tuple[list[str], list[str], list[str]]:
             pieces.append(piece)
             if opened["a"]:
                 links += len(piece)
+        elif gone is not None and not hard:
+            piece = page[at : m.start() if m else n]
+            if piece and not piece.isspace():
+                gone.append(" ".join(entities.unescape(piece).split()))
         if not m:
             break
         at = m.end()
@@ -219,29 +232,35 @@ def blocks(page: str) -> tuple[list[str], list[str], list[str]]:
     while stack:  # elements without an end
         close()
     free = [b.text for b in found if not b.tier]
-    return _chosen([b for b in found if b.article]), _chosen([b for b in found if b.main]), free
+    articles, mains = [b for b in found if b.article], [b for b in found if b.main]
+    if gone is not None and (articles or mains):
+        gone.extend(b.text for b in found if not (b.article if articles else b.main))
+    return _chosen(articles), _chosen(mains), free
 
 
 PARSED = T.StructType([
     T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
     T.StructField("text", T.StringType()), T.StructField("loose", T.ArrayType(T.StringType())),
+    T.StructField("gone", T.ArrayType(T.StringType())),
 ])
 
 
 def parsed(df: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """page_id, url, text (if the page has an article or main element), loose (else: its
-    blocks)."""
+    """page_id, url, text (if the page has an article or main element; null: it has other
+    blocks only), loose (those blocks), gone (the text around: evidence)."""
 
     def batches(rows):
         for rec in rows:
             for part in text_slices(rec, 2):
-                texts, loose = [], []
+                texts, loose, gone = [], [], []
                 for page in part.column(2).to_pylist():
-                    article, main, body = blocks(page or "")
+                    named: list[str] = []
+                    article, main, body = blocks(page or "", named)
                     whole = article or main
                     texts.append("\n\n".join(whole) if whole or not body else None)
                     loose.append(None if whole or not body else body)
-                yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(loose, pa.list_(pa.string()))], names=PARSED.names)
+                    gone.append(named or None)
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string()), *[pa.array(x, pa.list_(pa.string())) for x in (loose, gone)]], names=PARSED.names)
 
     return df.select(col_of(id_col).cast("bigint"), col_of(url_col).cast("string"), col_of(html_col).cast("string")).mapInArrow(batches, PARSED)
 
@@ -269,8 +288,8 @@ def suffix_ranks(tokens: list[str], page_of: np.ndarray, long: int = LONG) -> np
     """The rank of each position among all suffixes, by their first ``long`` tokens; equal
     ranks, equal tokens. -1 where fewer than ``long`` tokens of the page are left.
     Prefix doubling: ranks by w tokens give ranks by up to 2 w."""
-    _, rank = np.unique(np.array(tokens, dtype=object).astype(str), return_inverse=True)
-    rank, width, n = rank.astype(np.int64), 1, len(tokens)
+    place = {t: i for i, t in enumerate(sorted(set(tokens)))}
+    rank, width, n = np.array([place[t] for t in tokens], dtype=np.int64), 1, len(tokens)
     while width < long:
         step = min(width, long - width)
         follow = np.full(n, -1, dtype=np.int64)
@@ -283,20 +302,22 @@ def suffix_ranks(tokens: list[str], page_of: np.ndarray, long: int = LONG) -> np
     return np.where(whole, rank, -1)
 
 
-def repeats(pages: list[list[str]]) -> tuple[list[int], list[bool]]:
-    """Hashes of the distinct substrings of ``LONG`` tokens, and which of them stand in
-    two pages: in suffix order, equal neighbours of distinct pages."""
+def repeats(pages: list[list[str]]) -> tuple[list[int], list[int]]:
+    """Hashes of the distinct substrings of ``LONG`` tokens, and in how many pages each of
+    them stands: neighbours in suffix order."""
     tokens, page_of, _ = _stream(pages)
     if not tokens:
         return [], []
     rank = suffix_ranks(tokens, page_of)
-    order = np.argsort(rank, kind="stable")
+    order = np.lexsort((page_of, rank))
     order = order[rank[order] >= 0]
-    first = np.flatnonzero(np.diff(rank[order], prepend=-1))
+    new = np.diff(rank[order], prepend=-1) != 0
+    first = np.flatnonzero(new)
     if not len(first):
         return [], []
-    shared = np.minimum.reduceat(page_of[order], first) != np.maximum.reduceat(page_of[order], first)
-    return [_hash(tokens, i) for i in order[first].tolist()], shared.tolist()
+    counts = np.add.reduceat((new | (np.diff(page_of[order], prepend=-1) != 0)).astype(np.int64), first)
+    # of equal substrings, any stands for them
+    return [_hash(tokens, i) for i in order[first].tolist()], counts.tolist()
 
 
 def _hash(tokens: list[str], at: int) -> int:
@@ -319,35 +340,49 @@ def unique_runs(pages: list[list[str]], boilerplate: set[int]) -> list[str]:
     return ["\n\n".join(" ".join(words) for words in page.values()) for page in out]
 
 
-def without_repeats(loose: DataFrame) -> DataFrame:
-    """page_id, url, text of pages (page_id, url, loose) without article elements."""
+def without_repeats(pages: DataFrame) -> DataFrame:
+    """page_id, url, text of those pages (page_id, url, loose, gone) that have loose blocks:
+    without what their host repeats, by the arrays over the loose and the gone text of all
+    its pages."""
     host = F.coalesce(host_of(F.col("url")), F.lit(""))
-    pages = loose.select("page_id", "url", "loose", host.alias("host"), F.monotonically_increasing_id().alias("row"))
+    pages = pages.where("loose IS NOT NULL OR gone IS NOT NULL").select(
+        "page_id", "url", "loose", "gone", host.alias("host"), F.monotonically_increasing_id().alias("row"))
     pages = staged(pages, "loose")
-    sizes = pages.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / SHARD_PAGES).alias("shards"))
-    pages = pages.join(sizes, "host").select("host", F.pmod(F.xxhash64("row"), F.col("shards")).alias("shard"), "page_id", "url", "loose")
-    windows = T.StructType([T.StructField("host", T.StringType()), T.StructField("shard", T.LongType()),
-                            T.StructField("h", T.LongType()), T.StructField("shared", T.BooleanType())])
+    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.ceil(F.count(F.lit(1)) / SHARD_PAGES).alias("shards"))
+    pages = pages.join(bounded_broadcast(sizes, SMALL_ROWS), "host").select(
+        "host", F.pmod(F.xxhash64("row"), F.col("shards")).alias("shard"), "page_id", "url", "loose", "gone")
+    # dealt by host, a host's shards would stay in one task
+    pages = pages.repartition("host", "shard")
+    undecided = pages.where("loose IS NOT NULL").drop("gone")
+    windows = T.StructType([
+        T.StructField("host", T.StringType()), T.StructField("shard", T.LongType()), T.StructField("h", T.LongType()),
+        T.StructField("own", T.LongType()), T.StructField("named", T.LongType())])
 
     def arrays(key: tuple, rows: pa.Table) -> pa.Table:
-        h, shared = repeats(rows.column("loose").to_pylist())
         name, shard = key[0].as_py(), key[1].as_py()
-        return pa.table([pa.array([name] * len(h), pa.string()), pa.array([shard] * len(h), pa.int64()), pa.array(h, pa.int64()), pa.array(shared, pa.bool_())], names=windows.names)
+        out = []
+        for column in ("loose", "gone"):
+            h, n = repeats([x or [] for x in rows.column(column).to_pylist()])
+            counts = [pa.array(n, pa.int64()), pa.array([0] * len(h), pa.int64())]
+            out.append(pa.table([pa.array([name] * len(h), pa.string()), pa.array([shard] * len(h), pa.int64()), pa.array(h, pa.int64()),
+                                 *(counts if column == "loose" else counts[::-1])], names=windows.names))
+        return pa.concat_tables(out)
 
     found = staged(pages.groupBy("host", "shard").applyInArrow(arrays, windows), "substrings")
-    known = found.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"), F.max("shared").alias("any")).where("n > 1 OR any")
-    mine = found.select("host", "shard", "h").join(known.select("host", "h"), ["host", "h"])
+    known = found.groupBy("host", "h").agg(F.sum("own").alias("own"), F.sum("named").alias("named")).where("own > 0").join(sizes, "host")
+    known = known.where("own > 1 OR named > 1 AND 2 * named >= pages")
+    mine = found.where("own > 0").select("host", "shard", "h").join(known.select("host", "h"), ["host", "h"])
     result = T.StructType([*PARSED.fields[:3]])
 
     def removed(key: tuple, rows: pa.Table, substrings: pa.Table) -> pa.Table:
         texts = unique_runs(rows.column("loose").to_pylist(), set(substrings.column("h").to_pylist()))
         return pa.table([rows.column("page_id"), rows.column("url"), pa.array(texts, pa.string())], names=result.names)
 
-    return pages.groupBy("host", "shard").cogroup(mine.groupBy("host", "shard")).applyInArrow(removed, result)
+    return undecided.groupBy("host", "shard").cogroup(mine.groupBy("host", "shard")).applyInArrow(removed, result)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text for each row of ``df``."""
     pages = staged(parsed(df, id_col, url_col, html_col), "parsed")
     whole = pages.where("loose IS NULL").select("page_id", "url", "text")
-    return whole.unionByName(without_repeats(pages.where("loose IS NOT NULL")))
+    return whole.unionByName(without_repeats(pages))

@@ -92,6 +92,40 @@ def test_host_suffix_array(spark, monkeypatch):
     assert got[3] == "" == got[7]
 
 
+def test_the_array_reads_what_stands_around_articles(spark, monkeypatch):
+    """Menus that most pages of a host carry outside of their articles go from its page
+    without an article; an article stays whole, and so does what few pages quote."""
+    monkeypatch.setattr(H, "SHARD_PAGES", 2)
+    menu, quoted = " ".join(f"m{i}" for i in range(14)), " ".join(f"q{i}" for i in range(14))
+    around = [f"<nav><p>{menu}</p></nav>", f"<div class='masthead'>{menu}</div>", f"<p>{menu}</p>", f"<aside>{quoted}</aside><footer>{menu}</footer>"]
+    rows = [(i, "http://a/x", f"{x}<article><p>own {i}</p><p>{menu}</p></article>") for i, x in enumerate(around)]
+    rows += [(9, "http://A/y", f"<div>{menu}</div><div>{quoted}</div>"), (10, "http://b/", f"<div>{menu}</div>"), (11, "http://c/", f"<nav>{menu}</nav><div>{menu}</div>")]
+    seen = []
+    monkeypatch.setattr(H, "staged", lambda df, name, f=H.staged: seen.append((name, f(df, name))) or seen[-1][1])
+    got = texts(spark, rows)
+    assert got == {i: f"own {i}\n\n{menu}" for i in range(4)} | {9: quoted, 10: menu, 11: menu}
+    counts = dict(seen)["substrings"].where("host = 'a'").groupBy("h").agg({"own": "sum", "named": "sum"}).collect()
+    assert max(r["sum(named)"] for r in counts) == 4 and max(r["sum(own)"] for r in counts) == 1
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<nav>a <b>b</b></nav><article>x</article><p>c</p>", ["a", "b", "c"]), ("<main>x</main>y<footer>&amp; z</footer>", ["& z", "y"]),
+    ("<nav>a</nav><p>x</p>", ["a"]), ("<div hidden>a</div><div class=comments>b</div><script>c</script><article>x</article>", []),
+    ("<div class='share-buttons'><a href=x>Tweet</a></div><article>x</article>", ["Tweet"]), ("", []),
+])
+def test_text_around(page, want):
+    gone = []
+    kept = H.blocks(page, gone)
+    assert gone == want and kept == H.blocks(page)
+
+
+def test_long_tokens_dont_widen_the_others():
+    tokens = ["x" * 1_000_000, *[f"t{i % 7}" for i in range(20_000)]]
+    import numpy as np
+
+    assert H.suffix_ranks(tokens, np.zeros(len(tokens), dtype=np.int64)).max() > 0
+
+
 def test_suffix_ranks_are_the_suffix_order():
     rnd = random.Random(1)
     import numpy as np

@@ -120,3 +120,47 @@ def test_models_score_the_frame_that_the_run_wrote(spark):
     assert "Window" not in plan(scored.fit)
     assert {tuple(r) for r in scored.fit.selectExpr("pred1 - CCH", "pred6 - CCH").collect()} == {(1.0, 6.0)}
     assert with_models(run, [Plus(h) for h in range(1, 7)], as_of, materialize=False).fit.count() == 0
+
+
+def test_fits_read_vectors_that_were_written_once(spark, monkeypatch):
+    """The six regressors plan no wide column: the features are assembled before them."""
+    from churnlens.operators import ml
+
+    fitted, written = [], []
+
+    class Regressor:
+        def __init__(self, **params):
+            self.params = params
+
+        def fit(self, d):
+            fitted.append((self.params["predictionCol"], d))
+            return self.params["predictionCol"]
+
+    monkeypatch.setattr(ml, "GBTRegressor", Regressor)
+    monkeypatch.setattr(ml, "assembled", lambda model, variables: (model, list(variables)))
+    monkeypatch.setattr(ml, "stage", lambda df, name, f=ml.stage: written.append(name) or f(df, name))
+    train = spark.range(50).selectExpr("cast(id as string) CUSTOMER_SHIPTO", "date'2001-01-01' POSTING_DATE", "id x", "if(id = 3, double('nan'), null) y",
+                                       *[f"if(id < {h}, null, id + {h}) CCH_shift_{h}" for h in range(1, 7)])
+    models = ml.horizon_models(train, ["x", "y"])
+    assert models == [(f"pred{h}", ["x", "y"]) for h in range(1, 7)] and written == ["training_vectors"]
+    for h, (_, d) in enumerate(fitted, 1):
+        assert d.columns == ["features", "_validation", "label"] and "UDF" not in plan(d)
+        rows = d.collect()
+        assert {(r.features[0], r.features[1], r.label) for r in rows} == {(float(i), 0.0, float(i + h)) for i in range(h, 50)}
+        assert {r._validation for r in rows} == {True, False}
+
+
+def test_explained_customers_are_read_not_made_again(spark, monkeypatch):
+    """The risk list and the background of the attribution are written before the plan that
+    uses them twice."""
+    from churnlens.plans import queries as q
+
+    names = []
+    monkeypatch.setattr(q, "stage", lambda df, name: names.append(name) or df)
+    run = type("Run", (), {"scores": spark.createDataFrame([("a", 70.0), ("b", 10.0)], "CUSTOMER_SHIPTO string, risk_score double")})
+    monkeypatch.setattr(q, "models_frame", lambda *a: (None, spark.range(1), None, [0, 1, 2]))
+    monkeypatch.setattr(q, "with_models", lambda *a: run)
+    monkeypatch.setattr(q.ex, "background_means", lambda train: train)
+    r, risk, model, means, drivers = q.explain_frame(spark, "")
+    assert (r, model, names) == (run, 2, ["risk", "background"])
+    assert [x.CUSTOMER_SHIPTO for x in risk.collect()] == ["a"]

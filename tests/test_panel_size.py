@@ -164,3 +164,48 @@ def test_explained_customers_are_read_not_made_again(spark, monkeypatch):
     r, risk, model, means, drivers = q.explain_frame(spark, "")
     assert (r, model, names) == (run, 2, ["risk", "background"])
     assert [x.CUSTOMER_SHIPTO for x in risk.collect()] == ["a"]
+
+
+def test_last_month_needs_no_earlier_lags(spark):
+    """The scoring rows are the last month's of the whole feature chain; lags are made for the
+    months they look back to."""
+    from pyspark.sql import functions as F
+
+    bounds = (dt.date(2000, 1, 1), dt.date(2001, 8, 1))
+    months = [f"{2000 + m // 12}-{m % 12 + 1:02d}" for m in range(20)]
+    rows = [(c, m, float((i * k) % 7 + i / 3)) for k, c in enumerate(("a", "b", "c"), 1) for i, m in enumerate(months) if (i + k) % k == 0]
+    panel = pnl.dense_panel(monthly(spark, [*rows, ("d", None, 1.0), (None, "2001-08", 2.0)]), bounds, 2)
+    holidays = pnl.calendar_of(spark, bounds)
+    whole = pnl.period_diff_bucket(pnl.panel_features(panel))
+    short = pnl.period_diff_bucket(pnl.panel_features(panel, holidays, last=bounds[1]))
+    assert short.columns == whole.columns and short.schema == whole.schema
+    assert short.count() == 5 * (pnl.N_BACK + 1)
+    at = F.col(pnl.MONTH) == F.lit(bounds[1])
+    got, want = ({r[pnl.CUST]: r for r in df.filter(at).collect()} for df in (short, whole))
+    assert len(got) == 5 and got == want and {r.less12 for r in got.values()} == {1}
+
+
+def test_known_bounds_give_the_holidays(spark):
+    """The years between the bounds: the panel isn't made to list them."""
+    panel = pnl.dense_panel(monthly(spark, [("a", "1999-11", 1.0), ("a", "2001-02", 2.0)]), (dt.date(1999, 11, 1), dt.date(2001, 2, 1)), 1)
+    calendar = pnl.calendar_of(spark, (dt.date(1999, 11, 1), dt.date(2001, 2, 1)))
+    assert "_span" not in plan(calendar)
+    assert pnl.calendar_of(spark, None) is None
+    got, want = (pnl.add_holidays(panel, h).select(pnl.MONTH, "Holidays").collect() for h in (calendar, None))
+    assert sorted(got) == sorted(want) and len(got) == 16 and sum(r.Holidays for r in got) > 0
+
+
+def test_panel_lags_rounds_a_value_once(spark, monkeypatch):
+    """No lag is rounded; the results are those of rounding each."""
+    from churnlens.plans import queries as q
+    from churnlens.plans.output import finalize
+
+    rows = [("a", f"2001-{m:02d}", m / 7) for m in range(1, 6)] + [("b", "2001-03", -2 / 3), (None, "2001-02", 1e-7)]
+    panel = pnl.dense_panel(monthly(spark, rows), BOUNDS, 1)
+    monkeypatch.setattr(q, "bounded_panel", lambda *a: (panel, BOUNDS))
+    got = q.panel_lags(spark, "")
+    names = [f"{c}_lag_{i}" for c in pnl.LAG_COLUMNS for i in range(1, 7)]
+    want = finalize(pnl.panel_features(panel).select(pnl.CUST, pnl.MONTH, *names), 6)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert plan(got).split("Window", 1)[0].count("round(") == 0
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))

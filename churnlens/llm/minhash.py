@@ -9,8 +9,9 @@ components of the links.
    with probability (1 - 0.75**4)**32 = 5e-6; more similar ones far less.
 2. Documents with equal sets are one class, the vertex of all that follows: thousands of
    copies are one row.
-3. Each bucket (a band key with several classes) compares its members with its most
-   popular one, on full sets; linked classes contract to components. A bucket whose
+3. Each bucket (a band key with several classes; of buckets with the same members, which
+   near copies have by the dozen, one) compares its members with its most popular one, on
+   full sets; linked classes contract to components. A bucket whose
    members are in one component is done, for no link in it can change the result: a bucket
    with thousands of near copies costs one pass over its members.
 4. The members of all other buckets, most of them texts that share a passage and are no
@@ -20,11 +21,13 @@ components of the links.
    with up to ``SMALL`` members outside their largest component compare all members of
    different components, the others one pivot. A member leaves a bucket when what it has
    from the bucket's shingle on can no longer reach the overlap that the bucket's smallest
-   set asks for. Rounds go on until every bucket is done: nothing is capped.
+   set asks for. Each round takes on buckets ``MORE`` times as large as the one before, so
+   the number of rounds follows the logarithm of the largest bucket. They go on until every
+   bucket is done: nothing is capped.
 
-No bucket is ever collected: pivots and counts are aggregates, pairs are joins with at
-most ``SMALL`` rows out for each row in, and a round with one pivot makes one pair for
-each member. Sets are compared only for classes in some bucket.
+No bucket is ever collected: pivots and counts are aggregates, pairs are joins whose
+condition holds the sizes and places that rule a link out, and a round with one pivot makes
+one pair for each member. Sets are compared only for classes in some bucket.
 
 Defined results
 * null or empty texts and texts of white space only have no set: n_shingles 0, linked
@@ -47,11 +50,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens.llm import shingles as S
-from churnlens.llm.common import col_of, free_name, staged, text_slices, tidy
+from churnlens.llm.common import bounded_broadcast, col_of, free_name, staged, text_slices, tidy
 from churnlens.llm.components import relabel, roots
 
 BANDS, BAND_ROWS = 32, 4
-SMALL = 128
+SMALL, MORE = 128, 4
 FEW_PAIRS = 200_000  # pairs of two digests that are broadcast
 
 _SIGNED = T.StructType([
@@ -81,7 +84,7 @@ def signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         ], names=_SIGNED.names)
 
     def batches(rows):
-        with tidy(S.WORDS):
+        with tidy():
             for rec in rows:
                 for part in text_slices(rec, 2):
                     yield sign(part)
@@ -90,11 +93,23 @@ def signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(col_of(id_col).cast("bigint"), F.xxhash64(text), text).mapInArrow(batches, _SIGNED)
 
 
-def sets_of(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """v, size, items of the classes in ``wanted`` (v, id of one of its documents)."""
+def _of_ids(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose id (null too) is one of ``wanted``'s, without a shuffle of wide rows:
+    the ids are broadcast as bits, 64 neighbours in one row, unless that is too much."""
+    word = F.shiftright(F.coalesce("id", F.lit(0)), 6)
+    bit = F.expr("shiftleft(1L, cast(id & 63 as int))")
+    marks = wanted.groupBy(word.alias("_word")).agg(
+        F.coalesce(F.bit_or(bit), F.lit(0)).alias("_bits"), F.max(F.col("id").isNull()).alias("_null"))
+    hit = F.when(F.col("id").isNull(), F.col("_null")).otherwise(F.col("_bits").bitwiseAND(bit) != 0)
+    return rows.join(bounded_broadcast(marks), word == F.col("_word")).where(hit).select(rows["*"])
+
+
+def sets_of(df: DataFrame, docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """v, size, items of the classes in ``wanted`` (v, id of one of its documents), each
+    once; also of other texts that share an id with them. ``docs``: id and v of all rows."""
 
     def batches(rows):
-        with tidy(S.WORDS):
+        with tidy():
             for rec in rows:
                 for part in text_slices(rec, 0):
                     sets = S.shingle_sets(part.column(0).to_pylist())
@@ -103,10 +118,12 @@ def sets_of(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> Dat
                         pa.array([s.view("int64") for s in sets], pa.list_(pa.int64())),
                     ], names=_SETS.names)
 
-    docs = df.select(col_of(id_col).cast("bigint").alias("id"), col_of(text_col).cast("string").alias("t"))
-    near = docs.join(wanted.select("id").distinct(), docs["id"].eqNullSafe(wanted["id"]), "left_semi").select("t")
-    found = near.mapInArrow(batches, _SETS)  # an id can stand on rows with other texts: the digest decides
-    return found.join(wanted.select("v"), "v", "left_semi").dropDuplicates(["v"])
+    texts = df.select(col_of(id_col).cast("bigint").alias("id"), col_of(text_col).cast("string").alias("t"))
+    found = _of_ids(texts, wanted).select("t").mapInArrow(batches, _SETS)
+    met = _of_ids(docs.select("id", "v"), wanted).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    if met.where("n > 1").isEmpty():
+        return found
+    return found.join(wanted.select("v"), "v", "left_semi").dropDuplicates(["v"])  # an id stands on several rows
 
 
 def _reaches(overlap, a, b):
@@ -190,22 +207,27 @@ def _prefixes(sets: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each row of ``df``: id, n_shingles, component_id, kept, text_hash."""
     docs = staged(signed(df, id_col, text_col), "signed")
+    names = [f"b{i}" for i in range(BANDS)]  # as longs: an aggregate without a sort
     classes = docs.where("v IS NOT NULL").groupBy("v").agg(
-        F.min("id").alias("id"), F.first("n").alias("size"), F.first("bands").alias("bands"))
+        F.min("id").alias("id"), F.first("n").alias("size"), *[F.first(F.col("bands")[i]).alias(x) for i, x in enumerate(names)])
+    classes = staged(classes.select("v", "id", "size", F.array(*names).alias("bands")), "classes")
+    marks = classes.select(F.xxhash64("v").alias("x"), F.xxhash64("v", F.lit(1)).alias("y"), F.explode("bands").alias("key"))
+    shared = marks.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    shared = shared.where("m > 1").groupBy("m", "x", "y").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("same"))
     member = classes.select("v", "id", "size", F.explode("bands").alias("key"))
-    shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = staged(member.join(shared, "key"), "members")
+    members = staged(member.join(shared.select("key", (F.col("m") * F.col("same")).alias("m")), "key"), "members")
     wanted = staged(members.groupBy("v").agg(F.min("id").alias("id"), F.sum("m").alias("pop")), "wanted")
-    sets = staged(sets_of(df, wanted, id_col, text_col), "sets")
+    sets = staged(sets_of(df, docs, wanted, id_col, text_col), "sets")
 
     rounds = _Rounds(
         members.select("key", "v", "size", F.col("size").alias("rest")),
         wanted.select("v", F.col("v").alias("c"), "pop"), sets)
     if rounds.run(small=0):
         rest = staged(rounds.left().select("v").distinct(), "rest")
-        rounds.members = staged(_prefixes(sets.join(rest, "v", "left_semi")), "prefixes")
-        while rounds.run(small=SMALL):
-            pass
+        rounds.members = staged(_prefixes(sets.join(bounded_broadcast(rest, FEW_PAIRS), "v", "left_semi")), "prefixes")
+        small = SMALL
+        while rounds.run(small):
+            small *= MORE
 
     group = staged(rounds.labels.join(wanted.select("v", "id"), "v"), "group")
     least = staged(group.groupBy("c").agg(F.min("id").alias("least")), "least")  # so that a hot component's join can be split

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 import xxhash
 
@@ -15,18 +13,9 @@ _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x
 _LENGTH = _MULT[SHINGLE] * np.arange(SHINGLE + 1, dtype=U64)
 SIGMA_SEED = U32(0x5BD1E995)
 CHUNK = 1 << 15  # shingles whose signature is made at once: fits a core's cache
-WORDS_CACHED = 200_000
-
-
-class _Words(dict):
-    """64-bit hash of a word's bytes, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-WORDS = _Words()
+LONG_WORD = 64  # bytes from which a word is hashed by itself
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
 
 
 def _mix64(x: np.ndarray) -> np.ndarray:
@@ -45,24 +34,51 @@ def _mix32(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of each run without ASCII white space, all words at once: eight
+    bytes of every word in each step."""
+    space = np.ones(len(data) + 2, dtype=bool)
+    np.take(_SPACE, np.frombuffer(data, dtype=np.uint8), out=space[1:-1])
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, sizes = edges[0::2], edges[1::2] - edges[0::2]
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=data + bytes(8), strides=(1,))  # from any byte on
+
+    def piece(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        return eight[at] & (U64(2**64 - 1) >> (U64(64) - U64(8) * np.minimum(left, 8).astype(U64)))
+
+    hashes = _mix64(_mix64(sizes.astype(U64) * _MULT[0]) ^ (piece(starts, sizes) * _MULT[1]))
+    done = 8
+    more = np.flatnonzero((sizes > done) & (sizes <= LONG_WORD))
+    while len(more):
+        hashes[more] = _mix64((hashes[more] ^ piece(starts[more] + done, sizes[more] - done)) * _MULT[1])
+        done += 8
+        more = more[sizes[more] > done]
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(data[starts[i] : starts[i] + sizes[i]])
+    return starts, hashes
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])]
+
+
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """The set of each text: sorted distinct 64-bit hashes of its shingles. A-Z are
     lower-cased, words are runs without ASCII white space. A text of one to four words
     has one element, its whole sequence; without words the set is empty."""
-    if len(WORDS) > WORDS_CACHED:
-        WORDS.clear()
-    words = [t.encode().lower().split() if t else [] for t in texts]  # bytes: ASCII rules only
-    lens = np.array([len(w) for w in words], dtype=np.int64)
-    flat = np.fromiter(map(WORDS.__getitem__, chain.from_iterable(words)), dtype=U64, count=int(lens.sum()))
-    offsets = np.concatenate([[0], np.cumsum(lens)])
+    raw = [t.encode() if t else b"" for t in texts]
+    starts, flat = word_hashes(b"\n".join(raw).lower())  # bytes: ASCII rules only
+    begins = np.cumsum([0, *[len(r) + 1 for r in raw]])
+    offsets = np.searchsorted(starts, begins)
     full = np.zeros(max(len(flat) - SHINGLE + 1, 0), dtype=U64)
     for j in range(SHINGLE):
         full += flat[j : j + len(full)] * _MULT[j]
     full = _mix64(full + _LENGTH[SHINGLE])
     out = []
-    for a, n in zip(offsets.tolist(), lens.tolist()):
+    for a, n in zip(offsets.tolist(), np.diff(offsets).tolist()):
         if n >= SHINGLE:
-            out.append(np.unique(full[a : a + n - SHINGLE + 1]))
+            out.append(_distinct(full[a : a + n - SHINGLE + 1]))
         elif n:
             out.append(_mix64((flat[a : a + n] * _MULT[:n]).sum(keepdims=True) + _LENGTH[n]))
         else:

@@ -78,3 +78,34 @@ def test_signatures_estimate_similarity(rows):
     true = len(set(sets[0].tolist()) & set(sets[1].tolist())) / len(set(sets[0].tolist()) | set(sets[1].tolist()))
     assert abs((sig[0] == sig[1]).mean() - true) < 0.08
     assert shingles.band_keys(sig, rows).shape == (2, 512 // rows)
+
+
+def test_rounds_follow_the_logarithm_of_a_bucket(spark, monkeypatch):
+    """121 texts, any two alike in one of five places at most (similarity 0.58 or less): their
+    buckets hold eleven near misses each, which one pivot a round would take ten rounds for."""
+    q, common = 11, [f"w{i}" for i in range(75)]
+    rows = []
+    for x in range(q):
+        for y in range(q):
+            words = list(common)
+            for slot, value in enumerate((x, y, x + y, x + 2 * y, x + 3 * y)):
+                words.insert(16 * slot + 5, f"s{slot}v{value % q}")
+            rows.append((len(rows), " ".join(words)))
+    rounds = []
+    run = minhash._Rounds.run
+    monkeypatch.setattr(minhash._Rounds, "run", lambda self, small: rounds.append(small) or run(self, small))
+    monkeypatch.setattr(minhash, "SMALL", 1)
+    check(spark, rows)
+    assert 2 < len(rounds) <= 5
+
+
+def test_words_of_any_length_and_white_space():
+    texts = [None, " a\x1cb\tc\x0bd\x0ce\rf\ng ", "x" * 64 + " " + "x" * 65 + " abcdefgh abcdefghi", "É é \xa0 1 2 3", ""]
+    data = "\n".join(t or "" for t in texts).encode().lower()
+    starts, hashes = shingles.word_hashes(data)
+    words = data.split()
+    assert [data[a:].split()[0] for a in starts.tolist()] == words
+    assert len(set(hashes.tolist())) == len(set(words))
+    sets = shingles.shingle_sets(texts)
+    assert [len(s) for s in sets] == [0, 2, 1, 2, 0]
+    assert [shingles.digest(s) for s in sets] == [shingles.digest(shingles.shingle_sets([t])[0]) for t in texts]

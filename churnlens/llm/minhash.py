@@ -246,11 +246,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns: of each component the row
     whose id names it (one of them, if it is repeated), and all rows without words."""
-    key, text_hash, copies = (free_name(df, x) for x in ("_id", "_hash", "_copies"))
-    stay = near_duplicates(df, id_col, text_col).where("kept").groupBy("id", "text_hash").agg(
-        F.sum((F.col("n_shingles") > 0).cast("int")).alias(copies))
+    key, text_hash = (free_name(df, x) for x in ("_id", "_hash"))
+    found = near_duplicates(df, id_col, text_col).groupBy("id", "text_hash").agg(
+        F.max("kept").alias("kept"), F.sum((F.col("kept") & (F.col("n_shingles") > 0)).cast("int")).alias("copies"))
+    # what goes or is repeated is the lesser part and has no text: the rows need no shuffle if it is small
+    other = staged(found.where(~F.col("kept") | (F.col("copies") > 1)).select("id", "text_hash", "kept"), "other")
     rows = df.withColumn(key, col_of(id_col).cast("bigint")).withColumn(text_hash, F.xxhash64(col_of(text_col).cast("string")))
-    rows = rows.join(stay, rows[key].eqNullSafe(stay["id"]) & (rows[text_hash] == stay["text_hash"])).select(rows["*"], stay[copies])
-    once = rows.where(col_of(copies) < 2)
-    repeated = rows.where(col_of(copies) >= 2).dropDuplicates([key, text_hash])
-    return once.unionByName(repeated).select(*[col_of(c) for c in df.columns])
+    named = bounded_broadcast(other, FEW_PAIRS)
+    met = rows.join(named, rows[key].eqNullSafe(named["id"]) & (rows[text_hash] == named["text_hash"]), "left")
+    out = met.where(named["kept"].isNull()).select(rows["*"])
+    if not other.where("kept").isEmpty():
+        out = out.unionByName(met.where(named["kept"]).select(rows["*"]).dropDuplicates([key, text_hash]))
+    return out.select(*[col_of(c) for c in df.columns])
